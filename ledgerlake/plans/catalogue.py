@@ -1,0 +1,357 @@
+"""Every operator as a query over the ``events`` test table."""
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+
+from ledgerlake.operators.account import (
+    account_events,
+    balance_rows,
+    position_rows,
+    silver_account,
+)
+from ledgerlake.operators.envelope import bronze_rows, unrouted
+from ledgerlake.operators.metrics import daily_metrics
+from ledgerlake.operators.orders import silver_orders
+from ledgerlake.operators.quality import clean_rows, rejected_rows, split, with_verdict
+from ledgerlake.operators.risk import daily_max_drawdown, daily_sharpe, equity_points
+from ledgerlake.operators.trades import closed_trades
+from ledgerlake.plans.paths import LakePaths, scratch_lake
+from ledgerlake.plans.stages import run, run_bronze, run_gold, run_silver
+from ledgerlake.schemas import ACCOUNT_REQUIRED, ORDER_REQUIRED
+from ledgerlake.sources.catalog import register_gold
+from ledgerlake.sources.feed import feed_lines, read_events
+from ledgerlake.sources.landing import land, read_landing, stream_landing
+from ledgerlake.sources.tables import (
+    read_bronze,
+    read_gold_daily_metrics,
+    read_gold_trades,
+    read_quarantine,
+    read_silver_account,
+    read_silver_orders,
+)
+from ledgerlake.streaming.tables import (
+    bronze_stream,
+    daily_metrics_stream,
+    settled_daily_metrics,
+    silver_stream,
+    stream_bronze,
+    stream_closed_trades,
+)
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Run-dependent columns, left out of query results.
+_VOLATILE = ("ingest_time", "processing_time", "raw_json")
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feed_lines(read_events(spark, sf_dir))
+
+
+def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_rows(_lines(spark, sf_dir))
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_orders(_bronze(spark, sf_dir)).drop(*_VOLATILE)
+
+
+def _account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_account(_bronze(spark, sf_dir)).drop(*_VOLATILE)
+
+
+def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return closed_trades(clean_rows(_orders(spark, sf_dir), ORDER_REQUIRED))
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> LakePaths:
+    paths = scratch_lake(spark)
+    _lines(spark, sf_dir).write.text(paths.landing)
+    return paths
+
+
+def _finish(writer: DataStreamWriter) -> None:
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+# Lines and bronze
+
+
+def raw_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _landed(spark, sf_dir)
+    return read_landing(spark, paths.landing).agg(
+        F.count("*").alias("lines"), F.count_if(F.col("value") == "").alias("blank_lines")
+    )
+
+
+def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze(spark, sf_dir).select("event_time", "event_type", "event_date")
+
+
+def bronze_roundtrip_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _landed(spark, sf_dir)
+    run_bronze(spark, paths)
+    bronze = read_bronze(spark, paths.bronze)
+    return bronze.groupBy("event_type", "event_date").agg(F.count("*").alias("events"))
+
+
+def route_by_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("events"))
+
+
+def unrouted_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = unrouted(_bronze(spark, sf_dir))
+    return bronze.groupBy("event_type").agg(F.count("*").alias("events"))
+
+
+# Silver
+
+
+def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_rows(_orders(spark, sf_dir), ORDER_REQUIRED)
+
+
+def clean_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_rows(_account(spark, sf_dir), ACCOUNT_REQUIRED)
+
+
+def quarantine_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_rows(_orders(spark, sf_dir), ORDER_REQUIRED)
+
+
+def quarantine_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejected_rows(_account(spark, sf_dir), ACCOUNT_REQUIRED)
+
+
+def split_is_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each side of the split, and of the table that was split."""
+
+    def counted(rows: DataFrame, feed: str, part: str) -> DataFrame:
+        return rows.agg(F.count("*").alias("n")).select(
+            F.lit(feed).alias("feed"), F.lit(part).alias("part"), F.col("n").alias("row_count")
+        )
+
+    orders, account = _orders(spark, sf_dir), _account(spark, sf_dir)
+    good_orders, bad_orders = split(orders, ORDER_REQUIRED)
+    good_account, bad_account = split(account, ACCOUNT_REQUIRED)
+    return (
+        counted(orders, "orders", "all")
+        .unionByName(counted(good_orders, "orders", "clean"))
+        .unionByName(counted(bad_orders, "orders", "quarantine"))
+        .unionByName(counted(account, "account", "all"))
+        .unionByName(counted(good_account, "account", "clean"))
+        .unionByName(counted(bad_account, "account", "quarantine"))
+    )
+
+
+def verdict_by_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _orders(spark, sf_dir).transform(with_verdict, ORDER_REQUIRED)
+    account = _account(spark, sf_dir).transform(with_verdict, ACCOUNT_REQUIRED)
+    verdicts = orders.select(F.lit("orders").alias("feed"), "verdict").unionByName(
+        account.select(F.lit("account").alias("feed"), "verdict")
+    )
+    return verdicts.groupBy("feed", "verdict").agg(F.count("*").alias("row_count"))
+
+
+def account_balances_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balance_rows(account_events(_bronze(spark, sf_dir))).drop(*_VOLATILE)
+
+
+def account_positions_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return position_rows(account_events(_bronze(spark, sf_dir))).drop(*_VOLATILE)
+
+
+def account_cross_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account rows per update."""
+    updates = _account(spark, sf_dir).groupBy("event_received_time")
+    return updates.agg(
+        F.count("*").alias("row_count"),
+        F.count("asset").alias("with_balance"),
+        F.count("entry_price").alias("with_position"),
+    )
+
+
+def decimal_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).select("order_id", "original_quantity", "commission")
+
+
+def silver_schema_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).groupBy("schema_version").agg(F.count("*").alias("row_count"))
+
+
+def silver_roundtrip_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean silver rows by date; the load is written twice and counts once."""
+    paths = _landed(spark, sf_dir)
+    run_bronze(spark, paths)
+    run_silver(spark, paths, "first")
+    run_silver(spark, paths, "first")
+    return _silver_by_date(spark, paths)
+
+
+def _silver_by_date(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    orders = read_silver_orders(spark, paths.silver_orders)
+    account = read_silver_account(spark, paths.silver_account)
+    dates = orders.select(F.lit("orders").alias("feed"), "event_time").unionByName(
+        account.select(F.lit("account").alias("feed"), "event_time")
+    )
+    return dates.groupBy("feed", "event_time").agg(F.count("*").alias("row_count"))
+
+
+def quarantine_by_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _landed(spark, sf_dir)
+    run_bronze(spark, paths)
+    run_silver(spark, paths, "first")
+    quarantine = read_quarantine(spark, paths.silver_orders, paths.silver_account)
+    return quarantine.groupBy("feed", "event_type").agg(F.count("*").alias("row_count"))
+
+
+# Gold
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_metrics(_trades(spark, sf_dir))
+
+
+def _built(spark: SparkSession, sf_dir: str) -> LakePaths:
+    paths = _landed(spark, sf_dir)
+    run(spark, paths, "first")
+    return paths
+
+
+def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_gold_trades(spark, _built(spark, sf_dir).gold_trades)
+
+
+def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_gold_daily_metrics(spark, _built(spark, sf_dir).gold_daily_metrics)
+
+
+def _registered(spark: SparkSession, sf_dir: str) -> str:
+    paths = _built(spark, sf_dir)
+    database = "gold_" + paths.root.split("/")[-2]
+    register_gold(spark, paths, database)
+    return database
+
+
+def gold_sql_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = _registered(spark, sf_dir)
+    return spark.sql(
+        f"SELECT day, total_pnl, trades_count, win_rate FROM {database}.daily_metrics "
+        "WHERE total_pnl > 0"
+    )
+
+
+def gold_sql_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    database = _registered(spark, sf_dir)
+    return spark.sql(
+        "SELECT symbol, count(*) AS trades_count, sum(realized_pnl) AS total_pnl "
+        f"FROM {database}.trades GROUP BY symbol"
+    )
+
+
+def drawdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_max_drawdown(equity_points(account_events(_bronze(spark, sf_dir))))
+
+
+def sharpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_sharpe(_trades(spark, sf_dir))
+
+
+# Streams
+
+
+def stream_landing_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines carried over from one directory, standing in for the topic, to landing."""
+    paths = scratch_lake(spark)
+    topic = f"{paths.root}/topic"
+    _lines(spark, sf_dir).write.text(topic)
+    _finish(land(stream_landing(spark, topic), paths.landing, paths.checkpoint("landing")))
+    return read_landing(spark, paths.landing).agg(F.count("*").alias("lines"))
+
+
+def stream_bronze_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows by type; the second start of the stream finds nothing new."""
+    paths = _landed(spark, sf_dir)
+    for _ in range(2):
+        _finish(bronze_stream(stream_landing(spark, paths.landing), paths))
+    bronze = read_bronze(spark, paths.bronze)
+    return bronze.groupBy("event_type").agg(F.count("*").alias("events"))
+
+
+def _streamed_bronze(spark: SparkSession, sf_dir: str) -> LakePaths:
+    paths = _landed(spark, sf_dir)
+    _finish(bronze_stream(stream_landing(spark, paths.landing), paths))
+    return paths
+
+
+def stream_silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _streamed_bronze(spark, sf_dir)
+    _finish(silver_stream(stream_bronze(spark, paths), paths))
+    return _silver_by_date(spark, paths)
+
+
+def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold trades built in batch from streamed bronze and silver."""
+    paths = _streamed_bronze(spark, sf_dir)
+    _finish(silver_stream(stream_bronze(spark, paths), paths))
+    run_gold(spark, paths)
+    return read_gold_trades(spark, paths.gold_trades)
+
+
+def stream_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = _streamed_bronze(spark, sf_dir)
+    _finish(daily_metrics_stream(stream_closed_trades(spark, paths), paths))
+    return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
+
+
+def stream_settled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that are over by a day when the stream has read everything."""
+    paths = _streamed_bronze(spark, sf_dir)
+    settled = settled_daily_metrics(stream_closed_trades(spark, paths))
+    _finish(
+        settled.writeStream.format("parquet")
+        .option("path", paths.gold_daily_metrics)
+        .option("checkpointLocation", paths.checkpoint("settled_days"))
+    )
+    return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
+
+
+QUERIES: dict[str, Query] = {
+    "raw_line_count": raw_line_count,
+    "bronze_envelope": bronze_envelope,
+    "bronze_roundtrip_by_partition": bronze_roundtrip_by_partition,
+    "route_by_event_type": route_by_event_type,
+    "unrouted_by_type": unrouted_by_type,
+    "silver_orders": _orders,
+    "silver_account": _account,
+    "clean_orders": clean_orders,
+    "clean_account": clean_account,
+    "quarantine_orders": quarantine_orders,
+    "quarantine_account": quarantine_account,
+    "split_is_partition": split_is_partition,
+    "verdict_by_feed": verdict_by_feed,
+    "account_balances_exploded": account_balances_exploded,
+    "account_positions_exploded": account_positions_exploded,
+    "account_cross_explode": account_cross_explode,
+    "decimal_parse": decimal_parse,
+    "silver_schema_version": silver_schema_version,
+    "silver_roundtrip_by_date": silver_roundtrip_by_date,
+    "quarantine_by_feed": quarantine_by_feed,
+    "gold_trades": _trades,
+    "daily_metrics": flagship,
+    "gold_roundtrip": gold_roundtrip,
+    "end_to_end": end_to_end,
+    "gold_sql_daily": gold_sql_daily,
+    "gold_sql_symbols": gold_sql_symbols,
+    "daily_max_drawdown": drawdown,
+    "daily_sharpe": sharpe,
+    "stream_landing_count": stream_landing_count,
+    "stream_bronze_count": stream_bronze_count,
+    "stream_silver_split": stream_silver_split,
+    "stream_gold": stream_gold,
+    "stream_daily_metrics": stream_daily_metrics,
+    "stream_settled_days": stream_settled_days,
+}
