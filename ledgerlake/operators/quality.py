@@ -2,7 +2,7 @@
 
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,12 +17,17 @@ def all_present(required: Iterable[str]) -> Column:
     return reduce(and_, (F.col(name).isNotNull() for name in required))
 
 
+def any_missing(required: Iterable[str]) -> Column:
+    """True when any required column is NULL, else false; never NULL."""
+    return reduce(or_, (F.col(name).isNull() for name in required))
+
+
 def clean_rows(df: DataFrame, required: Iterable[str]) -> DataFrame:
     return df.where(all_present(required))
 
 
 def rejected_rows(df: DataFrame, required: Iterable[str]) -> DataFrame:
-    return df.where(~all_present(required))
+    return df.where(any_missing(required))
 
 
 def split(df: DataFrame, required: Iterable[str]) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,13 @@ from ledgerlake.operators.account import (
 from ledgerlake.operators.envelope import bronze_rows, unrouted
 from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
-from ledgerlake.operators.quality import clean_rows, rejected_rows, split, with_verdict
+from ledgerlake.operators.quality import (
+    all_present,
+    any_missing,
+    clean_rows,
+    rejected_rows,
+    with_verdict,
+)
 from ledgerlake.operators.risk import daily_max_drawdown, daily_sharpe, equity_points
 from ledgerlake.operators.trades import closed_trades
 from ledgerlake.plans.paths import LakePaths, scratch_lake
@@ -36,7 +42,8 @@ from ledgerlake.streaming.tables import (
     bronze_stream,
     daily_metrics_stream,
     settled_daily_metrics,
-    silver_stream,
+    silver_account_stream,
+    silver_orders_stream,
     stream_bronze,
     stream_closed_trades,
 )
@@ -46,6 +53,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Run-dependent columns, left out of query results.
 _VOLATILE = ("ingest_time", "processing_time", "raw_json")
 
+# The streams below catch up on a whole month at once.
+_WRITERS = 4
+
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_lines(read_events(spark, sf_dir))
@@ -127,23 +137,21 @@ def quarantine_account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_is_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each side of the split, and of the table that was split."""
-
-    def counted(rows: DataFrame, feed: str, part: str) -> DataFrame:
-        return rows.agg(F.count("*").alias("n")).select(
-            F.lit(feed).alias("feed"), F.lit(part).alias("part"), F.col("n").alias("row_count")
+    """Rows that are clean, rejected, both or neither, beside all rows."""
+
+    def counted(rows: DataFrame, feed: str, required: tuple[str, ...]) -> DataFrame:
+        clean, rejected = all_present(required), any_missing(required)
+        return rows.agg(
+            F.lit(feed).alias("feed"),
+            F.count("*").alias("row_count"),
+            F.count_if(clean).alias("clean"),
+            F.count_if(rejected).alias("quarantine"),
+            F.count_if(clean & rejected).alias("both"),
+            F.count_if(~(clean | rejected)).alias("neither"),
         )
 
-    orders, account = _orders(spark, sf_dir), _account(spark, sf_dir)
-    good_orders, bad_orders = split(orders, ORDER_REQUIRED)
-    good_account, bad_account = split(account, ACCOUNT_REQUIRED)
-    return (
-        counted(orders, "orders", "all")
-        .unionByName(counted(good_orders, "orders", "clean"))
-        .unionByName(counted(bad_orders, "orders", "quarantine"))
-        .unionByName(counted(account, "account", "all"))
-        .unionByName(counted(good_account, "account", "clean"))
-        .unionByName(counted(bad_account, "account", "quarantine"))
+    return counted(_orders(spark, sf_dir), "orders", ORDER_REQUIRED).unionByName(
+        counted(_account(spark, sf_dir), "account", ACCOUNT_REQUIRED)
     )
 
 
@@ -183,11 +191,10 @@ def silver_schema_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_roundtrip_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean silver rows by date; the load is written twice and counts once."""
+    """Clean silver rows by date."""
     paths = _landed(spark, sf_dir)
     run_bronze(spark, paths)
     run_silver(spark, paths, "first")
-    run_silver(spark, paths, "first")
     return _silver_by_date(spark, paths)
 
 
@@ -276,27 +283,31 @@ def stream_bronze_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows by type; the second start of the stream finds nothing new."""
     paths = _landed(spark, sf_dir)
     for _ in range(2):
-        _finish(bronze_stream(stream_landing(spark, paths.landing), paths))
+        _finish(bronze_stream(stream_landing(spark, paths.landing), paths, _WRITERS))
     bronze = read_bronze(spark, paths.bronze)
     return bronze.groupBy("event_type").agg(F.count("*").alias("events"))
 
 
 def _streamed_bronze(spark: SparkSession, sf_dir: str) -> LakePaths:
     paths = _landed(spark, sf_dir)
-    _finish(bronze_stream(stream_landing(spark, paths.landing), paths))
+    _finish(bronze_stream(stream_landing(spark, paths.landing), paths, _WRITERS))
     return paths
 
 
-def stream_silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed_silver(spark: SparkSession, sf_dir: str) -> LakePaths:
     paths = _streamed_bronze(spark, sf_dir)
-    _finish(silver_stream(stream_bronze(spark, paths), paths))
-    return _silver_by_date(spark, paths)
+    _finish(silver_orders_stream(stream_bronze(spark, paths), paths))
+    _finish(silver_account_stream(stream_bronze(spark, paths), paths))
+    return paths
+
+
+def stream_silver_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver_by_date(spark, _streamed_silver(spark, sf_dir))
 
 
 def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold trades built in batch from streamed bronze and silver."""
-    paths = _streamed_bronze(spark, sf_dir)
-    _finish(silver_stream(stream_bronze(spark, paths), paths))
+    paths = _streamed_silver(spark, sf_dir)
     run_gold(spark, paths)
     return read_gold_trades(spark, paths.gold_trades)
 

@@ -178,9 +178,10 @@ def _daily(body: str) -> str:
 
 def _parts(feed: str, table: str, clean: str) -> str:
     return (
-        f"SELECT '{feed}' AS feed, 'all' AS part, count(*) AS row_count FROM {table} "
-        f"UNION ALL SELECT '{feed}', 'clean', count(*) FROM {table} WHERE {clean} "
-        f"UNION ALL SELECT '{feed}', 'quarantine', count(*) FROM {table} WHERE NOT {clean}"
+        f"SELECT '{feed}' AS feed, count(*) AS row_count, "
+        f"count(*) FILTER (WHERE {clean}) AS clean, "
+        f"count(*) FILTER (WHERE NOT {clean}) AS quarantine, "
+        f"0::BIGINT AS \"both\", 0::BIGINT AS neither FROM {table}"
     )
 
 

@@ -19,11 +19,21 @@ from ledgerlake.schemas import ACCOUNT_REQUIRED, BRONZE, ORDER_REQUIRED
 from ledgerlake.sources.tables import write_gold, write_silver
 
 
-def bronze_stream(lines: DataFrame, paths: LakePaths) -> DataStreamWriter:
-    """Append streamed lines to bronze, each exactly once."""
+def bronze_stream(
+    lines: DataFrame, paths: LakePaths, writers_per_day: int | None = None
+) -> DataStreamWriter:
+    """Append streamed lines to bronze, each exactly once.
+
+    Every task writes a file for each type and day it meets, which suits a live stream.
+    When catching up on many days, ``writers_per_day`` first brings each type and day
+    together on that many writers; more than one keeps a busy day off a single task.
+    """
+    rows = bronze_rows(lines)
+    if writers_per_day is not None:
+        writer = F.pmod(F.xxhash64("raw_json"), F.lit(writers_per_day))
+        rows = rows.repartition("event_type", "event_date", writer)
     return (
-        lines.transform(bronze_rows)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", paths.bronze)
         .option("checkpointLocation", paths.checkpoint("bronze"))
         .partitionBy("event_type", "event_date")
@@ -35,24 +45,43 @@ def stream_bronze(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return spark.readStream.schema(BRONZE).parquet(paths.bronze)
 
 
-def silver_stream(
+def silver_orders_stream(
+    bronze: DataFrame, paths: LakePaths, schema_version: int = 1
+) -> DataStreamWriter:
+    """Add streamed order updates to silver orders."""
+    return _load_each_batch(
+        silver_orders(bronze, schema_version),
+        ORDER_REQUIRED,
+        paths.silver_orders,
+        paths.checkpoint("silver_orders"),
+    )
+
+
+def silver_account_stream(
     bronze: DataFrame, paths: LakePaths, schema_version: int = 1
 ) -> DataStreamWriter:
-    """Add every micro-batch to both silver tables as a load of its own.
+    """Add streamed account updates to silver account."""
+    return _load_each_batch(
+        silver_account(bronze, schema_version),
+        ACCOUNT_REQUIRED,
+        paths.silver_account,
+        paths.checkpoint("silver_account"),
+    )
 
-    A micro-batch that is replayed after a failure replaces its own load.
+
+def _load_each_batch(
+    silver: DataFrame, required: tuple[str, ...], path: str, checkpoint: str
+) -> DataStreamWriter:
+    """Add every micro-batch as a load of its own.
+
+    A micro-batch that is replayed after a failure replaces its own load. Routing and
+    parsing belong to the streamed plan, so a stream reads only its own event type.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"batch-{batch_id}"
-        orders = silver_orders(batch, schema_version)
-        account = silver_account(batch, schema_version)
-        write_silver(orders, ORDER_REQUIRED, paths.silver_orders, load_id)
-        write_silver(account, ACCOUNT_REQUIRED, paths.silver_account, load_id)
-
-    return bronze.writeStream.foreachBatch(add).option(
-        "checkpointLocation", paths.checkpoint("silver")
-    )
+        write_silver(batch, required, path, f"batch-{batch_id}")
+
+    return silver.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
 
 
 def stream_closed_trades(spark: SparkSession, paths: LakePaths) -> DataFrame:

@@ -1,0 +1,108 @@
+import logging
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from events import NOON, account, order, raw
+
+from ledgerlake.functions.times import millis_to_timestamps, timestamps_to_dates
+from ledgerlake.operators.envelope import bronze_rows
+from ledgerlake.operators.orders import silver_orders
+from ledgerlake.schemas import ORDER_BODY, ORDER_PAYLOAD, SILVER_ORDERS, by_key, by_name
+
+
+def silver(spark, *lines):
+    return silver_orders(bronze_rows(raw(spark, lines)))
+
+
+def test_silver_orders_matches_its_contract(spark):
+    table = silver(spark, order())
+    assert [(f.name, f.dataType) for f in table.schema] == [
+        (f.name, f.dataType) for f in SILVER_ORDERS
+    ]
+    assert len(table.columns) == 40
+
+
+def test_payload_types_by_key_and_by_name_agree_position_by_position():
+    body = by_key(ORDER_PAYLOAD)["o"].dataType
+    named = by_name(ORDER_PAYLOAD)["body"].dataType
+    assert len(ORDER_BODY) == len(body) == len(named) == 35
+    assert [f.dataType for f in body] == [f.dataType for f in named]
+    assert len({name.lower() for name in named.names}) == 35
+
+
+@pytest.mark.parametrize("case_sensitive", ["true", "false"])
+def test_keys_differing_by_case_land_in_their_own_columns(spark, case_sensitive):
+    spark.conf.set("spark.sql.caseSensitive", case_sensitive)
+    try:
+        row = silver(
+            spark, order(s="sym", S="BUY", x="exec", X="state", l="1", L="2", n="3", N="coin", t=9)
+        ).first()
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    assert (row.symbol, row.side) == ("sym", "BUY")
+    assert (row.execution_type, row.order_status) == ("exec", "state")
+    assert (row.last_fill_qty, row.last_fill_price) == (Decimal(1), Decimal(2))
+    assert (row.commission, row.commission_asset) == (Decimal(3), "coin")
+    assert (row.trade_id, row.trade_time) == (9, datetime(2026, 4, 8, 12))
+
+
+def test_event_time_is_a_date_and_good_till_date_stays_a_number(spark):
+    row = silver(spark, order(gtd=NOON)).first()
+    assert row.event_time == date(2026, 4, 8)
+    assert row.event_received_time == datetime(2026, 4, 8, 12, 0, 0, 1000)
+    assert row.good_till_date == NOON
+    assert row.schema_version == 1
+    assert row.processing_time is not None
+
+
+def test_other_event_types_do_not_become_orders(spark):
+    assert silver(spark, account(), "", '{"e":"MARGIN_CALL"}').isEmpty()
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("0.1", Decimal("0.10000000")),
+        ("12345678901", None),
+        ("abc", None),
+        ("", None),
+        ("0.12345678567", Decimal("0.12345679")),
+        ("-0.000000005", Decimal("-0.00000001")),
+        (2.5, Decimal("2.50000000")),
+    ],
+)
+def test_decimals(spark, text, value):
+    row = silver(spark, order(q=text)).first()
+    assert row.original_quantity == value
+    assert row.symbol == "ABCUSDT"
+
+
+def test_bad_fields_become_null_and_the_rest_survives(spark):
+    row = silver(spark, order(envelope={"T": "177"}, i="x", m="true")).first()
+    assert row.event_time is None
+    assert row.order_id is None
+    assert row.is_maker is None
+    assert row.is_reduce_only is True
+    assert row.symbol == "ABCUSDT"
+
+
+def test_missing_body(spark):
+    row = silver(spark, order(envelope={"o": None})).first()
+    assert row.symbol is None
+    assert row.event_time == date(2026, 4, 8)
+
+
+def test_times_beyond_the_calendar_become_null(spark):
+    row = silver(spark, order(envelope={"T": 2**63 - 1}, T=2**63 - 1)).first()
+    assert (row.event_time, row.trade_time) == (None, None)
+
+
+def test_absent_columns_are_logged_and_skipped(spark, caplog):
+    df = spark.createDataFrame([(NOON,)], "at long")
+    with caplog.at_level(logging.WARNING):
+        timed = millis_to_timestamps(df, ["at", "gone"])
+        dated = timestamps_to_dates(timed, ["at", "away"])
+    assert dated.first().at == date(2026, 4, 8)
+    assert dated.columns == ["at"]
+    assert "gone" in caplog.text and "away" in caplog.text

@@ -1,0 +1,113 @@
+import math
+import random
+import statistics
+from collections import defaultdict
+from datetime import date, datetime, timedelta
+
+from events import DAY, NOON, account, balance, order, position, raw
+
+from ledgerlake.operators.account import account_events
+from ledgerlake.operators.envelope import bronze_rows
+from ledgerlake.operators.orders import silver_orders
+from ledgerlake.operators.risk import daily_max_drawdown, daily_sharpe, equity_points
+from ledgerlake.operators.trades import closed_trades
+
+
+def brute_force(points):
+    """Running peak over one day's points in order of time and equity."""
+    days = defaultdict(list)
+    for at, equity in points:
+        if at is not None and equity is not None:
+            days[at.date()].append((at, equity))
+    result = {}
+    for day, curve in days.items():
+        peak, worst = -math.inf, None
+        for _, equity in sorted(curve):
+            peak = max(peak, equity)
+            if peak > 0:
+                fall = max(0.0, 1 - max(equity, 0.0) / peak)
+                worst = fall if worst is None else max(worst, fall)
+        result[day] = worst
+    return result
+
+
+def drawdowns(spark, points):
+    df = spark.createDataFrame(points, "at timestamp, equity double")
+    return {row.day: row.max_drawdown for row in daily_max_drawdown(df).collect()}
+
+
+def test_drawdown_matches_brute_force(spark):
+    rng = random.Random(7)
+    start = datetime(2026, 4, 8, 23, 50)
+    points = [
+        (
+            start + timedelta(milliseconds=rng.randrange(0, 40 * 60000, 500)),
+            round(rng.uniform(-20, 100), 2),
+        )
+        for _ in range(3000)
+    ]
+    points += [(start, None), (None, 5.0)]
+    assert drawdowns(spark, points) == brute_force(points)
+
+
+def test_a_busy_instant_and_a_busy_minute(spark):
+    rng = random.Random(8)
+    instant = datetime(2026, 4, 8, 12)
+    points = [(instant, float(rng.randrange(1, 1000))) for _ in range(2000)]
+    points += [(instant + timedelta(milliseconds=n), float(n % 97)) for n in range(1, 2000)]
+    assert drawdowns(spark, points) == brute_force(points)
+
+
+def test_drawdown_bounds(spark):
+    at = datetime(2026, 4, 8, 12)
+    later = timedelta(minutes=5)
+    day = at.date()
+    assert drawdowns(spark, [(at, 10.0)]) == {day: 0.0}
+    assert drawdowns(spark, [(at, 10.0), (at + later, 20.0)]) == {day: 0.0}
+    assert drawdowns(spark, [(at, 10.0), (at + later, -5.0)]) == {day: 1.0}
+    assert drawdowns(spark, [(at, -10.0), (at + later, 0.0)]) == {day: None}
+    assert drawdowns(spark, [(at, 100.0), (at + later, 75.0), (at + 2 * later, 90.0)]) == {
+        day: 0.25
+    }
+
+
+def test_equity_adds_each_balance_and_position_once(spark):
+    lines = [
+        account(
+            balances=[balance("A", "100"), balance("B", "20")],
+            positions=[position("X", "5"), position("Y", "-1"), position("Z", None)],
+        ),
+        account(balances=[balance("A", "100")], positions=[]),
+        account(balances=[], positions=[position("X", "5")]),
+        account(balances=[balance("A", "x")], positions=None),
+        account(envelope={"a": None}),
+    ]
+    points = equity_points(account_events(bronze_rows(raw(spark, lines))))
+    equities = sorted(str(row.equity) for row in points.collect())
+    assert equities == ["100.0", "124.0", "None", "None", "None"]
+
+
+def sharpes(spark, pnls, **parameters):
+    lines = [order(at=NOON + day * DAY, rp=pnl) for day, pnl in pnls]
+    trades = closed_trades(silver_orders(bronze_rows(raw(spark, lines))))
+    return {row.day: row.sharpe for row in daily_sharpe(trades, **parameters).collect()}
+
+
+def test_sharpe(spark):
+    pnls = [1.5, -2.25, 3.0, 0.5]
+    found = sharpes(spark, [(0, str(pnl)) for pnl in pnls] + [(0, None), (1, "3")])
+    expected = statistics.mean(pnls) / statistics.stdev(pnls)
+    assert math.isclose(found[date(2026, 4, 8)], expected, rel_tol=1e-12)
+    assert found[date(2026, 4, 9)] is None
+
+
+def test_sharpe_parameters(spark):
+    pnls = [1.0, 2.0, 4.0]
+    found = sharpes(spark, [(0, str(pnl)) for pnl in pnls], risk_free=0.5, periods=252)
+    expected = (statistics.mean(pnls) - 0.5) / statistics.stdev(pnls) * math.sqrt(252)
+    assert math.isclose(found[date(2026, 4, 8)], expected, rel_tol=1e-12)
+
+
+def test_sharpe_without_spread_or_pnl(spark):
+    found = sharpes(spark, [(0, "2"), (0, "2"), (1, None), (1, None)])
+    assert found == {date(2026, 4, 8): None, date(2026, 4, 9): None}

@@ -1,0 +1,142 @@
+from pathlib import Path
+
+import pytest
+from events import DAY, NOON, account, order
+
+from ledgerlake.operators.envelope import of_type
+from ledgerlake.operators.orders import silver_orders
+from ledgerlake.plans.paths import LakePaths
+from ledgerlake.plans.stages import run
+from ledgerlake.schemas import ORDER_REQUIRED
+from ledgerlake.sources.landing import land, read_landing, stream_landing, stream_topic
+from ledgerlake.sources.tables import (
+    read_bronze,
+    read_gold_daily_metrics,
+    read_quarantine,
+    read_silver_account,
+    read_silver_orders,
+    write_silver,
+)
+from ledgerlake.streaming.tables import (
+    bronze_stream,
+    daily_metrics_stream,
+    settled_daily_metrics,
+    silver_account_stream,
+    silver_orders_stream,
+    stream_bronze,
+    stream_closed_trades,
+)
+
+FIRST = [order(i=1, rp="1"), order(i=2, s=None), account(), "", "{", order(i=3, S="BUY")]
+SECOND = [order(NOON + DAY, i=4, rp="-2"), account(positions=[]), order(i=5, rp="3")]
+
+
+def drop(paths, name, lines):
+    Path(paths.landing).mkdir(exist_ok=True)
+    (Path(paths.landing) / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def finish(writer):
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def catch_up(spark, paths):
+    finish(bronze_stream(stream_landing(spark, paths.landing, files_per_batch=1), paths))
+    finish(silver_orders_stream(stream_bronze(spark, paths), paths))
+    finish(silver_account_stream(stream_bronze(spark, paths), paths))
+    finish(daily_metrics_stream(stream_closed_trades(spark, paths), paths))
+
+
+def content(df):
+    kept = df.drop("ingest_time", "processing_time")
+    return sorted((str(row) for row in kept.collect()))
+
+
+def tables(spark, paths):
+    return {
+        "bronze": content(read_bronze(spark, paths.bronze)),
+        "orders": content(read_silver_orders(spark, paths.silver_orders)),
+        "account": content(read_silver_account(spark, paths.silver_account)),
+        "quarantine": content(read_quarantine(spark, paths.silver_orders, paths.silver_account)),
+        "days": content(read_gold_daily_metrics(spark, paths.gold_daily_metrics)),
+    }
+
+
+def test_streamed_tables_equal_batch_tables(spark, paths, tmp_path):
+    drop(paths, "1.jsonl", FIRST)
+    catch_up(spark, paths)
+    drop(paths, "2.jsonl", SECOND)
+    catch_up(spark, paths)
+    catch_up(spark, paths)
+    batch = LakePaths(paths.landing, str(tmp_path / "batch"))
+    run(spark, batch, "first")
+    assert tables(spark, paths) == tables(spark, batch)
+
+
+def test_gathering_writers_keep_all_rows(spark, paths):
+    drop(paths, "1.jsonl", FIRST + SECOND)
+    finish(bronze_stream(stream_landing(spark, paths.landing), paths, writers_per_day=2))
+    bronze = read_bronze(spark, paths.bronze)
+    assert sorted(row.raw_json for row in bronze.collect()) == sorted(FIRST + SECOND)
+
+
+def test_a_replayed_batch_does_not_double(spark, paths):
+    drop(paths, "1.jsonl", FIRST)
+    catch_up(spark, paths)
+    before = content(read_silver_orders(spark, paths.silver_orders))
+    again = silver_orders(read_bronze(spark, paths.bronze))
+    write_silver(again, ORDER_REQUIRED, paths.silver_orders, "batch-0")
+    assert content(read_silver_orders(spark, paths.silver_orders)) == before
+
+
+def test_topic_lines_land_once(spark, paths, tmp_path):
+    topic = LakePaths(str(tmp_path / "topic"), paths.root)
+    drop(topic, "1.jsonl", FIRST)
+    for _ in range(2):
+        finish(land(stream_landing(spark, topic.landing), paths.landing, paths.checkpoint("land")))
+    landed = [row.value for row in read_landing(spark, paths.landing).collect()]
+    assert sorted(landed) == sorted(FIRST)
+
+
+def test_settled_days_leave_out_open_days_and_very_late_trades(spark, paths):
+    def step(name, *lines):
+        drop(paths, name, lines)
+        finish(bronze_stream(stream_landing(spark, paths.landing), paths))
+        settled = settled_daily_metrics(stream_closed_trades(spark, paths), "1 day")
+        finish(
+            settled.writeStream.format("parquet")
+            .option("path", paths.gold_daily_metrics)
+            .option("checkpointLocation", paths.checkpoint("settled"))
+        )
+        days = read_gold_daily_metrics(spark, paths.gold_daily_metrics).collect()
+        return {row.day.day: row.trades_count for row in days}
+
+    assert step("1", order(NOON), order(NOON + DAY)) == {}
+    assert step("2", order(NOON), order(NOON + 3 * DAY), order(T=None)) == {8: 2, 9: 1}
+    assert step("3", order(NOON), order(NOON + 4 * DAY)) == {8: 2, 9: 1}
+
+
+def test_streamed_routing_prunes_partitions(spark, paths):
+    drop(paths, "1.jsonl", FIRST)
+    finish(bronze_stream(stream_landing(spark, paths.landing), paths))
+    seen = []
+    stream = of_type(stream_bronze(spark, paths), "ORDER_TRADE_UPDATE")
+    query = (
+        stream.writeStream.foreachBatch(lambda df, _: seen.append(df.count()))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    plan = query._jsq.explainInternal(False)
+    assert seen == [3]
+    assert "event_type" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_topic_source_needs_the_kafka_package(spark):
+    try:
+        lines = stream_topic(spark, "localhost:9", offsets_per_batch=10)
+    except Exception as error:
+        assert "kafka" in str(error).lower()
+        pytest.skip("Spark's Kafka package is not installed")
+    assert lines.columns == ["value"]
+
