@@ -54,7 +54,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _VOLATILE = ("ingest_time", "processing_time", "raw_json")
 
 # The streams below catch up on a whole month at once.
-_WRITERS = 4
+_WRITERS = 2
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,8 +296,12 @@ def _streamed_bronze(spark: SparkSession, sf_dir: str) -> LakePaths:
 
 def _streamed_silver(spark: SparkSession, sf_dir: str) -> LakePaths:
     paths = _streamed_bronze(spark, sf_dir)
-    _finish(silver_orders_stream(stream_bronze(spark, paths), paths))
-    _finish(silver_account_stream(stream_bronze(spark, paths), paths))
+    _finish(
+        silver_orders_stream(stream_bronze(spark, paths), paths, writers_per_day=_WRITERS)
+    )
+    _finish(
+        silver_account_stream(stream_bronze(spark, paths), paths, writers_per_day=_WRITERS)
+    )
     return paths
 
 

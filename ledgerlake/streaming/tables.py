@@ -2,6 +2,10 @@
 
 Each function returns a writer, so the caller picks the trigger and starts it:
 ``trigger(availableNow=True)`` catches up and stops, ``processingTime`` keeps running.
+
+Every task writes a file for each day it meets, which suits a live stream. For catching
+up on many days, ``writers_per_day`` first brings each day together on that many writers;
+more than one keeps a busy day off a single task.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,21 +23,23 @@ from ledgerlake.schemas import ACCOUNT_REQUIRED, BRONZE, ORDER_REQUIRED
 from ledgerlake.sources.tables import write_gold, write_silver
 
 
+def _gathered(rows: DataFrame, writers_per_day: int | None, *days: str) -> DataFrame:
+    if writers_per_day is None:
+        return rows
+    # Drawn, not hashed from the row: copies of one line must not share a writer. The
+    # seed makes a task that runs again draw the same.
+    writer = F.floor(F.rand(0) * writers_per_day)
+    return rows.withColumn("writer", writer).repartition(*days, "writer").drop("writer")
+
+
 def bronze_stream(
     lines: DataFrame, paths: LakePaths, writers_per_day: int | None = None
 ) -> DataStreamWriter:
-    """Append streamed lines to bronze, each exactly once.
-
-    Every task writes a file for each type and day it meets, which suits a live stream.
-    When catching up on many days, ``writers_per_day`` first brings each type and day
-    together on that many writers; more than one keeps a busy day off a single task.
-    """
-    rows = bronze_rows(lines)
-    if writers_per_day is not None:
-        writer = F.pmod(F.xxhash64("raw_json"), F.lit(writers_per_day))
-        rows = rows.repartition("event_type", "event_date", writer)
+    """Append streamed lines to bronze, each exactly once."""
     return (
-        rows.writeStream.format("parquet")
+        lines.transform(bronze_rows)
+        .transform(_gathered, writers_per_day, "event_type", "event_date")
+        .writeStream.format("parquet")
         .option("path", paths.bronze)
         .option("checkpointLocation", paths.checkpoint("bronze"))
         .partitionBy("event_type", "event_date")
@@ -46,11 +52,14 @@ def stream_bronze(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 
 def silver_orders_stream(
-    bronze: DataFrame, paths: LakePaths, schema_version: int = 1
+    bronze: DataFrame,
+    paths: LakePaths,
+    schema_version: int = 1,
+    writers_per_day: int | None = None,
 ) -> DataStreamWriter:
     """Add streamed order updates to silver orders."""
     return _load_each_batch(
-        silver_orders(bronze, schema_version),
+        silver_orders(bronze, schema_version).transform(_gathered, writers_per_day, "event_time"),
         ORDER_REQUIRED,
         paths.silver_orders,
         paths.checkpoint("silver_orders"),
@@ -58,11 +67,14 @@ def silver_orders_stream(
 
 
 def silver_account_stream(
-    bronze: DataFrame, paths: LakePaths, schema_version: int = 1
+    bronze: DataFrame,
+    paths: LakePaths,
+    schema_version: int = 1,
+    writers_per_day: int | None = None,
 ) -> DataStreamWriter:
     """Add streamed account updates to silver account."""
     return _load_each_batch(
-        silver_account(bronze, schema_version),
+        silver_account(bronze, schema_version).transform(_gathered, writers_per_day, "event_time"),
         ACCOUNT_REQUIRED,
         paths.silver_account,
         paths.checkpoint("silver_account"),
