@@ -1,4 +1,4 @@
-"""Run the batch job: ``spark-submit -m ledgerlake --landing ... --root ... --load-id ...``."""
+"""Run the batch job: ``python -m ledgerlake --landing ... --root ... --load-id ...``."""
 
 import argparse
 import time

@@ -10,8 +10,9 @@ from ledgerlake.schemas import ACCOUNT_EVENT, ORDER_EVENT
 def bronze_rows(lines: DataFrame) -> DataFrame:
     """Keep each line as it is and add its type, time and date.
 
-    Both keys come out of one pass over the line. Lines that are no JSON object, blank
-    ones included, get NULL type and time and stay in bronze.
+    Both keys come out of one pass over the line; should a line repeat a key, its last
+    value counts, as in the typed parse. Lines that are no JSON object, blank ones
+    included, get NULL type and time and stay in bronze.
     """
     return (
         lines.withColumnRenamed("value", "raw_json")

@@ -9,15 +9,16 @@ def profit_metrics() -> list[Column]:
 
     ``win_rate`` is a fraction of all trades; a zero or NULL PnL is neither win nor loss.
     All of them combine map-side, so a day holding most of the trades costs no more
-    shuffle than any other.
+    shuffle than any other. A sum too large for its type is NULL under either ANSI
+    setting instead of failing the job.
     """
     pnl = F.col("realized_pnl")
     return [
-        F.sum(pnl).alias("total_pnl"),
+        F.try_sum(pnl).alias("total_pnl"),
         F.count("*").alias("trades_count"),
         (F.count_if(pnl > 0) / F.count("*")).alias("win_rate"),
-        F.avg(F.when(pnl > 0, pnl)).alias("avg_win"),
-        F.avg(F.when(pnl < 0, pnl)).alias("avg_loss"),
+        F.try_avg(F.when(pnl > 0, pnl)).alias("avg_win"),
+        F.try_avg(F.when(pnl < 0, pnl)).alias("avg_loss"),
     ]
 
 

@@ -90,8 +90,9 @@ def daily_sharpe(
     """Mean excess PnL per trade over its sample deviation, times the root of ``periods``.
 
     ``risk_free`` is the PnL per trade to beat and ``periods`` the annualization factor;
-    the defaults give the plain ratio. NULL with fewer than two trades or no spread.
-    Sums are exact decimals, so the result does not depend on the order of rows.
+    the defaults give the plain ratio. NULL with fewer than two trades, no spread, or sums
+    too large for their type. Sums are exact decimals, so the result does not depend on
+    the order of rows.
     """
     pnl = F.col("realized_pnl")
     n = F.col("n").cast("double")
@@ -104,8 +105,8 @@ def daily_sharpe(
         trades.groupBy(F.to_date("trade_time").alias("day"))
         .agg(
             F.count(pnl).alias("n"),
-            F.sum(pnl).alias("total"),
-            F.sum(pnl * pnl).alias("squares"),
+            F.try_sum(pnl).alias("total"),
+            F.try_sum(pnl * pnl).alias("squares"),
         )
         .select("day", F.when(n > 1, ratio).alias("sharpe"))
     )

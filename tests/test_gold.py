@@ -7,6 +7,7 @@ from events import DAY, NOON, order, raw, trading_day
 from ledgerlake.operators.envelope import bronze_rows
 from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
+from ledgerlake.operators.risk import daily_sharpe
 from ledgerlake.operators.trades import closed_trades
 from ledgerlake.schemas import GOLD_DAILY_METRICS, GOLD_TRADES
 
@@ -84,3 +85,12 @@ def test_days_follow_the_session_time_zone(spark, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert set(found) == {date(2026, 4, 8 if zone == "UTC" else 7)}
+
+
+def test_sums_beyond_their_type_become_null(spark):
+    largest = "9" * 10 + "." + "9" * 8
+    many = spark.range(11 * 10**4).selectExpr(
+        f"CAST('{largest}' AS DECIMAL(18,8)) AS realized_pnl", "TIMESTAMP'2026-04-08' AS trade_time"
+    )
+    assert daily_metrics(many).first().trades_count == 11 * 10**4
+    assert daily_sharpe(many).first().sharpe is None

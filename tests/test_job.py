@@ -1,8 +1,14 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
+from events import trading_day
 from pyspark.sql import SparkSession
 
 from ledgerlake.__main__ import arguments
 from ledgerlake.plans.paths import LakePaths, scratch_lake
+from ledgerlake.sources.tables import read_gold_daily_metrics
 
 
 def test_arguments_take_both_forms():
@@ -34,3 +40,19 @@ def test_scratch_lakes_are_new_and_in_the_shared_folder(spark, tmp_path):
 
 def test_session_is_left_open(spark):
     assert SparkSession.getActiveSession() is not None
+
+
+def test_command_line_run(spark, paths):
+    Path(paths.landing).mkdir()
+    (Path(paths.landing) / "1.jsonl").write_text("\n".join(trading_day()) + "\n")
+    done = subprocess.run(
+        [sys.executable, "-m", "ledgerlake", "--landing", paths.landing, "--root", paths.root]
+        + ["--load-id", "2026-04-08"],
+        cwd=Path(__file__).resolve().parents[1],
+        capture_output=True,
+        text=True,
+        check=True,
+        timeout=300,
+    )
+    assert "orders: {'clean': 8, 'quarantine': 0}" in done.stdout
+    assert read_gold_daily_metrics(spark, paths.gold_daily_metrics).first().trades_count == 2

@@ -4,7 +4,9 @@ from decimal import Decimal
 
 import pytest
 from events import NOON, account, order, raw
+from pyspark.sql import functions as F
 
+from ledgerlake.functions.payload import parse_payload
 from ledgerlake.functions.times import millis_to_timestamps, timestamps_to_dates
 from ledgerlake.operators.envelope import bronze_rows
 from ledgerlake.operators.orders import silver_orders
@@ -106,3 +108,35 @@ def test_absent_columns_are_logged_and_skipped(spark, caplog):
     assert dated.first().at == date(2026, 4, 8)
     assert dated.columns == ["at"]
     assert "gone" in caplog.text and "away" in caplog.text
+
+
+def test_renaming_by_position_equals_reading_by_key(spark):
+    lines = [
+        order(),
+        order(q="1e3", p=" 7 ", ap="1,000.5", i=1.5, t="12", m="true", si="x"),
+        order(envelope={"T": 12.5, "E": "9", "o": [1]}),
+        order(envelope={"o": {"S": {"a": 1}, "s": [1, 2], "rp": True}}),
+        order()[:-1],
+        "[]",
+        "",
+    ]
+    df = raw(spark, lines).withColumnRenamed("value", "raw_json").withColumn("ingest_time", F.lit(0))
+    renamed = parse_payload(df, ORDER_PAYLOAD).select(
+        "raw_json",
+        "event_time",
+        "event_received_time",
+        *[f"body.{name}" for _, name, _ in ORDER_BODY],
+    )
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        data = F.from_json("raw_json", by_key(ORDER_PAYLOAD))
+        keyed = df.select(
+            "raw_json",
+            data["T"].alias("event_time"),
+            data["E"].alias("event_received_time"),
+            *[data["o"][key].alias(name) for key, name, _ in ORDER_BODY],
+        )
+        expected = {row.raw_json: row for row in keyed.collect()}
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    assert {row.raw_json: row for row in renamed.collect()} == expected
