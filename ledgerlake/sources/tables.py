@@ -98,8 +98,8 @@ def read_quarantine(spark: SparkSession, orders_path: str, account_path: str) ->
 
 
 def write_gold(gold: DataFrame, path: str) -> None:
-    """Replace a gold table, in files of even size."""
-    gold.hint("rebalance").write.mode("overwrite").parquet(path)
+    """Replace a gold table."""
+    gold.write.mode("overwrite").parquet(path)
 
 
 def read_gold_trades(spark: SparkSession, path: str) -> DataFrame:

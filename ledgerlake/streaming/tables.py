@@ -110,12 +110,17 @@ def daily_metrics_stream(trades: DataFrame, paths: LakePaths) -> DataStreamWrite
     """Keep the gold daily metrics up to date with streamed trades.
 
     State is one row per day, so it needs no watermark, and a trade that arrives late
-    still counts in its day, as in batch. Every micro-batch rewrites the small table.
+    still counts in its day, as in batch. Every micro-batch rewrites the table, one row
+    per day, as a single file.
     """
+
+    def rewrite(days: DataFrame, _: int) -> None:
+        write_gold(days.repartition(1), paths.gold_daily_metrics)
+
     return (
         trades.transform(daily_metrics)
         .writeStream.outputMode("complete")
-        .foreachBatch(lambda days, _: write_gold(days, paths.gold_daily_metrics))
+        .foreachBatch(rewrite)
         .option("checkpointLocation", paths.checkpoint("daily_metrics"))
     )
 
