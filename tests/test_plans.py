@@ -77,7 +77,8 @@ def test_metrics_shuffle_partial_sums_only(spark, paths):
     write_gold(closed_trades(silver_orders(bronze_rows(raw(spark, [order()])))), paths.gold_trades)
     metrics = daily_metrics(read_gold_trades(spark, paths.gold_trades))
     assert count("Exchange hashpartitioning", metrics) == 1
-    assert "partial_sum" in physical(metrics)
+    assert "HashAggregate" in physical(metrics) and "partial_count" in physical(metrics)
+    assert "SortAggregate" not in physical(metrics)
 
 
 def test_drawdown_combines_before_its_first_shuffle_and_never_gathers(spark):
