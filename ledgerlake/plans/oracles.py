@@ -132,10 +132,16 @@ trades AS (
 
 
 def _average(condition: str) -> str:
+    """The mean as a decimal of 12 digits, in integers: DuckDB divides decimals as doubles.
+
+    The quotient is rounded half up to 18 digits, then to 12, as decimal averages are.
+    """
     count = f"count(*) FILTER (WHERE {condition})"
-    total = f"sum(realized_pnl) FILTER (WHERE {condition})"
+    total = f"CAST(sum(realized_pnl) FILTER (WHERE {condition}) * 100000000 AS HUGEINT)"
+    quotient = f"((2 * abs({total}) * 10000000000 + {count}) // (2 * {count}))"
+    rounded = f"CAST(sign({total}) * (({quotient} + 500000) // 1000000) AS DECIMAL(22,0))"
     return (
-        f"CASE WHEN {count} > 0 THEN CAST(round(CAST({total} AS DECIMAL(38,16)) / {count}, 12) "
+        f"CASE WHEN {count} > 0 THEN CAST({rounded} * CAST(0.000000000001 AS DECIMAL(13,12)) "
         "AS DECIMAL(22,12)) END"
     )
 
