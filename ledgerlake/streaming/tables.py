@@ -3,9 +3,8 @@
 Each function returns a writer, so the caller picks the trigger and starts it:
 ``trigger(availableNow=True)`` catches up and stops, ``processingTime`` keeps running.
 
-Every task writes a file for each day it meets, which suits a live stream. For catching
-up on many days, ``writers_per_day`` first brings each day together on that many writers;
-more than one keeps a busy day off a single task.
+Rows are brought together by day before they are written, so that files are few, and
+``rebalance`` splits a day that holds much of a micro-batch over many tasks, as in batch.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,22 +22,11 @@ from ledgerlake.schemas import ACCOUNT_REQUIRED, BRONZE, ORDER_REQUIRED
 from ledgerlake.sources.tables import write_gold, write_silver
 
 
-def _gathered(rows: DataFrame, writers_per_day: int | None, *days: str) -> DataFrame:
-    if writers_per_day is None:
-        return rows
-    # Drawn, not hashed from the row: copies of one line must not share a writer. The
-    # seed makes a task that runs again draw the same.
-    writer = F.floor(F.rand(0) * writers_per_day)
-    return rows.withColumn("writer", writer).repartition(*days, "writer").drop("writer")
-
-
-def bronze_stream(
-    lines: DataFrame, paths: LakePaths, writers_per_day: int | None = None
-) -> DataStreamWriter:
+def bronze_stream(lines: DataFrame, paths: LakePaths) -> DataStreamWriter:
     """Append streamed lines to bronze, each exactly once."""
     return (
         lines.transform(bronze_rows)
-        .transform(_gathered, writers_per_day, "event_type", "event_date")
+        .hint("rebalance", "event_type", "event_date")
         .writeStream.format("parquet")
         .option("path", paths.bronze)
         .option("checkpointLocation", paths.checkpoint("bronze"))
@@ -52,14 +40,11 @@ def stream_bronze(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 
 def silver_orders_stream(
-    bronze: DataFrame,
-    paths: LakePaths,
-    schema_version: int = 1,
-    writers_per_day: int | None = None,
+    bronze: DataFrame, paths: LakePaths, schema_version: int = 1
 ) -> DataStreamWriter:
     """Add streamed order updates to silver orders."""
     return _load_each_batch(
-        silver_orders(bronze, schema_version).transform(_gathered, writers_per_day, "event_time"),
+        silver_orders(bronze, schema_version),
         ORDER_REQUIRED,
         paths.silver_orders,
         paths.checkpoint("silver_orders"),
@@ -67,14 +52,11 @@ def silver_orders_stream(
 
 
 def silver_account_stream(
-    bronze: DataFrame,
-    paths: LakePaths,
-    schema_version: int = 1,
-    writers_per_day: int | None = None,
+    bronze: DataFrame, paths: LakePaths, schema_version: int = 1
 ) -> DataStreamWriter:
     """Add streamed account updates to silver account."""
     return _load_each_batch(
-        silver_account(bronze, schema_version).transform(_gathered, writers_per_day, "event_time"),
+        silver_account(bronze, schema_version),
         ACCOUNT_REQUIRED,
         paths.silver_account,
         paths.checkpoint("silver_account"),
@@ -91,7 +73,8 @@ def _load_each_batch(
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        write_silver(batch, required, path, f"batch-{batch_id}")
+        rows = batch.hint("rebalance", "event_time")
+        write_silver(rows, required, path, f"batch-{batch_id}")
 
     return silver.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
 

@@ -73,13 +73,6 @@ def test_streamed_tables_equal_batch_tables(spark, paths, tmp_path):
     assert tables(spark, paths) == tables(spark, batch)
 
 
-def test_gathering_writers_keep_all_rows(spark, paths):
-    drop(paths, "1.jsonl", FIRST + SECOND)
-    finish(bronze_stream(stream_landing(spark, paths.landing), paths, writers_per_day=2))
-    bronze = read_bronze(spark, paths.bronze)
-    assert sorted(row.raw_json for row in bronze.collect()) == sorted(FIRST + SECOND)
-
-
 def test_a_replayed_batch_does_not_double(spark, paths):
     drop(paths, "1.jsonl", FIRST)
     catch_up(spark, paths)
