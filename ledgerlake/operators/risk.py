@@ -90,23 +90,9 @@ def daily_sharpe(
     """Mean excess PnL per trade over its sample deviation, times the root of ``periods``.
 
     ``risk_free`` is the PnL per trade to beat and ``periods`` the annualization factor;
-    the defaults give the plain ratio. NULL with fewer than two trades, no spread, or sums
-    too large for their type. Sums are exact decimals, so the result does not depend on
-    the order of rows.
+    the defaults give the plain ratio. NULL with fewer than two trades or no spread.
     """
     pnl = F.col("realized_pnl")
-    n = F.col("n").cast("double")
-    total = F.col("total").cast("double")
-    mean = F.try_divide(total, n)
-    spread = F.greatest(F.col("squares").cast("double") - total * mean, F.lit(0.0))
-    deviation = F.sqrt(F.try_divide(spread, n - 1))
-    ratio = F.try_divide(mean - risk_free, deviation) * periods**0.5
-    return (
-        trades.groupBy(F.to_date("trade_time").alias("day"))
-        .agg(
-            F.count(pnl).alias("n"),
-            F.try_sum(pnl).alias("total"),
-            F.try_sum(pnl * pnl).alias("squares"),
-        )
-        .select("day", F.when(n > 1, ratio).alias("sharpe"))
-    )
+    excess = F.try_avg(pnl).cast("double") - risk_free
+    ratio = F.try_divide(excess, F.stddev_samp(pnl)) * periods**0.5
+    return trades.groupBy(F.to_date("trade_time").alias("day")).agg(ratio.alias("sharpe"))

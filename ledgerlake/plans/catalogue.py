@@ -261,7 +261,9 @@ def drawdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sharpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_sharpe(_trades(spark, sf_dir))
+    # Deviations are doubles, whose last digits depend on the order of merging.
+    days = daily_sharpe(_trades(spark, sf_dir))
+    return days.select("day", F.round("sharpe", 9).alias("sharpe"))
 
 
 # Streams

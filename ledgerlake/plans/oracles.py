@@ -289,20 +289,12 @@ FROM peaks GROUP BY day"""
     ),
     "daily_sharpe": _trades(
         """
-, sums AS (
-  SELECT CAST(trade_time AS DATE) AS day, count(realized_pnl) AS n,
-         CAST(CAST(sum(realized_pnl) AS VARCHAR) AS DOUBLE) AS total,
-         CAST(CAST(sum(CAST(realized_pnl AS DECIMAL(19,8)) * realized_pnl) AS VARCHAR) AS DOUBLE)
-           AS squares
+, days AS (
+  SELECT CAST(trade_time AS DATE) AS day, avg(realized_pnl) AS mean,
+         stddev_samp(CAST(realized_pnl AS DOUBLE)) AS deviation
   FROM trades GROUP BY 1
-),
-spreads AS (
-  SELECT day, n, total / n AS mean,
-         CASE WHEN n > 1 THEN sqrt(greatest(squares - total * (total / n), 0) / (n - 1)) END
-           AS deviation
-  FROM sums
 )
-SELECT day, CASE WHEN deviation > 0 THEN mean / deviation END AS sharpe FROM spreads"""
+SELECT day, CASE WHEN deviation > 0 THEN round(mean / deviation, 9) END AS sharpe FROM days"""
     ),
     "stream_landing_count": "SELECT count(*) AS lines FROM events",
     "stream_bronze_count": _BY_TYPE,

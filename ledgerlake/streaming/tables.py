@@ -40,7 +40,7 @@ def stream_bronze(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 
 def silver_orders_stream(
-    bronze: DataFrame, paths: LakePaths, schema_version: int = 1
+    bronze: DataFrame, paths: LakePaths, schema_version: int = 1, name: str = "batch"
 ) -> DataStreamWriter:
     """Add streamed order updates to silver orders."""
     return _load_each_batch(
@@ -48,11 +48,12 @@ def silver_orders_stream(
         ORDER_REQUIRED,
         paths.silver_orders,
         paths.checkpoint("silver_orders"),
+        name,
     )
 
 
 def silver_account_stream(
-    bronze: DataFrame, paths: LakePaths, schema_version: int = 1
+    bronze: DataFrame, paths: LakePaths, schema_version: int = 1, name: str = "batch"
 ) -> DataStreamWriter:
     """Add streamed account updates to silver account."""
     return _load_each_batch(
@@ -60,21 +61,24 @@ def silver_account_stream(
         ACCOUNT_REQUIRED,
         paths.silver_account,
         paths.checkpoint("silver_account"),
+        name,
     )
 
 
 def _load_each_batch(
-    silver: DataFrame, required: tuple[str, ...], path: str, checkpoint: str
+    silver: DataFrame, required: tuple[str, ...], path: str, checkpoint: str, name: str
 ) -> DataStreamWriter:
-    """Add every micro-batch as a load of its own.
+    """Add every micro-batch as a load of its own, called by the stream's name and number.
 
-    A micro-batch that is replayed after a failure replaces its own load. Routing and
-    parsing belong to the streamed plan, so a stream reads only its own event type.
+    A micro-batch that is replayed after a failure replaces its own load. A stream that
+    starts over on a new checkpoint numbers its batches from zero again and needs a new
+    name. Routing and parsing belong to the streamed plan, so a stream reads only its own
+    event type.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
         rows = batch.hint("rebalance", "event_time")
-        write_silver(rows, required, path, f"batch-{batch_id}")
+        write_silver(rows, required, path, f"{name}-{batch_id}")
 
     return silver.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
 
@@ -109,7 +113,7 @@ def daily_metrics_stream(trades: DataFrame, paths: LakePaths) -> DataStreamWrite
 
 
 def settled_daily_metrics(trades: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Metrics of each day once it is over by ``lateness``, for append mode.
+    """Metrics of each UTC day once it is over by ``lateness``, for append mode.
 
     Unlike the batch metrics this leaves out trades without a time and trades that come
     later than ``lateness`` after the newest one.

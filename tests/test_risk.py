@@ -109,5 +109,12 @@ def test_sharpe_parameters(spark):
 
 
 def test_sharpe_without_spread_or_pnl(spark):
-    found = sharpes(spark, [(0, "2"), (0, "2"), (1, None), (1, None)])
+    found = sharpes(spark, [(0, "0.1"), (0, "0.1"), (0, "0.1"), (1, None), (1, None)])
     assert found == {date(2026, 4, 8): None, date(2026, 4, 9): None}
+
+
+def test_sharpe_of_a_small_spread_around_a_large_mean(spark):
+    pnls = [1000000.00000001, 1000000.00000002, 1000000.00000004]
+    found = sharpes(spark, [(0, f"{pnl:.8f}") for pnl in pnls])
+    expected = statistics.mean(pnls) / statistics.stdev(pnls)
+    assert math.isclose(found[date(2026, 4, 8)], expected, rel_tol=0.02)
