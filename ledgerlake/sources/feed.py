@@ -165,8 +165,9 @@ def _account_body() -> Column:
 
 
 def _times(count: Column, element) -> Column:
-    """An array of ``count`` elements made from their positions; empty for zero."""
-    return F.transform(F.slice(F.sequence(F.lit(0), F.lit(1)), F.lit(1), count.cast("int")), element)
+    """An array of zero to two elements made from their positions."""
+    positions = F.slice(F.sequence(F.lit(0), F.lit(1)), F.lit(1), count.cast("int"))
+    return F.transform(positions, element)
 
 
 def _struct(fields: dict[str, Column]) -> Column:

@@ -120,7 +120,7 @@ def test_renaming_by_position_equals_reading_by_key(spark):
         "[]",
         "",
     ]
-    df = raw(spark, lines).withColumnRenamed("value", "raw_json").withColumn("ingest_time", F.lit(0))
+    df = raw(spark, lines).select(F.col("value").alias("raw_json"), F.lit(0).alias("ingest_time"))
     renamed = parse_payload(df, ORDER_PAYLOAD).select(
         "raw_json",
         "event_time",

@@ -29,7 +29,8 @@ def small_tasks(spark):
 @pytest.fixture
 def skewed(paths):
     Path(paths.landing).mkdir()
-    lines = [order()] * 4000 + [order(NOON + day * DAY, i=n) for day in (1, 2, 3) for n in range(50)]
+    others = [order(NOON + day * DAY, i=n) for day in (1, 2, 3) for n in range(50)]
+    lines = [order()] * 4000 + others
     for part in range(8):
         (Path(paths.landing) / f"{part}.jsonl").write_text("\n".join(lines) + "\n")
     return paths

@@ -151,9 +151,8 @@ def test_writing_a_load_again_replaces_it_and_other_loads_add_up(spark, paths):
     # A corrected load leaves neither old days nor old quarantined rows behind.
     load("monday", order(i=1), order(i=2))
     assert column(read_silver_orders(spark, paths.silver_orders), "order_id") == [1, 2, 4]
-    write_silver(
-        silver_account(bronze_rows(raw(spark, []))), ACCOUNT_REQUIRED, paths.silver_account, "monday"
-    )
+    no_account = silver_account(bronze_rows(raw(spark, [])))
+    write_silver(no_account, ACCOUNT_REQUIRED, paths.silver_account, "monday")
     quarantine = read_quarantine(spark, paths.silver_orders, paths.silver_account)
     assert quarantine.isEmpty()
 
