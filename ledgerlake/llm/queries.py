@@ -4,15 +4,24 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import read_table, scratch_path
+from ledgerlake.llm.near_duplicates import near_duplicates
 from ledgerlake.llm.packing import pack
+from ledgerlake.llm.substring_dedup import remove_repeats
 from ledgerlake.llm.token_output import ids_crc32, read_token_files, write_token_files
 from ledgerlake.llm.tokens import WORD_BPE, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove all passages of 35 words that repeat from all documents."""
+    kept = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents as token files and digest what is read back from them."""
     path = scratch_path(spark, "tokens")
@@ -38,9 +47,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), end_id=0)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group all documents whose five-word shingles are similar by 0.75 or more."""
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_token_output": op2_token_output,
     "op3_packing": op3_packing,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
