@@ -1,11 +1,13 @@
 """The operators as queries over the test tables, with production parameters."""
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlake.llm import line_dedup, toxicity
 from ledgerlake.llm.common import read_table, scratch_path
 from ledgerlake.llm.near_duplicates import near_duplicates
 from ledgerlake.llm.packing import pack
@@ -47,6 +49,24 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), end_id=0)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove repeated runs of lines from all documents."""
+    kept = line_dedup.remove_repeated_chunks(read_table(spark, sf_dir, "documents"))
+    return kept.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score all documents by a model learned from labels that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group all documents whose five-word shingles are similar by 0.75 or more."""
     return near_duplicates(read_table(spark, sf_dir, "documents")).select(
@@ -54,11 +74,35 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {
+def _small_batches(query: Query) -> Query:
+    """The query with Arrow batches of a thousand rows: some are whole texts of documents.
+
+    A batch of the default size holds ten thousand of them, in the executor and in its worker.
+    """
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        return query(spark, sf_dir)
+
+    return run
+
+
+_ALL: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_output": op2_token_output,
     "op3_packing": op3_packing,
+    "op6_line_dedup": op6_line_dedup,
+    "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {name: _small_batches(query) for name, query in _ALL.items()}
+
+ORACLES: dict[str, str] = {
+    "op6_line_dedup": line_dedup.SQL.format(
+        documents="documents",
+        every=line_dedup.EVERY,
+        columns="sha256(coalesce(kept, '')) AS kept_sha256",
+    ),
+}
