@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import line_dedup, toxicity
 from ledgerlake.llm.common import read_table, scratch_path
+from ledgerlake.llm.fingerprints import fingerprints
 from ledgerlake.llm.near_duplicates import near_duplicates
 from ledgerlake.llm.packing import pack
 from ledgerlake.llm.substring_dedup import remove_repeats
@@ -60,6 +61,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint all documents and their edited texts."""
+    return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score all documents by a model learned from labels that are not held out."""
     docs = read_table(spark, sf_dir, "documents")
@@ -93,6 +99,7 @@ _ALL: dict[str, Query] = {
     "op2_token_output": op2_token_output,
     "op3_packing": op3_packing,
     "op6_line_dedup": op6_line_dedup,
+    "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
