@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerlake.llm import chat, line_dedup, toxicity, vector_search
 from ledgerlake.llm.common import read_table, scratch_path, written
 from ledgerlake.llm.fingerprints import fingerprints
@@ -127,6 +128,7 @@ def _small_batches(query: Query) -> Query:
 
 
 _ALL: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
     "op1_substring_dedup": op1_substring_dedup,
     "op2_token_output": op2_token_output,
     "op3_packing": op3_packing,

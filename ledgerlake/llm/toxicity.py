@@ -303,3 +303,23 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         "score",
         (F.col("score") >= REJECT).cast("int").alias("predicted"),
     )
+
+
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns.
+
+    Texts are scored where they are, so nothing is joined.
+    """
+
+    def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            own = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
+            found = [
+                probabilities(clause_features(step.column("text"), model), model.coefficients)
+                for step in steps([own], "text")
+            ]
+            if found:
+                yield batch.filter(pa.array(np.concatenate(found) < REJECT))
+
+    return docs.mapInArrow(clean, docs.schema)
