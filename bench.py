@@ -11,7 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from ledgerlake.plans.catalogue import QUERIES
+from testbench.catalogue import QUERIES
 from ledgerlake.session import SETTINGS
 
 HEADLINES = (
@@ -38,9 +38,6 @@ def session(cpus: str) -> SparkSession:
     local = {
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
-        # A few dozen megabytes over a few cores: partitions to match.
-        "spark.sql.shuffle.partitions": cpus,
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
     }
     for key, value in {**SETTINGS, **local}.items():
         builder = builder.config(key, value)

@@ -8,13 +8,15 @@ from pyspark.sql import SparkSession
 from ledgerlake.plans.paths import LakePaths
 from ledgerlake.plans.stages import run
 from ledgerlake.session import SETTINGS
+from ledgerlake.sources.catalog import register_gold
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ledgerlake", description="Landing to gold.")
-    parser.add_argument("--landing", required=True, help="directory of JSON lines")
+    parser.add_argument("--landing", required=True, help="directory of load_id=... folders of lines")
     parser.add_argument("--root", required=True, help="root directory of the lake")
     parser.add_argument("--load-id", required=True, help="name of this batch of lines")
+    parser.add_argument("--database", default="gold", help="database of the gold tables")
     parser.add_argument("--schema-version", type=int, default=1, help="payload version")
     return parser.parse_args(argv)
 
@@ -30,6 +32,7 @@ def main(argv: list[str] | None = None) -> None:
         paths = LakePaths(args.landing, args.root)
         for feed, counts in run(spark, paths, args.load_id, args.schema_version).items():
             print(f"{feed}: {counts}")
+        register_gold(spark, paths, args.database)
         print(f"took {time.monotonic() - started:.2f} s")
     finally:
         spark.stop()

@@ -37,20 +37,25 @@ def _total(array: str, field: str) -> Column:
 
 
 def daily_max_drawdown(points: DataFrame) -> DataFrame:
-    """Largest fall from the day's running peak, as a fraction of that peak.
+    """Largest fall from a running peak, as a fraction of that peak, by day.
+
+    ``max_drawdown`` is the fall within the day, from the day's own peak;
+    ``running_drawdown`` the fall on that day from the highest peak of the whole curve up to
+    then, so that a fall over night shows. The largest of it is the curve's drawdown.
 
     Points of one instant are taken in ascending order of equity, which makes the result
     independent of row order. Equity at or below zero after a positive peak is a full
-    loss, 1.0; days that never have a positive equity give NULL. Points without a time
-    or without equity have no place on the curve and are left out.
+    loss, 1.0; without a positive peak there is NULL. Points without a time or without
+    equity have no place on the curve and are left out.
 
-    No day is ever sorted in one task. Instants are milliseconds, so after the first,
+    No day is ever sorted in one task. Times are cut to milliseconds, so after the first,
     map-side combined aggregation a minute has at most 60,000 rows and a day at most
-    1,440 minutes, however many updates arrived: these are the largest groups a window
-    sees.
+    1,440 minutes, however many updates arrived; the peaks of earlier days are carried over
+    one row a day. These are the largest groups a window sees.
     """
+    instant = F.date_trunc("millisecond", "at")
     instants = (
-        points.groupBy(F.date_trunc("minute", "at").alias("minute"), "at")
+        points.groupBy(F.date_trunc("minute", "at").alias("minute"), instant.alias("at"))
         .agg(F.min("equity").alias("low"), F.max("equity").alias("high"))
         .dropna()
     )
@@ -71,14 +76,31 @@ def daily_max_drawdown(points: DataFrame) -> DataFrame:
         Window.unboundedPreceding, -1
     )
     # A fall from the larger of two peaks is the larger of the two falls, so a minute's
-    # lowest equity against the peak of earlier minutes completes its own largest fall.
-    return (
+    # lowest equity against the peak of earlier minutes completes its own largest fall, and
+    # likewise a day's against the peak of earlier days.
+    days = (
         minutes.withColumn("peak", F.max("high").over(earlier))
         .groupBy("day")
-        .agg(F.max(F.greatest("fall", _fall("low", "peak"))).alias("max_drawdown"))
+        .agg(
+            F.max(F.greatest("fall", _fall("low", "peak"))).alias("max_drawdown"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
+    )
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    return days.withColumn("peak", F.max("high").over(before)).select(
+        "day",
+        "max_drawdown",
+        F.greatest("max_drawdown", _fall("low", "peak")).alias("running_drawdown"),
     )
 
 
+def daily_risk(points: DataFrame, trades: DataFrame) -> DataFrame:
+    """Drawdowns and Sharpe ratio of every day that has an equity or a trade."""
+    risk = daily_max_drawdown(points).join(daily_sharpe(trades).dropna(subset="day"), "day", "full")
+    return risk.select("day", "max_drawdown", "running_drawdown", "sharpe")
+
+
 def _fall(low: str, peak: str) -> Column:
     fall = 1 - F.greatest(F.col(low), F.lit(0.0)) / F.col(peak)
     return F.when(F.col(peak) > 0, F.greatest(fall, F.lit(0.0)))

@@ -1,11 +1,20 @@
 """Where the tables of one lake live."""
 
-import tempfile
+import re
 from dataclasses import dataclass
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+from ledgerlake.sources import storage
+
+
+def load_folder(path: str, load_id: str) -> str:
+    """The folder of one load in a table or in the landing directory."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", load_id):
+        raise ValueError(f"load id {load_id!r} is no plain directory name")
+    return f"{path}/load_id={load_id}"
+
 
 @dataclass(frozen=True)
 class LakePaths:
@@ -17,10 +26,18 @@ class LakePaths:
     def _under(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    def landed(self, load_id: str) -> str:
+        """The lines of one batch load; streams read the landing directory itself."""
+        return load_folder(self.landing.rstrip("/"), load_id)
+
     @property
     def bronze(self) -> str:
         return self._under("bronze")
 
+    @property
+    def streamed_bronze(self) -> str:
+        return self._under("streamed_bronze")
+
     @property
     def silver_orders(self) -> str:
         return self._under("silver", "orders")
@@ -29,6 +46,22 @@ class LakePaths:
     def silver_account(self) -> str:
         return self._under("silver", "account")
 
+    @property
+    def account_events(self) -> str:
+        return self._under("silver", "account_events")
+
+    @property
+    def balances(self) -> str:
+        return self._under("silver", "balances")
+
+    @property
+    def positions(self) -> str:
+        return self._under("silver", "positions")
+
+    @property
+    def trade_days(self) -> str:
+        return self._under("silver", "trade_days")
+
     @property
     def gold(self) -> str:
         return self._under("gold")
@@ -41,19 +74,23 @@ class LakePaths:
     def gold_daily_metrics(self) -> str:
         return self._under("gold", "daily_metrics")
 
+    @property
+    def gold_daily_risk(self) -> str:
+        return self._under("gold", "daily_risk")
+
     def checkpoint(self, stream: str) -> str:
         return self._under("checkpoints", stream)
 
 
 def scratch_lake(spark: SparkSession) -> LakePaths:
-    """A new, empty lake in the shared folder that the session names.
+    """A new, empty lake in a folder that all executors share, deleted when the JVM ends.
 
-    Without such a folder a local session gets a temporary one; a cluster must name one.
+    That folder is ``spark.checkpoint.dir``; where it is unset, the warehouse, which is
+    shared as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     root = f"{shared.rstrip('/')}/ledgerlake/{uuid4().hex}"
+    storage.delete_at_exit(spark, root)
     return LakePaths(landing=f"{root}/landing", root=f"{root}/lake")

@@ -3,68 +3,139 @@
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerlake.operators.account import silver_account
+from ledgerlake.operators.account import (
+    account_events,
+    account_rows,
+    balance_rows,
+    position_rows,
+)
+from ledgerlake.operators.days import trade_day_sums
 from ledgerlake.operators.envelope import bronze_rows
 from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
+from ledgerlake.operators.risk import daily_risk, equity_points
 from ledgerlake.operators.trades import closed_trades
 from ledgerlake.plans.paths import LakePaths
-from ledgerlake.schemas import ACCOUNT_REQUIRED, ORDER_REQUIRED
+from ledgerlake.schemas import (
+    ACCOUNT_REQUIRED,
+    GOLD_DAILY_METRICS,
+    GOLD_DAILY_RISK,
+    GOLD_TRADES,
+    ORDER_REQUIRED,
+    SILVER_ORDERS,
+)
 from ledgerlake.sources.landing import read_landing
 from ledgerlake.sources.tables import (
+    read_account_events,
     read_bronze,
     read_gold_trades,
+    read_loads,
     read_silver_orders,
+    read_trade_days,
     write_bronze,
     write_gold,
+    write_load,
     write_silver,
 )
 
 
-def run_bronze(spark: SparkSession, paths: LakePaths) -> None:
-    """Rebuild bronze from all landed lines."""
-    write_bronze(bronze_rows(read_landing(spark, paths.landing)), paths.bronze)
+def run_bronze(spark: SparkSession, paths: LakePaths, load_id: str) -> None:
+    """Write the lines landed for one load to bronze."""
+    lines = read_landing(spark, paths.landed(load_id))
+    write_bronze(bronze_rows(lines), paths.bronze, load_id)
+
+
+def add_orders(
+    orders: DataFrame, paths: LakePaths, load_id: str, lateness: str = "1 day"
+) -> dict[str, int]:
+    """Add one load of order rows to silver, and the sums of its trades by day.
+
+    The sums are made from the rows as written, four columns of them, so that no line is
+    parsed again. They are small: one row a day.
+    """
+    spark = orders.sparkSession
+    counts = write_silver(orders, ORDER_REQUIRED, paths.silver_orders, load_id)
+    verdict = T.StructType([*SILVER_ORDERS, T.StructField("verdict", T.StringType())])
+    clean = read_loads(spark, paths.silver_orders, verdict, [load_id]).where("verdict = 'clean'")
+    earlier = read_trade_days(spark, paths.trade_days, without=load_id)
+    newest = earlier.agg(F.max("newest").alias("newest")).first().newest
+    sums = trade_day_sums(closed_trades(clean), newest, lateness)
+    write_load(sums, paths.trade_days, load_id)
+    return counts
+
+
+def add_account(
+    events: DataFrame, paths: LakePaths, load_id: str, schema_version: int = 1
+) -> dict[str, int]:
+    """Add one load of account updates to silver: the updates, their pairs and elements.
+
+    Lines are parsed once, for the table of updates; the others are made from that.
+    """
+    spark = events.sparkSession
+    write_load(events, paths.account_events, load_id)
+    events = read_account_events(spark, paths.account_events, load_id)
+    write_load(balance_rows(events, schema_version), paths.balances, load_id)
+    write_load(position_rows(events, schema_version), paths.positions, load_id)
+    rows = account_rows(events, schema_version)
+    return write_silver(rows, ACCOUNT_REQUIRED, paths.silver_account, load_id)
 
 
 def run_silver(
     spark: SparkSession, paths: LakePaths, load_id: str, schema_version: int = 1
 ) -> dict[str, dict[str, int]]:
-    """Add bronze to both silver tables as one load; returns row counts per feed.
+    """Add one load of bronze to the silver tables; returns row counts per feed.
 
-    Give each batch of landed lines its own ``load_id``, such as the run date. The feeds
-    read different partitions and run side by side, so that one fills the cores the
-    other's last tasks leave idle.
+    The feeds read different partitions and run side by side, so that one fills the cores
+    the other's last tasks leave idle.
     """
-    bronze = read_bronze(spark, paths.bronze)
+    bronze = read_bronze(spark, paths.bronze, load_id)
     orders = silver_orders(bronze, schema_version)
-    account = silver_account(bronze, schema_version)
-    write = inheritable_thread_target(spark)(write_silver)
+    account = account_events(bronze)
+    keep = inheritable_thread_target(spark)
     with ThreadPoolExecutor(2) as pool:
         feeds = {
-            "orders": pool.submit(write, orders, ORDER_REQUIRED, paths.silver_orders, load_id),
-            "account": pool.submit(write, account, ACCOUNT_REQUIRED, paths.silver_account, load_id),
+            "orders": pool.submit(keep(add_orders), orders, paths, load_id),
+            "account": pool.submit(keep(add_account), account, paths, load_id, schema_version),
         }
         return {feed: counts.result() for feed, counts in feeds.items()}
 
 
 def run_gold(spark: SparkSession, paths: LakePaths) -> None:
-    """Rebuild gold trades from silver, then the daily metrics from the written trades.
+    """Rebuild the gold tables: trades from silver, then metrics and risk from the trades.
 
     Trades are a small part of silver, so they are brought into files of even size.
     """
     trades = closed_trades(read_silver_orders(spark, paths.silver_orders))
-    write_gold(trades.hint("rebalance"), paths.gold_trades)
+    write_gold(trades.hint("rebalance"), paths.gold_trades, GOLD_TRADES)
     written = read_gold_trades(spark, paths.gold_trades)
-    write_gold(daily_metrics(written), paths.gold_daily_metrics)
+    points = equity_points(read_account_events(spark, paths.account_events))
+    keep = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(2) as pool:
+        days = daily_metrics(written)
+        tables = [
+            pool.submit(keep(write_gold), days, paths.gold_daily_metrics, GOLD_DAILY_METRICS),
+            pool.submit(
+                keep(write_gold), daily_risk(points, written), paths.gold_daily_risk, GOLD_DAILY_RISK
+            ),
+        ]
+        for table in tables:
+            table.result()
 
 
 def run(
     spark: SparkSession, paths: LakePaths, load_id: str, schema_version: int = 1
 ) -> dict[str, dict[str, int]]:
-    """All three stages; the session stays open."""
-    run_bronze(spark, paths)
+    """Bring the lines landed for one load to gold; the session stays open.
+
+    Each batch of lines has a folder of its own, ``load_id=<load_id>`` in the landing
+    directory, and costs what its own lines cost, but for gold. Running a load again
+    replaces it.
+    """
+    run_bronze(spark, paths, load_id)
     counts = run_silver(spark, paths, load_id, schema_version)
     run_gold(spark, paths)
     return counts

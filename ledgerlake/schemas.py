@@ -155,6 +155,38 @@ SILVER_ACCOUNT = T.StructType(
     + _INGEST
     + _LINEAGE
 )
+# Parsed account updates, arrays kept, and the tables of their elements.
+ACCOUNT_EVENTS = T.StructType(_INGEST + by_name(ACCOUNT_PAYLOAD).fields)
+BALANCES = T.StructType(
+    _columns(ENVELOPE, **_TIMES)
+    + _columns(ACCOUNT_BODY[:1])
+    + _columns(BALANCE)
+    + _INGEST[:1]
+    + _LINEAGE
+)
+POSITIONS = T.StructType(
+    _columns(ENVELOPE, **_TIMES)
+    + _columns(ACCOUNT_BODY[:1])
+    + _columns(POSITION)
+    + _INGEST[:1]
+    + _LINEAGE
+)
+_SUM = T.DecimalType(28, 8)
+# Sums of one load's trades by day.
+TRADE_DAYS = T.StructType(
+    [
+        T.StructField("day", T.DateType()),
+        T.StructField("trades", WHOLE),
+        T.StructField("known", WHOLE),
+        T.StructField("total", _SUM),
+        T.StructField("wins", WHOLE),
+        T.StructField("win_total", _SUM),
+        T.StructField("losses", WHOLE),
+        T.StructField("loss_total", _SUM),
+        T.StructField("newest", T.TimestampType()),
+        T.StructField("late", WHOLE),
+    ]
+)
 
 # The gold tables that dashboards query.
 GOLD_TRADES = T.StructType(
@@ -179,3 +211,11 @@ GOLD_DAILY_METRICS = T.StructType(
         T.StructField("avg_loss", T.DecimalType(22, 12)),
     ]
 )
+GOLD_DAILY_RISK = T.StructType(
+    [
+        T.StructField("day", T.DateType()),
+        T.StructField("max_drawdown", T.DoubleType()),
+        T.StructField("running_drawdown", T.DoubleType()),
+        T.StructField("sharpe", T.DoubleType()),
+    ]
+)

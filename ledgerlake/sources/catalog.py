@@ -4,21 +4,41 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from ledgerlake.plans.paths import LakePaths
-from ledgerlake.schemas import GOLD_DAILY_METRICS, GOLD_TRADES
+from ledgerlake.schemas import GOLD_DAILY_METRICS, GOLD_DAILY_RISK, GOLD_TRADES
+from ledgerlake.sources.tables import gold_location
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(*parts: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
 def register_gold(spark: SparkSession, paths: LakePaths, database: str = "gold") -> None:
-    """Declare ``trades`` and ``daily_metrics`` as external tables over the gold files.
+    """Declare ``trades``, ``daily_metrics`` and ``daily_risk`` as external tables.
 
-    A table that is already there is pointed at the given lake and refreshed.
+    A table that is already there is pointed at the files that count now. One with another
+    schema is declared anew; its files are no concern of the catalog.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{paths.gold}'")
-    _declare(spark, f"{database}.trades", GOLD_TRADES, paths.gold_trades)
-    _declare(spark, f"{database}.daily_metrics", GOLD_DAILY_METRICS, paths.gold_daily_metrics)
+    # The database has no place in the lake: dropping it must not delete the lake's files.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)}")
+    for name, schema, path in (
+        ("trades", GOLD_TRADES, paths.gold_trades),
+        ("daily_metrics", GOLD_DAILY_METRICS, paths.gold_daily_metrics),
+        ("daily_risk", GOLD_DAILY_RISK, paths.gold_daily_risk),
+    ):
+        _declare(spark, _name(database, name), schema, gold_location(spark, path))
 
 
 def _declare(spark: SparkSession, table: str, schema: T.StructType, location: str) -> None:
+    if spark.catalog.tableExists(table):
+        known = [(x.name, x.dataType) for x in spark.table(table).schema]
+        if known != [(x.name, x.dataType) for x in schema]:
+            spark.sql(f"DROP TABLE {table}")
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING PARQUET LOCATION '{location}'")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    place = _quoted(location)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING PARQUET LOCATION {place}")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {place}")
     spark.catalog.refreshTable(table)

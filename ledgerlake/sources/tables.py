@@ -2,29 +2,47 @@
 
 Every read names its schema: nothing is inferred from footers or directory names, and a
 table that got no rows reads as empty instead of failing.
+
+Bronze and silver tables consist of loads, folders ``load_id=...`` that are written as a whole.
+Writing a load again replaces it; different loads add up. Loads of a stream are
+numbered, and old ones are compacted: a folder ``name~first~last`` holds the rows of the loads
+in that range and, once it is committed, stands for them. The folders it replaced are deleted
+by the next compaction, so that readers which began before can finish.
 """
 
 import re
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators.quality import CLEAN, QUARANTINE, with_verdict
+from ledgerlake.plans.paths import load_folder
 from ledgerlake.schemas import (
+    ACCOUNT_EVENTS,
+    BALANCES,
     BRONZE,
     GOLD_DAILY_METRICS,
+    GOLD_DAILY_RISK,
     GOLD_TRADES,
+    POSITIONS,
     SILVER_ACCOUNT,
     SILVER_ORDERS,
+    TRADE_DAYS,
 )
+from ledgerlake.sources import storage
 
-# Partition columns of a silver table besides the event date.
-_LOAD = [T.StructField("load_id", T.StringType()), T.StructField("verdict", T.StringType())]
+_LOAD = T.StructField("load_id", T.StringType())
+_VERDICT = T.StructField("verdict", T.StringType())
+# The folder of a gold table's rows that count, named in this file.
+_CURRENT = "_current"
+# Newest loads of a stream that compaction leaves as they are, for replays.
+KEPT_LOADS = 5
 
 
-def write_bronze(bronze: DataFrame, path: str) -> None:
-    """Replace the bronze table, by event type and date.
+def write_bronze(bronze: DataFrame, path: str, load_id: str) -> None:
+    """Write one load of bronze, by event type and date.
 
     Landing files are tiny and in arrival order, so rows are brought together by
     partition first. ``rebalance`` sizes tasks at run time: it splits a type and date
@@ -34,18 +52,20 @@ def write_bronze(bronze: DataFrame, path: str) -> None:
         bronze.hint("rebalance", "event_type", "event_date")
         .write.mode("overwrite")
         .partitionBy("event_type", "event_date")
-        .parquet(path)
+        .parquet(load_folder(path, load_id))
     )
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BRONZE).parquet(path)
+def read_bronze(spark: SparkSession, path: str, load_id: str | None = None) -> DataFrame:
+    """Bronze rows of one load, or all rows, whether loaded or streamed."""
+    if load_id is not None:
+        return spark.read.schema(BRONZE).parquet(load_folder(path, load_id))
+    return spark.read.schema(T.StructType([*BRONZE, _LOAD])).parquet(path).select(*BRONZE.names)
 
 
-def _load_path(path: str, load_id: str) -> str:
-    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", load_id):
-        raise ValueError(f"load id {load_id!r} is no plain directory name")
-    return f"{path}/load_id={load_id}"
+def write_load(rows: DataFrame, path: str, load_id: str) -> None:
+    """Write one load of a table that has no other partitions."""
+    rows.write.mode("overwrite").parquet(load_folder(path, load_id))
 
 
 def write_silver(
@@ -54,9 +74,8 @@ def write_silver(
     """Add one load to a silver table and return its clean and quarantined row counts.
 
     Clean and quarantined rows go out in one pass, as two partitions, so lines are
-    parsed once and nothing is cached. Loads add up; writing a load again replaces just
-    that load, so a rerun or a replayed micro-batch neither doubles nor loses rows.
-    There is no shuffle: bronze files already hold one type and date each.
+    parsed once and nothing is cached. There is no shuffle: bronze files already hold
+    one type and date each.
     """
     counts = Observation()
     (
@@ -68,13 +87,104 @@ def write_silver(
         )
         .write.mode("overwrite")
         .partitionBy("verdict", "event_time")
-        .parquet(_load_path(path, load_id))
+        .parquet(load_folder(path, load_id))
     )
     return counts.get
 
 
+def _numbers(load_id: str) -> tuple[str, int, int] | None:
+    """Name, first and last number of a stream's load, compacted or not."""
+    if found := re.fullmatch(r"(.+)~(\d+)~(\d+)", load_id):
+        return found[1], int(found[2]), int(found[3])
+    if found := re.fullmatch(r"(.+)-(\d+)", load_id):
+        return found[1], int(found[2]), int(found[2])
+    return None
+
+
+def visible_loads(spark: SparkSession, path: str) -> list[str]:
+    """Ids of the loads that count: those that no committed compacted load stands for."""
+    loads = [x.removeprefix("load_id=") for x in storage.folders(spark, path) if "=" in x]
+    compacted = [
+        (load, numbers)
+        for load in loads
+        if "~" in load and (numbers := _numbers(load))
+        if storage.exists(spark, f"{path}/load_id={load}/_SUCCESS")
+    ]
+
+    def replaced(load: str) -> bool:
+        own = _numbers(load)
+        return own is not None and any(
+            load != other and own[0] == name and first <= own[1] and own[2] <= last
+            for other, (name, first, last) in compacted
+        )
+
+    committed = {load for load, _ in compacted}
+    return [x for x in loads if not replaced(x) and ("~" not in x or x in committed)]
+
+
+def read_loads(
+    spark: SparkSession, path: str, schema: T.StructType, loads: list[str] | None = None
+) -> DataFrame:
+    """Rows of the given or of all visible loads, with their load ids."""
+    loads = visible_loads(spark, path) if loads is None else loads
+    full = T.StructType([*schema, _LOAD])
+    if not loads:
+        return spark.createDataFrame([], full)
+    reader = spark.read.schema(full).option("basePath", path)
+    return reader.parquet(*[f"{path}/load_id={load}" for load in loads])
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    name: str,
+    partitions: tuple[str, ...] = (),
+    keep: int = KEPT_LOADS,
+) -> None:
+    """Bring a stream's loads together, but for the newest, into one.
+
+    A failure before the commit changes nothing that is read, and running it again is
+    safe. One compaction of a stream runs at a time.
+    """
+    visible = visible_loads(spark, path)
+    for load in storage.folders(spark, path):
+        numbers = _numbers(load.removeprefix("load_id="))
+        if numbers and numbers[0] == name and load.removeprefix("load_id=") not in visible:
+            storage.delete(spark, f"{path}/{load}")
+    own = [(x, numbers) for x in visible if (numbers := _numbers(x)) and numbers[0] == name]
+    own.sort(key=lambda x: x[1][1])
+    old = own[: max(0, len(own) - keep)]
+    if len(old) < 2:
+        return
+    first, last = old[0][1][1], old[-1][1][2]
+    columns = [T.StructField(x, T.StringType()) for x in partitions if x not in schema.names]
+    full = T.StructType([*schema, *columns])
+    rows = read_loads(spark, path, full, [x for x, _ in old]).drop("load_id")
+    writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.parquet(f"{path}/load_id={name}~{first}~{last}")
+
+
+def claim_name(spark: SparkSession, path: str, name: str, owner: str) -> None:
+    """Make a stream the owner of a name of loads; fail if another one is.
+
+    A stream that starts over on a new checkpoint is another one: its load 0 would replace
+    the old load 0 and leave the others, so that rows count twice.
+    """
+    place = f"{path}_owners/{name}"
+    if not storage.create_text(spark, place, owner):
+        known = storage.read_text(spark, place)
+        if known != owner:
+            raise ValueError(
+                f"loads {name!r} of {path} belong to stream {known}, not to {owner}: "
+                "start from its checkpoint, or name the new stream's loads differently"
+            )
+
+
 def _read_silver(spark: SparkSession, path: str, schema: T.StructType, verdict: str) -> DataFrame:
-    rows = spark.read.schema(T.StructType(schema.fields + _LOAD)).parquet(path)
+    rows = read_loads(spark, path, T.StructType([*schema, _VERDICT]))
     return rows.where(F.col("verdict") == verdict).select(*schema.names)
 
 
@@ -97,14 +207,74 @@ def read_quarantine(spark: SparkSession, orders_path: str, account_path: str) ->
     )
 
 
-def write_gold(gold: DataFrame, path: str) -> None:
-    """Replace a gold table."""
-    gold.write.mode("overwrite").parquet(path)
+def read_account_events(
+    spark: SparkSession, path: str, load_id: str | None = None
+) -> DataFrame:
+    """Parsed account updates, one row each, of one load or of all."""
+    rows = read_loads(spark, path, ACCOUNT_EVENTS, None if load_id is None else [load_id])
+    return rows.drop("load_id")
+
+
+def read_balances(spark: SparkSession, path: str) -> DataFrame:
+    """Every balance of every account update once."""
+    return read_loads(spark, path, BALANCES).drop("load_id")
+
+
+def read_positions(spark: SparkSession, path: str) -> DataFrame:
+    """Every position of every account update once."""
+    return read_loads(spark, path, POSITIONS).drop("load_id")
+
+
+def read_trade_days(
+    spark: SparkSession, path: str, without: str | None = None
+) -> DataFrame:
+    """Sums by day of all loads, but for one."""
+    loads = [x for x in visible_loads(spark, path) if x != without]
+    return read_loads(spark, path, TRADE_DAYS, loads).drop("load_id")
+
+
+def _kinds(schema: T.StructType) -> list[tuple[str, T.DataType]]:
+    return [(x.name, x.dataType) for x in schema]
+
+
+def write_gold(gold: DataFrame, path: str, contract: T.StructType) -> None:
+    """Replace a gold table by rows that fit its contract.
+
+    The rows go to a new folder, and one rename makes that the table. Readers and failures in
+    between meet the old table. The folder before the old one is deleted.
+    """
+    spark = gold.sparkSession
+    if _kinds(gold.schema) != _kinds(contract):
+        raise ValueError(f"{gold.schema.simpleString()} is not {contract.simpleString()}")
+    name = f"version={uuid4().hex}"
+    gold.write.parquet(f"{path}/{name}")
+    before = storage.read_text(spark, f"{path}/{_CURRENT}") if _has(spark, path) else None
+    storage.replace_text(spark, f"{path}/{_CURRENT}", name)
+    for folder in storage.folders(spark, path):
+        if folder not in (name, before):
+            storage.delete(spark, f"{path}/{folder}")
+
+
+def _has(spark: SparkSession, path: str) -> bool:
+    return storage.exists(spark, f"{path}/{_CURRENT}")
+
+
+def gold_location(spark: SparkSession, path: str) -> str:
+    """The folder that holds a gold table now."""
+    return f"{path}/{storage.read_text(spark, f'{path}/{_CURRENT}')}"
+
+
+def _read_gold(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+    return spark.read.schema(contract).parquet(gold_location(spark, path))
 
 
 def read_gold_trades(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(GOLD_TRADES).parquet(path)
+    return _read_gold(spark, path, GOLD_TRADES)
 
 
 def read_gold_daily_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(GOLD_DAILY_METRICS).parquet(path)
+    return _read_gold(spark, path, GOLD_DAILY_METRICS)
+
+
+def read_gold_daily_risk(spark: SparkSession, path: str) -> DataFrame:
+    return _read_gold(spark, path, GOLD_DAILY_RISK)

@@ -7,19 +7,37 @@ Rows are brought together by day before they are written, so that files are few,
 ``rebalance`` splits a day that holds much of a micro-batch over many tasks, as in batch.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ledgerlake.operators.account import silver_account
+from ledgerlake.operators.account import account_events
+from ledgerlake.operators.days import metrics_of_sums
 from ledgerlake.operators.envelope import bronze_rows
-from ledgerlake.operators.metrics import daily_metrics, profit_metrics
 from ledgerlake.operators.orders import silver_orders
-from ledgerlake.operators.quality import clean_rows
-from ledgerlake.operators.trades import closed_trades
 from ledgerlake.plans.paths import LakePaths
-from ledgerlake.schemas import ACCOUNT_REQUIRED, BRONZE, ORDER_REQUIRED
-from ledgerlake.sources.tables import write_gold, write_silver
+from ledgerlake.plans.stages import add_account, add_orders
+from ledgerlake.schemas import (
+    ACCOUNT_EVENTS,
+    BALANCES,
+    BRONZE,
+    GOLD_DAILY_METRICS,
+    POSITIONS,
+    SILVER_ACCOUNT,
+    SILVER_ORDERS,
+    TRADE_DAYS,
+)
+from ledgerlake.sources.tables import (
+    claim_name,
+    compact,
+    read_trade_days,
+    write_gold,
+)
+
+#: Loads of a stream between two compactions.
+COMPACT_EVERY = 20
+_BY_DAY = ("verdict", "event_time")
 
 
 def bronze_stream(lines: DataFrame, paths: LakePaths) -> DataStreamWriter:
@@ -28,100 +46,105 @@ def bronze_stream(lines: DataFrame, paths: LakePaths) -> DataStreamWriter:
         lines.transform(bronze_rows)
         .hint("rebalance", "event_type", "event_date")
         .writeStream.format("parquet")
-        .option("path", paths.bronze)
+        .option("path", paths.streamed_bronze)
         .option("checkpointLocation", paths.checkpoint("bronze"))
         .partitionBy("event_type", "event_date")
     )
 
 
-def stream_bronze(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    """The bronze table as a stream of new rows."""
-    return spark.readStream.schema(BRONZE).parquet(paths.bronze)
+def stream_bronze(
+    spark: SparkSession, paths: LakePaths, files_per_batch: int = 1000
+) -> DataFrame:
+    """The streamed bronze table as a stream of new rows, so many files a micro-batch."""
+    reader = spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(paths.streamed_bronze)
 
 
 def silver_orders_stream(
-    bronze: DataFrame, paths: LakePaths, schema_version: int = 1, name: str = "batch"
+    bronze: DataFrame,
+    paths: LakePaths,
+    name: str,
+    schema_version: int = 1,
+    compact_every: int = COMPACT_EVERY,
 ) -> DataStreamWriter:
-    """Add streamed order updates to silver orders."""
+    """Add streamed order updates to silver orders, and keep up gold's daily metrics.
+
+    The metrics are added up from the loads' sums by day: they parse no line and keep no
+    state, and a trade that arrives late counts in its day, as in batch.
+    """
+
+    def add(batch: DataFrame, load_id: str) -> None:
+        add_orders(batch.hint("rebalance", "event_time"), paths, load_id)
+        days = metrics_of_sums(read_trade_days(batch.sparkSession, paths.trade_days))
+        write_gold(days, paths.gold_daily_metrics, GOLD_DAILY_METRICS)
+
+    def tidy(spark: SparkSession) -> None:
+        compact(spark, paths.silver_orders, SILVER_ORDERS, name, _BY_DAY)
+        compact(spark, paths.trade_days, TRADE_DAYS, name)
+
     return _load_each_batch(
         silver_orders(bronze, schema_version),
-        ORDER_REQUIRED,
         paths.silver_orders,
         paths.checkpoint("silver_orders"),
         name,
+        add,
+        tidy,
+        compact_every,
     )
 
 
 def silver_account_stream(
-    bronze: DataFrame, paths: LakePaths, schema_version: int = 1, name: str = "batch"
+    bronze: DataFrame,
+    paths: LakePaths,
+    name: str,
+    schema_version: int = 1,
+    compact_every: int = COMPACT_EVERY,
 ) -> DataStreamWriter:
-    """Add streamed account updates to silver account."""
+    """Add streamed account updates to the silver account tables."""
+
+    def add(batch: DataFrame, load_id: str) -> None:
+        add_account(batch.hint("rebalance"), paths, load_id, schema_version)
+
+    def tidy(spark: SparkSession) -> None:
+        compact(spark, paths.account_events, ACCOUNT_EVENTS, name)
+        compact(spark, paths.balances, BALANCES, name)
+        compact(spark, paths.positions, POSITIONS, name)
+        compact(spark, paths.silver_account, SILVER_ACCOUNT, name, _BY_DAY)
+
     return _load_each_batch(
-        silver_account(bronze, schema_version),
-        ACCOUNT_REQUIRED,
+        account_events(bronze),
         paths.silver_account,
         paths.checkpoint("silver_account"),
         name,
+        add,
+        tidy,
+        compact_every,
     )
 
 
 def _load_each_batch(
-    silver: DataFrame, required: tuple[str, ...], path: str, checkpoint: str, name: str
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    name: str,
+    add: Callable[[DataFrame, str], None],
+    tidy: Callable[[SparkSession], None],
+    compact_every: int,
 ) -> DataStreamWriter:
     """Add every micro-batch as a load of its own, called by the stream's name and number.
 
-    A micro-batch that is replayed after a failure replaces its own load. A stream that
-    starts over on a new checkpoint numbers its batches from zero again and needs a new
-    name. Routing and parsing belong to the streamed plan, so a stream reads only its own
-    event type.
+    A micro-batch that is replayed after a failure replaces its own load, as the newest
+    ones are never compacted. The name belongs to the stream that first used it: one that
+    starts over on a new checkpoint fails until it has a name of its own. Routing and
+    parsing belong to the streamed plan, so a stream reads only its own event type.
     """
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.hint("rebalance", "event_time")
-        write_silver(rows, required, path, f"{name}-{batch_id}")
-
-    return silver.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
-
-
-def stream_closed_trades(spark: SparkSession, paths: LakePaths) -> DataFrame:
-    """Trades as a stream, from the clean order updates in bronze."""
-    return (
-        stream_bronze(spark, paths)
-        .transform(silver_orders)
-        .transform(clean_rows, ORDER_REQUIRED)
-        .transform(closed_trades)
-    )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        owner = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        claim_name(spark, path, name, owner)
+        add(batch, f"{name}-{batch_id}")
+        if batch_id % compact_every == compact_every - 1:
+            tidy(spark)
 
-
-def daily_metrics_stream(trades: DataFrame, paths: LakePaths) -> DataStreamWriter:
-    """Keep the gold daily metrics up to date with streamed trades.
-
-    State is one row per day, so it needs no watermark, and a trade that arrives late
-    still counts in its day, as in batch. Every micro-batch rewrites the table, one row
-    per day, as a single file.
-    """
-
-    def rewrite(days: DataFrame, _: int) -> None:
-        write_gold(days.repartition(1), paths.gold_daily_metrics)
-
-    return (
-        trades.transform(daily_metrics)
-        .writeStream.outputMode("complete")
-        .foreachBatch(rewrite)
-        .option("checkpointLocation", paths.checkpoint("daily_metrics"))
-    )
-
-
-def settled_daily_metrics(trades: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Metrics of each UTC day once it is over by ``lateness``, for append mode.
-
-    Unlike the batch metrics this leaves out trades without a time and trades that come
-    later than ``lateness`` after the newest one.
-    """
-    return (
-        trades.withWatermark("trade_time", lateness)
-        .groupBy(F.window("trade_time", "1 day"))
-        .agg(*profit_metrics())
-        .select(F.to_date("window.start").alias("day"), "*")
-        .drop("window")
-    )
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -12,6 +12,7 @@ from ledgerlake.operators.account import (
     position_rows,
     silver_account,
 )
+from ledgerlake.operators.days import settled_days
 from ledgerlake.operators.envelope import bronze_rows, unrouted
 from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
@@ -28,30 +29,31 @@ from ledgerlake.plans.paths import LakePaths, scratch_lake
 from ledgerlake.plans.stages import run, run_bronze, run_gold, run_silver
 from ledgerlake.schemas import ACCOUNT_REQUIRED, ORDER_REQUIRED
 from ledgerlake.sources.catalog import register_gold
-from ledgerlake.sources.feed import feed_lines, read_events
 from ledgerlake.sources.landing import land, read_landing, stream_landing
 from ledgerlake.sources.tables import (
+    read_balances,
     read_bronze,
     read_gold_daily_metrics,
     read_gold_trades,
+    read_positions,
     read_quarantine,
     read_silver_account,
     read_silver_orders,
+    read_trade_days,
 )
 from ledgerlake.streaming.tables import (
     bronze_stream,
-    daily_metrics_stream,
-    settled_daily_metrics,
     silver_account_stream,
     silver_orders_stream,
     stream_bronze,
-    stream_closed_trades,
 )
+from testbench.feed import feed_lines, read_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Run-dependent columns, left out of query results.
-_VOLATILE = ("ingest_time", "processing_time", "raw_json")
+_VOLATILE = ("ingest_time", "processing_time")
+_LOAD = "first"
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +65,11 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_orders(_bronze(spark, sf_dir)).drop(*_VOLATILE)
+    return silver_orders(_bronze(spark, sf_dir)).drop(*_VOLATILE, "raw_json")
 
 
 def _account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_account(_bronze(spark, sf_dir)).drop(*_VOLATILE)
+    return silver_account(_bronze(spark, sf_dir)).drop(*_VOLATILE, "raw_json")
 
 
 def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,11 +77,18 @@ def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """A lake whose landing directory holds all lines as one load."""
     paths = scratch_lake(spark)
-    _lines(spark, sf_dir).write.text(paths.landing)
+    _lines(spark, sf_dir).write.text(paths.landed(_LOAD))
     return paths
 
 
+def _in_steps(spark: SparkSession, sf_dir: str, steps: int) -> list[DataFrame]:
+    """The lines in steps that each span all days."""
+    events = read_events(spark, sf_dir)
+    return [feed_lines(events.where(F.col("event_id") % steps == k)) for k in range(steps)]
+
+
 def _finish(writer: DataStreamWriter) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -89,7 +98,7 @@ def _finish(writer: DataStreamWriter) -> None:
 
 def raw_line_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _landed(spark, sf_dir)
-    return read_landing(spark, paths.landing).agg(
+    return read_landing(spark, paths.landed(_LOAD)).agg(
         F.count("*").alias("lines"), F.count_if(F.col("value") == "").alias("blank_lines")
     )
 
@@ -100,7 +109,7 @@ def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_roundtrip_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _landed(spark, sf_dir)
-    run_bronze(spark, paths)
+    run_bronze(spark, paths, _LOAD)
     bronze = read_bronze(spark, paths.bronze)
     return bronze.groupBy("event_type", "event_date").agg(F.count("*").alias("events"))
 
@@ -190,8 +199,8 @@ def silver_schema_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_roundtrip_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean silver rows by date."""
     paths = _landed(spark, sf_dir)
-    run_bronze(spark, paths)
-    run_silver(spark, paths, "first")
+    run_bronze(spark, paths, _LOAD)
+    run_silver(spark, paths, _LOAD)
     return _silver_by_date(spark, paths)
 
 
@@ -206,8 +215,8 @@ def _silver_by_date(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 def quarantine_by_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _landed(spark, sf_dir)
-    run_bronze(spark, paths)
-    run_silver(spark, paths, "first")
+    run_bronze(spark, paths, _LOAD)
+    run_silver(spark, paths, _LOAD)
     quarantine = read_quarantine(spark, paths.silver_orders, paths.silver_account)
     return quarantine.groupBy("feed", "event_type").agg(F.count("*").alias("row_count"))
 
@@ -221,7 +230,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _built(spark: SparkSession, sf_dir: str) -> LakePaths:
     paths = _landed(spark, sf_dir)
-    run(spark, paths, "first")
+    run(spark, paths, _LOAD)
     return paths
 
 
@@ -233,27 +242,89 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gold_daily_metrics(spark, _built(spark, sf_dir).gold_daily_metrics)
 
 
-def _registered(spark: SparkSession, sf_dir: str) -> str:
+def _gold_sql(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
+    """A query over registered tables; ``{gold}`` is their database.
+
+    The database goes when the query is planned: the plan knows the files by then, and
+    dropping external tables leaves those alone.
+    """
     paths = _built(spark, sf_dir)
     database = "gold_" + paths.root.split("/")[-2]
     register_gold(spark, paths, database)
-    return database
+    found = spark.sql(query.format(gold=database))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
 
 
 def gold_sql_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = _registered(spark, sf_dir)
-    return spark.sql(
-        f"SELECT day, total_pnl, trades_count, win_rate FROM {database}.daily_metrics "
-        "WHERE total_pnl > 0"
+    return _gold_sql(
+        spark,
+        sf_dir,
+        "SELECT day, total_pnl, trades_count, win_rate FROM {gold}.daily_metrics "
+        "WHERE total_pnl > 0",
     )
 
 
 def gold_sql_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    database = _registered(spark, sf_dir)
-    return spark.sql(
+    return _gold_sql(
+        spark,
+        sf_dir,
         "SELECT symbol, count(*) AS trades_count, sum(realized_pnl) AS total_pnl "
-        f"FROM {database}.trades GROUP BY symbol"
+        "FROM {gold}.trades GROUP BY symbol",
+    )
+
+
+def gold_sql_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk table through the catalog; deviations rounded as in :func:`sharpe`."""
+    return _gold_sql(
+        spark,
+        sf_dir,
+        "SELECT day, max_drawdown, running_drawdown, round(sharpe, 9) AS sharpe "
+        "FROM {gold}.daily_risk",
+    )
+
+
+def batch_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of half the lines each, the job after each, and the first once more."""
+    paths = scratch_lake(spark)
+    for load_id, lines in zip(("first", "second"), _in_steps(spark, sf_dir, 2)):
+        lines.write.text(paths.landed(load_id))
+        run(spark, paths, load_id)
+    run(spark, paths, "first")
+    return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
+
+
+def raw_json_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all lines as bronze and silver orders keep them."""
+    paths = _landed(spark, sf_dir)
+    run_bronze(spark, paths, _LOAD)
+    run_silver(spark, paths, _LOAD)
+    bronze = read_bronze(spark, paths.bronze)
+    silver = read_silver_orders(spark, paths.silver_orders)
+
+    def digests(rows: DataFrame, table: str) -> DataFrame:
+        digest = F.md5("raw_json").alias("digest")
+        return rows.groupBy(F.lit(table).alias("table"), digest).agg(F.count("*").alias("lines"))
+
+    return digests(bronze, "bronze").unionByName(digests(silver, "orders"))
+
+
+def silver_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and sums over the tables that hold each balance and position once."""
+    paths = _landed(spark, sf_dir)
+    run_bronze(spark, paths, _LOAD)
+    run_silver(spark, paths, _LOAD)
+    balances = read_balances(spark, paths.balances).agg(
+        F.lit("balances").alias("element"),
+        F.count("asset").alias("row_count"),
+        F.sum("balance_change").alias("total"),
     )
+    positions = read_positions(spark, paths.positions).agg(
+        F.lit("positions").alias("element"),
+        F.count("entry_price").alias("row_count"),
+        F.sum("realized_pnl").alias("total"),
+    )
+    return balances.unionByName(positions)
 
 
 def drawdown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,23 +351,29 @@ def stream_landing_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_bronze_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows by type; the second start of the stream finds nothing new."""
-    paths = _landed(spark, sf_dir)
+    paths = scratch_lake(spark)
+    _lines(spark, sf_dir).write.text(paths.landing)
     for _ in range(2):
         _finish(bronze_stream(stream_landing(spark, paths.landing), paths))
-    bronze = read_bronze(spark, paths.bronze)
+    bronze = read_bronze(spark, paths.streamed_bronze)
     return bronze.groupBy("event_type").agg(F.count("*").alias("events"))
 
 
-def _streamed_bronze(spark: SparkSession, sf_dir: str) -> LakePaths:
-    paths = _landed(spark, sf_dir)
+def _catch_up(spark: SparkSession, paths: LakePaths) -> None:
     _finish(bronze_stream(stream_landing(spark, paths.landing), paths))
+    _finish(silver_orders_stream(stream_bronze(spark, paths), paths, "orders"))
+
+
+def _streamed_orders(spark: SparkSession, sf_dir: str) -> LakePaths:
+    paths = scratch_lake(spark)
+    _lines(spark, sf_dir).write.text(paths.landing)
+    _catch_up(spark, paths)
     return paths
 
 
 def _streamed_silver(spark: SparkSession, sf_dir: str) -> LakePaths:
-    paths = _streamed_bronze(spark, sf_dir)
-    _finish(silver_orders_stream(stream_bronze(spark, paths), paths))
-    _finish(silver_account_stream(stream_bronze(spark, paths), paths))
+    paths = _streamed_orders(spark, sf_dir)
+    _finish(silver_account_stream(stream_bronze(spark, paths), paths, "account"))
     return paths
 
 
@@ -312,21 +389,18 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _streamed_bronze(spark, sf_dir)
-    _finish(daily_metrics_stream(stream_closed_trades(spark, paths), paths))
+    """The metrics that the stream of orders keeps up."""
+    paths = _streamed_orders(spark, sf_dir)
     return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
 
 
 def stream_settled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days that are over by a day when the stream has read everything."""
-    paths = _streamed_bronze(spark, sf_dir)
-    settled = settled_daily_metrics(stream_closed_trades(spark, paths))
-    _finish(
-        settled.writeStream.format("parquet")
-        .option("path", paths.gold_daily_metrics)
-        .option("checkpointLocation", paths.checkpoint("settled_days"))
-    )
-    return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
+    """Days that are over by a day, after four steps that each span all days."""
+    paths = scratch_lake(spark)
+    for lines in _in_steps(spark, sf_dir, 4):
+        lines.write.mode("append").text(paths.landing)
+        _catch_up(spark, paths)
+    return settled_days(read_trade_days(spark, paths.trade_days)).drop("late_trades")
 
 
 QUERIES: dict[str, Query] = {
@@ -356,6 +430,10 @@ QUERIES: dict[str, Query] = {
     "end_to_end": end_to_end,
     "gold_sql_daily": gold_sql_daily,
     "gold_sql_symbols": gold_sql_symbols,
+    "gold_sql_risk": gold_sql_risk,
+    "batch_two_loads": batch_two_loads,
+    "raw_json_digests": raw_json_digests,
+    "silver_elements": silver_elements,
     "daily_max_drawdown": drawdown,
     "daily_sharpe": sharpe,
     "stream_landing_count": stream_landing_count,

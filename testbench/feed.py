@@ -30,10 +30,7 @@ from ledgerlake.schemas import ACCOUNT_EVENT, ORDER_EVENT
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table, spread over the cores when it is one small file."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def feed_lines(events: DataFrame) -> DataFrame:
@@ -104,7 +101,7 @@ def _order_body() -> Column:
         "sp": F.lit("0"),
         "x": F.when(status == "NEW", "NEW").otherwise("TRADE"),
         "X": status,
-        "i": event + 207850000000,
+        "i": event + 1000000,
         "l": filled,
         "z": filled,
         "L": F.when(status == "NEW", "0").otherwise(_text(amount)),

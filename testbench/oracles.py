@@ -29,6 +29,118 @@ feed AS (
   FROM facts
 )"""
 
+_SIDE = "CASE WHEN event_id % 2 = 0 THEN 'BUY' ELSE 'SELL' END"
+_STATUS = (
+    "CASE event_id % 3 WHEN 0 THEN 'NEW' WHEN 1 THEN 'PARTIALLY_FILLED' ELSE 'FILLED' END"
+)
+_TYPE = "CASE WHEN kind = 'purchase' THEN 'MARKET' ELSE 'LIMIT' END"
+_FILLED = "CASE WHEN event_id % 3 = 0 THEN '0' ELSE '1.5' END"
+# The texts (quoted) and other values (plain) of a line's order, in the line's order.
+_ORDER_JSON = {
+    "s": ("quoted", "CASE WHEN k <> 4 THEN 'PAIR' || (user_id % 4) END"),
+    "c": ("quoted", "'client-' || event_id"),
+    "S": ("quoted", _SIDE),
+    "o": ("quoted", _TYPE),
+    "f": ("quoted", "CASE WHEN kind = 'view' THEN 'IOC' ELSE 'GTC' END"),
+    "q": (
+        "quoted",
+        "CASE k WHEN 5 THEN '12345678901234567890.5' WHEN 6 THEN '' "
+        "WHEN 7 THEN amount::VARCHAR || '567' ELSE amount::VARCHAR END",
+    ),
+    "p": ("quoted", "CASE WHEN kind = 'purchase' THEN '0' ELSE amount::VARCHAR END"),
+    "ap": ("quoted", "amount::VARCHAR"),
+    "sp": ("quoted", "'0'"),
+    "x": ("quoted", "CASE WHEN event_id % 3 = 0 THEN 'NEW' ELSE 'TRADE' END"),
+    "X": ("quoted", _STATUS),
+    "i": ("plain", "event_id + 1000000"),
+    "l": ("quoted", _FILLED),
+    "z": ("quoted", _FILLED),
+    "L": ("quoted", "CASE WHEN event_id % 3 = 0 THEN '0' ELSE amount::VARCHAR END"),
+    "n": ("quoted", "(amount * CAST(0.0005 AS DECIMAL(5,4)))::VARCHAR"),
+    "N": ("quoted", "'USDT'"),
+    "T": ("plain", "ms + 5"),
+    "t": ("plain", "event_id"),
+    "b": ("quoted", "CASE WHEN event_id % 2 = 0 THEN amount::VARCHAR ELSE '0' END"),
+    "a": ("quoted", "CASE WHEN event_id % 2 = 0 THEN '0' ELSE amount::VARCHAR END"),
+    "m": ("plain", "kind = 'click'"),
+    "R": ("plain", "event_id % 2 = 1"),
+    "wt": ("quoted", "'CONTRACT_PRICE'"),
+    "ot": ("quoted", _TYPE),
+    "ps": ("quoted", "'BOTH'"),
+    "cp": ("plain", "false"),
+    "rp": (
+        "quoted",
+        "CASE WHEN k = 10 THEN '0' WHEN k <> 9 THEN CAST(amount - 50 AS DECIMAL(18,8))::VARCHAR END",
+    ),
+    "pP": ("plain", "event_id % 5 = 0"),
+    "si": ("plain", "0"),
+    "ss": ("plain", "0"),
+    "V": ("quoted", "'EXPIRE_MAKER'"),
+    "pm": ("quoted", "'NONE'"),
+    "gtd": ("plain", "CASE WHEN kind = 'purchase' THEN 0 ELSE ms + 86400000 END"),
+    "er": ("quoted", "'0'"),
+}
+
+
+def _object(fields: dict[str, tuple[str, str]]) -> str:
+    """A JSON object without its NULL fields."""
+    parts = [
+        f"'\"{key}\":' || " + (f"'\"' || ({sql}) || '\"'" if kind == "quoted" else f"({sql})::VARCHAR")
+        for key, (kind, sql) in fields.items()
+    ]
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
+def _amount(more: str) -> tuple[str, str]:
+    return "quoted", f"CAST(amount + {more} AS DECIMAL(18,8))::VARCHAR"
+
+
+_BALANCE_JSON = _object(
+    {
+        "a": ("quoted", "'ASSET' || z"),
+        "wb": _amount("1000 + z"),
+        "cw": _amount("900 + z"),
+        "bc": _amount("z - 50"),
+    }
+)
+_POSITION_JSON = _object(
+    {
+        "s": ("quoted", "CASE WHEN k <> 4 THEN 'PAIR' || ((user_id + z) % 4) END"),
+        "pa": _amount("0"),
+        "ep": _amount("z"),
+        "cr": _amount("-100"),
+        "up": _amount("z - 250"),
+        "mt": ("quoted", "'cross'"),
+        "ps": ("quoted", "CASE WHEN z = 0 THEN 'BOTH' ELSE 'LONG' END"),
+    }
+)
+_ACCOUNT_JSON = _object(
+    {
+        "m": ("quoted", "CASE WHEN user_id % 2 = 0 THEN 'ORDER' ELSE 'FUNDING_FEE' END"),
+        "B": (
+            "plain",
+            f"'[' || array_to_string([{_BALANCE_JSON} FOR z IN range(user_id % 3)], ',') || ']'",
+        ),
+        "P": (
+            "plain",
+            f"'[' || array_to_string([{_POSITION_JSON} FOR z IN range(event_id % 3)], ',') || ']'",
+        ),
+    }
+)
+_LINES = f""",
+lines AS (
+  SELECT *, CASE WHEN k = 0 THEN '' ELSE
+    CASE WHEN k = 12 THEN '{{' ELSE '{{"e":"' || CASE kind WHEN 'signup' THEN 'ACCOUNT_UPDATE'
+      WHEN 'error' THEN 'MARGIN_CALL' ELSE 'ORDER_TRADE_UPDATE' END || '",' END
+    || '"T":' || CASE k WHEN 2 THEN '"abc"' WHEN 3 THEN '"' || ms || '"'
+      WHEN 11 THEN ms || '.25' ELSE ms::VARCHAR END
+    || ',"E":' || (ms + 1)
+    || CASE WHEN k = 8 THEN '' WHEN kind = 'signup' THEN ',"a":' || {_ACCOUNT_JSON}
+      ELSE ',"o":' || {_object(_ORDER_JSON)} END
+    || CASE WHEN k = 1 THEN '' ELSE '}}' END END AS line
+  FROM feed
+)"""
+
 _ORDER_BODY = {
     "symbol": "CASE WHEN k <> 4 THEN 'PAIR' || (user_id % 4) END",
     "client_order_id": "'client-' || event_id",
@@ -43,7 +155,7 @@ _ORDER_BODY = {
     "execution_type": "CASE WHEN event_id % 3 = 0 THEN 'NEW' ELSE 'TRADE' END",
     "order_status": "CASE event_id % 3 WHEN 0 THEN 'NEW' WHEN 1 THEN 'PARTIALLY_FILLED' "
     "ELSE 'FILLED' END",
-    "order_id": "event_id + 207850000000",
+    "order_id": "event_id + 1000000",
     "last_fill_qty": "CAST(CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1.5 END AS DECIMAL(18,8))",
     "cum_fill_qty": "CAST(CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1.5 END AS DECIMAL(18,8))",
     "last_fill_price": "CASE WHEN event_id % 3 = 0 THEN CAST(0 AS DECIMAL(18,8)) ELSE amount END",
@@ -157,6 +269,38 @@ daily AS (
   FROM trades GROUP BY 1
 )"""
 
+# One ordered window over the curve and one per day: what the bounded groups of the operator
+# must add up to.
+_PEAKS = """
+, curve AS (
+  SELECT event_received_time AS moment, CAST(
+           sum(amount + 1000 + b) + (SELECT coalesce(sum(amount - 250 + p), 0)
+             FROM unnest(any_value(ps)) AS t(p) WHERE p IS NOT NULL) AS DOUBLE) AS equity
+  FROM balances WHERE b IS NOT NULL GROUP BY event_id, event_received_time, amount
+),
+peaks AS (
+  SELECT CAST(moment AS DATE) AS day, equity,
+         max(equity) OVER (PARTITION BY CAST(moment AS DATE) ORDER BY moment, equity
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak,
+         max(equity) OVER (ORDER BY moment, equity
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS highest
+  FROM curve
+),
+drawdowns AS (
+  SELECT day, max(CASE WHEN peak > 0 THEN 1 - greatest(equity, 0) / peak END) AS max_drawdown,
+         max(CASE WHEN highest > 0 THEN 1 - greatest(equity, 0) / highest END) AS running_drawdown
+  FROM peaks GROUP BY day
+)"""
+_SHARPE = """
+, moments AS (
+  SELECT CAST(trade_time AS DATE) AS day, avg(realized_pnl) AS mean,
+         stddev_samp(CAST(realized_pnl AS DOUBLE)) AS deviation
+  FROM trades GROUP BY 1
+),
+sharpes AS (
+  SELECT day, CASE WHEN deviation > 0 THEN round(mean / deviation, 9) END AS sharpe FROM moments
+)"""
+
 
 def _bronze(body: str) -> str:
     return f"WITH {_FEED}\n{body}"
@@ -269,32 +413,26 @@ ORACLES: dict[str, str] = {
         "SELECT symbol, count(*) AS trades_count, "
         "CAST(sum(realized_pnl) AS DECIMAL(28,8)) AS total_pnl FROM trades GROUP BY symbol"
     ),
-    # One ordered window per day: what the bounded groups of the operator must add up to.
     "daily_max_drawdown": _account(
-        """
-, curve AS (
-  SELECT event_received_time AS moment, CAST(
-           sum(amount + 1000 + b) + (SELECT coalesce(sum(amount - 250 + p), 0)
-             FROM unnest(any_value(ps)) AS t(p) WHERE p IS NOT NULL) AS DOUBLE) AS equity
-  FROM balances WHERE b IS NOT NULL GROUP BY event_id, event_received_time, amount
-),
-peaks AS (
-  SELECT CAST(moment AS DATE) AS day, equity, max(equity) OVER (
-    PARTITION BY CAST(moment AS DATE) ORDER BY moment, equity
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak
-  FROM curve
-)
-SELECT day, max(CASE WHEN peak > 0 THEN 1 - greatest(equity, 0) / peak END) AS max_drawdown
-FROM peaks GROUP BY day"""
+        f"{_PEAKS}\nSELECT * FROM drawdowns",
     ),
-    "daily_sharpe": _trades(
-        """
-, days AS (
-  SELECT CAST(trade_time AS DATE) AS day, avg(realized_pnl) AS mean,
-         stddev_samp(CAST(realized_pnl AS DOUBLE)) AS deviation
-  FROM trades GROUP BY 1
-)
-SELECT day, CASE WHEN deviation > 0 THEN round(mean / deviation, 9) END AS sharpe FROM days"""
+    "daily_sharpe": _trades(f"{_SHARPE}\nSELECT * FROM sharpes"),
+    "gold_sql_risk": f"WITH {_FEED}{_ORDERS}{_TRADES}{_ACCOUNT}{_PEAKS}{_SHARPE}\n"
+    "SELECT day, max_drawdown, running_drawdown, sharpe FROM drawdowns FULL JOIN "
+    "(SELECT * FROM sharpes WHERE day IS NOT NULL) USING (day)",
+    "batch_two_loads": _ALL_DAYS,
+    "raw_json_digests": f"WITH {_FEED}{_LINES}\n"
+    "SELECT 'bronze' AS \"table\", md5(line) AS digest, count(*) AS lines FROM lines GROUP BY 2 "
+    "UNION ALL SELECT 'orders', md5(line), count(*) FROM lines "
+    "WHERE event_type = 'ORDER_TRADE_UPDATE' AND k NOT IN (4, 8) AND silver_date IS NOT NULL "
+    "GROUP BY 2",
+    "silver_elements": _account(
+        f"SELECT 'balances' AS element, count(*) AS row_count, "
+        f"CAST(sum({_BALANCE['balance_change']}) AS DECIMAL(28,8)) AS total "
+        f"FROM balances WHERE b IS NOT NULL UNION ALL "
+        f"SELECT 'positions', count(*), "
+        f"CAST(sum({_POSITION['realized_pnl']}) AS DECIMAL(28,8)) "
+        f"FROM positions WHERE p IS NOT NULL"
     ),
     "stream_landing_count": "SELECT count(*) AS lines FROM events",
     "stream_bronze_count": _BY_TYPE,

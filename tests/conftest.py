@@ -11,12 +11,15 @@ from ledgerlake.session import SETTINGS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     builder = (
         SparkSession.builder.master("local[4]")
         .appName("ledgerlake-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", str(shared / "checkpoints"))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

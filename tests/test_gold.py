@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from events import DAY, NOON, order, raw, trading_day
+from events import DAY, NOON, order, raw, trading_days
 
 from ledgerlake.operators.envelope import bronze_rows
 from ledgerlake.operators.metrics import daily_metrics
@@ -46,35 +46,39 @@ def test_price_of_a_trade_is_the_average_price(spark):
     assert trades(spark, order(p="1", ap="2")).first().price == 2
 
 
-def test_two_round_trips(spark):
-    row = metrics(spark, *trading_day())[date(2026, 4, 8)]
-    assert row.total_pnl == Decimal("0.00107000")
-    assert row.trades_count == 2
-    assert row.win_rate == 1.0
-    assert row.avg_win == Decimal("0.000535000000")
-    assert row.avg_loss is None
+def test_three_days_with_wins_and_losses(spark):
+    found = metrics(spark, *trading_days())
+    rows = {
+        day.day: (row.total_pnl, row.trades_count, row.win_rate, row.avg_win, row.avg_loss)
+        for day, row in found.items()
+    }
+    assert rows == {
+        17: (Decimal("7.25"), 1, 1.0, Decimal("7.25"), None),
+        18: (Decimal("-1.5"), 2, 0.5, Decimal("1.6"), Decimal("-3.1")),
+        19: (Decimal("-0.75"), 2, 0.0, None, Decimal("-0.75")),
+    }
 
 
 def test_zero_and_missing_pnl_count_as_trades_only(spark):
     row = metrics(spark, order(rp="3"), order(rp="-1"), order(rp="0"), order(rp=None))[
-        date(2026, 4, 8)
+        date(2025, 3, 17)
     ]
     assert (row.trades_count, row.win_rate) == (4, 0.25)
     assert (row.total_pnl, row.avg_win, row.avg_loss) == (2, 3, -1)
 
 
 def test_no_known_pnl_gives_no_total(spark):
-    row = metrics(spark, order(rp=None))[date(2026, 4, 8)]
+    row = metrics(spark, order(rp=None))[date(2025, 3, 17)]
     assert (row.total_pnl, row.trades_count, row.win_rate) == (None, 1, 0.0)
 
 
 def test_commission_is_not_subtracted(spark):
-    assert metrics(spark, order(rp="1", n="5"))[date(2026, 4, 8)].total_pnl == 1
+    assert metrics(spark, order(rp="1", n="5"))[date(2025, 3, 17)].total_pnl == 1
 
 
 def test_days_follow_the_trade_time(spark):
     found = metrics(spark, order(T=NOON + DAY), order(T=None))
-    assert set(found) == {date(2026, 4, 9), None}
+    assert set(found) == {date(2025, 3, 18), None}
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
@@ -84,13 +88,13 @@ def test_days_follow_the_session_time_zone(spark, zone):
         found = metrics(spark, order(T=NOON - DAY // 2 + 1000))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert set(found) == {date(2026, 4, 8 if zone == "UTC" else 7)}
+    assert set(found) == {date(2025, 3, 17 if zone == "UTC" else 16)}
 
 
 def test_sums_beyond_their_type_become_null(spark):
     largest = "9" * 10 + "." + "9" * 8
     many = spark.range(11 * 10**4).selectExpr(
-        f"CAST('{largest}' AS DECIMAL(18,8)) AS realized_pnl", "TIMESTAMP'2026-04-08' AS trade_time"
+        f"CAST('{largest}' AS DECIMAL(18,8)) AS realized_pnl", "TIMESTAMP'2025-03-17' AS trade_time"
     )
     assert daily_metrics(many).first().trades_count == 11 * 10**4
     assert daily_sharpe(many).first().sharpe is None

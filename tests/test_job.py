@@ -1,9 +1,10 @@
+import os
 import subprocess
 import sys
 from pathlib import Path
 
 import pytest
-from events import trading_day
+from events import trading_days
 from pyspark.sql import SparkSession
 
 from ledgerlake.__main__ import arguments
@@ -12,8 +13,8 @@ from ledgerlake.sources.tables import read_gold_daily_metrics
 
 
 def test_arguments_take_both_forms():
-    args = arguments(["--landing", "s3://in", "--root=s3://lake", "--load-id", "2026-04-08"])
-    assert (args.landing, args.root, args.load_id) == ("s3://in", "s3://lake", "2026-04-08")
+    args = arguments(["--landing", "s3://in", "--root=s3://lake", "--load-id", "2025-03-17"])
+    assert (args.landing, args.root, args.load_id) == ("s3://in", "s3://lake", "2025-03-17")
     assert args.schema_version == 1
 
 
@@ -30,12 +31,11 @@ def test_paths_join_with_one_slash():
     assert paths.checkpoint("bronze") == "s3://lake/checkpoints/bronze"
 
 
-def test_scratch_lakes_are_new_and_in_the_shared_folder(spark, tmp_path):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+def test_scratch_lakes_are_new_and_in_the_shared_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_lake(spark), scratch_lake(spark)
     assert first.root != second.root
-    if shared is not None:
-        assert first.root.startswith(shared.rstrip("/") + "/")
+    assert first.root.startswith(shared.rstrip("/") + "/")
 
 
 def test_session_is_left_open(spark):
@@ -43,16 +43,18 @@ def test_session_is_left_open(spark):
 
 
 def test_command_line_run(spark, paths):
-    Path(paths.landing).mkdir()
-    (Path(paths.landing) / "1.jsonl").write_text("\n".join(trading_day()) + "\n")
+    Path(paths.landed("2025-03-17")).mkdir(parents=True)
+    (Path(paths.landed("2025-03-17")) / "1.jsonl").write_text("\n".join(trading_days()) + "\n")
+    Path(paths.root + "-job").mkdir()
     done = subprocess.run(
         [sys.executable, "-m", "ledgerlake", "--landing", paths.landing, "--root", paths.root]
-        + ["--load-id", "2026-04-08"],
-        cwd=Path(__file__).resolve().parents[1],
+        + ["--load-id", "2025-03-17"],
+        cwd=paths.root + "-job",
+        env=os.environ | {"PYTHONPATH": str(Path(__file__).resolve().parents[1])},
         capture_output=True,
         text=True,
         check=True,
         timeout=300,
     )
-    assert "orders: {'clean': 8, 'quarantine': 0}" in done.stdout
-    assert read_gold_daily_metrics(spark, paths.gold_daily_metrics).first().trades_count == 2
+    assert "orders: {'clean': 10, 'quarantine': 0}" in done.stdout
+    assert read_gold_daily_metrics(spark, paths.gold_daily_metrics).count() == 3

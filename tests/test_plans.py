@@ -3,20 +3,23 @@
 import re
 
 import pytest
-from events import account, order, raw, trading_day
+from events import account, order, raw, trading_days
 
 from ledgerlake.operators.account import account_events, silver_account
+from ledgerlake.operators.days import metrics_of_sums
 from ledgerlake.operators.envelope import bronze_rows, of_type
 from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
 from ledgerlake.operators.quality import split
 from ledgerlake.operators.risk import daily_max_drawdown, equity_points
 from ledgerlake.operators.trades import closed_trades
-from ledgerlake.schemas import ACCOUNT_REQUIRED, ORDER_REQUIRED
+from ledgerlake.plans.stages import add_orders
+from ledgerlake.schemas import ACCOUNT_REQUIRED, GOLD_TRADES, ORDER_REQUIRED
 from ledgerlake.sources.tables import (
     read_bronze,
     read_gold_trades,
     read_silver_orders,
+    read_trade_days,
     write_bronze,
     write_gold,
     write_silver,
@@ -33,7 +36,7 @@ def count(pattern: str, df) -> int:
 
 @pytest.fixture
 def bronze(spark, paths):
-    write_bronze(bronze_rows(raw(spark, [*trading_day(), order(s=None), "", "{"])), paths.bronze)
+    write_bronze(bronze_rows(raw(spark, [*trading_days(), order(s=None), "", "{"])), paths.bronze, "first")
     return read_bronze(spark, paths.bronze)
 
 
@@ -74,17 +77,28 @@ def test_metrics_scan_few_columns_and_push_the_trade_filter(spark, paths, bronze
 
 
 def test_metrics_shuffle_partial_sums_only(spark, paths):
-    write_gold(closed_trades(silver_orders(bronze_rows(raw(spark, [order()])))), paths.gold_trades)
+    trades = closed_trades(silver_orders(bronze_rows(raw(spark, [order()]))))
+    write_gold(trades, paths.gold_trades, GOLD_TRADES)
     metrics = daily_metrics(read_gold_trades(spark, paths.gold_trades))
     assert count("Exchange hashpartitioning", metrics) == 1
     assert "HashAggregate" in physical(metrics) and "partial_count" in physical(metrics)
     assert "SortAggregate" not in physical(metrics)
 
 
-def test_drawdown_combines_before_its_first_shuffle_and_never_gathers(spark):
+def test_drawdown_combines_before_its_first_shuffle_and_gathers_days_only(spark):
     lines = bronze_rows(raw(spark, [account()]))
     plan = physical(daily_max_drawdown(equity_points(account_events(lines))))
     steps = [line.lstrip(" +-*:()0123456789") for line in plan.splitlines()]
     first = max(i for i, step in enumerate(steps) if step.startswith("Exchange"))
     assert "partial_min" in steps[first + 1]
-    assert "SinglePartition" not in plan
+    gathered = [i for i, step in enumerate(steps) if step.startswith("Exchange SinglePartition")]
+    assert len(gathered) == 1
+    below = next(step for step in steps[gathered[0] + 1 :] if not step.startswith("Project"))
+    assert below.startswith("HashAggregate(keys=[day")
+
+
+def test_streamed_metrics_parse_nothing(spark, paths):
+    add_orders(silver_orders(bronze_rows(raw(spark, [order()]))), paths, "feed-0")
+    metrics = metrics_of_sums(read_trade_days(spark, paths.trade_days))
+    assert count("from_json|json_tuple", metrics) == 0
+    assert metrics.first().trades_count == 1

@@ -38,7 +38,7 @@ def drawdowns(spark, points):
 
 def test_drawdown_matches_brute_force(spark):
     rng = random.Random(7)
-    start = datetime(2026, 4, 8, 23, 50)
+    start = datetime(2025, 3, 17, 23, 50)
     points = [
         (
             start + timedelta(milliseconds=rng.randrange(0, 40 * 60000, 500)),
@@ -50,16 +50,51 @@ def test_drawdown_matches_brute_force(spark):
     assert drawdowns(spark, points) == brute_force(points)
 
 
+def running(spark, points):
+    df = spark.createDataFrame(points, "at timestamp, equity double")
+    return {row.day: row.running_drawdown for row in daily_max_drawdown(df).collect()}
+
+
+def test_falls_over_night_show_in_the_running_drawdown(spark):
+    noon = datetime(2025, 3, 17, 12)
+    points = [(noon, 100.0), (noon + timedelta(days=1), 40.0)]
+    assert drawdowns(spark, points) == {date(2025, 3, 17): 0.0, date(2025, 3, 18): 0.0}
+    assert running(spark, points) == {date(2025, 3, 17): 0.0, date(2025, 3, 18): 0.6}
+
+
+def test_running_drawdown_matches_one_scan_of_the_curve(spark):
+    rng = random.Random(9)
+    start = datetime(2025, 3, 17)
+    points = [
+        (start + timedelta(milliseconds=rng.randrange(0, 5 * 86400000, 777)), rng.uniform(-9, 99))
+        for _ in range(2000)
+    ]
+    peak, worst = -math.inf, {}
+    for at, equity in sorted(points):
+        peak = max(peak, equity)
+        fall = max(0.0, 1 - max(equity, 0.0) / peak) if peak > 0 else None
+        known = worst.setdefault(at.date(), fall)
+        if fall is not None:
+            worst[at.date()] = fall if known is None else max(known, fall)
+    assert running(spark, points) == worst
+
+
+def test_times_finer_than_a_millisecond_are_one_instant(spark):
+    noon = datetime(2025, 3, 17, 12)
+    points = [(noon + timedelta(microseconds=k), 1000.0 - k) for k in range(900)]
+    assert drawdowns(spark, points) == {noon.date(): 0.0}
+
+
 def test_a_busy_instant_and_a_busy_minute(spark):
     rng = random.Random(8)
-    instant = datetime(2026, 4, 8, 12)
+    instant = datetime(2025, 3, 17, 12)
     points = [(instant, float(rng.randrange(1, 1000))) for _ in range(2000)]
     points += [(instant + timedelta(milliseconds=n), float(n % 97)) for n in range(1, 2000)]
     assert drawdowns(spark, points) == brute_force(points)
 
 
 def test_drawdown_bounds(spark):
-    at = datetime(2026, 4, 8, 12)
+    at = datetime(2025, 3, 17, 12)
     later = timedelta(minutes=5)
     day = at.date()
     assert drawdowns(spark, [(at, 10.0)]) == {day: 0.0}
@@ -97,24 +132,24 @@ def test_sharpe(spark):
     pnls = [1.5, -2.25, 3.0, 0.5]
     found = sharpes(spark, [(0, str(pnl)) for pnl in pnls] + [(0, None), (1, "3")])
     expected = statistics.mean(pnls) / statistics.stdev(pnls)
-    assert math.isclose(found[date(2026, 4, 8)], expected, rel_tol=1e-12)
-    assert found[date(2026, 4, 9)] is None
+    assert math.isclose(found[date(2025, 3, 17)], expected, rel_tol=1e-12)
+    assert found[date(2025, 3, 18)] is None
 
 
 def test_sharpe_parameters(spark):
     pnls = [1.0, 2.0, 4.0]
     found = sharpes(spark, [(0, str(pnl)) for pnl in pnls], risk_free=0.5, periods=252)
     expected = (statistics.mean(pnls) - 0.5) / statistics.stdev(pnls) * math.sqrt(252)
-    assert math.isclose(found[date(2026, 4, 8)], expected, rel_tol=1e-12)
+    assert math.isclose(found[date(2025, 3, 17)], expected, rel_tol=1e-12)
 
 
 def test_sharpe_without_spread_or_pnl(spark):
     found = sharpes(spark, [(0, "0.1"), (0, "0.1"), (0, "0.1"), (1, None), (1, None)])
-    assert found == {date(2026, 4, 8): None, date(2026, 4, 9): None}
+    assert found == {date(2025, 3, 17): None, date(2025, 3, 18): None}
 
 
 def test_sharpe_of_a_small_spread_around_a_large_mean(spark):
     pnls = [1000000.00000001, 1000000.00000002, 1000000.00000004]
     found = sharpes(spark, [(0, f"{pnl:.8f}") for pnl in pnls])
     expected = statistics.mean(pnls) / statistics.stdev(pnls)
-    assert math.isclose(found[date(2026, 4, 8)], expected, rel_tol=0.02)
+    assert math.isclose(found[date(2025, 3, 17)], expected, rel_tol=0.02)

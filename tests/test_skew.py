@@ -37,8 +37,8 @@ def skewed(paths):
 
 
 def test_a_busy_day_of_bronze_is_written_by_many_tasks(spark, skewed, small_tasks):
-    write_bronze(bronze_rows(read_landing(spark, skewed.landing)), skewed.bronze)
-    assert len(files(skewed.bronze, "event_date=2026-04-08")) > 1
+    write_bronze(bronze_rows(read_landing(spark, skewed.landing)), skewed.bronze, "first")
+    assert len(files(skewed.bronze, "event_date=2025-03-17")) > 1
     assert read_bronze(spark, skewed.bronze).count() == COPIES + OTHERS
 
 
@@ -47,8 +47,8 @@ def test_a_busy_day_of_a_stream_is_written_by_many_tasks(spark, skewed, small_ta
         writer.trigger(availableNow=True).start().awaitTermination()
 
     finish(bronze_stream(stream_landing(spark, skewed.landing), skewed))
-    finish(silver_orders_stream(stream_bronze(spark, skewed), skewed))
-    assert len(files(skewed.bronze, "event_date=2026-04-08")) > 1
-    assert len(files(skewed.silver_orders, "event_time=2026-04-08")) > 1
-    assert read_bronze(spark, skewed.bronze).count() == COPIES + OTHERS
+    finish(silver_orders_stream(stream_bronze(spark, skewed), skewed, "feed"))
+    assert len(files(skewed.streamed_bronze, "event_date=2025-03-17")) > 1
+    assert len(files(skewed.silver_orders, "event_time=2025-03-17")) > 1
+    assert read_bronze(spark, skewed.streamed_bronze).count() == COPIES + OTHERS
     assert read_silver_orders(spark, skewed.silver_orders).count() == COPIES + OTHERS

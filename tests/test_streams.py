@@ -3,28 +3,30 @@ from pathlib import Path
 import pytest
 from events import DAY, NOON, account, order
 
+from ledgerlake.operators.days import metrics_of_sums, settled_days
 from ledgerlake.operators.envelope import of_type
 from ledgerlake.operators.orders import silver_orders
 from ledgerlake.plans.paths import LakePaths
-from ledgerlake.plans.stages import run
-from ledgerlake.schemas import ORDER_REQUIRED
+from ledgerlake.plans.stages import add_orders, run
 from ledgerlake.sources.landing import land, read_landing, stream_landing, stream_topic
+from ledgerlake.sources.storage import folders
 from ledgerlake.sources.tables import (
+    KEPT_LOADS,
+    read_balances,
     read_bronze,
     read_gold_daily_metrics,
+    read_positions,
     read_quarantine,
     read_silver_account,
     read_silver_orders,
-    write_silver,
+    read_trade_days,
+    visible_loads,
 )
 from ledgerlake.streaming.tables import (
     bronze_stream,
-    daily_metrics_stream,
-    settled_daily_metrics,
     silver_account_stream,
     silver_orders_stream,
     stream_bronze,
-    stream_closed_trades,
 )
 
 FIRST = [order(i=1, rp="1"), order(i=2, s=None), account(), "", "{", order(i=3, S="BUY")]
@@ -42,9 +44,8 @@ def finish(writer):
 
 def catch_up(spark, paths):
     finish(bronze_stream(stream_landing(spark, paths.landing, files_per_batch=1), paths))
-    finish(silver_orders_stream(stream_bronze(spark, paths), paths))
-    finish(silver_account_stream(stream_bronze(spark, paths), paths))
-    finish(daily_metrics_stream(stream_closed_trades(spark, paths), paths))
+    finish(silver_orders_stream(stream_bronze(spark, paths), paths, "orders"))
+    finish(silver_account_stream(stream_bronze(spark, paths), paths, "account"))
 
 
 def content(df):
@@ -52,12 +53,14 @@ def content(df):
     return sorted((str(row) for row in kept.collect()))
 
 
-def tables(spark, paths):
+def tables(spark, paths, bronze):
     return {
-        "bronze": content(read_bronze(spark, paths.bronze)),
+        "bronze": content(read_bronze(spark, bronze)),
         "orders": content(read_silver_orders(spark, paths.silver_orders)),
         "account": content(read_silver_account(spark, paths.silver_account)),
         "quarantine": content(read_quarantine(spark, paths.silver_orders, paths.silver_account)),
+        "balances": content(read_balances(spark, paths.balances)),
+        "positions": content(read_positions(spark, paths.positions)),
         "days": content(read_gold_daily_metrics(spark, paths.gold_daily_metrics)),
     }
 
@@ -68,18 +71,25 @@ def test_streamed_tables_equal_batch_tables(spark, paths, tmp_path):
     drop(paths, "2.jsonl", SECOND)
     catch_up(spark, paths)
     catch_up(spark, paths)
-    batch = LakePaths(paths.landing, str(tmp_path / "batch"))
-    run(spark, batch, "first")
-    assert tables(spark, paths) == tables(spark, batch)
+    batch = LakePaths(str(tmp_path / "landed"), str(tmp_path / "batch"))
+    for load_id, lines in (("first", FIRST), ("second", SECOND)):
+        Path(batch.landed(load_id)).mkdir(parents=True)
+        (Path(batch.landed(load_id)) / "1.jsonl").write_text("\n".join(lines) + "\n")
+        run(spark, batch, load_id)
+    streamed = tables(spark, paths, paths.streamed_bronze)
+    assert streamed == tables(spark, batch, batch.bronze)
 
 
 def test_a_replayed_batch_does_not_double(spark, paths):
     drop(paths, "1.jsonl", FIRST)
     catch_up(spark, paths)
     before = content(read_silver_orders(spark, paths.silver_orders))
-    again = silver_orders(read_bronze(spark, paths.bronze))
-    write_silver(again, ORDER_REQUIRED, paths.silver_orders, "batch-0")
+    days = content(read_gold_daily_metrics(spark, paths.gold_daily_metrics))
+    again = silver_orders(read_bronze(spark, paths.streamed_bronze))
+    add_orders(again, paths, "orders-0")
     assert content(read_silver_orders(spark, paths.silver_orders)) == before
+    sums = metrics_of_sums(read_trade_days(spark, paths.trade_days))
+    assert content(sums) == days
 
 
 def test_topic_lines_land_once(spark, paths, tmp_path):
@@ -91,22 +101,59 @@ def test_topic_lines_land_once(spark, paths, tmp_path):
     assert sorted(landed) == sorted(FIRST)
 
 
-def test_settled_days_leave_out_open_days_and_very_late_trades(spark, paths):
+def test_a_stream_that_starts_over_fails_instead_of_doubling(spark, paths):
+    drop(paths, "1.jsonl", FIRST)
+    catch_up(spark, paths)
+    before = content(read_silver_orders(spark, paths.silver_orders))
+    elsewhere = silver_orders_stream(stream_bronze(spark, paths), paths, "orders").option(
+        "checkpointLocation", paths.checkpoint("another")
+    )
+    with pytest.raises(Exception, match="belong to stream"):
+        finish(elsewhere)
+    assert content(read_silver_orders(spark, paths.silver_orders)) == before
+
+
+def test_many_micro_batches_leave_few_folders(spark, paths):
+    for n in range(20):
+        drop(paths, f"{n:02}.jsonl", [order(NOON + n, i=n, rp="1"), order(i=100 + n, s=None)])
+    finish(bronze_stream(stream_landing(spark, paths.landing, files_per_batch=1), paths))
+    # One file of a micro-batch holds one event type and date.
+    bronze = stream_bronze(spark, paths, files_per_batch=1)
+    finish(silver_orders_stream(bronze, paths, "orders", compact_every=5))
+    ids = [row.order_id for row in read_silver_orders(spark, paths.silver_orders).collect()]
+    assert sorted(ids) == list(range(20))
+    quarantine = read_quarantine(spark, paths.silver_orders, paths.silver_account)
+    assert quarantine.count() == 20
+    day = read_gold_daily_metrics(spark, paths.gold_daily_metrics).first()
+    assert (day.trades_count, day.total_pnl) == (20, 20)
+    assert len(visible_loads(spark, paths.silver_orders)) <= KEPT_LOADS + 1
+    # At most the loads of two compactions.
+    assert len(folders(spark, paths.silver_orders)) <= 2 * (KEPT_LOADS + 1 + 5)
+    assert len(folders(spark, paths.trade_days)) <= 2 * (KEPT_LOADS + 1 + 5)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_settled_days_count_late_trades(spark, paths, zone):
     def step(name, *lines):
         drop(paths, name, lines)
         finish(bronze_stream(stream_landing(spark, paths.landing), paths))
-        settled = settled_daily_metrics(stream_closed_trades(spark, paths), "1 day")
-        finish(
-            settled.writeStream.format("parquet")
-            .option("path", paths.gold_daily_metrics)
-            .option("checkpointLocation", paths.checkpoint("settled"))
-        )
-        days = read_gold_daily_metrics(spark, paths.gold_daily_metrics).collect()
-        return {row.day.day: row.trades_count for row in days}
-
-    assert step("1", order(NOON), order(NOON + DAY)) == {}
-    assert step("2", order(NOON), order(NOON + 3 * DAY), order(T=None)) == {8: 2, 9: 1}
-    assert step("3", order(NOON), order(NOON + 4 * DAY)) == {8: 2, 9: 1}
+        finish(silver_orders_stream(stream_bronze(spark, paths), paths, "orders"))
+        days = settled_days(read_trade_days(spark, paths.trade_days), "1 day").collect()
+        return {row.day.day: (row.trades_count, row.late_trades) for row in days}
+
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert step("1", order(NOON), order(NOON + DAY)) == {}
+        # A day is over by a day at the second midnight after it.
+        found = step("2", order(NOON), order(NOON + 3 * DAY), order(T=None))
+        assert found == {17: (2, 0), 18: (1, 0)}
+        # Late trades still count.
+        found = step("3", order(NOON), order(NOON + 4 * DAY))
+        assert found == {17: (3, 1), 18: (1, 0)}
+        metrics = metrics_of_sums(read_trade_days(spark, paths.trade_days)).collect()
+        assert sum(row.trades_count for row in metrics) == 7
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_streamed_routing_prunes_partitions(spark, paths):
