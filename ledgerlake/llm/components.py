@@ -42,6 +42,10 @@ def _united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
+#: Links that one task unites; more of them are first brought closer by rounds over all.
+TASK_LINKS = 200_000
+
+
 def _toward_smallest(links: DataFrame, larger_only: bool) -> DataFrame:
     """Each node's neighbours (only the larger ones, or only the smaller) linked to its smallest."""
     both = links.union(links.select("b", "a"))
@@ -55,13 +59,15 @@ def _toward_smallest(links: DataFrame, larger_only: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
     """(node, root) for every node of the links (a, b), root being its component's smallest node.
 
-    Each round unites the links of each partition, then points every node's larger
-    neighbours and then its smaller ones at the smallest: both keep the components and,
-    repeated, leave one star for each. A node with very many links is counted map-side, and
-    its links are split by the adaptive join. Rounds end when nothing changes.
+    Each round unites the links of each partition, which leaves a forest of each. Forests
+    that fit one task, some ten megabytes, are united there. Others are brought closer: every
+    node's larger neighbours and then its smaller ones are pointed at the smallest, which
+    keeps the components and, repeated, leaves one star for each. A node with very many
+    links is counted map-side, and its links are split by the adaptive join. Rounds end
+    when the forests fit or nothing changes.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     links = links.where("a > b").mapInArrow(_united, "a long, b long")
@@ -69,7 +75,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         links = written(links, "links")
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark or now[0] == 0:
+        if now[0] <= task_links:
+            links = written(links.coalesce(1).mapInArrow(_united, "a long, b long"), "stars")
+        if now[0] <= task_links or now == mark:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 links.select("b", "b").distinct()
             )

@@ -11,11 +11,11 @@ union) of at least ``PERCENT`` in a hundred, compared in whole numbers on the fu
    as soon as no later rank can be the smallest anywhere.
 3. ``BANDS`` bands of the signature are buckets: at a similarity of 0.75 two classes miss
    each other in all of them once in 190,000 times, above it less often.
-4. In each bucket every class is compared with one of its classes (the star's centre). Rounds of
-   stars with other centres follow while they find links. What a bucket still holds in
-   different components is compared in full, in blocks, by signatures, and what these do
-   not rule out is compared by sets. So a large group costs about one comparison for each
-   of its members, and none of its links between components is lost.
+4. Every class is compared with one centre of the buckets it is in. Rounds with other
+   centres follow for buckets that still span several components. What these leave is
+   compared in full, in blocks: by signatures, and what those do not rule out by sets. So
+   the linked part of a large group costs about one comparison for each member, and no
+   link between its components is lost.
 5. Links make components (see :mod:`ledgerlake.llm.components`).
 
 Results by row: NULL and blank texts have an empty set, are linked with nothing and stay.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import steps, text_bytes, written
-from ledgerlake.llm.components import components
+from ledgerlake.llm.components import Forest, components
 from ledgerlake.llm.words import gram_hashes, mixed, span_hashes, word_spans
 
 SHINGLE = 5
@@ -41,10 +41,10 @@ REGISTERS = 128
 BANDS = 32
 #: Signatures of equal registers below this part rule a pair out: five deviations under 0.75.
 LEAST_EQUAL = 0.55
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 _ALL = (1 << 64) - 1
-#: Members compared with one copy of their centre, and classes in a block.
-BLOCK = 512
+#: Members compared with one copy of their centre, and classes on either side of a block.
+BLOCK = 256
 
 
 def shingle_sets(texts: pa.LargeStringArray, size: int = SHINGLE) -> list[np.ndarray]:
@@ -199,40 +199,58 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _alike(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a block whose signatures do not rule them out; its left side comes first."""
-    key, left = None, []
-
-    def compared(right: list) -> set[tuple[int, int]]:
-        if not left or not right:
-            return set()
-        a = np.stack([x[2] for x in left])
-        b = np.stack([x[2] for x in right])
-        found = set()
-        for k in range(0, len(a), 64):
-            equal = (a[k : k + 64, None, :] == b[None]).mean(axis=2)
-            for i, j in zip(*np.nonzero(equal >= LEAST_EQUAL)):
-                one, two = left[k + i], right[j]
-                if one[1] != two[1]:
-                    found.add((min(one[0], two[0]), max(one[0], two[0])))
-        return found
-
-    names = ("band", "i", "j", "right", "node", "root", "signature")
-    for batch in batches:
-        found: set[tuple[int, int]] = set()
-        right: list = []
-        for band, i, j, is_right, node, root, raw in zip(
-            *(batch.column(x).to_pylist() for x in names)
-        ):
-            if key != (band, i, j):
-                found |= compared(right)
-                key, left, right = (band, i, j), [], []
-            side = right if is_right else left
-            side.append((node, root, np.frombuffer(raw, np.uint16)))
-        found |= compared(right)
+class _Block:
+    """Classes that others are compared with: their sets and signatures."""
+
+    def __init__(self):
+        self.nodes: list[int] = []
+        self.roots: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.signatures: list[np.ndarray] = []
+
+    def add(self, node: int, root: int, shingles: np.ndarray, signature: bytes) -> None:
+        self.nodes.append(node)
+        self.roots.append(root)
+        self.sets.append(shingles)
+        self.signatures.append(np.frombuffer(signature, np.uint16))
+
+    def links(self, other: "_Block", forest: Forest) -> Iterator[tuple[int, int]]:
+        """Links to the other's classes that join what ``forest`` has not joined yet.
+
+        Only pairs whose signatures do not rule them out are compared by their sets.
+        """
+        if not self.nodes or not other.nodes:
+            return
+        mine, theirs = np.stack(self.signatures), np.stack(other.signatures)
+        for k in range(0, len(mine), 64):
+            equal = (mine[k : k + 64, None, :] == theirs[None]).mean(axis=2)
+            for i, j in zip(*(x.tolist() for x in np.nonzero(equal >= LEAST_EQUAL))):
+                a, b = self.roots[k + i], other.roots[j]
+                if forest.root(a) != forest.root(b) and linked(self.sets[k + i], other.sets[j]):
+                    forest.join(a, b)
+                    yield self.nodes[k + i], other.nodes[j]
+
+
+def _linked_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the components of a block; its left side comes before its right."""
+    key, left, forest = None, _Block(), Forest()
+    names = ("cluster", "i", "j", "right", "node", "root", "signature", "class")
+    for step in steps(batches, "text"):
+        found: list[tuple[int, int]] = []
+        right = _Block()
+        sets = shingle_sets(step.column("text"))
+        columns = [step.column(x).to_pylist() for x in names]
+        for cluster, i, j, is_right, node, root, signature, name, shingles in zip(*columns, sets):
+            if xxhash.xxh3_128_digest(shingles.tobytes()) != name:
+                continue  # another row with the same 64-bit key
+            if key != (cluster, i, j):
+                found += left.links(right, forest)
+                key, left, right, forest = (cluster, i, j), _Block(), _Block(), Forest()
+            (right if is_right else left).add(node, root, shingles, signature)
+        found += left.links(right, forest)
         if found:
             columns = [pa.array(x, pa.int64()) for x in zip(*found)]
-            yield pa.RecordBatch.from_arrays(columns, names=["centre", "member"])
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
 
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -244,25 +262,31 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(spanning.where("lo < hi").select("band"), "band")
 
 
-def _rest(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of the buckets' classes in different components, in blocks.
+def _rest(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components of buckets that still span several.
 
-    The largest component of a bucket is only compared with the others' members, not
-    within itself.
+    Buckets that have classes in common are one cluster, so that each class comes once. The
+    largest component of a cluster is only compared with the other components' classes, not
+    within itself. Blocks of both sides meet with their texts: pairs are compared where they
+    meet and are no rows; what comes out are links that join components.
     """
-    sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
-    buckets = sizes.groupBy("band").agg(
+    centres = members.groupBy("band").agg(F.min("node").alias("b"))
+    clusters = components(members.join(centres, "band").select(F.col("node").alias("a"), "b"))
+    clusters = clusters.withColumnRenamed("root", "cluster")
+    members = members.select("node", "root").distinct().join(clusters, "node")
+    sizes = members.groupBy("cluster", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("cluster").agg(
         F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n")
     )
-    buckets = buckets.select(
-        "band",
+    sizes = sizes.select(
+        "cluster",
         F.col("top.root").alias("main"),
         F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("lefts"),
         F.ceil(F.col("n") / BLOCK).alias("rights"),
     )
-    rows = members.join(buckets, "band")
+    rows = members.join(sizes.where("lefts > 0"), "cluster")
     left = rows.where("root != main").select(
-        "band",
+        "cluster",
         F.expr("pmod(xxhash64(node, 2), lefts)").alias("i"),
         F.explode(F.expr("sequence(0L, rights - 1)")).alias("j"),
         F.lit(False).alias("right"),
@@ -270,20 +294,21 @@ def _rest(members: DataFrame, classes: DataFrame) -> DataFrame:
         "root",
     )
     right = rows.select(
-        "band",
+        "cluster",
         F.explode(F.expr("sequence(0L, lefts - 1)")).alias("i"),
         F.expr("pmod(xxhash64(node, 3), rights)").alias("j"),
         F.lit(True).alias("right"),
         "node",
         "root",
     )
+    wanted = classes.select("node", "signature").join(texts, "node")
     return (
         left.union(right)
-        .join(classes.select("node", "signature"), "node")
-        .repartition("band", "i", "j")
-        .sortWithinPartitions("band", "i", "j", "right")
-        .mapInArrow(_alike, "centre long, member long")
-        .distinct()
+        .join(wanted, "node")
+        .select("cluster", "i", "j", "right", "node", "root", "signature", "class", "text")
+        .repartition("cluster", "i", "j")
+        .sortWithinPartitions("cluster", "i", "j", "right")
+        .mapInArrow(_linked_blocks, "a long, b long")
     )
 
 
@@ -330,7 +355,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             left = written(_open(members, roots), "open")
             if left.isEmpty():
                 break
-        if turn < STAR_ROUNDS:
+        if turn == STAR_ROUNDS:
+            found = _rest(left, classes, texts)
+        else:
             by = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
             centres = left.groupBy("band").agg(
                 F.min(F.struct(by.alias("by"), F.col("node"))).alias("c")
@@ -345,10 +372,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     "root != coalesce(over, centre)"
                 )
             pairs = pairs.groupBy("node").agg(F.min("centre").alias("centre"))
-            pairs = pairs.select("centre", F.col("node").alias("member"))
-        else:
-            pairs = _rest(left, classes)
-        found = written(_verified(pairs, texts), "found")
+            found = _verified(pairs.select("centre", F.col("node").alias("member")), texts)
+        found = written(found, "found")
         if turn and turn < STAR_ROUNDS and found.isEmpty():
             continue
         links = found if links is None else links.union(found)

@@ -1,0 +1,67 @@
+import zstandard
+from brute import TEXTS, odd_documents
+from tokenizers import Tokenizer
+
+import numpy as np
+
+from ledgerlake.llm.token_output import read_token_files, train_dictionary, write_token_files
+from ledgerlake.llm.tokens import WORD_BPE, PartEncoder, vocabulary
+
+import pyarrow as pa
+
+
+def ids_of(text):
+    tokenizer = Tokenizer.from_file(vocabulary(WORD_BPE))
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def test_round_trip(odd, tmp_path):
+    path = str(tmp_path / "tokens")
+    write_token_files(odd, path, vocabulary(WORD_BPE), end_id=1, id_width=2)
+    rows = read_token_files(odd.sparkSession, path).collect()
+    order = sorted(
+        TEXTS, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")
+    )
+    start, expected = 0, []
+    for doc, text in order:
+        ids = ids_of(text)
+        expected.append((doc, start, len(ids), np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert sorted(map(tuple, rows), key=lambda x: x[1]) == expected
+
+
+def test_some_documents(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    rows = [(k, f"text number {k} " * (k % 7)) for k in range(900)]
+    write_token_files(odd_documents(spark, rows), path, vocabulary(WORD_BPE), end_id=1)
+    found = read_token_files(spark, path, doc_ids=[3, 700, 5000]).collect()
+    assert {x.doc_id: np.frombuffer(x.ids, "<u4").tolist() for x in found} == {
+        k: ids_of(rows[k][1]) for k in (3, 700)
+    }
+
+
+def test_empty(none, tmp_path):
+    path = str(tmp_path / "tokens")
+    write_token_files(none, path, vocabulary(WORD_BPE), end_id=1)
+    assert read_token_files(none.sparkSession, path).collect() == []
+
+
+def test_dictionary_of_few_samples_is_their_content():
+    assert train_dictionary([b"abc" * 4, b"xyz"]) == b"abc" * 4 + b"xyz"
+    assert train_dictionary([]) == b""
+
+
+def test_a_dictionary_helps_short_documents():
+    samples = [np.arange(k, k + 40, dtype="<u2").tobytes() for k in range(500)]
+    dictionary = zstandard.ZstdCompressionDict(train_dictionary(samples, 4096))
+    plain = len(zstandard.ZstdCompressor().compress(samples[7]))
+    assert len(zstandard.ZstdCompressor(dict_data=dictionary).compress(samples[7])) < plain
+
+
+def test_parts_give_the_ids_of_whole_texts():
+    tokenizer = Tokenizer.from_file(vocabulary(WORD_BPE))
+    texts = [text or "" for _, text in TEXTS]
+    texts += ["a ~ b~c ~~ ~", "x<|startoftext|>y", " \t a\r\nb c　d", "ΑΣ ΑΣ.", "İ I", "it's 'S"]
+    ids, offsets = PartEncoder(vocabulary(WORD_BPE)).encode(pa.array(texts))
+    for text, a, b in zip(texts, offsets[:-1], offsets[1:]):
+        assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
