@@ -43,7 +43,7 @@ BINS = (32, 64)
 SHARES = (1.0, 0.9, 0.7, 0.4)
 #: Documents of up to this part of a sequence weigh little in the fit: they fill gaps.
 SMALL = 1 / 16
-_STEP = 8 << 20
+_STEP = 4 << 20
 _PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, part int, own_rank long"
 )

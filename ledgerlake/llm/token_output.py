@@ -40,10 +40,10 @@ from ledgerlake.llm.tokens import part_encoder
 SAMPLE_DOCUMENTS = 2000
 SAMPLE_CHARS = 8000
 DICTIONARY_BYTES = 64 << 10
-BLOCK_DOCUMENTS = 512
-BLOCK_BYTES = 1 << 20
+BLOCK_DOCUMENTS = 256
+BLOCK_BYTES = 512 << 10
 LEVEL = 3
-_STEP = 8 << 20
+_STEP = 4 << 20
 
 _DICTIONARY = "dictionary_id string, id_width int, dictionary binary"
 _BLOCKS = (
@@ -76,8 +76,10 @@ def write_token_files(
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     kind = {2: np.dtype("<u2"), 4: np.dtype("<u4")}[id_width]
-    picked = docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
-    texts = picked.select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).toArrow()
+    picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCUMENTS)
+    picked = docs.where(F.col("doc_id").isin([x.doc_id for x in picked.collect()]))
+    texts = picked.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    texts = texts.limit(SAMPLE_DOCUMENTS).toArrow()
     ids, offsets = part_encoder(tokenizer).encode(texts["text"].combine_chunks())
     ids = ids.astype(kind)
     samples = [ids[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:]) if a < b]
@@ -89,7 +91,10 @@ def write_token_files(
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = part_encoder(tokenizer)
-        compress = zstandard.ZstdCompressor(level=LEVEL, **_frames(dictionary)).compress
+        shared = _frames(dictionary)
+        for prepared in shared.values():
+            prepared.precompute_compress(level=LEVEL)  # else each document prepares it anew
+        compress = zstandard.ZstdCompressor(level=LEVEL, **shared).compress
         end = np.array([end_id], kind).tobytes()
         part, block, start = TaskContext.get().partitionId(), 0, 0
         held: list[tuple[int | None, bytes, int]] = []
@@ -183,7 +188,8 @@ def read_token_files(
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor(**_frames(dictionary)).decompress
         for batch in batches:
-            for block in batch.to_pylist():
+            for at in range(batch.num_rows):
+                block = batch.slice(at, 1).to_pylist()[0]
                 payload, places, start = block["payload"], block["offsets"], block["start"]
                 rows = []
                 for k, (doc, n) in enumerate(zip(block["doc_ids"], block["n_tokens"])):

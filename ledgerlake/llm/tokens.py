@@ -1,12 +1,13 @@
 """Ids of whole texts by the tokenizers library, each distinct word encoded once.
 
-The vocabulary's pre-tokenizer never joins what a space or a line feed parts, so a text's
-ids are those of its parts one after another. The table of known parts is per worker and
-of bounded size.
+The vocabulary's pre-tokenizer never joins what a space or a line feed parts, nor a letter
+and a mark such as a comma after it, so a text's ids are those of its parts one after another.
+The table of known parts is per worker and of bounded size.
 """
 
 import os
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from tokenizers import Tokenizer
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks fill the cores
 
 WORD_BPE = "word_bpe_49k.json"
-_MOST_PARTS = 1_000_000
+_MOST_PARTS = 400_000
 #: Parts go to the library many at a time, this word between them; it is a token by itself.
 _BETWEEN = "~"
 _AT_ONCE = 200
@@ -33,48 +34,86 @@ class PartEncoder:
     def __init__(self, path: str):
         tokenizer = Tokenizer.from_file(path)
         self._encode = partial(tokenizer.encode_batch_fast, add_special_tokens=False)
-        self._between = tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
-        self._forget()
-
-    def _forget(self) -> None:
+        (self._between,) = tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        vocabulary_ = tokenizer.get_vocab()
+        self._ends_word = np.zeros(max(vocabulary_.values()) + 1, bool)
+        self._ends_word[[i for x, i in vocabulary_.items() if x.endswith("</w>")]] = True
         self._codes: dict[str, int] = {}
         self._lengths = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.uint32)
         self._starts = np.zeros(0, np.int64)
+        self._uses = np.zeros(0, np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keep the parts that occurred in several steps, at most half of the table."""
+        least = max(2, int(np.median(self._uses)) + 1)
+        kept = np.flatnonzero(self._uses >= least)
+        names = np.array(list(self._codes), object)[kept].tolist()
+        lengths, starts = self._lengths[kept], self._starts[kept]
+        ends = np.cumsum(lengths)
+        at = np.repeat(starts - ends + lengths, lengths) + np.arange(int(lengths.sum()))
+        self._codes = dict(zip(names, range(len(names))))
+        self._ids, self._lengths, self._starts = self._ids[at], lengths, ends - lengths
+        self._uses = np.zeros(len(names), np.int64)
 
     def _learn(self, parts: list[str]) -> None:
-        plain = [x for x in parts if _BETWEEN not in x]
-        odd = [x for x in parts if _BETWEEN in x]
-        joined = [
-            f" {_BETWEEN} ".join(plain[k : k + _AT_ONCE]) + f" {_BETWEEN}"
-            for k in range(0, len(plain), _AT_ONCE)
-        ]
-        ids = np.array([i for x in self._encode(joined) for i in x.ids], np.uint32)
-        ends = np.flatnonzero(ids == self._between[0])
-        lengths = np.diff(ends, prepend=-1) - 1
-        ids = np.delete(ids, ends)
-        if odd:
-            found = [x.ids for x in self._encode(odd)]
-            lengths = np.concatenate([lengths, [len(x) for x in found]]).astype(np.int64)
-            ids = np.concatenate([ids, np.array([i for x in found for i in x], np.uint32)])
-        parts = plain + odd
-        starts = len(self._ids) + np.cumsum(lengths) - lengths
-        self._codes.update(zip(parts, range(len(self._codes), len(self._codes) + len(parts))))
-        self._lengths = np.concatenate([self._lengths, lengths])
-        self._ids = np.concatenate([self._ids, ids])
+        """Add parts to the table, many of them in one call of the library.
+
+        Words of letters alone go with spaces between: if as many tokens end a word as there
+        are words, each word has one of them, its last. Others go with a word between that
+        is a token by itself, and those that hold it one by one.
+        """
+        letters = [x for x in parts if x.isalpha()]
+        others = [x for x in parts if not x.isalpha()]
+        done: list[list[str]] = []
+        ids: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
+        groups = [letters[k : k + _AT_ONCE] for k in range(0, len(letters), _AT_ONCE)]
+        for group, found in zip(groups, self._encode([" ".join(x) for x in groups])):
+            own = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(self._ends_word[own])
+            if len(ends) == len(group):
+                done.append(group)
+                ids.append(own)
+                lengths.append(np.diff(ends, prepend=-1))
+            else:
+                others += group
+        plain = [x for x in others if _BETWEEN not in x]
+        groups = [plain[k : k + _AT_ONCE] for k in range(0, len(plain), _AT_ONCE)]
+        joined = [f" {_BETWEEN} ".join(x) + f" {_BETWEEN}" for x in groups]
+        for group, found in zip(groups, self._encode(joined)):
+            own = np.array(found.ids, np.uint32)
+            ends = np.flatnonzero(own == self._between)
+            done.append(group)
+            ids.append(np.delete(own, ends))
+            lengths.append(np.diff(ends, prepend=-1) - 1)
+        odd = [x for x in others if _BETWEEN in x]
+        for part, found in zip(odd, self._encode(odd)):
+            done.append([part])
+            ids.append(np.array(found.ids, np.uint32))
+            lengths.append(np.array([len(found.ids)]))
+        counts = np.concatenate([np.zeros(0, np.int64), *lengths])
+        starts = len(self._ids) + np.cumsum(counts) - counts
+        new = chain.from_iterable(done)
+        self._codes.update(zip(new, range(len(self._codes), len(self._codes) + len(parts))))
+        self._lengths = np.concatenate([self._lengths, counts])
+        self._ids = np.concatenate([self._ids, *ids])
         self._starts = np.concatenate([self._starts, starts])
+        self._uses = np.concatenate([self._uses, np.zeros(len(parts), np.int64)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and where each text's begin, one entry longer."""
         spaced = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        spaced = pc.replace_substring_regex(spaced, r"(\pL)([.,;:!?])", r"\1 \2")
         lists = pc.split_pattern(spaced, " ")
         parts = lists.flatten().dictionary_encode()
         known = parts.dictionary.to_pylist()
         if len(self._codes) > _MOST_PARTS:
-            self._forget()
+            self._forget_rare()
         if new := [x for x in known if x not in self._codes]:
             self._learn(new)
         codes = np.fromiter(map(self._codes.__getitem__, known), np.int64, len(known))
+        self._uses[codes] += 1
         codes = codes[parts.indices.to_numpy(zero_copy_only=False)]
         lengths = self._lengths[codes]
         ends = np.cumsum(lengths)
