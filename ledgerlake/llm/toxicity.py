@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import steps, text_bytes
-from ledgerlake.llm.words import mixed, span_hashes
+from ledgerlake.llm.words import mixed, span_hashes, word_spans
 
 #: Labelled rows that are learned from, picked by a hash of doc_id; half of them for the words.
 TRAIN_ROWS = 20_000
@@ -105,12 +105,8 @@ class _Words:
 def _words(texts: pa.Array) -> _Words:
     lowered = pc.utf8_lower(texts.cast(pa.large_string()))
     data, offsets = text_bytes(lowered)
-    inside = np.concatenate([[False], _LETTER[data], [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    text = np.searchsorted(offsets, starts, "right") - 1
-    # A word at the very edge of two texts is cut there; the rare rest of it is left out.
-    ends = np.minimum(ends, offsets[text + 1])
+    starts, ends, before = word_spans(data, offsets, gap=~_LETTER)
+    text = np.repeat(np.arange(len(texts)), np.diff(before))
     keys = np.zeros((len(starts), len(PREFIXES) + 1), np.uint64)
     for k, size in enumerate(PREFIXES):
         long = np.flatnonzero(ends - starts > size)

@@ -22,24 +22,23 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _GAP
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of each word, and per text the number of words before it.
 
-    ``offsets`` says where each text begins, its last entry where the last one ends.
+    ``offsets`` says where each text begins, its last entry where the last one ends; a word
+    ends with its text. ``gap`` says of each byte whether it is between words.
     """
-    inside = ~_GAP[data]
-    first = inside.copy()
+    inside = ~gap[data]
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
-    begins = offsets[:-1][offsets[:-1] < offsets[1:]]
-    first[begins] = inside[begins]  # a word ends with its text
-    starts = np.flatnonzero(first)
-    last = inside.copy()
     last[:-1] &= ~inside[1:]
-    last[offsets[1:][offsets[:-1] < offsets[1:]] - 1] = inside[
-        offsets[1:][offsets[:-1] < offsets[1:]] - 1
-    ]
-    ends = np.flatnonzero(last) + 1
-    return starts, ends, np.searchsorted(starts, offsets)
+    filled = offsets[:-1] < offsets[1:]
+    begins, ends = offsets[:-1][filled], offsets[1:][filled] - 1
+    first[begins], last[ends] = inside[begins], inside[ends]
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
 def _powers(base: int, count: int) -> np.ndarray:
