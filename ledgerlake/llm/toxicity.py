@@ -8,9 +8,10 @@ negation or in reported speech. A clause scores the sum, and a document's clause
 become a probability by a logistic model.
 
 Threats, targets, negations and verbs of saying are short lists. Insults, as words and as
-beginnings of words, are learned: from half of a bounded sample of labelled rows, by the
-lower confidence bound of their log odds, each different text counted once. The other half
-fits the logistic model. Labels are only read where crc32(doc_id) mod 3 is not 1; language,
+beginnings of words, are learned from a bounded sample of labelled rows, by the lower
+confidence bound of their log odds, each different text counted once. The logistic model is
+fitted to one half of the sample with the insults of the other, as they will meet texts that
+they were not learned from. Labels are only read where crc32(doc_id) mod 3 is not 1; language,
 source and doc_id are no inputs of a score.
 
 NULL and empty texts score as texts without a match. Without labels of both kinds there
@@ -29,10 +30,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import steps, text_bytes
+from ledgerlake.llm.common import steps, text_bytes, written
 from ledgerlake.llm.words import mixed, span_hashes, word_spans
 
-#: Labelled rows that are learned from, picked by a hash of doc_id; half of them for the words.
+#: Labelled rows that are learned from, picked by a hash of doc_id.
 TRAIN_ROWS = 20_000
 #: Learned beginnings and words: documents they must be seen in, least weight, most of them.
 LEAST_SEEN, LEAST_WEIGHT, MOST_WORDS = 5, 2.0, 5000
@@ -222,6 +223,26 @@ def _seen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _lexicon(known: DataFrame, toxic: int, clean: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, and weights of what tells toxic texts from clean ones."""
+    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    weight = F.log(a / (toxic + 1)) - F.log(b / (clean + 1)) - 1.5 * F.sqrt(1 / a + 1 / b)
+    learned = (
+        known.mapInArrow(_seen, "key long, toxic long, clean long")
+        .groupBy("key")
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+        .where(F.col("toxic") >= LEAST_SEEN)
+        .select("key", weight.alias("weight"))
+        .where(F.col("weight") >= LEAST_WEIGHT)
+        .orderBy(F.desc("weight"), "key")
+        .limit(MOST_WORDS)
+        .toPandas()
+    )
+    keys = learned["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], learned["weight"].to_numpy(np.float64)[order]
+
+
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """Learn from at most ``rows`` labelled documents; see the module's text."""
     picked = (
@@ -231,35 +252,26 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    known = (
+    known = written(
         docs.select("doc_id", "text")
         .join(F.broadcast(picked), "doc_id")  # at most `rows` pairs of numbers
         .where("text is not null")
         .groupBy("text")
         .agg(F.max("toxic").alias("toxic"))
+        .withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2))),
+        "labelled",
     )
-    half = F.pmod(F.xxhash64("text"), F.lit(2))
-    first, second = known.where(half == 0), known.where(half == 1)
-    total = first.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
-    toxic, clean = total.toxic or 0, total.n - (total.toxic or 0)
-    if not toxic or not clean:
+    counts = known.groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()
+    n = {(x.half, bool(x.toxic)): x.n for x in counts}
+    first = [n.get((0, kind), 0) for kind in (True, False)]
+    both = [x + n.get((1, kind), 0) for x, kind in zip(first, (True, False))]
+    if not all(both):
         return Model(np.zeros(0, np.uint64), np.zeros(0))
-    a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
-    weight = F.log(a / (toxic + 1)) - F.log(b / (clean + 1)) - 1.5 * F.sqrt(1 / a + 1 / b)
-    learned = (
-        first.mapInArrow(_seen, "key long, toxic long, clean long")
-        .groupBy("key")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where(F.col("toxic") >= LEAST_SEEN)
-        .select("key", weight.alias("weight"))
-        .where(F.col("weight") >= LEAST_WEIGHT)
-        .orderBy(F.desc("weight"), "key")
-        .limit(MOST_WORDS)
-        .toPandas()
-    )
-    keys = learned["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    model = Model(keys[order], learned["weight"].to_numpy()[order])
+    final = Model(*_lexicon(known.drop("half"), *both))
+    if not all(first):
+        return final
+    model = Model(*_lexicon(known.where("half = 0").drop("half"), *first))
+    second = known.where("half = 1").drop("half")
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
@@ -272,9 +284,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     table = second.mapInArrow(features, "toxic int, a double, b double, c double, d double")
     table = table.toPandas()  # at most `rows` times five numbers
     if table["toxic"].nunique() < 2:
-        return model
+        return final
     fitted = fit_logistic(table[["a", "b", "c", "d"]].to_numpy(), table["toxic"].to_numpy())
-    return Model(model.keys, model.weights, fitted)
+    return Model(final.keys, final.weights, fitted)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
