@@ -26,6 +26,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -240,11 +241,13 @@ def _removed(window: int) -> Callable:
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for step in steps(batches, "text"):
             data, starts, ends, before = _read(step)
+            lists = step.column("spans")
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            spans = lists.flatten().to_numpy(zero_copy_only=False)
+            begin = np.repeat(before[:-1], counts)
             edges = np.zeros(len(starts) + 1, np.int64)
-            for k, spans in enumerate(step.column("spans").to_pylist()):
-                for span in spans or ():
-                    edges[before[k] + span["at"]] += 1
-                    edges[before[k] + span["till"] + window] -= 1
+            np.add.at(edges, begin + (spans >> 32), 1)
+            np.add.at(edges, begin + (spans & 0xFFFFFFFF) + window, -1)
             kept = np.cumsum(edges)[:-1] == 0
             normal, places = _normal(data, starts, ends)
             lost = np.concatenate([[0], np.cumsum(~kept)])
@@ -321,14 +324,11 @@ def remove_repeats(
     spans = marks.where("words is null").select("pack_id", "at", "till").union(
         opened.where("pack_id is not null").join(again, "words").select("pack_id", "at", "till")
     )
-    spans = spans.groupBy("pack_id").agg(F.collect_list(F.struct("at", "till")).alias("spans"))
-    moved = F.transform(
-        "spans",
-        lambda x: F.struct(
-            (x["at"] + F.col("first")).alias("at"), (x["till"] + F.col("first")).alias("till")
-        ),
-    )
+    # A span is one number, its first window times 2**32 plus its last one.
+    span = F.col("at") * (1 << 32) + F.col("till")
+    spans = spans.groupBy("pack_id").agg(F.collect_list(span).alias("spans"))
+    moved = F.transform("spans", lambda x: x + F.col("first") * ((1 << 32) + 1))
     by_row = packs.select("row_key", "first", "pack_id").join(spans, "pack_id")
     by_row = by_row.select("row_key", moved.alias("spans")).groupBy("row_key")
-    by_row = by_row.agg(F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"))
+    by_row = by_row.agg(F.flatten(F.collect_set("spans")).alias("spans"))
     return keyed.join(by_row, "row_key", "left").mapInArrow(_removed(window), _RESULT)
