@@ -30,7 +30,8 @@ from ledgerlake.llm.words import mixed
 
 BINS = 128
 _EMPTY = 0xFFFF
-_RANGES = 200  # of documents at least, as many as shuffle partitions if those are more
+#: Ranges of documents; as many as shuffle partitions, if those are more.
+_RANGES = 200
 _POINT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -109,9 +110,8 @@ def neighbours(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     spark = docs.sparkSession
     ranges = max(_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = docs.select(
-        F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)], 10_000)
-    ).first()[0]
+    shares = [k / ranges for k in range(1, ranges)]
+    cuts = docs.select(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0]
     bounds = sorted(set(cuts or []))
     placed = docs.select(_range_of(bounds, 0).alias("range"), "doc_id", "text")
     first = placed.groupBy("range").agg(
@@ -150,40 +150,47 @@ def _hex(signature_: np.ndarray) -> str:
     return signature_.astype(">u2").tobytes().hex()
 
 
+class _Sequence:
+    """Documents of one range in order; a row is ready when the next document is described."""
+
+    def __init__(self):
+        self._held: tuple[int | None, str] | None = None  # the last document
+        self._row: tuple | None = None  # of the one before it, but for the likeness to the last
+        self._own: np.ndarray | None = None
+        self._closed = False
+
+    def add(self, doc: int | None, text: str, extra: bool) -> list[tuple]:
+        """Rows that are ready; ``extra`` is the range's end, which gives no row itself."""
+        ready: list[tuple] = []
+        if self._closed:
+            return ready  # another row of the doc_id that follows the range
+        if self._held is not None:
+            last, own_text = self._held
+            own, changed, changed_own = text_and_edited(own_text, text)
+            if self._row is not None:
+                ready.append((*self._row, likeness(self._own, own)))
+            digest = hashlib.sha256(changed.encode()).hexdigest()
+            near = likeness(own, changed_own)
+            self._row = (last, len(own_text), digest, _hex(own), _hex(changed_own), near)
+            self._own = own
+            if extra:
+                ready.append((*self._row, likeness(own, signature(text, parse(text, set())))))
+        self._held, self._closed = (doc, text), extra
+        return ready
+
+
 def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fingerprints of each document beside those of its edited text and of the next one."""
-    range_, held, closed = None, None, False
-    rows: list[tuple] = []
-
-    def close(following: str, after: np.ndarray | None) -> None:
-        """Describe the held document now that the next text is known."""
-        doc, text = held
-        own, changed, changed_own = text_and_edited(text, following)
-        if pending:
-            rows.append((*pending[0], likeness(pending[1], own)))
-        digest = hashlib.sha256(changed.encode()).hexdigest()
-        pending[:] = [
-            (doc, len(text), digest, _hex(own), _hex(changed_own), likeness(own, changed_own)),
-            own,
-        ]
-        if after is not None:
-            rows.append((*pending[0], likeness(own, after)))
-            pending.clear()
-
-    pending: list = []
+    range_, sequence = None, _Sequence()
     for batch in batches:
+        rows: list[tuple] = []
         columns = (batch.column(x).to_pylist() for x in ("range", "doc_id", "text", "extra"))
         for at, doc, text, extra in zip(*columns):
             if at != range_:
-                range_, held, closed = at, None, False
-            if closed:
-                continue  # further rows of the next range's first doc_id
-            if held is not None:
-                close(text, signature(text, parse(text, set())) if extra else None)
-            held, closed = (doc, text), extra
+                range_, sequence = at, _Sequence()
+            rows += sequence.add(doc, text, extra)
         if rows:
             yield _batch(rows)
-            rows.clear()
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

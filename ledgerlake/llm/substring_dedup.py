@@ -217,7 +217,8 @@ def _counted(window: int) -> Callable:
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.int64())
             columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)]
-            return pa.RecordBatch.from_arrays(columns, names=["pack_id", "at", "till", "words", "n"])
+            names = ["pack_id", "at", "till", "words", "n"]
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         rows: list[tuple] = []
         names = ("minimiser", "part", "pack_id", "pack", "n", "parts")

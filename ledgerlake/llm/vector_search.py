@@ -294,7 +294,8 @@ def _search(geometry: Geometry, k: int):
                 if pack is None:
                     annuli.append((low, high, np.array(ids), geometry.matrix([raw])))
                 else:
-                    out += expand(pivot, pack, np.array(ids), geometry.matrix([raw]), bounds, annuli)
+                    queries = geometry.matrix([raw])
+                    out += expand(pivot, pack, np.array(ids), queries, bounds, annuli)
             if out:
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
