@@ -13,7 +13,7 @@ from ledgerlake.sources.catalog import register_gold
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ledgerlake", description="Landing to gold.")
-    parser.add_argument("--landing", required=True, help="directory of load_id=... folders of lines")
+    parser.add_argument("--landing", required=True, help="folders load_id=... of JSON lines")
     parser.add_argument("--root", required=True, help="root directory of the lake")
     parser.add_argument("--load-id", required=True, help="name of this batch of lines")
     parser.add_argument("--database", default="gold", help="database of the gold tables")

@@ -114,13 +114,11 @@ def run_gold(spark: SparkSession, paths: LakePaths) -> None:
     written = read_gold_trades(spark, paths.gold_trades)
     points = equity_points(read_account_events(spark, paths.account_events))
     keep = inheritable_thread_target(spark)
+    days, risk = daily_metrics(written), daily_risk(points, written)
     with ThreadPoolExecutor(2) as pool:
-        days = daily_metrics(written)
         tables = [
             pool.submit(keep(write_gold), days, paths.gold_daily_metrics, GOLD_DAILY_METRICS),
-            pool.submit(
-                keep(write_gold), daily_risk(points, written), paths.gold_daily_risk, GOLD_DAILY_RISK
-            ),
+            pool.submit(keep(write_gold), risk, paths.gold_daily_risk, GOLD_DAILY_RISK),
         ]
         for table in tables:
             table.result()
