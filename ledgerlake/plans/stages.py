@@ -78,10 +78,17 @@ def add_account(
     spark = events.sparkSession
     write_load(events, paths.account_events, load_id)
     events = read_account_events(spark, paths.account_events, load_id)
-    write_load(balance_rows(events, schema_version), paths.balances, load_id)
-    write_load(position_rows(events, schema_version), paths.positions, load_id)
-    rows = account_rows(events, schema_version)
-    return write_silver(rows, ACCOUNT_REQUIRED, paths.silver_account, load_id)
+    keep = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(2) as pool:
+        elements = [
+            pool.submit(keep(write_load), rows(events, schema_version), path, load_id)
+            for rows, path in ((balance_rows, paths.balances), (position_rows, paths.positions))
+        ]
+        pairs = account_rows(events, schema_version)
+        counts = write_silver(pairs, ACCOUNT_REQUIRED, paths.silver_account, load_id)
+        for element in elements:
+            element.result()
+    return counts
 
 
 def run_silver(
