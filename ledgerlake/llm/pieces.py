@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame
 from ledgerlake.llm.common import steps
 
 PIECE_BPE = "piece_bpe_32k.model"
-_MOST_PARTS = 400_000
-_MOST_NEIGHBOURS = 1_000_000
+_MOST_PARTS = 300_000
+_MOST_NEIGHBOURS = 400_000
 _SPACE = "▁"
 _NONE = -1 << 24  # no token: what is before a text
 _UNKNOWN_PENALTY = 10.0
