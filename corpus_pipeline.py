@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import line_dedup, near_duplicates, packing, toxicity
 from ledgerlake.llm import substring_dedup as substrings
-from ledgerlake.llm.common import read_table, written
+from ledgerlake.llm.common import read_table, small_batches, written
 from ledgerlake.llm.tokens import WORD_BPE, vocabulary
 
 
@@ -28,17 +28,20 @@ def _with_text(rows: DataFrame, names: list[str], text: Column) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; it learns from ``docs`` and the labels."""
+    small_batches(spark)
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of lines that repeat go, but for one occurrence."""
+    small_batches(spark)
     return _with_text(line_dedup.remove_repeated_chunks(docs), docs.columns, F.col("kept"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    small_batches(spark)
     kept = near_duplicates.near_duplicates(docs).where("kept").select("row_key", "component")
     # Other rows of the smallest doc_id may be in its group: one of them stays.
     grouped = kept.where("component is not null").groupBy("component")
@@ -50,6 +53,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that repeat go; texts that lose none keep their white space."""
+    small_batches(spark)
     left = substrings.remove_repeats(docs).where("n_removed > 0").select("row_key", "kept")
     rows = _keyed(docs).join(left.distinct(), "row_key", "left")
     return _with_text(rows, docs.columns, F.coalesce("kept", "row.text"))
@@ -57,6 +61,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences."""
+    small_batches(spark)
     return packing.pack(docs, vocabulary(WORD_BPE), end_id=0)
 
 

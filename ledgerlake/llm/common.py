@@ -17,6 +17,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a thousand rows, for some rows are whole texts of documents.
+
+    A batch of the default size holds ten thousand of them, in the executor and in its worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share, deleted when the session's JVM ends.
 
