@@ -1,22 +1,22 @@
 """The operators as queries over the test tables, with production parameters."""
 
 import json
-from collections.abc import Callable, Iterable, Iterator
+import zlib
+from collections.abc import Callable
 from functools import wraps
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlake.llm import chat, line_dedup, toxicity, vector_search
-from ledgerlake.llm.common import read_table, scratch_path, written
+from ledgerlake.llm.common import read_table, scratch_path, small_batches, written
 from ledgerlake.llm.fingerprints import fingerprints
 from ledgerlake.llm.near_duplicates import near_duplicates
 from ledgerlake.llm.packing import pack
 from ledgerlake.llm.pieces import PIECE_BPE, decode_ids, encode_texts
 from ledgerlake.llm.substring_dedup import remove_repeats
-from ledgerlake.llm.token_output import ids_crc32, read_token_files, write_token_files
+from ledgerlake.llm.token_output import read_token_files, write_token_files
 from ledgerlake.llm.tokens import WORD_BPE, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,18 +34,8 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_token_files(
         read_table(spark, sf_dir, "documents"), path, vocabulary(WORD_BPE), end_id=1, id_width=2
     )
-
-    def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crcs = [ids_crc32(x) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(crcs, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    return read_token_files(spark, path).mapInArrow(
-        digests, "doc_id long, start long, n_tokens long, ids_crc32 long"
-    )
+    found = read_token_files(spark, path, digest=zlib.crc32)
+    return found.withColumnRenamed("digest", "ids_crc32")
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,15 +103,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _small_batches(query: Query) -> Query:
-    """The query with Arrow batches of a thousand rows: some are whole texts of documents.
-
-    A batch of the default size holds ten thousand of them, in the executor and in its worker.
-    """
-
+def _in_small_batches(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        small_batches(spark)
         return query(spark, sf_dir)
 
     return run
@@ -141,7 +126,7 @@ _ALL: dict[str, Query] = {
     "op10_near_duplicates": op10_near_duplicates,
 }
 
-QUERIES: dict[str, Query] = {name: _small_batches(query) for name, query in _ALL.items()}
+QUERIES: dict[str, Query] = {name: _in_small_batches(query) for name, query in _ALL.items()}
 
 ORACLES: dict[str, str] = {
     "op4_top_k": vector_search.SQL,

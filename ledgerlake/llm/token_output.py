@@ -23,8 +23,7 @@ another. Other columns of the input play no part. An empty table writes no block
 """
 
 import hashlib
-import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -165,12 +164,16 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_token_files(
-    spark: SparkSession, path: str, doc_ids: list[int] | None = None
+    spark: SparkSession,
+    path: str,
+    doc_ids: list[int] | None = None,
+    digest: Callable[[bytes], int] | None = None,
 ) -> DataFrame:
-    """Every document's ids from the files: doc_id, start, ids.
+    """Every document's ids from the files: doc_id, start, n_tokens, ids.
 
-    With ``doc_ids`` only their frames are decompressed, and only blocks whose range of
-    documents holds one of them are read.
+    Ids are little-endian unsigned 32-bit integers. With ``doc_ids`` only their frames are
+    decompressed, and only blocks whose range of documents holds one of them are read. With
+    ``digest`` a document's ids stay where they are read, and its ``digest`` comes instead.
     """
     dictionary, width = spark.read.schema(_DICTIONARY).parquet(f"{path}/dictionary").select(
         "dictionary", "id_width"
@@ -184,6 +187,7 @@ def read_token_files(
             near = near | F.lit(doc).between(F.col("first_doc"), F.col("last_doc"))
         blocks = blocks.where(near)
     kind = np.dtype("<u2") if width == 2 else np.dtype("<u4")
+    names = ["doc_id", "start", "n_tokens", "digest" if digest else "ids"]
 
     def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor(**_frames(dictionary)).decompress
@@ -196,19 +200,17 @@ def read_token_files(
                     if wanted is None or doc in wanted:
                         raw = expand(payload[places[k] : places[k + 1]])
                         ids = np.frombuffer(raw, kind).astype("<u4")
-                        rows.append((doc, start, len(ids), ids.tobytes()))
+                        ids_ = ids.tobytes()
+                        rows.append((doc, start, len(ids), digest(ids_) if digest else ids_))
                     start += n
                 if rows:
-                    columns = zip(zip(*rows), (*[pa.int64()] * 3, pa.binary()))
+                    last = pa.int64() if digest else pa.binary()
+                    columns = zip(zip(*rows), (*[pa.int64()] * 3, last))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(values, kind_) for values, kind_ in columns],
-                        names=["doc_id", "start", "n_tokens", "ids"],
+                        names=names,
                     )
 
     slim = blocks.select("start", "doc_ids", "offsets", "n_tokens", "payload")
-    return slim.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary")
-
-
-def ids_crc32(ids: bytes) -> int:
-    """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(ids)
+    last = "digest long" if digest else "ids binary"
+    return slim.mapInArrow(documents, f"doc_id long, start long, n_tokens long, {last}")

@@ -38,7 +38,7 @@ class PartEncoder:
         vocabulary_ = tokenizer.get_vocab()
         self._ends_word = np.zeros(max(vocabulary_.values()) + 1, bool)
         self._ends_word[[i for x, i in vocabulary_.items() if x.endswith("</w>")]] = True
-        self._codes: dict[str, int] = {}
+        self._parts = pa.array([], pa.string())  # and, by the same index, of each part:
         self._lengths = np.zeros(0, np.int64)
         self._ids = np.zeros(0, np.uint32)
         self._starts = np.zeros(0, np.int64)
@@ -48,16 +48,15 @@ class PartEncoder:
         """Keep the parts that occurred in several steps, at most half of the table."""
         least = max(2, int(np.median(self._uses)) + 1)
         kept = np.flatnonzero(self._uses >= least)
-        names = np.array(list(self._codes), object)[kept].tolist()
         lengths, starts = self._lengths[kept], self._starts[kept]
         ends = np.cumsum(lengths)
         at = np.repeat(starts - ends + lengths, lengths) + np.arange(int(lengths.sum()))
-        self._codes = dict(zip(names, range(len(names))))
+        self._parts = self._parts.take(pa.array(kept))
         self._ids, self._lengths, self._starts = self._ids[at], lengths, ends - lengths
-        self._uses = np.zeros(len(names), np.int64)
+        self._uses = np.zeros(len(kept), np.int64)
 
-    def _learn(self, parts: list[str]) -> None:
-        """Add parts to the table, many of them in one call of the library.
+    def _learn(self, parts: list[str]) -> pa.Array:
+        """Add parts to the table, in the order that is returned, many of them in one call of the library.
 
         Words of letters alone go with spaces between: if as many tokens end a word as there
         are words, each word has one of them, its last. Others go with a word between that
@@ -94,26 +93,35 @@ class PartEncoder:
             lengths.append(np.array([len(found.ids)]))
         counts = np.concatenate([np.zeros(0, np.int64), *lengths])
         starts = len(self._ids) + np.cumsum(counts) - counts
-        new = chain.from_iterable(done)
-        self._codes.update(zip(new, range(len(self._codes), len(self._codes) + len(parts))))
+        new = pa.array(list(chain.from_iterable(done)), pa.string())
+        self._parts = pa.concat_arrays([self._parts, new])
         self._lengths = np.concatenate([self._lengths, counts])
         self._ids = np.concatenate([self._ids, *ids])
         self._starts = np.concatenate([self._starts, starts])
         self._uses = np.concatenate([self._uses, np.zeros(len(parts), np.int64)])
+        return new
+
+    def _index(self, parts: pa.Array) -> np.ndarray:
+        """The table's index of each of the parts, which are distinct."""
+        if len(self._parts) > _MOST_PARTS:
+            self._forget_rare()
+        found = pc.index_in(parts, value_set=self._parts)
+        out = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if found.null_count:
+            first = len(self._parts)
+            unknown = parts.filter(pc.is_null(found))
+            learned = self._learn(unknown.to_pylist())
+            out[out < 0] = first + pc.index_in(unknown, value_set=learned).to_numpy()
+        self._uses[out] += 1
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, and where each text's begin, one entry longer."""
         spaced = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
         spaced = pc.replace_substring_regex(spaced, r"(\pL)([.,;:!?])", r"\1 \2")
         lists = pc.split_pattern(spaced, " ")
-        parts = lists.flatten().dictionary_encode()
-        known = parts.dictionary.to_pylist()
-        if len(self._codes) > _MOST_PARTS:
-            self._forget_rare()
-        if new := [x for x in known if x not in self._codes]:
-            self._learn(new)
-        codes = np.fromiter(map(self._codes.__getitem__, known), np.int64, len(known))
-        self._uses[codes] += 1
+        parts = lists.flatten().cast(pa.string()).dictionary_encode()
+        codes = self._index(parts.dictionary)
         codes = codes[parts.indices.to_numpy(zero_copy_only=False)]
         lengths = self._lengths[codes]
         ends = np.cumsum(lengths)
