@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from ledgerlake.llm.common import steps
 
 PIECE_BPE = "piece_bpe_32k.model"
-_MOST_PARTS = 300_000
+_MOST_PARTS = 200_000
 _MOST_NEIGHBOURS = 400_000
 _SPACE = "▁"
 _NONE = -1 << 24  # no token: what is before a text
@@ -48,15 +48,23 @@ _LOOK = 32
 
 
 class _Parts(dict):
-    """Parts and their ids; a part that is not there is searched for, and then is."""
+    """Parts and their ids; a part that is not there is searched for, and then is.
+
+    A full table becomes the old one, from which parts that occur again come back.
+    """
 
     def __init__(self, search: Callable[[str], tuple[int, ...]]):
         self._search = search
+        self._old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, part: str) -> tuple[int, ...]:
         if len(self) >= _MOST_PARTS:
+            self._old = dict(self)
             self.clear()
-        found = self[part] = self._search(part)
+        found = self._old.get(part)
+        if found is None:
+            found = self._search(part)
+        self[part] = found
         return found
 
 
@@ -137,41 +145,35 @@ class PieceCoder:
 
         A token is a piece's id, or -1 minus the code point of a character of no piece.
         """
-        tree, scores, remembered = self._tree, self._scores, self._neighbours
+        tree, remembered, unigram = self._tree, self._neighbours, self.unigram
         tokens: list[int] = [_NONE]  # of each node of the window, the best edge's token
         begins: list[int] = [0]  # and the node where it begins
-        total = [0.0]
+        total = [0.0]  # and for unigrams the path's sum
         first = 0  # the window's first node: everything before it is given out
         for end in range(1, len(text) + 1):
-            node, start, edges = tree, end, []
-            while start > first:
-                start -= 1
-                node = node.get(text[start])
-                if node is None:
-                    break
-                if "" in node:
-                    edges.append((start, node[""]))
-            if not edges or edges[0][0] != end - 1:
-                edges.insert(0, (end - 1, -1 - ord(text[end - 1])))
-            best = begin = None
-            value = 0.0
-            if self.unigram:
-                for start, token in reversed(edges):
-                    own = self._unknown if token < 0 else scores[token]
-                    if best is None or total[start - first] + own > value:
-                        best, begin, value = token, start, total[start - first] + own
+            if unigram:
+                best, begin, value = self._largest_sum(text, end, first, total)
+                total.append(value)
             else:
-                for start, token in reversed(edges):
-                    left = tokens[start - first]
-                    agree = remembered.get((left, token))
-                    if agree is None:
-                        agree = self._agree(left, token)
-                    if agree:
-                        best, begin = token, start
+                node, start, best = tree, end, None
+                while start > first:
+                    start -= 1
+                    node = node.get(text[start])
+                    if node is None:
                         break
+                    token = node.get("")
+                    if token is not None:
+                        left = tokens[start - first]
+                        agree = remembered.get((left, token))
+                        if agree is None:
+                            agree = self._agree(left, token)
+                        if agree:  # no other edge does
+                            best, begin = token, start
+                            break
+                if best is None:
+                    best, begin = -1 - ord(text[end - 1]), end - 1
             tokens.append(best)
             begins.append(begin)
-            total.append(value)
             if end % _LOOK == 0 or end == len(text):
                 meet = end if end == len(text) else self._meeting(begins, first, end)
                 settled = []
@@ -183,6 +185,24 @@ class PieceCoder:
                 del tokens[: meet - first], begins[: meet - first], total[: meet - first]
                 first = meet
 
+    def _largest_sum(
+        self, text: str, end: int, first: int, total: list[float]
+    ) -> tuple[int, int, float]:
+        """Token, begin and sum of the best path to a node, the longest token of equals."""
+        best = (-1 - ord(text[end - 1]), end - 1, total[end - 1 - first] + self._unknown)
+        node, start = self._tree, end
+        while start > first:
+            start -= 1
+            node = node.get(text[start])
+            if node is None:
+                break
+            token = node.get("")
+            if token is not None:
+                value = total[start - first] + self._scores[token]
+                if value >= best[2]:
+                    best = (token, start, value)
+        return best
+
     def _meeting(self, begins: list[int], first: int, last: int) -> int:
         """The node in which the paths back from all open nodes meet."""
         open_ = set(range(max(first, last - self._longest + 1), last + 1))
