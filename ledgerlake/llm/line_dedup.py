@@ -16,6 +16,8 @@ along, whatever their names.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import written
+
 #: One line in so many ends a chunk.
 EVERY = 3
 _BASE = 31
@@ -97,10 +99,13 @@ def remove_repeated_chunks(docs: DataFrame, every: int = EVERY) -> DataFrame:
             F.min("first").alias("first"),
         )
         .where("n > 1 and bodies = 1")
+        .select("hash", "size", "first")
     )
+    # Written: the join can split a hot chunk where both its sides are tables.
+    repeated = written(repeated, "repeated")
     removed = (
         placed.select("row_key", "at", "hash", "size")
-        .join(repeated.select("hash", "size", "first"), ["hash", "size"])
+        .join(repeated, ["hash", "size"])
         .where("row_key != first.row_key or at != first.at")
         .groupBy("row_key")
         .agg(F.collect_set("at").alias("removed"))

@@ -178,6 +178,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     the centre, so a centre of a third of all classes is no task's burden.
     """
     sizes = pairs.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    sizes = written(sizes, "centres")
     member = pairs.join(sizes, "centre").select(
         "centre",
         F.expr("pmod(xxhash64(member, 1), parts)").alias("part"),
@@ -259,7 +260,7 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
         "band", "node", F.coalesce("root", "node").alias("root")
     )
     spanning = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    return rooted.join(spanning.where("lo < hi").select("band"), "band")
+    return rooted.join(written(spanning.where("lo < hi").select("band"), "spanning"), "band")
 
 
 def _rest(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -339,7 +340,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     bands = classes.select("node", "signature").mapInArrow(_banded, "band long, node long")
     buckets = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    members = written(bands.join(buckets, "band"), "members")
+    # Written: a join can split a hot bucket where both its sides are tables.
+    members = written(bands.join(written(buckets, "buckets"), "band"), "members")
     compared = members.select("node").distinct()
     texts = written(
         classes.select("node", "class", "row_key")
@@ -362,6 +364,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             centres = left.groupBy("band").agg(
                 F.min(F.struct(by.alias("by"), F.col("node"))).alias("c")
             )
+            centres = written(centres, "stars")
             pairs = left.join(centres, "band").select(
                 "node", F.col("c.node").alias("centre"), *(["root"] if turn else [])
             )
@@ -372,7 +375,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     "root != coalesce(over, centre)"
                 )
             pairs = pairs.groupBy("node").agg(F.min("centre").alias("centre"))
-            found = _verified(pairs.select("centre", F.col("node").alias("member")), texts)
+            pairs = written(pairs.select("centre", F.col("node").alias("member")), "pairs")
+            found = _verified(pairs, texts)
         found = written(found, "found")
         if turn and turn < STAR_ROUNDS and found.isEmpty():
             continue

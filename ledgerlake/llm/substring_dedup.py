@@ -291,8 +291,10 @@ def remove_repeats(
         ),
         "minimisers",
     )
+    # Written, as are the spans below: a join can split a hot key where both its sides are tables.
     shared = found.groupBy("minimiser").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = found.join(shared.select("minimiser"), "minimiser").groupBy("row_key")
+    shared = written(shared.select("minimiser"), "shared")
+    wanted = found.join(shared, "minimiser").groupBy("row_key")
     wanted = wanted.agg(F.collect_set("minimiser").alias("shared"))
     packs = written(
         keyed.select("row_key", "text")
@@ -327,7 +329,7 @@ def remove_repeats(
     )
     # A span is one number, its first window times 2**32 plus its last one.
     span = F.col("at") * (1 << 32) + F.col("till")
-    spans = spans.groupBy("pack_id").agg(F.collect_list(span).alias("spans"))
+    spans = written(spans.groupBy("pack_id").agg(F.collect_list(span).alias("spans")), "spans")
     moved = F.transform("spans", lambda x: x + F.col("first") * ((1 << 32) + 1))
     by_row = packs.select("row_key", "first", "pack_id").join(spans, "pack_id")
     by_row = by_row.select("row_key", moved.alias("spans")).groupBy("row_key")
