@@ -5,7 +5,8 @@ where a chunk ends. So the same lines are cut at the same places wherever they s
 insertion shifts what follows but moves no later boundary. A chunk of two or more lines
 that also occurs elsewhere, byte by byte, is removed but for one occurrence: the one with
 the smallest doc_id, row key and place. Single lines stay, and so do all lines between
-repeated chunks.
+repeated chunks. Runs that a cut divides from their surroundings at other places are missed;
+:func:`remove_repeated_runs` removes every repeated run.
 
 Every row is kept, with what is left of its text, lines joined by line feeds. A NULL text
 stays NULL and has no lines; an empty text has one. Rows that repeat both doc_id and text
@@ -128,7 +129,70 @@ def remove_repeated_chunks(docs: DataFrame, every: int = EVERY) -> DataFrame:
     )
 
 
-#: The same in SQL over ``documents``; {every} as above.
+def remove_repeated_runs(docs: DataFrame) -> DataFrame:
+    """As :func:`remove_repeated_chunks`, of every repeated run of two or more lines, wherever cut.
+
+    A line goes if it is in a run of two or more lines that also stands earlier, by doc_id,
+    row key and place, and not overlapping it. Such a run is made of pairs of neighbours that
+    stand earlier, so pairs are what is looked for. The first place of every line stays.
+
+    All pairs travel as hashes; those whose hash repeats are compared byte by byte.
+    """
+
+    def column(rows: DataFrame, name: str, value: Column) -> DataFrame:
+        return rows.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
+    source = keyed.where("row.text is not null").select(
+        "row_key", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")
+    )
+    lines = F.split("text", "\n", -1)
+    rows = column(source.select("row_key", "text"), "lines", lines)
+    hashes = F.zip_with(
+        F.slice("lines", 1, F.size("lines") - 1),
+        F.slice("lines", 2, F.size("lines") - 1),
+        lambda one, two: F.xxhash64(one, two),
+    )
+    placed = rows.select("row_key", F.posexplode(hashes).alias("at", "hash"))
+    shared = placed.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # Written, as are both sides of the join by pair: joins can split a hot pair.
+    shared = written(shared, "shared_pairs")
+    wanted = placed.join(shared, "hash").groupBy("row_key")
+    wanted = wanted.agg(F.collect_set("at").alias("wanted"))
+    rows = column(source.join(wanted, "row_key"), "lines", lines)
+    pairs = F.transform(
+        "wanted",
+        lambda i: F.struct(
+            i.alias("at"), F.concat(F.col("lines")[i], F.lit("\n"), F.col("lines")[i + 1]).alias("pair")
+        ),
+    )
+    found = written(rows.select("row_key", "doc_id", F.inline(pairs)), "pairs")
+    place = F.struct("doc_id", "row_key", "at")
+    first = found.groupBy("pair").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = written(first.where("not first <=> last").select("pair", "first"), "first_pairs")
+    removed = (
+        found.join(first, "pair")
+        .where("row_key != first.row_key or at > first.at + 1")
+        .groupBy("row_key")
+        .agg(F.collect_set("at").alias("removed"))
+    )
+    rows = keyed.join(removed, "row_key", "left").select("*", F.col("row.text").alias("text"))
+    rows = column(rows, "lines", lines)
+    gone = F.array_union("removed", F.transform("removed", lambda i: i + 1))
+    every_one = F.sequence(F.lit(0), F.size("lines") - 1)
+    rows = column(rows, "left", F.when(F.col("removed").isNotNull(), F.array_except(every_one, gone)))
+    body = F.array_join(F.transform("left", lambda i: F.col("lines")[i]), "\n")
+    n_lines = F.when(F.col("text").isNotNull(), F.size("lines")).otherwise(0).cast("long")
+    n_removed = F.when(F.col("left").isNotNull(), F.size("lines") - F.size("left")).otherwise(0)
+    return rows.select(
+        "row",
+        F.when(F.col("left").isNull(), F.col("text")).otherwise(body).alias("kept"),
+        n_lines.alias("n_lines"),
+        n_removed.cast("long").alias("n_removed"),
+    )
+
+
+#: :func:`remove_repeated_chunks` in SQL over ``documents``; {every} as above.
 SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
