@@ -1,9 +1,16 @@
 """Chat formatting: records of different layouts to canonical turns, and turns to one template.
 
 A record's layout is known by its fingerprint: a hash of the set of its nested field paths
-(NULL fields don't count). :data:`LAYOUTS` declares for each layout which paths it needs,
-which it may have, and where roles and texts are; every combination has its fingerprint, so
-a record is looked up, not guessed at. Records of no layout give one row with a NULL role.
+that any layout declares (NULL fields don't count, but where a layout needs them).
+:data:`LAYOUTS` declares for each layout which paths it needs, which it may have, and where
+roles and texts are; every combination has its fingerprint, so a record is looked up, not
+guessed at. A content may be a list of parts with texts, which follow one another.
+
+Leaves that no layout declares are left out and counted (``ignored``). Where more than that
+would be lost, a record has no layout: if it has fields of several layouts, something other
+than text in the place of a text, undeclared leaves in a turn without text, or no turn.
+Records of no layout give one row with a NULL role that holds the ``record`` as it is;
+:func:`unmatched` gives these, and :func:`format_records` writes and counts them.
 
 The template marks a turn as ``<|im_start|>role LF text<|im_end|>LF``. Wherever a text holds
 ``<`` and ``|`` with any number of backslashes between them, one more backslash is put
@@ -25,9 +32,11 @@ from dataclasses import dataclass
 from itertools import chain, combinations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import written
+
 START, END = "<|im_start|>", "<|im_end|>"
 LOSS_ROLE = "assistant"
 _MARK = re.compile(r"<(\\*)\|")
@@ -57,7 +66,16 @@ def _fields(*names: str) -> frozenset[str]:
 
 LAYOUTS = (
     Layout(_fields(), _fields("turn", "role", "text"), path="", text="text"),
-    Layout(_fields("messages[].role"), _fields("messages[].content"), path="messages"),
+    Layout(
+        _fields("messages[].role"),
+        _fields(
+            "messages[].content",
+            "messages[].content[]",
+            "messages[].content[].text",
+            "messages[].content[].type",
+        ),
+        path="messages",
+    ),
     Layout(
         _fields("conversations[].from"),
         _fields("conversations[].value"),
@@ -83,15 +101,15 @@ LAYOUTS = (
 )
 
 
-def field_paths(value: object, path: str = "") -> Iterator[str]:
-    """Paths of all leaves that are not NULL; ``[]`` stands for any place in a list."""
+def field_paths(value: object, path: str = "", null: bool = False) -> Iterator[str]:
+    """Paths of all leaves that are not NULL, or are; ``[]`` stands for any place in a list."""
     if isinstance(value, dict):
         for name, inner in value.items():
-            yield from field_paths(inner, f"{path}.{name}" if path else name)
+            yield from field_paths(inner, f"{path}.{name}" if path else name, null)
     elif isinstance(value, list):
         for inner in value:
-            yield from field_paths(inner, f"{path}[]")
-    elif value is not None:
+            yield from field_paths(inner, f"{path}[]", null)
+    elif (value is None) == null:
         yield path
 
 
@@ -113,29 +131,87 @@ def _registry() -> dict[str, Layout]:
 _BY_FINGERPRINT = _registry()
 
 
-def _at(record: dict, path: str) -> str | None:
-    value: object = record
+_DECLARED = frozenset().union(*(x.needs | x.may for x in LAYOUTS))
+
+
+def _value(record: object, path: str) -> object:
     for name in path.split("."):
-        value = value.get(name) if isinstance(value, dict) else None
+        record = record.get(name) if isinstance(record, dict) else None
+    return record
+
+
+def _text(value: object) -> str | None:
+    """A text, or the texts of a list of parts one after another."""
+    if isinstance(value, list):
+        return "".join(_text(x.get("text") if isinstance(x, dict) else x) or "" for x in value)
+    if isinstance(value, dict):  # without leaves, or its record has no layout
+        return None
     return None if value is None else str(value)
 
 
-def turns_of(record: dict) -> tuple[str, list[tuple[int | None, str, str]] | None]:
-    """The record's fingerprint and its turns (number, role, text), None for no layout."""
-    mark = fingerprint(field_paths(record))
-    layout = _BY_FINGERPRINT.get(mark)
-    if layout is None:
-        return mark, None
+def _at(record: object, path: str) -> str | None:
+    return _text(_value(record, path))
+
+
+def _layout_of(record: dict, leaves: list[str]) -> tuple[str, Layout | None]:
+    """The fingerprint of the record's declared paths and its layout."""
+    known = _DECLARED.intersection(leaves)
+    mark = fingerprint(known)
+    if not known:  # a turn whose fields are all NULL, if it has no others
+        return mark, LAYOUTS[0] if LAYOUTS[0].may.issuperset(record) and not leaves else None
+    if mark in _BY_FINGERPRINT:
+        return mark, _BY_FINGERPRINT[mark]
+    nulls = set(field_paths(record, null=True))
+
+    def is_null(path: str) -> bool:
+        return path in nulls or any(path.startswith(f"{x}.") for x in nulls)
+
+    fit = [
+        x
+        for x in LAYOUTS
+        if known <= x.needs | x.may and x.needs and all(map(is_null, x.needs - known))
+    ]
+    return (fingerprint(known | fit[0].needs), fit[0]) if len(fit) == 1 else (mark, None)
+
+
+def _loses(record: dict, layout: Layout, known: frozenset[str], leaves: set[str]) -> bool:
+    """Whether more than undeclared leaves beside a text would be left out."""
+    others = leaves - known
+    below = tuple(x + mark for x in known for mark in ".[")
+    if any(x.startswith(below) for x in others):
+        return True
+    if layout.path is None:
+        return bool(others) and not all(_at(record, x) for x in layout.needs)
+    prefix = f"{layout.path}[]" if layout.path else ""
+    for item in record[layout.path] if layout.path else [record]:
+        parts = _value(item, layout.text)
+        for part in parts if isinstance(parts, list) else ():
+            if isinstance(part, dict) and part.get("text") is None and any(field_paths(part)):
+                return True
+        if others and not _text(parts) and not known.issuperset(field_paths(item, prefix)):
+            return True
+    return False
+
+
+def read_record(record: dict) -> tuple[str, list[tuple[int | None, str, str]] | None, int]:
+    """The record's fingerprint, its turns (number, role, text), None for no layout, and the
+    number of its leaves that are ignored."""
+    leaves = list(field_paths(record))
+    mark, layout = _layout_of(record, leaves)
+    known = layout.needs | layout.may if layout else frozenset()
+    if layout is None or _loses(record, layout, known, set(leaves)):
+        return fingerprint(leaves), None, 0
+    ignored = sum(x not in known for x in leaves)
     if layout.path is None:
         found = []
         for role, paths in layout.turns:
             texts = [x for path in paths.split("\n") if (x := _at(record, path)) is not None]
-            if texts:
+            if texts or layout.needs.intersection(paths.split("\n")):
                 found.append((len(found), role, "\n".join(texts)))
-        return mark, found
+        return mark, found, ignored
     items = record[layout.path] if layout.path else [record]
     names = dict(layout.roles)
-    return mark, [
+    turns = [
         (
             item.get("turn") if not layout.path else k,
             names.get(role := _at(item, layout.role) or "", role),
@@ -143,13 +219,26 @@ def turns_of(record: dict) -> tuple[str, list[tuple[int | None, str, str]] | Non
         )
         for k, item in enumerate(items)
     ]
+    return mark, turns, ignored
+
+
+def turns_of(record: dict) -> tuple[str, list[tuple[int | None, str, str]] | None]:
+    """The record's fingerprint and its turns (number, role, text), None for no layout."""
+    return read_record(record)[:2]
 
 
-_TURNS = "conv_id long, fingerprint string, turn long, role string, text string"
+_TURNS = (
+    "conv_id long, fingerprint string, turn long, role string, text string, ignored long, "
+    "record string"
+)
 
 
 def canonical_turns(records: DataFrame) -> DataFrame:
-    """Turns (conv_id, fingerprint, turn, role, text) of records (conv_id, record as JSON)."""
+    """Turns (conv_id, fingerprint, turn, role, text) of records (conv_id, record as JSON).
+
+    A record's first turn has the number of leaves that are ``ignored``, the others 0. Only
+    the row of a record of no layout has the ``record``.
+    """
 
     def turns(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,13 +248,16 @@ def canonical_turns(records: DataFrame) -> DataFrame:
                     record = json.loads(raw or "null")
                 except ValueError:
                     record = None
-                mark, found = turns_of(record) if isinstance(record, dict) else (None, None)
+                mark, found, n = (None, None, 0)
+                if isinstance(record, dict):
+                    mark, found, n = read_record(record)
                 if found is None:
-                    rows.append((conv, mark, None, None, None))
+                    rows.append((conv, mark, None, None, None, 0, raw))
                 else:
-                    rows += [(conv, mark, *turn) for turn in found]
+                    rows += [(conv, mark, *x, 0 if k else n, None) for k, x in enumerate(found)]
             if rows:
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string())
+                long, text = pa.int64(), pa.string()
+                kinds = (long, text, long, text, text, long, text)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)],
                     names=[x.split()[0] for x in _TURNS.split(", ")],
@@ -234,6 +326,27 @@ def format_turns(turns: DataFrame) -> DataFrame:
     return slim.mapInArrow(formatted, _FORMATTED)
 
 
+def unmatched(turns: DataFrame) -> DataFrame:
+    """The records of no layout (conv_id, fingerprint of all paths, record) among the turns."""
+    return turns.where("role is null").select("conv_id", "fingerprint", "record")
+
+
+def format_records(records: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Formatted turns and records of no layout as written tables, and what was counted.
+
+    Counts are of records of no layout (``unmatched``) and of leaves left out (``ignored``),
+    taken while the turns are written. The records are read again only if some match none.
+    """
+    turns, seen = canonical_turns(records), Observation()
+    counted = turns.observe(
+        seen, F.count_if(F.col("role").isNull()).alias("unmatched"), F.sum("ignored").alias("ignored")
+    )
+    formatted = written(format_turns(counted), "formatted")
+    counts = {name: seen.get.get(name) or 0 for name in ("unmatched", "ignored")}
+    rest = unmatched(turns)
+    return formatted, written(rest if counts["unmatched"] else rest.limit(0), "unmatched"), counts
+
+
 _DIGESTS = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
     "formatted_chars long"

@@ -1,6 +1,7 @@
 """The operators as queries over the test tables, with production parameters."""
 
 import json
+import logging
 import zlib
 from collections.abc import Callable
 from functools import wraps
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlake.llm import chat, line_dedup, toxicity, vector_search
-from ledgerlake.llm.common import read_table, scratch_path, small_batches, written
+from ledgerlake.llm.common import read_table, scratch_path, small_batches
 from ledgerlake.llm.fingerprints import fingerprints
 from ledgerlake.llm.near_duplicates import near_duplicates
 from ledgerlake.llm.packing import pack
@@ -90,8 +91,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format all conversations and one of template marks, and digest what is read back."""
     rows = chat.turn_records(read_table(spark, sf_dir, "conversations"))
     hostile = spark.createDataFrame([(-1, json.dumps(_HOSTILE))], "conv_id long, record string")
-    formatted = chat.format_turns(chat.canonical_turns(rows.union(hostile)))
-    return chat.digests(written(formatted, "formatted"))
+    formatted, rest, counts = chat.format_records(rows.union(hostile))
+    if any(counts.values()):
+        logging.getLogger(__name__).warning("op7_chat: %s %s", counts, rest.inputFiles()[:1])
+    return chat.digests(formatted)
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

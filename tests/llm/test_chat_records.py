@@ -1,0 +1,80 @@
+import json
+
+import pytest
+
+from ledgerlake.llm import chat
+
+TURNS = [("user", "q"), ("assistant", "a")]
+MESSAGES = [{"role": role, "content": text} for role, text in TURNS]
+
+
+def parts(*texts):
+    return [{"type": "text", "text": x} for x in texts]
+
+
+@pytest.mark.parametrize(
+    ("record", "expected", "ignored"),
+    [
+        ({"id": 7, "messages": MESSAGES, "metadata": {"tags": ["x", "y"]}}, TURNS, 3),
+        ({"messages": [{**x, "name": "n", "tool": {"k": 1}} for x in MESSAGES]}, TURNS, 4),
+        ({"messages": [{"role": "user", "content": parts("q", "r")}, MESSAGES[1]]},
+         [("user", "qr"), TURNS[1]], 0),
+        ({"messages": [{"role": "user", "content": ["q", "r"]}]}, [("user", "qr")], 0),
+        ({"messages": [{"role": "user", "content": []}]}, [("user", "")], 0),
+        ({"messages": [{"role": None, "content": "q"}]}, [("", "q")], 0),
+        ({"prompt": "q", "completion": None}, [("user", "q"), ("assistant", "")], 0),
+        ({"prompt": {"text": "q", "id": 1}, "response": {"text": "a"}}, TURNS, 1),
+        ({"prompt": {"text": "q"}, "response": None}, [("user", "q"), ("assistant", "")], 0),
+        ({"prompt": "q", "completion": "a", "messages": None, "score": 0.5}, TURNS, 1),
+        ({"turn": 1, "role": "user", "text": "q", "id": "x"}, [("user", "q")], 1),
+        ({}, [("", "")], 0),
+    ],
+)
+def test_undeclared_leaves_parts_and_nulls(record, expected, ignored):
+    _, turns, n = chat.read_record(record)
+    assert [turn[1:] for turn in turns] == expected
+    assert n == ignored
+
+
+@pytest.mark.parametrize(
+    "record",
+    [
+        {"messages": []},
+        {"messages": [None]},
+        {"id": 1},
+        {"messages": MESSAGES, "system": "s"},
+        {"prompt": None, "completion": None},
+        {"turn": 1, "utterance": "q"},
+        {"role": "user", "text": ["q"]},
+        {"messages": [{"role": "user", "parts": ["q"]}]},
+        {"messages": [*MESSAGES, {"role": "assistant", "content": None, "tool_calls": [{"f": "g"}]}]},
+        {"messages": [{"role": "user", "content": [*parts("q"), {"type": "image"}]}]},
+        {"messages": [{"role": "user", "content": [*parts("q"), {"image_url": {"url": "u"}}]}]},
+        {"conversations": [{"from": "gpt", "value": {"text": "a"}}]},
+        {"prompt": "q", "completion": None, "answer": "a"},
+    ],
+)
+def test_what_would_be_lost_has_no_layout(record):
+    assert chat.turns_of(record)[1] is None
+
+
+def test_records_of_no_layout_are_written_and_counted(spark):
+    rows = [
+        (1, json.dumps({"id": 7, "messages": MESSAGES})),
+        (2, json.dumps({"messages": []})),
+        (3, "{"),
+        (4, None),
+        (5, json.dumps({"a": 1})),
+    ]
+    records = spark.createDataFrame(rows, "conv_id long, record string")
+    formatted, rest, counts = chat.format_records(records)
+    assert sorted(x.turn for x in formatted.collect()) == [0, 1]
+    assert sorted((x.conv_id, x.record) for x in rest.collect()) == rows[1:]
+    assert counts == {"unmatched": 4, "ignored": 1}
+
+
+def test_no_records_of_no_layout(spark):
+    records = spark.createDataFrame([(1, json.dumps({"messages": MESSAGES}))], "conv_id long, record string")
+    for some in (records, records.limit(0)):
+        _, rest, counts = chat.format_records(some)
+        assert rest.collect() == [] and counts == {"unmatched": 0, "ignored": 0}
