@@ -14,8 +14,9 @@ store and commit them as a whole:
     reading a short document costs one short frame.
 
 The dictionary is trained on the serialized ids of at most ``SAMPLE_DOCUMENTS`` documents,
-picked by a hash of doc_id, of which the first ``SAMPLE_CHARS`` characters count. All
-documents are encoded whole.
+picked by a hash of doc_id, of each a slice of up to ``SAMPLE_CHARS`` characters that begins
+at a hashed place, so that any part of a long text may shape it. Tasks encode the slices;
+their serialized ids are all that the driver gets. All documents are encoded whole.
 
 NULL and empty texts have only the end id. Documents with a NULL doc_id come first;
 repeated doc_ids are told apart by their text, and repeated rows are kept, one after
@@ -29,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -65,6 +66,32 @@ def _frames(dictionary: bytes) -> dict:
     return {"dict_data": zstandard.ZstdCompressionDict(dictionary)}
 
 
+def sampled_slice() -> Column:
+    """Up to ``SAMPLE_CHARS`` characters of a text from a hashed place, each as likely to begin at."""
+    last = F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(0)) + 1
+    start = F.pmod(F.xxhash64("doc_id", "text"), last.cast("long")).cast("int") + 1
+    return F.substring("text", start, F.lit(SAMPLE_CHARS))
+
+
+def sample_ids(docs: DataFrame, tokenizer: str, kind: np.dtype) -> list[bytes]:
+    """Serialized ids of the sampled documents' slices, in an order of their own."""
+    picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCUMENTS)
+    picked = docs.where(F.col("doc_id").isin([x.doc_id for x in picked.collect()]))
+    slices = picked.select("doc_id", sampled_slice().alias("text"))
+
+    def serialized(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = part_encoder(tokenizer)
+        for step in steps(batches, "text", _STEP):
+            ids, offsets = encoder.encode(step.column("text"))
+            ids = ids.astype(kind)
+            found = [ids[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:]) if a < b]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["ids"])
+
+    slices = slices.limit(SAMPLE_DOCUMENTS).repartition("doc_id")
+    found = slices.mapInArrow(serialized, "ids binary").collect()
+    return sorted(bytes(x.ids) for x in found)
+
+
 def write_token_files(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, id_width: int = 4
 ) -> None:
@@ -75,13 +102,7 @@ def write_token_files(
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     kind = {2: np.dtype("<u2"), 4: np.dtype("<u4")}[id_width]
-    picked = docs.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(SAMPLE_DOCUMENTS)
-    picked = docs.where(F.col("doc_id").isin([x.doc_id for x in picked.collect()]))
-    texts = picked.select(F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    texts = texts.limit(SAMPLE_DOCUMENTS).toArrow()
-    ids, offsets = part_encoder(tokenizer).encode(texts["text"].combine_chunks())
-    ids = ids.astype(kind)
-    samples = [ids[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:]) if a < b]
+    samples = sample_ids(docs, tokenizer, kind)
     dictionary = train_dictionary(samples)
     name = hashlib.sha256(dictionary).hexdigest()[:16]
     spark.createDataFrame([(name, id_width, dictionary)], _DICTIONARY).write.parquet(
