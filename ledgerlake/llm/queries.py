@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlake.llm import chat, line_dedup, toxicity, vector_search
-from ledgerlake.llm.common import read_table, scratch_path, small_batches
+from ledgerlake.llm import chat, conversation_repair, line_dedup, toxicity, vector_search
+from ledgerlake.llm.common import read_table, scratch_path, small_batches, written
 from ledgerlake.llm.fingerprints import fingerprints
 from ledgerlake.llm.near_duplicates import near_duplicates
 from ledgerlake.llm.packing import pack
@@ -116,6 +116,13 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations and repair them at the least cost."""
+    rows = conversation_repair.damaged(read_table(spark, sf_dir, "conversations"))
+    edits = written(conversation_repair.repair(rows, copies="copies"), "edits")
+    return conversation_repair.summaries(edits)
+
+
 def _in_small_batches(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +145,7 @@ _ALL: dict[str, Query] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 QUERIES: dict[str, Query] = {name: _in_small_batches(query) for name, query in _ALL.items()}
