@@ -10,7 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlake.llm import chat, conversation_repair, line_dedup, toxicity, vector_search
+from ledgerlake.llm import (
+    chat,
+    conversation_repair,
+    line_dedup,
+    toxicity,
+    vector_search,
+    whitening,
+)
 from ledgerlake.llm.common import read_table, scratch_path, small_batches, written
 from ledgerlake.llm.fingerprints import fingerprints
 from ledgerlake.llm.near_duplicates import near_duplicates
@@ -123,6 +130,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.summaries(edits)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sixteen largest components of all embeddings, whitened."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors))
+
+
 def _in_small_batches(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +159,7 @@ _ALL: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_whitening": op13_whitening,
 }
 
 QUERIES: dict[str, Query] = {name: _in_small_batches(query) for name, query in _ALL.items()}
