@@ -14,6 +14,7 @@ from ledgerlake.llm import (
     chat,
     conversation_repair,
     line_dedup,
+    secret_scan,
     toxicity,
     vector_search,
     whitening,
@@ -130,6 +131,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.summaries(edits)
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents; a document's source is its repository."""
+    source = F.col("source")
+    scanned = secret_scan.scan(
+        read_table(spark, sf_dir, "documents"), source, secret_scan.owner_of(source)
+    )
+    found = secret_scan.by_document(scanned, secret_scan.findings(scanned))
+    return found.withColumn("base", F.sha2("base", 256)).withColumnRenamed("base", "base_sha256")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sixteen largest components of all embeddings, whitened."""
     vectors = read_table(spark, sf_dir, "embeddings")
@@ -159,6 +170,7 @@ _ALL: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_secret_scan": op12_secret_scan,
     "op13_whitening": op13_whitening,
 }
 
