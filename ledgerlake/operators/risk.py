@@ -53,16 +53,25 @@ def daily_max_drawdown(points: DataFrame) -> DataFrame:
     1,440 minutes, however many updates arrived; the peaks of earlier days are carried over
     one row a day. These are the largest groups a window sees.
     """
+    return daily_drawdowns(minute_summaries(equity_instants(points)))
+
+
+def equity_instants(points: DataFrame) -> DataFrame:
+    """Least and greatest equity of each millisecond; those of several loads combine."""
     instant = F.date_trunc("millisecond", "at")
-    instants = (
+    return (
         points.groupBy(F.date_trunc("minute", "at").alias("minute"), instant.alias("at"))
         .agg(F.min("equity").alias("low"), F.max("equity").alias("high"))
         .dropna()
     )
+
+
+def minute_summaries(instants: DataFrame) -> DataFrame:
+    """Largest fall within each minute, and its least and greatest equity."""
     earlier = Window.partitionBy("minute").orderBy("at").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    minutes = (
+    return (
         instants.withColumn("peak", F.greatest(F.max("high").over(earlier), "low"))
         .groupBy("minute")
         .agg(
@@ -70,8 +79,33 @@ def daily_max_drawdown(points: DataFrame) -> DataFrame:
             F.min("low").alias("low"),
             F.max("high").alias("high"),
         )
-        .withColumn("day", F.to_date("minute"))
     )
+
+
+def merged_minutes(minutes: DataFrame, instants: DataFrame) -> DataFrame:
+    """The minutes of one curve from those of several loads.
+
+    Falls within a minute of one load are known. A minute that several loads have points of
+    depends on their order, and is summed up anew from its instants, which are read for such
+    minutes alone.
+    """
+    counted = minutes.groupBy("minute").agg(
+        F.count("*").alias("loads"),
+        *(F.first(x).alias(x) for x in ("fall", "low", "high")),
+    )
+    shared = counted.where("loads > 1").select("minute", F.to_date("minute").alias("day"))
+    again = (
+        instants.join(shared, ["minute", "day"], "left_semi")
+        .groupBy("minute", "at")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    )
+    alone = counted.where("loads = 1").drop("loads")
+    return alone.unionByName(minute_summaries(again))
+
+
+def daily_drawdowns(minutes: DataFrame) -> DataFrame:
+    """The drawdowns of :func:`daily_max_drawdown` from summaries of minutes."""
+    minutes = minutes.withColumn("day", F.to_date("minute"))
     earlier = Window.partitionBy("day").orderBy("minute").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -97,7 +131,12 @@ def daily_max_drawdown(points: DataFrame) -> DataFrame:
 
 def daily_risk(points: DataFrame, trades: DataFrame) -> DataFrame:
     """Drawdowns and Sharpe ratio of every day that has an equity or a trade."""
-    risk = daily_max_drawdown(points).join(daily_sharpe(trades).dropna(subset="day"), "day", "full")
+    return joined_risk(daily_max_drawdown(points), daily_sharpe(trades))
+
+
+def joined_risk(drawdowns: DataFrame, sharpes: DataFrame) -> DataFrame:
+    """Drawdowns and Sharpe ratios as one table; the ratio of no day is left out."""
+    risk = drawdowns.join(sharpes.dropna(subset="day"), "day", "full")
     return risk.select("day", "max_drawdown", "running_drawdown", "sharpe")
 
 

@@ -62,6 +62,14 @@ class LakePaths:
     def trade_days(self) -> str:
         return self._under("silver", "trade_days")
 
+    @property
+    def equity_instants(self) -> str:
+        return self._under("silver", "equity_instants")
+
+    @property
+    def equity_minutes(self) -> str:
+        return self._under("silver", "equity_minutes")
+
     @property
     def gold(self) -> str:
         return self._under("gold")

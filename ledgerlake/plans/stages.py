@@ -13,33 +13,48 @@ from ledgerlake.operators.account import (
     balance_rows,
     position_rows,
 )
-from ledgerlake.operators.days import trade_day_sums
+from ledgerlake.operators.days import metrics_of_sums, sharpe_of_sums, trade_day_sums
 from ledgerlake.operators.envelope import bronze_rows
-from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
-from ledgerlake.operators.risk import daily_risk, equity_points
+from ledgerlake.operators.risk import (
+    daily_drawdowns,
+    equity_instants,
+    equity_points,
+    joined_risk,
+    merged_minutes,
+    minute_summaries,
+)
 from ledgerlake.operators.trades import closed_trades
 from ledgerlake.plans.paths import LakePaths
 from ledgerlake.schemas import (
+    ACCOUNT_EVENTS,
     ACCOUNT_REQUIRED,
+    BALANCES,
+    BRONZE,
+    EQUITY_INSTANTS,
+    EQUITY_MINUTES,
     GOLD_DAILY_METRICS,
     GOLD_DAILY_RISK,
     GOLD_TRADES,
     ORDER_REQUIRED,
+    POSITIONS,
+    SILVER_ACCOUNT,
     SILVER_ORDERS,
+    TRADE_DAYS,
 )
 from ledgerlake.sources.landing import read_landing
 from ledgerlake.sources.tables import (
-    read_account_events,
+    BY_DAY,
+    Load,
+    compact,
+    facts_of,
     read_bronze,
-    read_gold_trades,
-    read_loads,
-    read_silver_orders,
+    read_equity_instants,
+    read_equity_minutes,
     read_trade_days,
+    silver_into,
     write_bronze,
-    write_gold,
-    write_load,
-    write_silver,
+    write_golds,
 )
 
 
@@ -49,86 +64,138 @@ def run_bronze(spark: SparkSession, paths: LakePaths, load_id: str) -> None:
     write_bronze(bronze_rows(lines), paths.bronze, load_id)
 
 
-def add_orders(
-    orders: DataFrame, paths: LakePaths, load_id: str, lateness: str = "1 day"
-) -> dict[str, int]:
-    """Add one load of order rows to silver, and the sums of its trades by day.
+def orders_into(load: Load, orders: DataFrame, paths: LakePaths, lateness: str = "1 day") -> dict:
+    """Add order rows to a load: silver, its trades for gold, and their sums by day.
 
-    The sums are made from the rows as written, four columns of them, so that no line is
-    parsed again. They are small: one row a day.
+    Trades and sums are made from the rows as written, so that no line is parsed again.
+    What came too late is judged by the newest trade of the loads before this one. That time
+    is written down with the load, and running the load again judges by the same.
     """
-    spark = orders.sparkSession
-    counts = write_silver(orders, ORDER_REQUIRED, paths.silver_orders, load_id)
+    spark = load.spark
+    counts = silver_into(load, orders, ORDER_REQUIRED, paths.silver_orders)
     verdict = T.StructType([*SILVER_ORDERS, T.StructField("verdict", T.StringType())])
-    clean = read_loads(spark, paths.silver_orders, verdict, [load_id]).where("verdict = 'clean'")
-    earlier = read_trade_days(spark, paths.trade_days, without=load_id)
-    newest = earlier.agg(F.max("newest").alias("newest")).first().newest
-    sums = trade_day_sums(closed_trades(clean), newest, lateness)
-    write_load(sums, paths.trade_days, load_id)
+    clean = load.read(paths.silver_orders, verdict).where("verdict = 'clean'")
+    load.write(_clustered(closed_trades(clean)), paths.gold_trades)
+    known = facts_of(spark, paths.trade_days, load.load_id)
+    if "newest_before" not in known:
+        earlier = read_trade_days(spark, paths.trade_days, without=load.load_id)
+        known = {"newest_before": earlier.agg(F.unix_micros(F.max("newest"))).first()[0]}
+    load.facts |= known
+    newest = F.timestamp_micros(F.lit(known["newest_before"]).cast("long"))
+    trades = load.read(paths.gold_trades, GOLD_TRADES)
+    load.write(trade_day_sums(trades, newest, lateness).coalesce(1), paths.trade_days)
     return counts
 
 
-def add_account(
-    events: DataFrame, paths: LakePaths, load_id: str, schema_version: int = 1
+def _clustered(trades: DataFrame) -> DataFrame:
+    """Trades of one time and symbol side by side, so that files and row groups can be skipped."""
+    return trades.hint("rebalance").sortWithinPartitions("trade_time", "symbol")
+
+
+def account_into(
+    load: Load, events: DataFrame, paths: LakePaths, schema_version: int = 1
 ) -> dict[str, int]:
-    """Add one load of account updates to silver: the updates, their pairs and elements.
+    """Add account updates to a load: the updates, their pairs and elements, and the equity curve.
 
     Lines are parsed once, for the table of updates; the others are made from that.
     """
-    spark = events.sparkSession
-    write_load(events, paths.account_events, load_id)
-    events = read_account_events(spark, paths.account_events, load_id)
+    spark = load.spark
+    load.write(events, paths.account_events)
+    events = load.read(paths.account_events, ACCOUNT_EVENTS)
     keep = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(2) as pool:
-        elements = [
-            pool.submit(keep(write_load), rows(events, schema_version), path, load_id)
-            for rows, path in ((balance_rows, paths.balances), (position_rows, paths.positions))
+    elements = ((balance_rows, paths.balances), (position_rows, paths.positions))
+    with ThreadPoolExecutor(3) as pool:
+        others = [
+            pool.submit(keep(load.write), rows(events, schema_version), path)
+            for rows, path in elements
         ]
+        others.append(pool.submit(keep(_curve_into), load, events, paths))
         pairs = account_rows(events, schema_version)
-        counts = write_silver(pairs, ACCOUNT_REQUIRED, paths.silver_account, load_id)
-        for element in elements:
-            element.result()
+        counts = silver_into(load, pairs, ACCOUNT_REQUIRED, paths.silver_account)
+        for other in others:
+            other.result()
     return counts
 
 
+def _curve_into(load: Load, events: DataFrame, paths: LakePaths) -> None:
+    instants = equity_instants(equity_points(events)).withColumn("day", F.to_date("minute"))
+    load.write(instants, paths.equity_instants, ("day",))
+    written = load.read(paths.equity_instants, EQUITY_INSTANTS)
+    load.write(minute_summaries(written), paths.equity_minutes)
+
+
+def add_orders(
+    orders: DataFrame, paths: LakePaths, load_id: str, lateness: str = "1 day"
+) -> dict[str, int]:
+    """Add one load of order rows by itself."""
+    with Load(orders.sparkSession, load_id) as load:
+        return orders_into(load, orders, paths, lateness)
+
+
+def add_account(
+    events: DataFrame, paths: LakePaths, load_id: str, schema_version: int = 1
+) -> dict[str, int]:
+    """Add one load of account updates by itself."""
+    with Load(events.sparkSession, load_id) as load:
+        return account_into(load, events, paths, schema_version)
+
+
 def run_silver(
     spark: SparkSession, paths: LakePaths, load_id: str, schema_version: int = 1
 ) -> dict[str, dict[str, int]]:
-    """Add one load of bronze to the silver tables; returns row counts per feed.
+    """Add one load of bronze to all silver tables at once; returns row counts per feed.
 
     The feeds read different partitions and run side by side, so that one fills the cores
-    the other's last tasks leave idle.
+    the other's last tasks leave idle. One commit makes the load visible in all tables.
     """
     bronze = read_bronze(spark, paths.bronze, load_id)
     orders = silver_orders(bronze, schema_version)
     account = account_events(bronze)
     keep = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(2) as pool:
+    with Load(spark, load_id) as load, ThreadPoolExecutor(2) as pool:
         feeds = {
-            "orders": pool.submit(keep(add_orders), orders, paths, load_id),
-            "account": pool.submit(keep(add_account), account, paths, load_id, schema_version),
+            "orders": pool.submit(keep(orders_into), load, orders, paths),
+            "account": pool.submit(keep(account_into), load, account, paths, schema_version),
         }
         return {feed: counts.result() for feed, counts in feeds.items()}
 
 
 def run_gold(spark: SparkSession, paths: LakePaths) -> None:
-    """Rebuild the gold tables: trades from silver, then metrics and risk from the trades.
+    """Make the daily gold tables from what the loads summed up; trades are there already.
 
-    Trades are a small part of silver, so they are brought into files of even size.
+    No trade and no account update is read, of whatever load: sums by day and summaries by
+    minute are added up. Both tables change in one commit.
     """
-    trades = closed_trades(read_silver_orders(spark, paths.silver_orders))
-    write_gold(trades.hint("rebalance"), paths.gold_trades, GOLD_TRADES)
-    written = read_gold_trades(spark, paths.gold_trades)
-    points = equity_points(read_account_events(spark, paths.account_events))
-    keep = inheritable_thread_target(spark)
-    days, risk = daily_metrics(written), daily_risk(points, written)
-    with ThreadPoolExecutor(2) as pool:
-        tables = [
-            pool.submit(keep(write_gold), days, paths.gold_daily_metrics, GOLD_DAILY_METRICS),
-            pool.submit(keep(write_gold), risk, paths.gold_daily_risk, GOLD_DAILY_RISK),
-        ]
-        for table in tables:
-            table.result()
+    sums = read_trade_days(spark, paths.trade_days)
+    minutes = merged_minutes(
+        read_equity_minutes(spark, paths.equity_minutes).drop("load_id"),
+        read_equity_instants(spark, paths.equity_instants).drop("load_id"),
+    )
+    risk = joined_risk(daily_drawdowns(minutes), sharpe_of_sums(sums))
+    write_golds(
+        spark,
+        {
+            paths.gold_daily_metrics: (metrics_of_sums(sums), GOLD_DAILY_METRICS),
+            paths.gold_daily_risk: (risk, GOLD_DAILY_RISK),
+        },
+    )
+
+
+def compact_lake(spark: SparkSession, paths: LakePaths, **options) -> int:
+    """Merge parts of all tables where they are due; returns the bytes written."""
+    tables = (
+        (paths.bronze, BRONZE, ("event_type", "event_date")),
+        (paths.silver_orders, SILVER_ORDERS, BY_DAY),
+        (paths.silver_account, SILVER_ACCOUNT, BY_DAY),
+        (paths.account_events, ACCOUNT_EVENTS, ()),
+        (paths.balances, BALANCES, ()),
+        (paths.positions, POSITIONS, ()),
+        (paths.trade_days, TRADE_DAYS, ()),
+        (paths.equity_instants, EQUITY_INSTANTS, ("day",)),
+        (paths.equity_minutes, EQUITY_MINUTES, ()),
+        (paths.gold_trades, GOLD_TRADES, ()),
+    )
+    return sum(compact(spark, *table, **options) for table in tables)
 
 
 def run(
@@ -137,10 +204,10 @@ def run(
     """Bring the lines landed for one load to gold; the session stays open.
 
     Each batch of lines has a folder of its own, ``load_id=<load_id>`` in the landing
-    directory, and costs what its own lines cost, but for gold. Running a load again
-    replaces it.
+    directory, and costs what its own lines cost. Running a load again replaces it.
     """
     run_bronze(spark, paths, load_id)
     counts = run_silver(spark, paths, load_id, schema_version)
     run_gold(spark, paths)
+    compact_lake(spark, paths)
     return counts

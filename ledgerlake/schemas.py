@@ -172,6 +172,7 @@ POSITIONS = T.StructType(
     + _LINEAGE
 )
 _SUM = T.DecimalType(28, 8)
+_COUNT = T.DecimalType(38, 0)
 # Sums of one load's trades by day.
 TRADE_DAYS = T.StructType(
     [
@@ -185,6 +186,28 @@ TRADE_DAYS = T.StructType(
         T.StructField("loss_total", _SUM),
         T.StructField("newest", T.TimestampType()),
         T.StructField("late", WHOLE),
+        T.StructField("high_sum", _COUNT),
+        T.StructField("high_squares", _COUNT),
+        T.StructField("high_lows", _COUNT),
+        T.StructField("low_squares", _COUNT),
+    ]
+)
+# The equity curve of one load, by instant and summed up by minute.
+EQUITY_INSTANTS = T.StructType(
+    [
+        T.StructField("minute", T.TimestampType()),
+        T.StructField("at", T.TimestampType()),
+        T.StructField("low", T.DoubleType()),
+        T.StructField("high", T.DoubleType()),
+        T.StructField("day", T.DateType()),
+    ]
+)
+EQUITY_MINUTES = T.StructType(
+    [
+        T.StructField("minute", T.TimestampType()),
+        T.StructField("fall", T.DoubleType()),
+        T.StructField("low", T.DoubleType()),
+        T.StructField("high", T.DoubleType()),
     ]
 )
 

@@ -1,5 +1,7 @@
 """Small files and folders of a lake, on any store that Spark reaches."""
 
+from uuid import uuid4
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -42,34 +44,72 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in a folder; none if it is not there."""
+    store, place = _place(spark, path)
+    if not store.exists(place):
+        return []
+    return sorted(x.getPath().getName() for x in store.listStatus(place) if x.isFile())
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder."""
+    store, place = _place(spark, path)
+    return store.getContentSummary(place).getLength() if store.exists(place) else 0
+
+
 def create_text(spark: SparkSession, path: str, text: str) -> bool:
-    """Write a new file; False if there is one already."""
+    """Write a new file, whole or not at all; False if there is one already.
+
+    Of several writers one wins, and no reader meets half a file. A local disk gives that by a
+    link to a finished file, HDFS and others with atomic renames by a rename that replaces
+    nothing, and object stores by a conditional upload, which S3A has from Hadoop 3.4.2 on
+    (``fs.s3a.create.conditional.enabled``). On a store with neither, let one job write at a time.
+    """
     store, place = _place(spark, path)
     if store.exists(place):
         return False
+    jvm, scheme = spark.sparkContext._jvm, store.getUri().getScheme()
+    if scheme in ("s3a", "gs", "oss"):
+        return _written(store, place, text, replace=False)
+    _, new = _place(spark, f"{path}.{uuid4().hex}.new")
+    _written(store, new, text, replace=True)
     try:
-        stream = store.create(place, False)
+        if scheme == "file":
+            named = jvm.java.nio.file.Paths.get
+            link, there = (named(x.toUri().getPath(), _none(spark)) for x in (place, new))
+            jvm.java.nio.file.Files.createLink(link, there)
+        else:
+            options = spark.sparkContext._gateway.new_array(_renames(spark), 1)
+            options[0] = _renames(spark).NONE
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                store.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+            )
+            context.rename(new, place, options)
     except Py4JJavaError as error:
         if "FileAlreadyExists" in str(error.java_exception):
             return False
         raise
-    stream.write(bytearray(text.encode()))
-    stream.close()
+    finally:
+        store.delete(new, False)
     return True
 
 
-def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a file in the place of another, by one rename: a reader sees the old or the new."""
-    jvm = spark.sparkContext._jvm
-    store, new = _place(spark, f"{path}.new")
-    stream = store.create(new, True)
-    stream.write(bytearray(text.encode()))
-    stream.close()
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        store.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
-    )
-    context.rename(new, place, options)
+def _none(spark: SparkSession):
+    return spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.java.lang.String, 0)
+
+
+def _renames(spark: SparkSession):
+    return getattr(spark.sparkContext._jvm.org.apache.hadoop.fs, "Options$Rename")
+
+
+def _written(store, place, text: str, replace: bool) -> bool:
+    try:
+        stream = store.create(place, replace)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+    except Py4JJavaError as error:
+        if not replace and "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    return True

@@ -3,15 +3,20 @@
 Every read names its schema: nothing is inferred from footers or directory names, and a
 table that got no rows reads as empty instead of failing.
 
-Bronze and silver tables consist of loads, folders ``load_id=...`` that are written as a whole.
-Writing a load again replaces it; different loads add up. Loads of a stream are
-numbered, and old ones are compacted: a folder ``name~first~last`` holds the rows of the loads
-in that range and, once it is committed, stands for them. The folders it replaced are deleted
-by the next compaction, so that readers which began before can finish.
+Tables consist of parts, and the lake's commits say which of them count (``commits``). A load
+writes a new folder in each of its tables, and one commit makes all of them visible. Writing a load
+again replaces it, in all tables at once; different loads add up. Readers that began before go
+on with the folders they know, which are deleted later (``sweep``).
+
+Parts are merged by tiers: ``FANOUT`` parts of a like number of loads become one. So a table of n
+loads has some ``FANOUT * log(n)`` parts, and a row is rewritten ``log(n)`` times, whether loads come
+from batch jobs or streams. A merge commits only if its parts still count as it read them, so it
+may run beside loads and readers.
 """
 
-import re
-from uuid import uuid4
+import time
+from collections.abc import Callable
+from typing import Self
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +28,8 @@ from ledgerlake.schemas import (
     ACCOUNT_EVENTS,
     BALANCES,
     BRONZE,
+    EQUITY_INSTANTS,
+    EQUITY_MINUTES,
     GOLD_DAILY_METRICS,
     GOLD_DAILY_RISK,
     GOLD_TRADES,
@@ -32,13 +39,78 @@ from ledgerlake.schemas import (
     TRADE_DAYS,
 )
 from ledgerlake.sources import storage
+from ledgerlake.sources.commits import (
+    Change,
+    Part,
+    State,
+    commit,
+    due,
+    holds,
+    new_folder,
+    place,
+    read_state,
+    together,
+)
 
 _LOAD = T.StructField("load_id", T.StringType())
+_OF_LOAD = T.StructField("of_load", T.StringType())
 _VERDICT = T.StructField("verdict", T.StringType())
-# The folder of a gold table's rows that count, named in this file.
-_CURRENT = "_current"
-# Newest loads of a stream that compaction leaves as they are, for replays.
+BY_DAY = ("verdict", "event_time")
+#: Parts of like weight that are merged into one.
+FANOUT = 8
+#: Bytes of a part that is large enough to stay as it is.
+FULL_PART = 64 << 30
+#: Newest loads of a stream that are not summed up with others yet, for replays.
 KEPT_LOADS = 5
+#: Seconds that folders stay which count no longer, for readers that know them.
+GRACE = 900.0
+
+
+class Load:
+    """One load's parts in any number of tables, made visible by one commit.
+
+    Used as a context: the end of it commits, and a failure inside deletes what was written.
+    """
+
+    def __init__(self, spark: SparkSession, load_id: str):
+        load_folder("", load_id)
+        self.spark, self.load_id = spark, load_id
+        self.facts: dict = {}
+        self._folders: dict[str, str] = {}
+
+    def write(self, rows: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:
+        """Write the load's rows of a table; they count when the load is committed."""
+        folder = new_folder(self.load_id)
+        self._folders[path] = folder
+        writer = rows.write
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        writer.parquet(f"{path}/{folder}")
+
+    def read(self, path: str, schema: T.StructType) -> DataFrame:
+        """The rows as written, before the commit."""
+        return self.spark.read.schema(schema).parquet(f"{path}/{self._folders[path]}")
+
+    def __enter__(self) -> Self:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if kind is None:
+            self._commit()
+        else:
+            for path, folder in self._folders.items():
+                storage.delete(self.spark, f"{path}/{folder}")
+
+    def _commit(self) -> None:
+        change = Change(facts={self.load_id: self.facts} if self.facts else {})
+        logs = set()
+        for path, folder in self._folders.items():
+            log, table = place(path)
+            logs.add(log)
+            bytes_ = storage.size(self.spark, f"{path}/{folder}")
+            change.put[table] = [Part(folder, together([self.load_id]), bytes_)]
+        (log,) = logs
+        commit(self.spark, log, lambda _: change)
 
 
 def write_bronze(bronze: DataFrame, path: str, load_id: str) -> None:
@@ -48,123 +120,203 @@ def write_bronze(bronze: DataFrame, path: str, load_id: str) -> None:
     partition first. ``rebalance`` sizes tasks at run time: it splits a type and date
     that holds much of the data over many tasks and merges the small ones.
     """
-    (
-        bronze.hint("rebalance", "event_type", "event_date")
-        .write.mode("overwrite")
-        .partitionBy("event_type", "event_date")
-        .parquet(load_folder(path, load_id))
-    )
+    days = ("event_type", "event_date")
+    with Load(bronze.sparkSession, load_id) as load:
+        load.write(bronze.hint("rebalance", *days), path, days)
 
 
 def read_bronze(spark: SparkSession, path: str, load_id: str | None = None) -> DataFrame:
     """Bronze rows of one load, or all rows, whether loaded or streamed."""
-    if load_id is not None:
-        return spark.read.schema(BRONZE).parquet(load_folder(path, load_id))
-    return spark.read.schema(T.StructType([*BRONZE, _LOAD])).parquet(path).select(*BRONZE.names)
+    if load_id is None and not visible_loads(spark, path):
+        return spark.read.schema(BRONZE).parquet(path)
+    loads = None if load_id is None else [load_id]
+    return read_loads(spark, path, BRONZE, loads).drop("load_id")
 
 
 def write_load(rows: DataFrame, path: str, load_id: str) -> None:
     """Write one load of a table that has no other partitions."""
-    rows.write.mode("overwrite").parquet(load_folder(path, load_id))
+    with Load(rows.sparkSession, load_id) as load:
+        load.write(rows, path)
 
 
-def write_silver(
-    silver: DataFrame, required: tuple[str, ...], path: str, load_id: str
+def silver_into(
+    load: Load, silver: DataFrame, required: tuple[str, ...], path: str
 ) -> dict[str, int]:
-    """Add one load to a silver table and return its clean and quarantined row counts.
+    """Add rows of a silver table to a load and return the clean and quarantined counts.
 
     Clean and quarantined rows go out in one pass, as two partitions, so lines are
     parsed once and nothing is cached. There is no shuffle: bronze files already hold
     one type and date each.
     """
     counts = Observation()
-    (
-        silver.transform(with_verdict, required)
-        .observe(
-            counts,
-            F.count_if(F.col("verdict") == CLEAN).alias(CLEAN),
-            F.count_if(F.col("verdict") == QUARANTINE).alias(QUARANTINE),
-        )
-        .write.mode("overwrite")
-        .partitionBy("verdict", "event_time")
-        .parquet(load_folder(path, load_id))
+    rows = silver.transform(with_verdict, required).observe(
+        counts,
+        F.count_if(F.col("verdict") == CLEAN).alias(CLEAN),
+        F.count_if(F.col("verdict") == QUARANTINE).alias(QUARANTINE),
     )
+    load.write(rows, path, BY_DAY)
     return counts.get
 
 
-def _numbers(load_id: str) -> tuple[str, int, int] | None:
-    """Name, first and last number of a stream's load, compacted or not."""
-    if found := re.fullmatch(r"(.+)~(\d+)~(\d+)", load_id):
-        return found[1], int(found[2]), int(found[3])
-    if found := re.fullmatch(r"(.+)-(\d+)", load_id):
-        return found[1], int(found[2]), int(found[2])
-    return None
+def write_silver(
+    silver: DataFrame, required: tuple[str, ...], path: str, load_id: str
+) -> dict[str, int]:
+    """Add one load to a silver table by itself; see :func:`silver_into`."""
+    with Load(silver.sparkSession, load_id) as load:
+        return silver_into(load, silver, required, path)
+
+
+def _state(spark: SparkSession, path: str) -> tuple[State, str, str]:
+    log, table = place(path)
+    return read_state(spark, log), log, table
 
 
 def visible_loads(spark: SparkSession, path: str) -> list[str]:
-    """Ids of the loads that count: those that no committed compacted load stands for."""
-    loads = [x.removeprefix("load_id=") for x in storage.folders(spark, path) if "=" in x]
-    compacted = [
-        (load, numbers)
-        for load in loads
-        if "~" in load and (numbers := _numbers(load))
-        if storage.exists(spark, f"{path}/load_id={load}/_SUCCESS")
-    ]
-
-    def replaced(load: str) -> bool:
-        own = _numbers(load)
-        return own is not None and any(
-            load != other and own[0] == name and first <= own[1] and own[2] <= last
-            for other, (name, first, last) in compacted
-        )
+    """Ids of the loads that count."""
+    state, _, table = _state(spark, path)
+    return state.loads(table)
 
-    committed = {load for load, _ in compacted}
-    return [x for x in loads if not replaced(x) and ("~" not in x or x in committed)]
+
+def parts(spark: SparkSession, path: str) -> list[Part]:
+    """The folders that count."""
+    state, _, table = _state(spark, path)
+    return state.of(table)
+
+
+def facts_of(spark: SparkSession, path: str, load_id: str) -> dict:
+    """What was written down with a load."""
+    return _state(spark, path)[0].facts.get(load_id, {})
 
 
 def read_loads(
     spark: SparkSession, path: str, schema: T.StructType, loads: list[str] | None = None
 ) -> DataFrame:
     """Rows of the given or of all visible loads, with their load ids."""
-    loads = visible_loads(spark, path) if loads is None else loads
-    full = T.StructType([*schema, _LOAD])
-    if not loads:
-        return spark.createDataFrame([], full)
-    reader = spark.read.schema(full).option("basePath", path)
-    return reader.parquet(*[f"{path}/load_id={load}" for load in loads])
+    chosen = parts(spark, path)
+    if loads is not None:
+        chosen = [x for x in chosen if any(holds(x.loads, load) for load in loads)]
+    rows = _read_parts(spark, path, schema, chosen)
+    return rows if loads is None else rows.where(F.col("load_id").isin(loads))
+
+
+def _read_parts(
+    spark: SparkSession, path: str, schema: T.StructType, chosen: list[Part]
+) -> DataFrame:
+    if not chosen:
+        return spark.createDataFrame([], T.StructType([*schema, _LOAD]))
+    reader = spark.read.schema(T.StructType([*schema, _OF_LOAD, _LOAD])).option("basePath", path)
+    rows = reader.parquet(*[f"{path}/{part.folder}" for part in chosen])
+    for part in chosen:
+        if part.without:
+            here = F.col("load_id") == part.folder.removeprefix("load_id=")
+            rows = rows.where(~(here & F.col("of_load").isin(list(part.without))))
+    load = F.coalesce("of_load", F.substring_index("load_id", "~", 1))
+    return rows.select(*schema.names, load.alias("load_id"))
 
 
 def compact(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    name: str,
     partitions: tuple[str, ...] = (),
-    keep: int = KEPT_LOADS,
-) -> None:
-    """Bring a stream's loads together, but for the newest, into one.
+    fanout: int = FANOUT,
+    grace: float = GRACE,
+    full: int = FULL_PART,
+) -> int:
+    """Merge parts until no tier of them is due; returns the bytes written.
 
     A failure before the commit changes nothing that is read, and running it again is
-    safe. One compaction of a stream runs at a time.
+    safe, also beside loads.
     """
-    visible = visible_loads(spark, path)
-    for load in storage.folders(spark, path):
-        numbers = _numbers(load.removeprefix("load_id="))
-        if numbers and numbers[0] == name and load.removeprefix("load_id=") not in visible:
-            storage.delete(spark, f"{path}/{load}")
-    own = [(x, numbers) for x in visible if (numbers := _numbers(x)) and numbers[0] == name]
-    own.sort(key=lambda x: x[1][1])
-    old = own[: max(0, len(own) - keep)]
-    if len(old) < 2:
-        return
-    first, last = old[0][1][1], old[-1][1][2]
     columns = [T.StructField(x, T.StringType()) for x in partitions if x not in schema.names]
-    full = T.StructType([*schema, *columns])
-    rows = read_loads(spark, path, full, [x for x, _ in old]).drop("load_id")
-    writer = rows.hint("rebalance", *partitions).write.mode("overwrite")
+    schema = T.StructType([*schema, *columns])
+
+    def merged(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumnRenamed("load_id", "of_load")
+        return rows.hint("rebalance", *partitions)
+
+    written = 0
+    while chosen := due(parts(spark, path), fanout, full):
+        size = _merge(spark, path, schema, chosen, merged, partitions, summed=False)
+        if size is None:
+            break
+        written += size
+    sweep(spark, path, grace)
+    return written
+
+
+def sum_up(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    name: str,
+    sums: Callable[[DataFrame], DataFrame],
+    keep: int = KEPT_LOADS,
+    fanout: int = FANOUT,
+    grace: float = GRACE,
+) -> None:
+    """Merge a stream's loads of a table of sums, and add them up: one row a key for all of them.
+
+    The newest loads stay as they are, since a micro-batch may be replayed; summed ones can't be
+    replaced any more, and what was written down with them is forgotten.
+    """
+
+    def ours() -> list[Part]:
+        own = [x for x in parts(spark, path) if not isinstance(x.loads[-1], str)]
+        own = [x for x in own if len(x.loads) == 1 and x.loads[0][0] == name]
+        own.sort(key=lambda x: x.loads[0][1])
+        return own[: max(0, len(own) - keep)]
+
+    while chosen := due(ours(), fanout, FULL_PART):
+        merged = lambda rows: sums(rows.drop("load_id")).coalesce(1)
+        if _merge(spark, path, schema, chosen, merged, (), summed=True) is None:
+            break
+    sweep(spark, path, grace)
+
+
+def _merge(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    chosen: list[Part],
+    make: Callable[[DataFrame], DataFrame],
+    partitions: tuple[str, ...],
+    summed: bool,
+) -> int | None:
+    """Write the parts' rows as one part in their place; None if they changed meanwhile."""
+    log, table = place(path)
+    folder = new_folder("_merged")
+    writer = make(_read_parts(spark, path, schema, chosen)).write
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.parquet(f"{path}/load_id={name}~{first}~{last}")
+    writer.parquet(f"{path}/{folder}")
+    size = storage.size(spark, f"{path}/{folder}")
+    loads = [load for part in chosen for load in part.counting()]
+    new = Part(folder, together(loads), size, summed=summed)
+
+    def make_change(state: State) -> Change | None:
+        if any(part not in state.of(table) for part in chosen):
+            return None
+        dropped = [part.folder for part in chosen]
+        forgotten = [x for x in loads if x in state.facts] if summed else []
+        return Change(
+            put={table: [new]}, drop={table: dropped}, forget_facts=forgotten, merge=True
+        )
+
+    if new not in commit(spark, log, make_change).of(table):
+        storage.delete(spark, f"{path}/{folder}")
+        return None
+    return size
+
+
+def sweep(spark: SparkSession, path: str, grace: float = GRACE) -> None:
+    """Delete folders that have not counted for so many seconds."""
+    state, log, table = _state(spark, path)
+    old = [x for x, at in state.gone.get(table, {}).items() if at <= time.time() - grace]
+    for folder in old:
+        storage.delete(spark, f"{path}/{folder}")
+    if old:
+        commit(spark, log, lambda _: Change(forget={table: old}))
 
 
 def claim_name(spark: SparkSession, path: str, name: str, owner: str) -> None:
@@ -229,52 +381,95 @@ def read_trade_days(
     spark: SparkSession, path: str, without: str | None = None
 ) -> DataFrame:
     """Sums by day of all loads, but for one."""
-    loads = [x for x in visible_loads(spark, path) if x != without]
-    return read_loads(spark, path, TRADE_DAYS, loads).drop("load_id")
+    rows = read_loads(spark, path, TRADE_DAYS)
+    if without is not None:
+        rows = rows.where(F.col("load_id") != without)
+    return rows.drop("load_id")
+
+
+def read_equity_minutes(spark: SparkSession, path: str) -> DataFrame:
+    """Each load's summary of each minute of the equity curve, with its load."""
+    return read_loads(spark, path, EQUITY_MINUTES)
+
+
+def read_equity_instants(spark: SparkSession, path: str) -> DataFrame:
+    """Least and greatest equity of each instant, by load."""
+    return read_loads(spark, path, EQUITY_INSTANTS)
 
 
 def _kinds(schema: T.StructType) -> list[tuple[str, T.DataType]]:
     return [(x.name, x.dataType) for x in schema]
 
 
+def check_contract(rows: DataFrame, contract: T.StructType) -> DataFrame:
+    """The rows, if they have the contract's columns."""
+    if _kinds(rows.schema) != _kinds(contract):
+        raise ValueError(f"{rows.schema.simpleString()} is not {contract.simpleString()}")
+    return rows
+
+
+# No load has such a name.
+_VERSION = "_version"
+
+
 def write_gold(gold: DataFrame, path: str, contract: T.StructType) -> None:
-    """Replace a gold table by rows that fit its contract.
+    """Replace a gold table by rows that fit its contract; see :func:`write_golds`."""
+    write_golds(gold.sparkSession, {path: (gold, contract)})
 
-    The rows go to a new folder, and one rename makes that the table. Readers and failures in
-    between meet the old table. The folder before the old one is deleted.
-    """
-    spark = gold.sparkSession
-    if _kinds(gold.schema) != _kinds(contract):
-        raise ValueError(f"{gold.schema.simpleString()} is not {contract.simpleString()}")
-    name = f"version={uuid4().hex}"
-    gold.write.parquet(f"{path}/{name}")
-    before = storage.read_text(spark, f"{path}/{_CURRENT}") if _has(spark, path) else None
-    storage.replace_text(spark, f"{path}/{_CURRENT}", name)
-    for folder in storage.folders(spark, path):
-        if folder not in (name, before):
-            storage.delete(spark, f"{path}/{folder}")
 
+def write_golds(
+    spark: SparkSession, tables: dict[str, tuple[DataFrame, T.StructType]]
+) -> None:
+    """Replace gold tables, by path, all of them in one commit.
 
-def _has(spark: SparkSession, path: str) -> bool:
-    return storage.exists(spark, f"{path}/{_CURRENT}")
+    The rows go to new folders. Readers and failures in between meet the old tables. The folders
+    before the old ones are deleted.
+    """
+    new, before = {}, {}
+    try:
+        for path, (rows, contract) in tables.items():
+            check_contract(rows, contract)
+            new[path] = new_folder(_VERSION)
+            rows.write.parquet(f"{path}/{new[path]}")
+    except BaseException:
+        for path, folder in new.items():
+            storage.delete(spark, f"{path}/{folder}")
+        raise
+    log = {place(path)[0] for path in tables}.pop()
+    sizes = {path: storage.size(spark, f"{path}/{new[path]}") for path in tables}
+
+    def make_change(state: State) -> Change:
+        change = Change(merge=True)
+        for path in tables:
+            table = place(path)[1]
+            before[path] = list(state.gone.get(table, {}))
+            change.put[table] = [Part(new[path], (_VERSION,), sizes[path])]
+            change.drop[table] = [part.folder for part in state.of(table)]
+            change.forget[table] = before[path]
+        return change
+
+    commit(spark, log, make_change)
+    for path, folders in before.items():
+        for folder in folders:
+            storage.delete(spark, f"{path}/{folder}")
 
 
-def gold_location(spark: SparkSession, path: str) -> str:
-    """The folder that holds a gold table now."""
-    return f"{path}/{storage.read_text(spark, f'{path}/{_CURRENT}')}"
+def is_version(part: Part) -> bool:
+    """Whether a part is a whole gold table, not one of a load."""
+    return part.loads == (_VERSION,)
 
 
-def _read_gold(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    return spark.read.schema(contract).parquet(gold_location(spark, path))
+def read_gold(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+    return read_loads(spark, path, contract).drop("load_id")
 
 
 def read_gold_trades(spark: SparkSession, path: str) -> DataFrame:
-    return _read_gold(spark, path, GOLD_TRADES)
+    return read_gold(spark, path, GOLD_TRADES)
 
 
 def read_gold_daily_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return _read_gold(spark, path, GOLD_DAILY_METRICS)
+    return read_gold(spark, path, GOLD_DAILY_METRICS)
 
 
 def read_gold_daily_risk(spark: SparkSession, path: str) -> DataFrame:
-    return _read_gold(spark, path, GOLD_DAILY_RISK)
+    return read_gold(spark, path, GOLD_DAILY_RISK)

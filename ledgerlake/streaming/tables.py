@@ -7,13 +7,16 @@ Rows are brought together by day before they are written, so that files are few,
 ``rebalance`` splits a day that holds much of a micro-batch over many tasks, as in batch.
 """
 
+import logging
 from collections.abc import Callable
+from threading import Thread
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerlake.operators.account import account_events
-from ledgerlake.operators.days import metrics_of_sums
+from ledgerlake.operators.days import added_sums, metrics_of_sums
 from ledgerlake.operators.envelope import bronze_rows
 from ledgerlake.operators.orders import silver_orders
 from ledgerlake.plans.paths import LakePaths
@@ -22,22 +25,26 @@ from ledgerlake.schemas import (
     ACCOUNT_EVENTS,
     BALANCES,
     BRONZE,
+    EQUITY_INSTANTS,
+    EQUITY_MINUTES,
     GOLD_DAILY_METRICS,
+    GOLD_TRADES,
     POSITIONS,
     SILVER_ACCOUNT,
     SILVER_ORDERS,
     TRADE_DAYS,
 )
 from ledgerlake.sources.tables import (
+    BY_DAY,
     claim_name,
     compact,
     read_trade_days,
+    sum_up,
     write_gold,
 )
 
-#: Loads of a stream between two compactions.
-COMPACT_EVERY = 20
-_BY_DAY = ("verdict", "event_time")
+#: Loads of a stream after which it looks for parts to merge.
+COMPACT_EVERY = 8
 
 
 def bronze_stream(lines: DataFrame, paths: LakePaths) -> DataStreamWriter:
@@ -79,8 +86,9 @@ def silver_orders_stream(
         write_gold(days, paths.gold_daily_metrics, GOLD_DAILY_METRICS)
 
     def tidy(spark: SparkSession) -> None:
-        compact(spark, paths.silver_orders, SILVER_ORDERS, name, _BY_DAY)
-        compact(spark, paths.trade_days, TRADE_DAYS, name)
+        compact(spark, paths.silver_orders, SILVER_ORDERS, BY_DAY)
+        compact(spark, paths.gold_trades, GOLD_TRADES)
+        sum_up(spark, paths.trade_days, TRADE_DAYS, name, added_sums)
 
     return _load_each_batch(
         silver_orders(bronze, schema_version),
@@ -106,10 +114,12 @@ def silver_account_stream(
         add_account(batch.hint("rebalance"), paths, load_id, schema_version)
 
     def tidy(spark: SparkSession) -> None:
-        compact(spark, paths.account_events, ACCOUNT_EVENTS, name)
-        compact(spark, paths.balances, BALANCES, name)
-        compact(spark, paths.positions, POSITIONS, name)
-        compact(spark, paths.silver_account, SILVER_ACCOUNT, name, _BY_DAY)
+        compact(spark, paths.account_events, ACCOUNT_EVENTS)
+        compact(spark, paths.balances, BALANCES)
+        compact(spark, paths.positions, POSITIONS)
+        compact(spark, paths.silver_account, SILVER_ACCOUNT, BY_DAY)
+        compact(spark, paths.equity_instants, EQUITY_INSTANTS, ("day",))
+        compact(spark, paths.equity_minutes, EQUITY_MINUTES)
 
     return _load_each_batch(
         account_events(bronze),
@@ -122,6 +132,24 @@ def silver_account_stream(
     )
 
 
+class _Beside:
+    """Runs one thing at a time beside the stream; while it runs, another is not begun."""
+
+    def __init__(self):
+        self._running: Thread | None = None
+
+    def start(self, spark: SparkSession, work: Callable[[SparkSession], None]) -> None:
+        def logged() -> None:
+            try:
+                work(spark)
+            except Exception:
+                logging.getLogger(__name__).exception("parts were not merged")
+
+        if self._running is None or not self._running.is_alive():
+            self._running = Thread(target=inheritable_thread_target(spark)(logged))
+            self._running.start()
+
+
 def _load_each_batch(
     rows: DataFrame,
     path: str,
@@ -133,18 +161,21 @@ def _load_each_batch(
 ) -> DataStreamWriter:
     """Add every micro-batch as a load of its own, called by the stream's name and number.
 
-    A micro-batch that is replayed after a failure replaces its own load, as the newest
-    ones are never compacted. The name belongs to the stream that first used it: one that
+    A micro-batch that is replayed after a failure replaces its own load. Parts are merged
+    beside the stream, by a thread that commits only what did not change meanwhile; one that
+    fails is logged, and the next one does its work. The name belongs to the stream that first used it: one that
     starts over on a new checkpoint fails until it has a name of its own. Routing and
     parsing belong to the streamed plan, so a stream reads only its own event type.
     """
 
+    beside = _Beside()
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         owner = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         claim_name(spark, path, name, owner)
         add(batch, f"{name}-{batch_id}")
         if batch_id % compact_every == compact_every - 1:
-            tidy(spark)
+            beside.start(spark, tidy)
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -26,7 +26,7 @@ from ledgerlake.operators.quality import (
 from ledgerlake.operators.risk import daily_max_drawdown, daily_sharpe, equity_points
 from ledgerlake.operators.trades import closed_trades
 from ledgerlake.plans.paths import LakePaths, scratch_lake
-from ledgerlake.plans.stages import run, run_bronze, run_gold, run_silver
+from ledgerlake.plans.stages import compact_lake, run, run_bronze, run_gold, run_silver
 from ledgerlake.schemas import ACCOUNT_REQUIRED, ORDER_REQUIRED
 from ledgerlake.sources.catalog import register_gold
 from ledgerlake.sources.landing import land, read_landing, stream_landing
@@ -34,6 +34,7 @@ from ledgerlake.sources.tables import (
     read_balances,
     read_bronze,
     read_gold_daily_metrics,
+    read_gold_daily_risk,
     read_gold_trades,
     read_positions,
     read_quarantine,
@@ -294,6 +295,68 @@ def batch_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
 
 
+def _three_loads(spark: SparkSession, sf_dir: str) -> LakePaths:
+    """Three loads that each span all days, then wrong lines for the second, and the right ones."""
+    paths = scratch_lake(spark)
+    steps = _in_steps(spark, sf_dir, 3)
+    for load_id, lines in zip("abc", steps):
+        lines.write.text(paths.landed(load_id))
+        run(spark, paths, load_id)
+    steps[0].write.mode("overwrite").text(paths.landed("b"))
+    run(spark, paths, "b")
+    steps[1].write.mode("overwrite").text(paths.landed("b"))
+    run(spark, paths, "b")
+    return paths
+
+
+def batch_three_loads_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics added up from three loads, one of them replaced."""
+    paths = _three_loads(spark, sf_dir)
+    return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
+
+
+def batch_three_loads_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drawdowns and Sharpe ratios merged from three overlapping loads, one of them replaced."""
+    paths = _three_loads(spark, sf_dir)
+    risk = read_gold_daily_risk(spark, paths.gold_daily_risk)
+    return risk.withColumn("sharpe", F.round("sharpe", 9))
+
+
+def batch_merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by feed and verdict after nine loads that are merged by tiers, two of them replaced."""
+    paths = scratch_lake(spark)
+    for k, lines in enumerate(_in_steps(spark, sf_dir, 9)):
+        lines.write.text(paths.landed(f"load-{k}"))
+        run_bronze(spark, paths, f"load-{k}")
+        run_silver(spark, paths, f"load-{k}")
+        compact_lake(spark, paths, fanout=3)
+    for k in (0, 7):
+        run_silver(spark, paths, f"load-{k}")
+    orders = read_silver_orders(spark, paths.silver_orders).select(
+        F.lit("orders").alias("feed"), F.lit("clean").alias("verdict")
+    )
+    account = read_silver_account(spark, paths.silver_account).select(
+        F.lit("account").alias("feed"), F.lit("clean").alias("verdict")
+    )
+    rejected = read_quarantine(spark, paths.silver_orders, paths.silver_account).select(
+        "feed", F.lit("quarantine").alias("verdict")
+    )
+    rows = orders.unionByName(account).unionByName(rejected)
+    return rows.groupBy("feed", "verdict").agg(F.count("*").alias("row_count"))
+
+
+def batch_late_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settled days with their late trades, after four loads and the first two once more."""
+    paths = scratch_lake(spark)
+    for k, lines in enumerate(_in_steps(spark, sf_dir, 4)):
+        lines.write.text(paths.landed(f"load-{k}"))
+    for k in (0, 1, 2, 3, 0, 1):
+        run_bronze(spark, paths, f"load-{k}")
+        run_silver(spark, paths, f"load-{k}")
+    days = settled_days(read_trade_days(spark, paths.trade_days))
+    return days.select("day", "trades_count", "late_trades")
+
+
 def raw_json_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all lines as bronze and silver orders keep them."""
     paths = _landed(spark, sf_dir)
@@ -432,6 +495,10 @@ QUERIES: dict[str, Query] = {
     "gold_sql_symbols": gold_sql_symbols,
     "gold_sql_risk": gold_sql_risk,
     "batch_two_loads": batch_two_loads,
+    "batch_three_loads_metrics": batch_three_loads_metrics,
+    "batch_three_loads_risk": batch_three_loads_risk,
+    "batch_merged_parts": batch_merged_parts,
+    "batch_late_trades": batch_late_trades,
     "raw_json_digests": raw_json_digests,
     "silver_elements": silver_elements,
     "daily_max_drawdown": drawdown,

@@ -345,6 +345,18 @@ _BY_TYPE = _bronze("SELECT event_type, count(*) AS events FROM feed GROUP BY eve
 _ALL_TRADES = _trades("SELECT * FROM trades")
 _ALL_DAYS = _daily("SELECT * FROM daily")
 
+_RISK = (
+    f"WITH {_FEED}{_ORDERS}{_TRADES}{_ACCOUNT}{_PEAKS}{_SHARPE}\n"
+    "SELECT day, max_drawdown, running_drawdown, sharpe FROM drawdowns FULL JOIN "
+    "(SELECT * FROM sharpes WHERE day IS NOT NULL) USING (day)"
+)
+_VERDICTS = _silver(
+    f"SELECT 'orders' AS feed, CASE WHEN {_ORDER_CLEAN} THEN 'clean' ELSE 'quarantine' END "
+    "AS verdict, count(*) AS row_count FROM orders_silver GROUP BY 1, 2 UNION ALL "
+    f"SELECT 'account', CASE WHEN {_ACCOUNT_CLEAN} THEN 'clean' ELSE 'quarantine' END, "
+    "count(*) FROM account_silver GROUP BY 1, 2"
+)
+
 ORACLES: dict[str, str] = {
     "raw_line_count": _bronze(
         "SELECT count(*) AS lines, count(*) FILTER (WHERE k = 0) AS blank_lines FROM feed"
@@ -373,12 +385,7 @@ ORACLES: dict[str, str] = {
         + " UNION ALL "
         + _parts("account", "account_silver", _ACCOUNT_CLEAN)
     ),
-    "verdict_by_feed": _silver(
-        f"SELECT 'orders' AS feed, CASE WHEN {_ORDER_CLEAN} THEN 'clean' ELSE 'quarantine' END "
-        "AS verdict, count(*) AS row_count FROM orders_silver GROUP BY 1, 2 UNION ALL "
-        f"SELECT 'account', CASE WHEN {_ACCOUNT_CLEAN} THEN 'clean' ELSE 'quarantine' END, "
-        "count(*) FROM account_silver GROUP BY 1, 2"
-    ),
+    "verdict_by_feed": _VERDICTS,
     "account_balances_exploded": _account(
         f"SELECT {_ENVELOPE}, {_when('k <> 8', _REASON)}, {_when('b IS NOT NULL', _BALANCE)}, "
         "schema_version FROM balances"
@@ -417,10 +424,22 @@ ORACLES: dict[str, str] = {
         f"{_PEAKS}\nSELECT * FROM drawdowns",
     ),
     "daily_sharpe": _trades(f"{_SHARPE}\nSELECT * FROM sharpes"),
-    "gold_sql_risk": f"WITH {_FEED}{_ORDERS}{_TRADES}{_ACCOUNT}{_PEAKS}{_SHARPE}\n"
-    "SELECT day, max_drawdown, running_drawdown, sharpe FROM drawdowns FULL JOIN "
-    "(SELECT * FROM sharpes WHERE day IS NOT NULL) USING (day)",
+    "gold_sql_risk": _RISK,
     "batch_two_loads": _ALL_DAYS,
+    "batch_three_loads_metrics": _ALL_DAYS,
+    "batch_three_loads_risk": _RISK,
+    "batch_merged_parts": _VERDICTS,
+    "batch_late_trades": _trades(
+        # A load's trades are late if their day is over by a day at the newest of earlier loads.
+        ", loads AS (SELECT (order_id - 1000000) % 4 AS k, trade_time, CAST(trade_time AS DATE) "
+        "AS day FROM trades),\n"
+        "newest AS (SELECT l.k, max(e.trade_time) AS at FROM "
+        "(SELECT DISTINCT k FROM loads) l JOIN loads e ON e.k < l.k GROUP BY l.k)\n"
+        "SELECT day, count(*) AS trades_count, "
+        "count(*) FILTER (WHERE n.at >= day + INTERVAL 2 DAY) AS late_trades "
+        "FROM loads LEFT JOIN newest n USING (k) GROUP BY day HAVING day + INTERVAL 2 DAY <= "
+        "(SELECT max(trade_time) FROM trades)"
+    ),
     "raw_json_digests": f"WITH {_FEED}{_LINES}\n"
     "SELECT 'bronze' AS \"table\", md5(line) AS digest, count(*) AS lines FROM lines GROUP BY 2 "
     "UNION ALL SELECT 'orders', md5(line), count(*) FROM lines "

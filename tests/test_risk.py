@@ -3,16 +3,29 @@ import random
 import statistics
 from collections import defaultdict
 from datetime import date, datetime, timedelta
+from decimal import Decimal, getcontext
 
 from events import DAY, NOON, account, balance, order, position, raw
 
 from ledgerlake.operators.account import account_events
+from ledgerlake.operators.days import added_sums, sharpe_of_sums, trade_day_sums
 from ledgerlake.operators.envelope import bronze_rows
 from ledgerlake.operators.orders import silver_orders
-from ledgerlake.operators.risk import daily_max_drawdown, daily_sharpe, equity_points
+from ledgerlake.operators.risk import (
+    daily_drawdowns,
+    daily_max_drawdown,
+    daily_sharpe,
+    equity_instants,
+    equity_points,
+    merged_minutes,
+    minute_summaries,
+)
 from ledgerlake.operators.trades import closed_trades
 
 
+getcontext().prec = 60
+
+
 def brute_force(points):
     """Running peak over one day's points in order of time and equity."""
     days = defaultdict(list)
@@ -153,3 +166,85 @@ def test_sharpe_of_a_small_spread_around_a_large_mean(spark):
     found = sharpes(spark, [(0, f"{pnl:.8f}") for pnl in pnls])
     expected = statistics.mean(pnls) / statistics.stdev(pnls)
     assert math.isclose(found[date(2025, 3, 17)], expected, rel_tol=0.02)
+
+
+def test_summaries_of_overlapping_loads_merge_to_one_scan(spark):
+    rng = random.Random(11)
+    start = datetime(2025, 3, 17, 23, 30)
+    points = [
+        (start + timedelta(milliseconds=rng.randrange(0, 70 * 60000, 250)), rng.uniform(-5, 99))
+        for _ in range(1500)
+    ]
+    loads = [points[0::3], points[1::3], points[2::3]]
+    # A part of the curve that no other load touches.
+    loads.append([(start + timedelta(hours=5, minutes=k), 50.0 + k % 7) for k in range(40)])
+    schema = "at timestamp, equity double"
+    instants = minutes = None
+    for own in loads:
+        curve = equity_instants(spark.createDataFrame(own, schema))
+        instants = curve if instants is None else instants.union(curve)
+        summed = minute_summaries(curve)
+        minutes = summed if minutes is None else minutes.union(summed)
+    instants = instants.selectExpr("*", "to_date(minute) AS day").cache()
+    found = daily_drawdowns(merged_minutes(minutes.cache(), instants)).collect()
+    expected = daily_max_drawdown(
+        spark.createDataFrame([x for own in loads for x in own], schema)
+    ).collect()
+    assert sorted(found) == sorted(expected)
+
+
+def test_instants_are_read_for_shared_minutes_alone(spark):
+    noon = datetime(2025, 3, 17, 12)
+    minutes = spark.createDataFrame(
+        [(noon, 0.5, 1.0, 2.0), (noon + timedelta(minutes=1), 0.25, 3.0, 4.0)],
+        "minute timestamp, fall double, low double, high double",
+    )
+    instants = spark.createDataFrame(
+        [], "minute timestamp, at timestamp, low double, high double, day date"
+    )
+    assert merged_minutes(minutes, instants).count() == 2
+
+
+def _pnl_days(spark, pnls):
+    rows = [(None if x is None else Decimal(x), datetime(2025, 3, 17, 12)) for x in pnls]
+    return spark.createDataFrame(rows, "realized_pnl decimal(18,8), trade_time timestamp")
+
+
+def _merged_sharpe(spark, loads, **parameters):
+    sums = None
+    for own in loads:
+        one = trade_day_sums(_pnl_days(spark, own))
+        sums = one if sums is None else sums.union(one)
+    return sharpe_of_sums(sums, **parameters).first().sharpe, sums
+
+
+def test_sharpe_of_sums_is_that_of_all_trades_however_they_are_split(spark):
+    rng = random.Random(5)
+    cases = {
+        "small spread, large mean": [f"1000000.{n:08}" for n in (1, 2, 4, 7, 3, 3)],
+        "largest": ["9999999999.99999999", "9999999999.99999998", "-9999999999.99999999"],
+        "either side of a limb": ["9.99999999", "10.00000000", "10.00000001", "-0.00000001"],
+        "random": [f"{rng.uniform(-500, 500):.8f}" for _ in range(60)],
+        "negative": [f"-123456.{n:08}" for n in (10, 20, 15)],
+    }
+    for name, pnls in cases.items():
+        exact = [Decimal(x) for x in pnls]
+        mean = sum(exact, Decimal(0)) / len(exact)
+        spread = (sum((x - mean) ** 2 for x in exact) / (len(exact) - 1)).sqrt()
+        for _ in range(2):
+            own = [[], [], [None]]
+            for x in pnls:
+                rng.choice(own).append(x)
+            found, sums = _merged_sharpe(spark, own)
+            assert math.isclose(found, float(mean / spread), rel_tol=1e-12), name
+            again = sharpe_of_sums(added_sums(sums)).first().sharpe
+            assert found == again
+
+
+def test_sharpe_of_sums_without_spread(spark):
+    assert _merged_sharpe(spark, [["0.1"], ["0.1", "0.1"]])[0] is None
+    assert _merged_sharpe(spark, [["5"]])[0] is None
+    assert _merged_sharpe(spark, [[None, None]])[0] is None
+    found, _ = _merged_sharpe(spark, [["1", "2"], ["4"]], risk_free=0.5, periods=252)
+    expected = (statistics.mean([1, 2, 4]) - 0.5) / statistics.stdev([1, 2, 4]) * math.sqrt(252)
+    assert math.isclose(found, expected, rel_tol=1e-12)

@@ -3,15 +3,20 @@ from pathlib import Path
 import pytest
 from events import DAY, NOON, account, order
 
-from ledgerlake.operators.days import metrics_of_sums, settled_days
+from ledgerlake.operators.days import added_sums, metrics_of_sums, settled_days
 from ledgerlake.operators.envelope import of_type
 from ledgerlake.operators.orders import silver_orders
 from ledgerlake.plans.paths import LakePaths
 from ledgerlake.plans.stages import add_orders, run
+from ledgerlake.schemas import GOLD_TRADES, SILVER_ORDERS, TRADE_DAYS
 from ledgerlake.sources.landing import land, read_landing, stream_landing, stream_topic
 from ledgerlake.sources.storage import folders
 from ledgerlake.sources.tables import (
+    BY_DAY,
+    FANOUT,
     KEPT_LOADS,
+    compact,
+    parts,
     read_balances,
     read_bronze,
     read_gold_daily_metrics,
@@ -20,6 +25,7 @@ from ledgerlake.sources.tables import (
     read_silver_account,
     read_silver_orders,
     read_trade_days,
+    sum_up,
     visible_loads,
 )
 from ledgerlake.streaming.tables import (
@@ -126,10 +132,15 @@ def test_many_micro_batches_leave_few_folders(spark, paths):
     assert quarantine.count() == 20
     day = read_gold_daily_metrics(spark, paths.gold_daily_metrics).first()
     assert (day.trades_count, day.total_pnl) == (20, 20)
-    assert len(visible_loads(spark, paths.silver_orders)) <= KEPT_LOADS + 1
-    # At most the loads of two compactions.
-    assert len(folders(spark, paths.silver_orders)) <= 2 * (KEPT_LOADS + 1 + 5)
-    assert len(folders(spark, paths.trade_days)) <= 2 * (KEPT_LOADS + 1 + 5)
+    assert len(visible_loads(spark, paths.silver_orders)) == 20
+    for path, schema in ((paths.silver_orders, SILVER_ORDERS), (paths.gold_trades, GOLD_TRADES)):
+        compact(spark, path, schema, BY_DAY if schema is SILVER_ORDERS else (), grace=0)
+        assert len(parts(spark, path)) <= 2 * FANOUT
+        assert len(folders(spark, path)) == len(parts(spark, path))
+    sum_up(spark, paths.trade_days, TRADE_DAYS, "orders", added_sums, grace=0)
+    assert len(parts(spark, paths.trade_days)) <= 2 * FANOUT + KEPT_LOADS
+    assert read_trade_days(spark, paths.trade_days).agg({"trades": "sum"}).first()[0] == 20
+    assert read_silver_orders(spark, paths.silver_orders).count() == 20
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])

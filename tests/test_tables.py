@@ -19,7 +19,9 @@ from ledgerlake.schemas import (
 from ledgerlake.sources.landing import read_landing
 from ledgerlake.sources.storage import folders
 from ledgerlake.sources.tables import (
+    BY_DAY,
     compact,
+    parts,
     read_balances,
     read_bronze,
     read_gold_daily_metrics,
@@ -267,10 +269,8 @@ def test_compaction_keeps_rows_and_bounds_folders(spark, paths):
         orders = read_silver_orders(spark, paths.silver_orders)
         return column(orders, "order_id"), column(quarantine, "order_id")
 
-    def tidy():
-        compact(
-            spark, paths.silver_orders, SILVER_ORDERS, "feed", ("verdict", "event_time"), keep=2
-        )
+    def tidy(grace=0.0):
+        compact(spark, paths.silver_orders, SILVER_ORDERS, BY_DAY, fanout=4, grace=grace)
 
     write_silver(
         silver_orders(bronze_rows(raw(spark, [order(i=77)]))),
@@ -280,25 +280,22 @@ def test_compaction_keeps_rows_and_bounds_folders(spark, paths):
     )
     numbered(spark, paths, range(6))
     before = content()
-    tidy()
+    tidy(grace=900)
     assert content() == before
-    assert visible_loads(spark, paths.silver_orders) == ["by-hand", "feed-4", "feed-5", "feed~0~3"]
-    # The replaced folders stay until the next compaction; a replay of a new load is safe.
+    assert len(parts(spark, paths.silver_orders)) == 1
+    assert visible_loads(spark, paths.silver_orders) == ["by-hand", *(f"feed-{n}" for n in range(6))]
+    # The replaced folders stay for a while; a replay of a merged load is safe.
     assert len(folders(spark, paths.silver_orders)) == 8
     numbered(spark, paths, [5, 6, 7])
     tidy()
-    tidy()
-    assert column(read_silver_orders(spark, paths.silver_orders), "order_id") == [
-        *range(8),
-        77,
-    ]
-    assert visible_loads(spark, paths.silver_orders) == ["by-hand", "feed-6", "feed-7", "feed~0~5"]
+    assert content()[0] == [*range(8), 77]
+    assert len(parts(spark, paths.silver_orders)) == 4
     assert len(folders(spark, paths.silver_orders)) == 4
 
 
 def test_a_compaction_that_did_not_finish_counts_for_nothing(spark, paths):
     numbered(spark, paths, range(3))
-    half = Path(paths.silver_orders) / "load_id=feed~0~1"
+    half = Path(paths.silver_orders) / "load_id=_merged~0123456789ab"
     half.mkdir()
     assert column(read_silver_orders(spark, paths.silver_orders), "order_id") == [0, 1, 2]
-    assert "feed~0~1" not in visible_loads(spark, paths.silver_orders)
+    assert len(parts(spark, paths.silver_orders)) == 3
