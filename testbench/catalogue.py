@@ -14,6 +14,7 @@ from ledgerlake.operators.account import (
 )
 from ledgerlake.operators.days import settled_days
 from ledgerlake.operators.envelope import bronze_rows, unrouted
+from ledgerlake.operators.equity import account_changes, carried_equity
 from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
 from ledgerlake.operators.quality import (
@@ -394,6 +395,18 @@ def drawdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_max_drawdown(equity_points(account_events(_bronze(spark, sf_dir))))
 
 
+def carried_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equity at every change, where an update lists changed balances and positions only."""
+    equity = carried_equity(account_changes(account_events(_bronze(spark, sf_dir))))
+    return equity.withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+def carried_drawdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drawdowns of that curve."""
+    equity = carried_equity(account_changes(account_events(_bronze(spark, sf_dir))))
+    return daily_max_drawdown(equity.withColumn("equity", F.col("equity").cast("double")))
+
+
 def sharpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Deviations are doubles, whose last digits depend on the order of merging.
     days = daily_sharpe(_trades(spark, sf_dir))
@@ -502,6 +515,8 @@ QUERIES: dict[str, Query] = {
     "raw_json_digests": raw_json_digests,
     "silver_elements": silver_elements,
     "daily_max_drawdown": drawdown,
+    "carried_equity": carried_curve,
+    "carried_drawdown": carried_drawdown,
     "daily_sharpe": sharpe,
     "stream_landing_count": stream_landing_count,
     "stream_bronze_count": stream_bronze_count,

@@ -277,7 +277,8 @@ _PEAKS = """
            sum(amount + 1000 + b) + (SELECT coalesce(sum(amount - 250 + p), 0)
              FROM unnest(any_value(ps)) AS t(p) WHERE p IS NOT NULL) AS DOUBLE) AS equity
   FROM balances WHERE b IS NOT NULL GROUP BY event_id, event_received_time, amount
-),
+)"""
+_FALLS = """,
 peaks AS (
   SELECT CAST(moment AS DATE) AS day, equity,
          max(equity) OVER (PARTITION BY CAST(moment AS DATE) ORDER BY moment, equity
@@ -291,6 +292,30 @@ drawdowns AS (
          max(CASE WHEN highest > 0 THEN 1 - greatest(equity, 0) / highest END) AS running_drawdown
   FROM peaks GROUP BY day
 )"""
+# The last known amount of every asset and position at every instant, on the full grid of both.
+_CARRIED = """
+, changes AS (
+  SELECT event_received_time AS moment, 'asset' || b AS name, amount + 1000 + b AS known
+  FROM balances WHERE b IS NOT NULL UNION ALL
+  SELECT event_received_time,
+         coalesce(CASE WHEN k <> 4 THEN 'PAIR' || ((user_id + p) % 4) END, '') ||
+           CASE WHEN p = 0 THEN '/BOTH' ELSE '/LONG' END,
+         amount - 250 + p
+  FROM positions WHERE p IS NOT NULL
+),
+once AS (SELECT moment, name, max(known) AS known FROM changes GROUP BY ALL),
+grid AS (
+  SELECT moment, name FROM (SELECT DISTINCT moment FROM once)
+  CROSS JOIN (SELECT DISTINCT name FROM once)
+),
+filled AS (
+  SELECT moment, last_value(known IGNORE NULLS) OVER (PARTITION BY name ORDER BY moment
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS known
+  FROM grid LEFT JOIN once USING (moment, name)
+),
+carried AS (
+  SELECT moment, CAST(sum(known) AS DECIMAL(28,8)) AS equity FROM filled GROUP BY moment
+)"""
 _SHARPE = """
 , moments AS (
   SELECT CAST(trade_time AS DATE) AS day, avg(realized_pnl) AS mean,
@@ -346,7 +371,7 @@ _ALL_TRADES = _trades("SELECT * FROM trades")
 _ALL_DAYS = _daily("SELECT * FROM daily")
 
 _RISK = (
-    f"WITH {_FEED}{_ORDERS}{_TRADES}{_ACCOUNT}{_PEAKS}{_SHARPE}\n"
+    f"WITH {_FEED}{_ORDERS}{_TRADES}{_ACCOUNT}{_PEAKS}{_FALLS}{_SHARPE}\n"
     "SELECT day, max_drawdown, running_drawdown, sharpe FROM drawdowns FULL JOIN "
     "(SELECT * FROM sharpes WHERE day IS NOT NULL) USING (day)"
 )
@@ -421,7 +446,12 @@ ORACLES: dict[str, str] = {
         "CAST(sum(realized_pnl) AS DECIMAL(28,8)) AS total_pnl FROM trades GROUP BY symbol"
     ),
     "daily_max_drawdown": _account(
-        f"{_PEAKS}\nSELECT * FROM drawdowns",
+        f"{_PEAKS}{_FALLS}\nSELECT * FROM drawdowns",
+    ),
+    "carried_equity": _account(f"{_CARRIED}\nSELECT moment AS at, equity FROM carried"),
+    "carried_drawdown": _account(
+        f"{_CARRIED},\ncurve AS (SELECT moment, CAST(equity AS DOUBLE) AS equity FROM carried)"
+        f"{_FALLS}\nSELECT * FROM drawdowns"
     ),
     "daily_sharpe": _trades(f"{_SHARPE}\nSELECT * FROM sharpes"),
     "gold_sql_risk": _RISK,
