@@ -18,6 +18,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--load-id", required=True, help="name of this batch of lines")
     parser.add_argument("--database", default="gold", help="database of the gold tables")
     parser.add_argument("--schema-version", type=int, default=1, help="payload version")
+    parser.add_argument("--once", action="store_true", help="leave out lines delivered again")
     return parser.parse_args(argv)
 
 
@@ -30,7 +31,8 @@ def main(argv: list[str] | None = None) -> None:
     started = time.monotonic()
     try:
         paths = LakePaths(args.landing, args.root)
-        for feed, counts in run(spark, paths, args.load_id, args.schema_version).items():
+        counted = run(spark, paths, args.load_id, args.schema_version, args.once)
+        for feed, counts in counted.items():
             print(f"{feed}: {counts}")
         register_gold(spark, paths, args.database)
         print(f"took {time.monotonic() - started:.2f} s")

@@ -35,7 +35,7 @@ def _limbs(units: Column) -> tuple[Column, Column]:
 
 
 def trade_day_sums(
-    trades: DataFrame, newest: datetime | None = None, lateness: str = "1 day"
+    trades: DataFrame, newest: Column | datetime | None = None, lateness: str = "1 day"
 ) -> DataFrame:
     """Counts and sums of one load's trades by day; all combine map-side.
 
@@ -43,7 +43,7 @@ def trade_day_sums(
     newest trade of all earlier loads, at ``newest``, had come.
     """
     pnl = F.col("realized_pnl")
-    late = F.lit(newest) >= _over(lateness)
+    late = (newest if isinstance(newest, Column) else F.lit(newest)) >= _over(lateness)
     # Below 2**60, so exact; the quotient by 10**9 is below 2**31 and exact as a double.
     high, low = _limbs((pnl * F.lit(_UNITS)).cast("long"))
 
@@ -72,6 +72,16 @@ def trade_day_sums(
     )
 
 
+def late_trades(trades: DataFrame, newest: Column, lateness: str = "1 day") -> DataFrame:
+    """The trades that :func:`trade_day_sums` counts as late."""
+    return trades.withColumn("day", _day()).where(newest >= _over(lateness)).drop("day")
+
+
+def window_metrics(sums: DataFrame) -> DataFrame:
+    """Daily metrics without late trades: what each day's window held when it closed."""
+    return metrics_of_sums(sums.where("late = 0"))
+
+
 def added_sums(sums: DataFrame) -> DataFrame:
     """Sums of several loads as one row a day."""
     counts = ("trades", "known", "wins", "losses", "late")

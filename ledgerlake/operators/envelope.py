@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.lineage import line_digest
 from ledgerlake.functions.times import timestamp_of
 from ledgerlake.schemas import ACCOUNT_EVENT, ORDER_EVENT
 
@@ -31,6 +32,24 @@ def bronze_rows(lines: DataFrame) -> DataFrame:
     )
 
 
+def line_digests(bronze: DataFrame) -> DataFrame:
+    """(digest, event_date) of bronze rows; half of a SHA-256 tells lines apart."""
+    return bronze.select(line_digest("raw_json").alias("digest"), "event_date")
+
+
+def first_deliveries(bronze: DataFrame, known: DataFrame) -> DataFrame:
+    """Bronze rows without repetitions, of each other or of lines whose digests are known.
+
+    Equal lines have equal dates, so ``known`` is read for the dates of ``bronze`` alone. A line that
+    repeats very often is combined map-side, and then meets one digest.
+    """
+    once = bronze.withColumn("digest", line_digest("raw_json")).dropDuplicates(
+        ["event_date", "digest"]
+    )
+    same = once["event_date"].eqNullSafe(known["event_date"]) & (once["digest"] == known["digest"])
+    return once.join(known, same, "left_anti").drop("digest")
+
+
 def of_type(bronze: DataFrame, event_type: str) -> DataFrame:
     """Rows of one event type; prunes partitions when read from the bronze table."""
     return bronze.where(F.col("event_type") == event_type)

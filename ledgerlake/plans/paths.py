@@ -34,6 +34,10 @@ class LakePaths:
     def bronze(self) -> str:
         return self._under("bronze")
 
+    @property
+    def line_digests(self) -> str:
+        return self._under("line_digests")
+
     @property
     def streamed_bronze(self) -> str:
         return self._under("streamed_bronze")
@@ -62,6 +66,10 @@ class LakePaths:
     def trade_days(self) -> str:
         return self._under("silver", "trade_days")
 
+    @property
+    def late_trades(self) -> str:
+        return self._under("silver", "late_trades")
+
     @property
     def equity_instants(self) -> str:
         return self._under("silver", "equity_instants")

@@ -13,8 +13,13 @@ from ledgerlake.operators.account import (
     balance_rows,
     position_rows,
 )
-from ledgerlake.operators.days import metrics_of_sums, sharpe_of_sums, trade_day_sums
-from ledgerlake.operators.envelope import bronze_rows
+from ledgerlake.operators.days import (
+    late_trades,
+    metrics_of_sums,
+    sharpe_of_sums,
+    trade_day_sums,
+)
+from ledgerlake.operators.envelope import bronze_rows, first_deliveries, line_digests
 from ledgerlake.operators.orders import silver_orders
 from ledgerlake.operators.risk import (
     daily_drawdowns,
@@ -36,6 +41,7 @@ from ledgerlake.schemas import (
     GOLD_DAILY_METRICS,
     GOLD_DAILY_RISK,
     GOLD_TRADES,
+    LINE_DIGESTS,
     ORDER_REQUIRED,
     POSITIONS,
     SILVER_ACCOUNT,
@@ -46,11 +52,13 @@ from ledgerlake.sources.landing import read_landing
 from ledgerlake.sources.tables import (
     BY_DAY,
     Load,
+    bronze_into,
     compact,
     facts_of,
     read_bronze,
     read_equity_instants,
     read_equity_minutes,
+    read_loads,
     read_trade_days,
     silver_into,
     write_bronze,
@@ -58,10 +66,25 @@ from ledgerlake.sources.tables import (
 )
 
 
-def run_bronze(spark: SparkSession, paths: LakePaths, load_id: str) -> None:
-    """Write the lines landed for one load to bronze."""
-    lines = read_landing(spark, paths.landed(load_id))
-    write_bronze(bronze_rows(lines), paths.bronze, load_id)
+def run_bronze(
+    spark: SparkSession, paths: LakePaths, load_id: str, once: bool = False
+) -> None:
+    """Write the lines landed for one load to bronze.
+
+    With ``once``, lines that are in this load already, or in another one that was loaded so, are
+    left out: a topic's connector delivers each message at least once. Digests of all lines
+    are kept for that, by date.
+    """
+    rows = bronze_rows(read_landing(spark, paths.landed(load_id)))
+    if not once:
+        write_bronze(rows, paths.bronze, load_id)
+        return
+    known = read_loads(spark, paths.line_digests, LINE_DIGESTS)
+    known = known.where(F.col("load_id") != load_id)
+    with Load(spark, load_id) as load:
+        bronze_into(load, first_deliveries(rows, known), paths.bronze)
+        digests = line_digests(load.read(paths.bronze, BRONZE))
+        load.write(digests.hint("rebalance", "event_date"), paths.line_digests, ("event_date",))
 
 
 def orders_into(load: Load, orders: DataFrame, paths: LakePaths, lateness: str = "1 day") -> dict:
@@ -84,6 +107,8 @@ def orders_into(load: Load, orders: DataFrame, paths: LakePaths, lateness: str =
     newest = F.timestamp_micros(F.lit(known["newest_before"]).cast("long"))
     trades = load.read(paths.gold_trades, GOLD_TRADES)
     load.write(trade_day_sums(trades, newest, lateness).coalesce(1), paths.trade_days)
+    if known["newest_before"] is not None:
+        load.write(late_trades(trades, newest, lateness), paths.late_trades)
     return counts
 
 
@@ -194,19 +219,25 @@ def compact_lake(spark: SparkSession, paths: LakePaths, **options) -> int:
         (paths.equity_instants, EQUITY_INSTANTS, ("day",)),
         (paths.equity_minutes, EQUITY_MINUTES, ()),
         (paths.gold_trades, GOLD_TRADES, ()),
+        (paths.late_trades, GOLD_TRADES, ()),
+        (paths.line_digests, LINE_DIGESTS, ("event_date",)),
     )
     return sum(compact(spark, *table, **options) for table in tables)
 
 
 def run(
-    spark: SparkSession, paths: LakePaths, load_id: str, schema_version: int = 1
+    spark: SparkSession,
+    paths: LakePaths,
+    load_id: str,
+    schema_version: int = 1,
+    once: bool = False,
 ) -> dict[str, dict[str, int]]:
     """Bring the lines landed for one load to gold; the session stays open.
 
     Each batch of lines has a folder of its own, ``load_id=<load_id>`` in the landing
     directory, and costs what its own lines cost. Running a load again replaces it.
     """
-    run_bronze(spark, paths, load_id)
+    run_bronze(spark, paths, load_id, once)
     counts = run_silver(spark, paths, load_id, schema_version)
     run_gold(spark, paths)
     compact_lake(spark, paths)

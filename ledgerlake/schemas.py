@@ -144,6 +144,10 @@ BRONZE = T.StructType(
         T.StructField("event_date", T.DateType()),
     ]
 )
+# What tells lines of bronze apart.
+LINE_DIGESTS = T.StructType(
+    [T.StructField("digest", T.BinaryType()), T.StructField("event_date", T.DateType())]
+)
 SILVER_ORDERS = T.StructType(
     _columns(ENVELOPE, **_TIMES) + _columns(ORDER_BODY, **_TIMES) + _INGEST + _LINEAGE
 )

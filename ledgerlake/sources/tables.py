@@ -113,16 +113,21 @@ class Load:
         commit(self.spark, log, lambda _: change)
 
 
-def write_bronze(bronze: DataFrame, path: str, load_id: str) -> None:
-    """Write one load of bronze, by event type and date.
+def bronze_into(load: Load, bronze: DataFrame, path: str) -> None:
+    """Add bronze rows to a load, by event type and date.
 
     Landing files are tiny and in arrival order, so rows are brought together by
     partition first. ``rebalance`` sizes tasks at run time: it splits a type and date
     that holds much of the data over many tasks and merges the small ones.
     """
     days = ("event_type", "event_date")
+    load.write(bronze.hint("rebalance", *days), path, days)
+
+
+def write_bronze(bronze: DataFrame, path: str, load_id: str) -> None:
+    """Write one load of bronze by itself; see :func:`bronze_into`."""
     with Load(bronze.sparkSession, load_id) as load:
-        load.write(bronze.hint("rebalance", *days), path, days)
+        bronze_into(load, bronze, path)
 
 
 def read_bronze(spark: SparkSession, path: str, load_id: str | None = None) -> DataFrame:
@@ -387,6 +392,11 @@ def read_trade_days(
     return rows.drop("load_id")
 
 
+def read_late_trades(spark: SparkSession, path: str) -> DataFrame:
+    """Trades of all loads that came when their day was over."""
+    return read_loads(spark, path, GOLD_TRADES).drop("load_id")
+
+
 def read_equity_minutes(spark: SparkSession, path: str) -> DataFrame:
     """Each load's summary of each minute of the equity curve, with its load."""
     return read_loads(spark, path, EQUITY_MINUTES)

@@ -88,6 +88,7 @@ def silver_orders_stream(
     def tidy(spark: SparkSession) -> None:
         compact(spark, paths.silver_orders, SILVER_ORDERS, BY_DAY)
         compact(spark, paths.gold_trades, GOLD_TRADES)
+        compact(spark, paths.late_trades, GOLD_TRADES)
         sum_up(spark, paths.trade_days, TRADE_DAYS, name, added_sums)
 
     return _load_each_batch(

@@ -12,7 +12,7 @@ from ledgerlake.operators.account import (
     position_rows,
     silver_account,
 )
-from ledgerlake.operators.days import settled_days
+from ledgerlake.operators.days import settled_days, window_metrics
 from ledgerlake.operators.envelope import bronze_rows, unrouted
 from ledgerlake.operators.equity import account_changes, carried_equity
 from ledgerlake.operators.metrics import daily_metrics
@@ -30,13 +30,14 @@ from ledgerlake.plans.paths import LakePaths, scratch_lake
 from ledgerlake.plans.stages import compact_lake, run, run_bronze, run_gold, run_silver
 from ledgerlake.schemas import ACCOUNT_REQUIRED, ORDER_REQUIRED
 from ledgerlake.sources.catalog import register_gold
-from ledgerlake.sources.landing import land, read_landing, stream_landing
+from ledgerlake.sources.landing import delivered_once, land, read_landing, stream_landing
 from ledgerlake.sources.tables import (
     read_balances,
     read_bronze,
     read_gold_daily_metrics,
     read_gold_daily_risk,
     read_gold_trades,
+    read_late_trades,
     read_positions,
     read_quarantine,
     read_silver_account,
@@ -358,6 +359,47 @@ def batch_late_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select("day", "trades_count", "late_trades")
 
 
+def batch_windows_and_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's window as it closed, and what came late to it, by four loads in another order."""
+    paths = scratch_lake(spark)
+    for k, lines in enumerate(_in_steps(spark, sf_dir, 4)):
+        lines.write.text(paths.landed(f"load-{k}"))
+    for k in (2, 0, 3, 1, 0):
+        run_bronze(spark, paths, f"load-{k}")
+        run_silver(spark, paths, f"load-{k}")
+    windows = window_metrics(read_trade_days(spark, paths.trade_days)).select(
+        "day", F.col("trades_count").alias("in_window"), F.col("total_pnl").alias("window_pnl")
+    )
+    late = daily_metrics(read_late_trades(spark, paths.late_trades)).select(
+        "day", F.col("trades_count").alias("late"), F.col("total_pnl").alias("late_pnl")
+    )
+    same = windows["day"].eqNullSafe(late["day"])
+    return windows.join(late, same, "left").drop(late["day"])
+
+
+def batch_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics where every line is delivered twice, in one load or in two."""
+    paths = scratch_lake(spark)
+    first, second = _in_steps(spark, sf_dir, 2)
+    for load_id, lines in (("a", first.union(first)), ("b", first.union(second))):
+        lines.write.text(paths.landed(load_id))
+        run(spark, paths, load_id, once=True)
+    second.write.text(paths.landed("c"))
+    run(spark, paths, "c", once=True)
+    return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
+
+
+def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that land where each is delivered twice, by two micro-batches."""
+    paths = scratch_lake(spark)
+    topic = f"{paths.root}/topic"
+    for _ in range(2):
+        _lines(spark, sf_dir).write.mode("append").text(topic)
+        delivered = delivered_once(stream_landing(spark, topic, arrival=True))
+        _finish(land(delivered, paths.landing, paths.checkpoint("landing")))
+    return read_landing(spark, paths.landing).select(F.md5("value").alias("digest"))
+
+
 def raw_json_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all lines as bronze and silver orders keep them."""
     paths = _landed(spark, sf_dir)
@@ -512,6 +554,9 @@ QUERIES: dict[str, Query] = {
     "batch_three_loads_risk": batch_three_loads_risk,
     "batch_merged_parts": batch_merged_parts,
     "batch_late_trades": batch_late_trades,
+    "batch_windows_and_late": batch_windows_and_late,
+    "batch_redelivered": batch_redelivered,
+    "stream_redelivered": stream_redelivered,
     "raw_json_digests": raw_json_digests,
     "silver_elements": silver_elements,
     "daily_max_drawdown": drawdown,

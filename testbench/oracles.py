@@ -470,6 +470,23 @@ ORACLES: dict[str, str] = {
         "FROM loads LEFT JOIN newest n USING (k) GROUP BY day HAVING day + INTERVAL 2 DAY <= "
         "(SELECT max(trade_time) FROM trades)"
     ),
+    # Loads come in the order 2, 0, 3, 1; a load is judged by those before it.
+    "batch_windows_and_late": _trades(
+        ", loads AS (SELECT CASE (order_id - 1000000) % 4 WHEN 2 THEN 0 WHEN 0 THEN 1 "
+        "WHEN 3 THEN 2 ELSE 3 END AS k, trade_time, realized_pnl, "
+        "CAST(trade_time AS DATE) AS day FROM trades),\n"
+        "newest AS (SELECT l.k, max(e.trade_time) AS at FROM "
+        "(SELECT DISTINCT k FROM loads) l JOIN loads e ON e.k < l.k GROUP BY l.k),\n"
+        "judged AS (SELECT day, realized_pnl, coalesce(n.at >= day + INTERVAL 2 DAY, false) "
+        "AS is_late FROM loads LEFT JOIN newest n USING (k))\n"
+        "SELECT day, count(*) FILTER (WHERE NOT is_late) AS in_window, "
+        "CAST(sum(realized_pnl) FILTER (WHERE NOT is_late) AS DECIMAL(28,8)) AS window_pnl, "
+        "nullif(count(*) FILTER (WHERE is_late), 0) AS late, "
+        "CAST(sum(realized_pnl) FILTER (WHERE is_late) AS DECIMAL(28,8)) AS late_pnl "
+        "FROM judged GROUP BY day HAVING in_window > 0"
+    ),
+    "batch_redelivered": _ALL_DAYS,
+    "stream_redelivered": f"WITH {_FEED}{_LINES}\nSELECT DISTINCT md5(line) AS digest FROM lines",
     "raw_json_digests": f"WITH {_FEED}{_LINES}\n"
     "SELECT 'bronze' AS \"table\", md5(line) AS digest, count(*) AS lines FROM lines GROUP BY 2 "
     "UNION ALL SELECT 'orders', md5(line), count(*) FROM lines "

@@ -6,12 +6,13 @@ from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
-from events import DAY, NOON, account, balance, order
+from events import DAY, NOON, account, balance, order, raw
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from ledgerlake.operators.days import settled_days
+from ledgerlake.operators.envelope import bronze_rows, first_deliveries, line_digests
 from ledgerlake.plans.stages import compact_lake, run, run_bronze, run_gold, run_silver
 from ledgerlake.schemas import BALANCES
 from ledgerlake.sources import commits, storage
@@ -361,3 +362,30 @@ def test_loads_in_any_order_with_merges_in_between(spark, paths):
     days = read_gold_daily_metrics(spark, paths.gold_daily_metrics)
     assert days.agg({"total_pnl": "sum"}).first()[0] == sum(expected)
     assert read_loads(spark, paths.balances, BALANCES).isEmpty()
+
+
+def test_lines_delivered_again_count_once_in_batch(spark, paths):
+    lines = [order(i=1, rp="1"), order(i=2, s=None), account(), "", "{"]
+    land(paths, "one", *lines, *lines)
+    run(spark, paths, "one", once=True)
+    before = everything(spark, paths)
+    assert ids(spark, paths) == [1]
+    assert read_bronze(spark, paths.bronze).count() == 5
+    land(paths, "two", *lines, order(NOON + DAY, i=3))
+    for load_id in ("two", "two", "one"):
+        run(spark, paths, load_id, once=True)
+    assert read_bronze(spark, paths.bronze).count() == 6
+    assert ids(spark, paths) == [1, 3]
+    # The line that a corrected load no longer has is free to come again.
+    land(paths, "one", order(i=9))
+    run(spark, paths, "one", once=True)
+    run(spark, paths, "two", once=True)
+    assert ids(spark, paths) == [1, 3, 9]
+    assert everything(spark, paths)["quarantine"] == before["quarantine"]
+
+
+def test_digests_are_read_for_the_dates_of_a_load(spark):
+    rows = bronze_rows(raw(spark, [order()]))
+    known = line_digests(bronze_rows(raw(spark, [order()])))
+    assert first_deliveries(rows, known).isEmpty()
+    assert first_deliveries(rows, known.limit(0)).count() == 1

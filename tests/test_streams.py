@@ -1,15 +1,27 @@
+import os
 from pathlib import Path
 
 import pytest
 from events import DAY, NOON, account, order
 
-from ledgerlake.operators.days import added_sums, metrics_of_sums, settled_days
+from ledgerlake.operators.days import (
+    added_sums,
+    metrics_of_sums,
+    settled_days,
+    window_metrics,
+)
 from ledgerlake.operators.envelope import of_type
 from ledgerlake.operators.orders import silver_orders
 from ledgerlake.plans.paths import LakePaths
 from ledgerlake.plans.stages import add_orders, run
 from ledgerlake.schemas import GOLD_TRADES, SILVER_ORDERS, TRADE_DAYS
-from ledgerlake.sources.landing import land, read_landing, stream_landing, stream_topic
+from ledgerlake.sources.landing import (
+    delivered_once,
+    land,
+    read_landing,
+    stream_landing,
+    stream_topic,
+)
 from ledgerlake.sources.storage import folders
 from ledgerlake.sources.tables import (
     BY_DAY,
@@ -20,6 +32,7 @@ from ledgerlake.sources.tables import (
     read_balances,
     read_bronze,
     read_gold_daily_metrics,
+    read_late_trades,
     read_positions,
     read_quarantine,
     read_silver_account,
@@ -191,3 +204,67 @@ def test_topic_source_needs_the_kafka_package(spark):
         pytest.skip("Spark's Kafka package is not installed")
     assert lines.columns == ["value"]
 
+
+def _delivered(spark, paths, topic, within="1 day"):
+    lines = stream_landing(spark, topic.landing, files_per_batch=1, arrival=True)
+    query = (
+        land(delivered_once(lines, within), paths.landing, paths.checkpoint("land"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def test_lines_delivered_again_land_once(spark, paths, tmp_path):
+    topic = LakePaths(str(tmp_path / "topic"), paths.root)
+    drop(topic, "1.jsonl", [*FIRST, FIRST[0]])
+    drop(topic, "2.jsonl", FIRST)
+    _delivered(spark, paths, topic)
+    # A restart knows what came before it.
+    drop(topic, "3.jsonl", [*SECOND, *FIRST])
+    _delivered(spark, paths, topic)
+    landed = [row.value for row in read_landing(spark, paths.landing).collect()]
+    assert sorted(landed) == sorted({*FIRST, *SECOND})
+
+
+def test_digests_are_forgotten_after_a_while(spark, paths, tmp_path):
+    topic = LakePaths(str(tmp_path / "topic"), paths.root)
+    sizes = []
+    for n in range(4):
+        drop(topic, f"{n}.jsonl", [order(NOON + k, i=100 * n + k) for k in range(20)])
+        os.utime(Path(topic.landing) / f"{n}.jsonl", (1742212800 + n * 3600,) * 2)
+        query = _delivered(spark, paths, topic, within="1 hour")
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert read_landing(spark, paths.landing).count() == 80
+    assert max(sizes) <= 60
+
+
+def test_late_trades_and_windows_make_the_whole_in_any_order(spark, tmp_path):
+    days = [(0, 1), (0, 4), (1, 2), (0, 1, 2, 4)]
+    steps = [
+        [order(NOON + day * DAY, i=10 * day + k, rp=str(k)) for day in own]
+        for k, own in enumerate(days)
+    ]
+    expected = [x for step in steps for x in step]
+
+    def plainly_late(sequence):
+        late, newest = 0, -9
+        for k in sequence:
+            late += sum(day + 2 <= newest for day in days[k])
+            newest = max(newest, *days[k])
+        return late
+
+    for at, sequence in enumerate([(0, 1, 2, 3), (3, 2, 1, 0), (1, 3, 0, 2)]):
+        paths = LakePaths(str(tmp_path / f"in{at}"), str(tmp_path / f"lake{at}"))
+        for k in sequence:
+            drop(paths, f"{k}.jsonl", steps[k])
+            # Each step is a restart from the checkpoint.
+            finish(bronze_stream(stream_landing(spark, paths.landing), paths))
+            finish(silver_orders_stream(stream_bronze(spark, paths), paths, "orders"))
+        windows = window_metrics(read_trade_days(spark, paths.trade_days)).collect()
+        rows = read_late_trades(spark, paths.late_trades).collect()
+        assert sum(x.trades_count for x in windows) + len(rows) == len(expected)
+        total = sum(x.total_pnl for x in windows) + sum(x.realized_pnl for x in rows)
+        assert total == sum(k * len(step) for k, step in enumerate(steps))
+        assert len(rows) == plainly_late(sequence)
