@@ -1,17 +1,21 @@
 """Removal of repeated runs of lines, by content-defined chunks; DataFrame operations only.
 
-A text's lines get hashes, and a rolling hash over each line and the one before it says
-where a chunk ends. So the same lines are cut at the same places wherever they stand: an
-insertion shifts what follows but moves no later boundary. A chunk of two or more lines
-that also occurs elsewhere, byte by byte, is removed but for one occurrence: the one with
-the smallest doc_id, row key and place. Single lines stay, and so do all lines between
-repeated chunks. Runs that a cut divides from their surroundings at other places are missed;
-:func:`remove_repeated_runs` removes every repeated run.
+A line goes if it is in a run of two or more lines that also stands earlier, by doc_id, row key
+and place, and not overlapping it. The first place of every run stays, and so do single lines.
+
+Chunks find most of it. A text's lines get hashes, and a rolling hash over each line and the one
+before it says where a chunk ends, so that the same lines are cut at the same places wherever
+they stand: an insertion shifts what follows but moves no later boundary. A chunk of two or
+more lines that also occurs earlier, byte by byte, is removed as a whole. A run is seldom cut
+exactly at its edges, and short ones fall within a chunk of other lines. So the pairs of
+neighbouring lines that are not within a removed chunk are compared too, byte by byte: they extend
+each match to the edges of its run, and are the runs that no chunk holds. Pairs within a removed
+chunk are left out, for they stand earlier where the chunk does, and can't be anything's first.
 
 Every row is kept, with what is left of its text, lines joined by line feeds. A NULL text
 stays NULL and has no lines; an empty text has one. Rows that repeat both doc_id and text
 share one fate: they count as one place. NULL doc_ids come first. Other columns are carried
-along, whatever their names.
+along, whatever their names. An empty table gives no rows. Very long texts are split whole.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -29,18 +33,15 @@ def _line_value(line: Column) -> Column:
     return F.conv(F.left(F.md5(line), F.lit(8)), 16, 10).cast("long")
 
 
-def _with_chunks(rows: DataFrame, text: str, every: int) -> DataFrame:
-    """The rows with an array ``chunks`` of (n, body).
+def _column(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``inline`` makes an array a column of its own, so that no later expression computes it
+    anew for every element."""
+    return rows.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
-    ``inline`` makes each step's arrays columns of their own, so that no later expression
-    computes them anew for every element.
-    """
-
-    def column(name: str, value: Column) -> DataFrame:
-        return rows.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
-    rows = column("_lines", F.split(text, "\n", -1))
-    rows = column("_values", F.transform("_lines", _line_value))
+def _with_chunks(rows: DataFrame, every: int) -> DataFrame:
+    """The rows with ``spans``, the chunks of ``lines`` as an array of (at, n)."""
+    rows = _column(rows, "_values", F.transform("lines", _line_value))
     before = F.concat(F.array(F.lit(0).cast("long")), F.col("_values"))
     cuts = F.zip_with(
         F.col("_values"),
@@ -48,93 +49,128 @@ def _with_chunks(rows: DataFrame, text: str, every: int) -> DataFrame:
         lambda own, earlier: (earlier * _BASE + own) % every == 0,
     )
     ends = F.filter(F.transform(cuts, lambda cut, i: F.when(cut, i)), lambda i: i.isNotNull())
-    rows = column("_ends", F.array_distinct(F.concat(ends, F.array(F.size("_lines") - 1))))
+    rows = _column(rows, "_ends", F.array_distinct(F.concat(ends, F.array(F.size("lines") - 1))))
     starts = F.concat(F.array(F.lit(0)), F.transform("_ends", lambda i: i + 1))
-    rows = column(
-        "_spans",
-        F.zip_with(
-            F.slice(starts, 1, F.size("_ends")),
-            F.col("_ends"),
-            lambda start, end: F.struct(start.alias("at"), (end - start + 1).alias("n")),
-        ),
+    spans = F.zip_with(
+        F.slice(starts, 1, F.size("_ends")),
+        F.col("_ends"),
+        lambda start, end: F.struct(start.alias("at"), (end - start + 1).alias("n")),
     )
+    return _column(rows, "spans", spans).drop("_values", "_ends")
+
+
+def _row_key() -> Column:
+    """128 bits of doc_id and text: at 10**10 rows, 64 would be too few to trust."""
+    return F.struct(
+        F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b")
+    )
+
+
+def _pieces(rows: DataFrame) -> DataFrame:
+    """(row_key, piece) of all chunks of two or more lines and of all pairs of lines.
+
+    A piece is (at, n, chunk, hash).
+    """
     chunks = F.transform(
-        "_spans",
+        F.filter("spans", lambda x: x["n"] > 1),
         lambda x: F.struct(
+            x["at"].alias("at"),
             x["n"].alias("n"),
-            F.array_join(F.slice("_lines", x["at"] + 1, x["n"]), "\n").alias("body"),
+            F.lit(True).alias("chunk"),
+            F.xxhash64(F.slice("lines", x["at"] + 1, x["n"])).alias("hash"),
         ),
     )
-    rows = column("chunks", chunks)
-    return rows.drop("_lines", "_values", "_ends", "_spans")
+    pairs = F.zip_with(
+        F.slice("lines", 1, F.size("lines") - 1),
+        F.slice("lines", 2, F.size("lines") - 1),
+        lambda one, two: F.xxhash64(one, two),
+    )
+    pairs = F.transform(
+        pairs,
+        lambda x, i: F.struct(
+            i.alias("at"), F.lit(2).alias("n"), F.lit(False).alias("chunk"), x.alias("hash")
+        ),
+    )
+    return rows.select("row_key", F.inline(F.concat(chunks, pairs)))
 
 
 def remove_repeated_chunks(docs: DataFrame, every: int = EVERY) -> DataFrame:
     """``row`` (the input's columns), ``kept`` (the text that is left), n_lines, n_removed.
 
-    Chunks meet in one aggregation by hash and words, so equal hashes of unequal chunks do
-    no harm, and a chunk of very many documents is counted map-side. Only hashes and
-    places travel back.
+    Hashes of pieces travel first, counted map-side. Only pieces whose hash repeats travel as
+    text, where they are compared, and only places travel back. Tables are written before the
+    joins by hash and text, so that adaptive execution can split a hot one.
     """
-    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
-    source = keyed.where("row.text is not null").select(
-        "row_key", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")
-    )
-    placed = (
-        _with_chunks(source, "text", every)
-        .select("row_key", "doc_id", F.posexplode("chunks").alias("at", "chunk"))
-        .where("chunk.n > 1")
-        .select("row_key", "doc_id", "at", F.col("chunk.body").alias("body"))
-        .withColumn("hash", F.xxhash64("body"))
-        .withColumn("size", F.length("body"))
-    )
-    bodies = placed.groupBy("hash", "size", "body").agg(
-        F.min(F.struct("doc_id", "row_key", "at")).alias("first"), F.count("*").alias("n")
-    )
-    # Unequal chunks of equal hash and size stay: that is never wrong, and next to never so.
-    repeated = (
-        bodies.groupBy("hash", "size")
-        .agg(
-            F.count("*").alias("bodies"),
-            F.sum("n").alias("n"),
-            F.min("first").alias("first"),
-        )
-        .where("n > 1 and bodies = 1")
-        .select("hash", "size", "first")
+    keyed = docs.select(F.struct("*").alias("row")).select("*", "row.doc_id", "row.text")
+    keyed = keyed.select("row", "doc_id", "text", _row_key().alias("row_key"))
+    source = keyed.where("text is not null").select("row_key", "doc_id", "text")
+    lines = F.split("text", "\n", -1)
+    placed = _pieces(_with_chunks(_column(source.select("row_key", "text"), "lines", lines), every))
+    shared = placed.groupBy("chunk", "hash").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(shared.select("chunk", "hash"), "shared_pieces")
+    wanted = placed.join(shared, ["chunk", "hash"]).groupBy("row_key")
+    wanted = wanted.agg(F.collect_set(F.struct("at", "n", "chunk")).alias("wanted"))
+    rows = _column(source.join(wanted, "row_key"), "lines", lines)
+    bodies = F.transform(
+        "wanted",
+        lambda x: F.struct(
+            x["at"].alias("at"),
+            x["n"].alias("n"),
+            x["chunk"].alias("chunk"),
+            F.array_join(F.slice("lines", x["at"] + 1, x["n"]), "\n").alias("body"),
+        ),
     )
-    # Written: the join can split a hot chunk where both its sides are tables.
-    repeated = written(repeated, "repeated")
-    removed = (
-        placed.select("row_key", "at", "hash", "size")
-        .join(repeated, ["hash", "size"])
-        .where("row_key != first.row_key or at != first.at")
-        .groupBy("row_key")
-        .agg(F.collect_set("at").alias("removed"))
+    found = written(rows.select("row_key", "doc_id", F.inline(bodies)), "pieces")
+    chunks = _repeated(found.where("chunk"), F.lit(1), "first_chunks").groupBy("row_key")
+    chunks = chunks.agg(
+        F.collect_set(F.struct("at", (F.col("at") + F.col("n") - 1).alias("till"))).alias("chunks")
     )
-    rows = keyed.join(removed, "row_key", "left").select("*", F.col("row.text").alias("text"))
-    rows = _with_chunks(rows, "text", every)
-    every_one = F.sequence(F.lit(0), F.size("chunks") - 1)
-    left = F.array_except(every_one, F.coalesce("removed", F.array().cast("array<int>")))
-    rows = rows.select("*", F.inline(F.array(F.struct(left.alias("left")))))
-    lines = F.aggregate("chunks", F.lit(0).cast("long"), lambda total, x: total + x["n"])
-    body = F.array_join(F.transform("left", lambda i: F.col("chunks")[i]["body"]), "\n")
-    kept_lines = F.aggregate(
-        "left", F.lit(0).cast("long"), lambda total, i: total + F.col("chunks")[i]["n"]
+    chunks = written(chunks, "removed_chunks")
+    within = F.exists("chunks", lambda x: (F.col("at") >= x["at"]) & (F.col("at") < x["till"]))
+    pairs = found.where("not chunk").join(chunks, "row_key", "left")
+    pairs = pairs.where(~F.coalesce(within, F.lit(False))).drop("chunks")
+    # Overlapping pairs of one text are one run of a repeated line, which needs two lines more.
+    pairs = _repeated(pairs, F.lit(2), "first_pairs").groupBy("row_key")
+    removed = chunks.join(pairs.agg(F.collect_set("at").alias("pairs")), "row_key", "full")
+    rows = keyed.join(removed, "row_key", "left")
+    return _without(_column(rows, "lines", lines))
+
+
+def _repeated(pieces: DataFrame, apart: Column, name: str) -> DataFrame:
+    """Pieces whose text also stands earlier, in another row or at least ``apart`` before it."""
+    place = F.struct("doc_id", "row_key", "at")
+    first = pieces.groupBy("body").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = written(first.where("not first <=> last").select("body", "first"), name)
+    other = (F.col("row_key") != F.col("first.row_key")) | (F.col("at") >= F.col("first.at") + apart)
+    return pieces.join(first, "body").where(other)
+
+
+def _without(rows: DataFrame) -> DataFrame:
+    """What is left of the lines without ``chunks`` and ``pairs``."""
+    runs = F.flatten(F.transform("chunks", lambda x: F.sequence(x["at"], x["till"])))
+    none = F.array().cast("array<int>")
+    gone = F.concat(
+        F.coalesce(runs, none),
+        F.coalesce("pairs", none),
+        F.coalesce(F.transform("pairs", lambda i: i + 1), none),
     )
+    every_one = F.sequence(F.lit(0), F.size("lines") - 1)
+    any_gone = F.col("chunks").isNotNull() | F.col("pairs").isNotNull()
+    rows = _column(rows, "left", F.when(any_gone, F.array_except(every_one, gone)))
+    body = F.array_join(F.transform("left", lambda i: F.col("lines")[i]), "\n")
+    n_lines = F.when(F.col("text").isNotNull(), F.size("lines")).otherwise(0).cast("long")
+    n_removed = F.when(F.col("left").isNotNull(), F.size("lines") - F.size("left")).otherwise(0)
     return rows.select(
         "row",
-        F.when(F.col("text").isNotNull(), body).alias("kept"),
-        F.coalesce(lines, F.lit(0)).alias("n_lines"),
-        F.coalesce(lines - kept_lines, F.lit(0)).alias("n_removed"),
+        F.when(F.col("left").isNull(), F.col("text")).otherwise(body).alias("kept"),
+        n_lines.alias("n_lines"),
+        n_removed.cast("long").alias("n_removed"),
     )
 
 
 def remove_repeated_runs(docs: DataFrame) -> DataFrame:
-    """As :func:`remove_repeated_chunks`, of every repeated run of two or more lines, wherever cut.
-
-    A line goes if it is in a run of two or more lines that also stands earlier, by doc_id,
-    row key and place, and not overlapping it. Such a run is made of pairs of neighbours that
-    stand earlier, so pairs are what is looked for. The first place of every line stays.
+    """As :func:`remove_repeated_chunks`, by pairs of lines alone: a run that stands earlier is made of
+    pairs of neighbours that do.
 
     All pairs travel as hashes; those whose hash repeats are compared byte by byte.
     """
@@ -192,32 +228,25 @@ def remove_repeated_runs(docs: DataFrame) -> DataFrame:
     )
 
 
-#: :func:`remove_repeated_chunks` in SQL over ``documents``; {every} as above.
+#: Repeated runs in SQL over ``documents``, by pairs of neighbouring lines.
 SQL = """
 WITH lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS i
   FROM {documents}),
-numbers AS (
-  SELECT *, ('0x' || left(md5(line), 8))::BIGINT AS v FROM lines),
-cuts AS (
-  SELECT *, (coalesce(lag(v) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 + v) % {every} = 0 AS cut
-  FROM numbers),
-numbered AS (
-  SELECT *, coalesce(sum(cut::INT) OVER (
-    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-  FROM cuts),
-chunks AS (
-  SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body
-  FROM numbered GROUP BY doc_id, chunk),
+pairs AS (
+  SELECT doc_id, i, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS pair
+  FROM lines),
 ranked AS (
-  SELECT *, n > 1 AND row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) > 1 AS removed
-  FROM chunks),
+  SELECT doc_id, i, first_value(doc_id) OVER earlier AS first_doc, first_value(i) OVER earlier AS first_i
+  FROM pairs WHERE pair IS NOT NULL WINDOW earlier AS (PARTITION BY pair ORDER BY doc_id, i)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM ranked
+  WHERE doc_id <> first_doc OR i > first_i + 1),
 kept AS (
-  SELECT doc_id, sum(n)::BIGINT AS n_lines,
-         coalesce(sum(n) FILTER (WHERE removed), 0)::BIGINT AS n_removed,
-         coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT removed), '') AS kept
-  FROM ranked GROUP BY doc_id)
+  SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.i)::BIGINT AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') AS kept
+  FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, {columns}
 FROM {documents} d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """

@@ -105,3 +105,23 @@ def line_chunks(text, value, every):
             chunks.append(chunk)
             chunk = []
     return [*chunks, chunk] if chunk else chunks
+
+
+def without_runs(rows):
+    """All runs of two or more lines, looked up among all earlier ones of their length."""
+    texts = {row: row[1].split("\n") for row in dict.fromkeys(rows) if row[1] is not None}
+    order = sorted(texts, key=lambda row: (row[0] is not None, row[0] or 0))
+    first, gone = {}, {row: set() for row in texts}
+    for row in order:
+        lines = texts[row]
+        for at in range(len(lines)):
+            for till in range(at + 2, len(lines) + 1):
+                own, start, end = first.setdefault(tuple(lines[at:till]), (row, at, till))
+                if own != row or at >= end:
+                    gone[row].update(range(at, till))
+    out = Counter()
+    for row in rows:
+        lines, lost = texts.get(row, []), gone.get(row, ())
+        kept = None if row[1] is None else "\n".join(x for k, x in enumerate(lines) if k not in lost)
+        out[row[0], kept, len(lines), len(lost)] += 1
+    return out

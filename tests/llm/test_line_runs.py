@@ -1,29 +1,12 @@
 import random
 from collections import Counter
 
-from brute import TEXTS, odd_documents
-
-from ledgerlake.llm.line_dedup import remove_repeated_runs
-
-
-def expected(rows):
-    """All runs of two or more lines, looked up among all earlier ones of their length."""
-    texts = {row: row[1].split("\n") for row in dict.fromkeys(rows) if row[1] is not None}
-    order = sorted(texts, key=lambda row: (row[0] is not None, row[0] or 0))
-    first, gone = {}, {row: set() for row in texts}
-    for row in order:
-        lines = texts[row]
-        for at in range(len(lines)):
-            for till in range(at + 2, len(lines) + 1):
-                own, start, end = first.setdefault(tuple(lines[at:till]), (row, at, till))
-                if own != row or at >= end:
-                    gone[row].update(range(at, till))
-    out = Counter()
-    for row in rows:
-        lines, lost = texts.get(row, []), gone.get(row, ())
-        kept = None if row[1] is None else "\n".join(x for k, x in enumerate(lines) if k not in lost)
-        out[row[0], kept, len(lines), len(lost)] += 1
-    return out
+import pytest
+from brute import TEXTS, odd_documents, without_runs
+
+from ledgerlake.llm.line_dedup import remove_repeated_chunks, remove_repeated_runs
+
+both = pytest.mark.parametrize("remove", [remove_repeated_chunks, remove_repeated_runs])
 
 
 def got(frame):
@@ -31,13 +14,15 @@ def got(frame):
     return Counter(map(tuple, rows))
 
 
-def test_odd_documents(odd):
-    found = remove_repeated_runs(odd)
-    assert got(found) == expected(TEXTS)
+@both
+def test_odd_documents(remove, odd):
+    found = remove(odd)
+    assert got(found) == without_runs(TEXTS)
     assert found.select("row.*").columns == odd.columns
 
 
-def test_brute_force(spark):
+@both
+def test_brute_force(remove, spark):
     draw = random.Random(4)
     blocks = [[f"block {b} line {k}" for k in range(9)] for b in range(4)]
     rows = [(None, "a\nb\nc"), (-1, "x\na\nb\ny"), (-2, "s\ns\ns"), (-3, "s\ns\ns\ns\ns"), (-4, "\n\n\n")]
@@ -47,15 +32,17 @@ def test_brute_force(spark):
         lines[at:at] = draw.choice(blocks)[draw.randrange(3) : draw.randrange(4, 10)]
         rows.append((doc, "\n".join(lines)))
     rows.append(rows[-1])
-    assert got(remove_repeated_runs(odd_documents(spark, rows))) == expected(rows)
+    assert got(remove(odd_documents(spark, rows))) == without_runs(rows)
 
 
-def test_two_lines_in_otherwise_different_documents_go(spark):
+@both
+def test_two_lines_in_otherwise_different_documents_go(remove, spark):
     rows = [(k, f"head {k}\nfirst of two\nsecond of two\ntail {k}") for k in range(40)]
-    kept = {x.row.doc_id: x.kept for x in remove_repeated_runs(odd_documents(spark, rows)).collect()}
+    kept = {x.row.doc_id: x.kept for x in remove(odd_documents(spark, rows)).collect()}
     assert kept.pop(0) == rows[0][1]
     assert kept == {k: f"head {k}\ntail {k}" for k in range(1, 40)}
 
 
-def test_empty(none):
-    assert remove_repeated_runs(none).collect() == []
+@both
+def test_empty(remove, none):
+    assert remove(none).collect() == []

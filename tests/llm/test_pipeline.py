@@ -1,18 +1,16 @@
 """Each stage against its plain version on what the stage before it has kept."""
 
-import hashlib
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
-from brute import groups, line_chunks, repeated_words, shingles
+from brute import groups, repeated_words, shingles, without_runs
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ledgerlake.llm import toxicity
-from ledgerlake.llm.line_dedup import EVERY
 from ledgerlake.llm.tokens import WORD_BPE, vocabulary
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -88,24 +86,10 @@ def test_toxic_documents_go_and_clean_ones_stay(spark, sf_dir, stages):
 
 
 def test_lines(stages):
-    def value(line):
-        return int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
-
     rows = texts(stages[1])
-    chunked = {r: line_chunks(r[1], value, EVERY) for r in set(rows) if r[1] is not None}
-    first = {}
-    for row in sorted(chunked, key=lambda r: (r[0] is not None, r[0] or 0)):
-        for at, chunk in enumerate(chunked[row]):
-            first.setdefault(tuple(chunk), (row, at))
     expected = Counter()
-    for row in rows:
-        kept = [
-            line
-            for at, chunk in enumerate(chunked.get(row, ()))
-            if len(chunk) == 1 or first[tuple(chunk)] == (row, at)
-            for line in chunk
-        ]
-        expected[row[0], None if row[1] is None else "\n".join(kept)] += 1
+    for (doc_id, kept, _, _), n in without_runs(rows).items():
+        expected[doc_id, kept] += n
     assert Counter(texts(stages[2])) == expected
     for row in stages[2].collect():
         assert row.n_chars == (None if row.text is None else len(row.text))
