@@ -101,12 +101,15 @@ class LakePaths:
 def scratch_lake(spark: SparkSession) -> LakePaths:
     """A new, empty lake in a folder that all executors share, deleted when the JVM ends.
 
-    That folder is ``spark.checkpoint.dir``; where it is unset, the warehouse, which is
-    shared as well.
+    That folder is ``spark.checkpoint.dir``, which a cluster must name. A session without
+    executors of its own has all its tasks on one machine, so there any folder is shared: the
+    warehouse, if the other is unset.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir"
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     root = f"{shared.rstrip('/')}/ledgerlake/{uuid4().hex}"
     storage.delete_at_exit(spark, root)
     return LakePaths(landing=f"{root}/landing", root=f"{root}/lake")

@@ -47,6 +47,7 @@ from ledgerlake.schemas import (
     SILVER_ACCOUNT,
     SILVER_ORDERS,
     TRADE_DAYS,
+    TRADE_ORDER,
 )
 from ledgerlake.sources.landing import read_landing
 from ledgerlake.sources.tables import (
@@ -98,7 +99,7 @@ def orders_into(load: Load, orders: DataFrame, paths: LakePaths, lateness: str =
     counts = silver_into(load, orders, ORDER_REQUIRED, paths.silver_orders)
     verdict = T.StructType([*SILVER_ORDERS, T.StructField("verdict", T.StringType())])
     clean = load.read(paths.silver_orders, verdict).where("verdict = 'clean'")
-    load.write(_clustered(closed_trades(clean)), paths.gold_trades)
+    load.write(clustered(closed_trades(clean)), paths.gold_trades)
     known = facts_of(spark, paths.trade_days, load.load_id)
     if "newest_before" not in known:
         earlier = read_trade_days(spark, paths.trade_days, without=load.load_id)
@@ -112,9 +113,12 @@ def orders_into(load: Load, orders: DataFrame, paths: LakePaths, lateness: str =
     return counts
 
 
-def _clustered(trades: DataFrame) -> DataFrame:
-    """Trades of one time and symbol side by side, so that files and row groups can be skipped."""
-    return trades.hint("rebalance").sortWithinPartitions("trade_time", "symbol")
+def clustered(trades: DataFrame) -> DataFrame:
+    """Trades in order of time within each file, so that row groups can be skipped.
+
+    A silver file has one day; so has what becomes of it, without a shuffle.
+    """
+    return trades.sortWithinPartitions(*TRADE_ORDER)
 
 
 def account_into(
@@ -144,7 +148,7 @@ def account_into(
 
 def _curve_into(load: Load, events: DataFrame, paths: LakePaths) -> None:
     instants = equity_instants(equity_points(events)).withColumn("day", F.to_date("minute"))
-    load.write(instants, paths.equity_instants, ("day",))
+    load.write(instants.hint("rebalance", "day"), paths.equity_instants, ("day",))
     written = load.read(paths.equity_instants, EQUITY_INSTANTS)
     load.write(minute_summaries(written), paths.equity_minutes)
 
@@ -218,11 +222,11 @@ def compact_lake(spark: SparkSession, paths: LakePaths, **options) -> int:
         (paths.trade_days, TRADE_DAYS, ()),
         (paths.equity_instants, EQUITY_INSTANTS, ("day",)),
         (paths.equity_minutes, EQUITY_MINUTES, ()),
-        (paths.gold_trades, GOLD_TRADES, ()),
         (paths.late_trades, GOLD_TRADES, ()),
         (paths.line_digests, LINE_DIGESTS, ("event_date",)),
     )
-    return sum(compact(spark, *table, **options) for table in tables)
+    trades = compact(spark, paths.gold_trades, GOLD_TRADES, order=TRADE_ORDER, **options)
+    return trades + sum(compact(spark, *table, **options) for table in tables)
 
 
 def run(

@@ -228,6 +228,8 @@ GOLD_TRADES = T.StructType(
         T.StructField("order_status", TEXT),
     ]
 )
+#: Columns in whose order files of trades are kept.
+TRADE_ORDER = ("trade_time", "symbol")
 GOLD_DAILY_METRICS = T.StructType(
     [
         T.StructField("day", T.DateType()),

@@ -16,8 +16,10 @@ may run beside loads and readers.
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from typing import Self
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -227,9 +229,13 @@ def compact(
     fanout: int = FANOUT,
     grace: float = GRACE,
     full: int = FULL_PART,
+    order: tuple[str, ...] = (),
 ) -> int:
     """Merge parts until no tier of them is due; returns the bytes written.
 
+    With ``order``, rows are dealt by ranges of those columns and sorted in them, so that a
+    merged part's files and row groups can be skipped by their statistics.
+
     A failure before the commit changes nothing that is read, and running it again is
     safe, also beside loads.
     """
@@ -238,6 +244,8 @@ def compact(
 
     def merged(rows: DataFrame) -> DataFrame:
         rows = rows.withColumnRenamed("load_id", "of_load")
+        if order:
+            return rows.repartitionByRange(*order).sortWithinPartitions(*order)
         return rows.hint("rebalance", *partitions)
 
     written = 0
@@ -435,12 +443,18 @@ def write_golds(
     The rows go to new folders. Readers and failures in between meet the old tables. The folders
     before the old ones are deleted.
     """
-    new, before = {}, {}
+    for rows, contract in tables.values():
+        check_contract(rows, contract)
+    new, before = {path: new_folder(_VERSION) for path in tables}, {}
+    keep = inheritable_thread_target(spark)
     try:
-        for path, (rows, contract) in tables.items():
-            check_contract(rows, contract)
-            new[path] = new_folder(_VERSION)
-            rows.write.parquet(f"{path}/{new[path]}")
+        with ThreadPoolExecutor(len(tables)) as pool:
+            writes = [
+                pool.submit(keep(rows.write.parquet), f"{path}/{new[path]}")
+                for path, (rows, _) in tables.items()
+            ]
+        for write in writes:
+            write.result()
     except BaseException:
         for path, folder in new.items():
             storage.delete(spark, f"{path}/{folder}")

@@ -33,6 +33,7 @@ from ledgerlake.schemas import (
     SILVER_ACCOUNT,
     SILVER_ORDERS,
     TRADE_DAYS,
+    TRADE_ORDER,
 )
 from ledgerlake.sources.tables import (
     BY_DAY,
@@ -87,7 +88,7 @@ def silver_orders_stream(
 
     def tidy(spark: SparkSession) -> None:
         compact(spark, paths.silver_orders, SILVER_ORDERS, BY_DAY)
-        compact(spark, paths.gold_trades, GOLD_TRADES)
+        compact(spark, paths.gold_trades, GOLD_TRADES, order=TRADE_ORDER)
         compact(spark, paths.late_trades, GOLD_TRADES)
         sum_up(spark, paths.trade_days, TRADE_DAYS, name, added_sums)
 

@@ -1,7 +1,9 @@
 """Plans stay the ones we want: one parse per line, pruned scans, bounded shuffles."""
 
 import re
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from events import account, order, raw, trading_days
 
@@ -13,9 +15,10 @@ from ledgerlake.operators.orders import silver_orders
 from ledgerlake.operators.quality import split
 from ledgerlake.operators.risk import daily_max_drawdown, equity_points
 from ledgerlake.operators.trades import closed_trades
-from ledgerlake.plans.stages import add_orders
+from ledgerlake.plans.stages import add_orders, clustered
 from ledgerlake.schemas import ACCOUNT_REQUIRED, GOLD_TRADES, ORDER_REQUIRED
 from ledgerlake.sources.tables import (
+    Load,
     read_bronze,
     read_gold_trades,
     read_silver_orders,
@@ -102,3 +105,46 @@ def test_streamed_metrics_parse_nothing(spark, paths):
     metrics = metrics_of_sums(read_trade_days(spark, paths.trade_days))
     assert count("from_json|json_tuple", metrics) == 0
     assert metrics.first().trades_count == 1
+
+
+def test_a_day_of_trades_is_found_by_row_group_statistics(spark, paths):
+    """Trades of 40 days in one part: a query of one day reads the row groups that hold it."""
+    schema = "order_id long, symbol string, day int"
+    rows = [(n, f"S{n % 5}", n % 40) for n in range(40_000)]
+    trades = (
+        spark.createDataFrame(rows, schema)
+        .repartition(1)
+        .selectExpr(
+            "order_id",
+            "symbol",
+            "'SELL' AS side",
+            "CAST(1 AS DECIMAL(18,8)) AS original_quantity",
+            "CAST(1 AS DECIMAL(18,8)) AS price",
+            "CAST(order_id AS DECIMAL(18,8)) AS realized_pnl",
+            "TIMESTAMP'2025-01-01 12:00:00' + make_dt_interval(day, 0, 0, order_id) AS trade_time",
+            "'FILLED' AS order_status",
+        )
+    )
+    name = "parquet.block.size"
+    spark.sparkContext._jsc.hadoopConfiguration().set(name, str(64 * 1024))
+    try:
+        with Load(spark, "one") as load:
+            load.write(clustered(trades), paths.gold_trades)
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset(name)
+    found = read_gold_trades(spark, paths.gold_trades)
+    day = found.where("trade_time >= '2025-01-05' AND trade_time < '2025-01-06' AND symbol = 'S2'")
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = physical(day)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(trade_time" in plan and "EqualTo(symbol,S2)" in plan
+    (file,) = Path(paths.gold_trades).glob("**/*.parquet")
+    footer = pq.ParquetFile(file).metadata
+    groups = [footer.row_group(k) for k in range(footer.num_row_groups)]
+    at = found.columns.index("trade_time")
+    spans = [(x.column(at).statistics.min, x.column(at).statistics.max) for x in groups]
+    holding = [x for x in spans if str(x[0]) < "2025-01-06" and str(x[1]) >= "2025-01-05"]
+    assert len(spans) >= 8
+    assert len(holding) <= 2
+    inside = [n for n, s, d in rows if s == "S2" and 4 <= d + (43200 + n) / 86400 < 5]
+    assert day.count() == len(inside)
