@@ -6,6 +6,7 @@ import pytest
 from brute import TEXTS, groups, odd_documents, shingles
 
 from ledgerlake.llm import near_duplicates as near
+from ledgerlake.llm.common import written
 from ledgerlake.llm.components import Forest, components
 
 
@@ -45,7 +46,7 @@ def test_brute_force(spark):
     check(spark, rows)
 
 
-def test_blocks_find_what_stars_miss(spark, monkeypatch):
+def test_prefixes_find_what_stars_miss(spark, monkeypatch):
     monkeypatch.setattr(near, "STAR_ROUNDS", 1)
     monkeypatch.setattr(near, "BLOCK", 4)
     draw = random.Random(8)
@@ -53,6 +54,59 @@ def test_blocks_find_what_stars_miss(spark, monkeypatch):
     check(spark, list(enumerate(variants(draw, words, 40, 2))))
 
 
+def template_pages(count, own, size=200):
+    """Pages that share all but ``own`` of their words, which stand together."""
+    shared = [f"template{k}" for k in range(size - own)]
+    return [(k, " ".join([*shared, *(f"own{k}-{j}" for j in range(own))])) for k in range(count)]
+
+
+def shipped(spark, monkeypatch, rows):
+    """Rows of every table that is written on the way."""
+    seen = {}
+
+    def counted(frame, name):
+        out = written(frame, name)
+        seen[name] = seen.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(near, "written", counted)
+    found = near.near_duplicates(odd_documents(spark, rows)).collect()
+    monkeypatch.setattr(near, "written", written)
+    return seen, {row.doc_id: row.component_id for row in found}
+
+
+def test_pages_of_a_template_are_not_compared(spark, monkeypatch):
+    """At a similarity of 0.66 they share buckets; with twice the pages twice as much travels."""
+    monkeypatch.setattr(near, "STAR_ROUNDS", 1)
+    sizes = []
+    for count in (150, 300):
+        seen, roots = shipped(spark, monkeypatch, template_pages(count, 40))
+        assert roots == {k: k for k in range(count)}
+        assert seen.get("met", 0) == 0
+        sizes.append(seen)
+    assert sizes[1]["prefixes"] <= 2.2 * sizes[0]["prefixes"]
+
+
+def test_template_pages_of_many_sizes_and_links_among_them(spark, monkeypatch):
+    monkeypatch.setattr(near, "STAR_ROUNDS", 1)
+    draw = random.Random(12)
+    rows = []
+    for k in range(60):
+        words = [f"template{j}" for j in range(160)] + [f"own{k % 45}-{j}" for j in range(20 + k % 30)]
+        words[draw.randrange(160)] = f"other{k % 7}"
+        rows.append((k, " ".join(words)))
+    check(spark, rows)
+
+
+def test_repeated_rows_are_one_text(spark, monkeypatch):
+    words = [f"w{k}" for k in range(80)]
+    rows = [(0, " ".join(words))] * 400
+    rows += [(k, " ".join([*words[:-k], *(f"end{k}-{j}" for j in range(k))])) for k in range(1, 6)]
+    seen, roots = shipped(spark, monkeypatch, rows)
+    assert seen["texts"] == 6
+    assert set(roots.values()) == {0}
+
+
 def test_odd_documents(odd):
     rows = {}
     for row in near.near_duplicates(odd).collect():
