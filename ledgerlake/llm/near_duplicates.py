@@ -13,9 +13,9 @@ union) of at least ``PERCENT`` in a hundred, compared in whole numbers on the fu
    each other in all of them once in 190,000 times, above it less often.
 4. Every class is compared with one centre of the buckets it is in. Rounds with other
    centres follow for buckets that still span several components. What these leave meets by
-   an exact prefix filter on the sets themselves (:func:`_rest`), and pairs that pass it are
-   compared. So the linked part of a large group costs about one comparison for each member, no
-   link between its components is lost, and pages that share a template are not compared.
+   an exact prefix filter on the sets themselves (:func:`_meeting`), and what meets is compared
+   in blocks. So the linked part of a large group costs about one comparison for each member,
+   no link between its components is lost, and pages that share a template are not compared.
 5. Links make components (see :mod:`ledgerlake.llm.components`).
 
 Results by row: NULL and blank texts have an empty set, are linked with nothing and stay.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import steps, text_bytes, written
-from ledgerlake.llm.components import components
+from ledgerlake.llm.components import Forest, components
 from ledgerlake.llm.words import gram_hashes, mixed, span_hashes, word_spans
 
 SHINGLE = 5
@@ -42,7 +42,10 @@ REGISTERS = 128
 BANDS = 32
 STAR_ROUNDS = 2
 _ALL = (1 << 64) - 1
-#: Members compared with one copy of their centre.
+#: Signatures of equal registers below this part rule a pair out in blocks: more than six
+#: deviations under 0.75, so one linked pair in some 10**10 that meets by nothing else.
+LEAST_EQUAL = 0.5
+#: Members compared with one copy of their centre, and classes on either side of a block.
 BLOCK = 256
 
 
@@ -219,6 +222,60 @@ def _shingled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+class _Block:
+    """Classes that others are compared with: their sets and signatures."""
+
+    def __init__(self):
+        self.nodes: list[int] = []
+        self.roots: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.signatures: list[np.ndarray] = []
+
+    def add(self, node: int, root: int, shingles: np.ndarray, signature: bytes) -> None:
+        self.nodes.append(node)
+        self.roots.append(root)
+        self.sets.append(shingles)
+        self.signatures.append(np.frombuffer(signature, np.uint16))
+
+    def links(self, other: "_Block", forest: Forest) -> Iterator[tuple[int, int]]:
+        """Links to the other's classes that join what ``forest`` has not joined yet.
+
+        Only pairs whose signatures do not rule them out are compared by their sets.
+        """
+        if not self.nodes or not other.nodes:
+            return
+        mine, theirs = np.stack(self.signatures), np.stack(other.signatures)
+        for k in range(0, len(mine), 64):
+            equal = (mine[k : k + 64, None, :] == theirs[None]).mean(axis=2)
+            for i, j in zip(*(x.tolist() for x in np.nonzero(equal >= LEAST_EQUAL))):
+                a, b = self.roots[k + i], other.roots[j]
+                if forest.root(a) != forest.root(b) and linked(self.sets[k + i], other.sets[j]):
+                    forest.join(a, b)
+                    yield self.nodes[k + i], other.nodes[j]
+
+
+def _linked_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the components of a block; its left side comes before its right."""
+    key, left, forest = None, _Block(), Forest()
+    names = ("cluster", "i", "j", "right", "node", "root", "signature", "class")
+    for step in steps(batches, "text"):
+        found: list[tuple[int, int]] = []
+        right = _Block()
+        sets = shingle_sets(step.column("text"))
+        columns = [step.column(x).to_pylist() for x in names]
+        for cluster, i, j, is_right, node, root, signature, name, shingles in zip(*columns, sets):
+            if xxhash.xxh3_128_digest(shingles.tobytes()) != name:
+                continue  # another row with the same 64-bit key
+            if key != (cluster, i, j):
+                found += left.links(right, forest)
+                key, left, right, forest = (cluster, i, j), _Block(), _Block(), Forest()
+            (right if is_right else left).add(node, root, shingles, signature)
+        found += left.links(right, forest)
+        if found:
+            columns = [pa.array(x, pa.int64()) for x in zip(*found)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
 def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members (band, node, root) of the buckets that span several components."""
     rooted = members.join(roots, "node", "left").select(
@@ -228,16 +285,16 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(written(spanning.where("lo < hi").select("band"), "spanning"), "band")
 
 
-def _rest(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between components of buckets that still span several: none is missed.
+def _meeting(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(band, node, root) of open classes where a linked one of another component may be.
 
     An exact prefix filter. Every set has its shingles in one order, the rarest among the open
     classes first. Two sets of sizes m <= n that are linked share at least 3/7 (m + n) shingles,
     which is no less than 6/7 m and 3/4 n. So one of the shingles they share is among the first
-    ``m - 6/7 m + 1`` of the smaller and the first ``n - 3/4 n + 1`` of the larger, and at the
-    first that they share enough must be left behind it on either side. Pages of one template
-    share what is frequent, and so last in that order: they meet nowhere. What meets are
-    numbers, in a join that adaptive execution can split; texts travel for pairs that pass.
+    ``m - 6/7 m + 1`` of the smaller and the first ``n - 3/4 n + 1`` of the larger. Groups by
+    such a shingle, which take the place of bands, need a set of the first kind, and several
+    components. Pages of one template share what is frequent, and so last in that order: they
+    meet nowhere. Numbers travel, no texts.
     """
     nodes = members.select("node", "root").distinct()
     opened = texts.join(nodes, "node").mapInArrow(
@@ -251,32 +308,72 @@ def _rest(members: DataFrame, texts: DataFrame) -> DataFrame:
     ordered = each.join(shared, "shingle").groupBy("node", "root", "n")
     ordered = ordered.agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("own"))
     probing = F.expr(f"n - (n * {PERCENT} + 99) div 100 + 1")
-    prefix = F.slice("own", 1, F.greatest(probing - F.col("n") + F.size("own"), F.lit(0)))
-    prefix = prefix.cast("array<struct<times: long, shingle: long>>")
+    length = F.greatest(probing - F.col("n") + F.size("own"), F.lit(0)).cast("int")
+    prefix = F.slice("own", 1, length)
     entries = ordered.select(
         "node", "root", "n", F.size("own").alias("m"), F.posexplode(prefix).alias("at", "x")
     )
+    parts = 2 * PERCENT, 100 + PERCENT
+    indexed = F.expr(f"n - m + at < n - (n * {parts[0]} + {parts[1] - 1}) div {parts[1]} + 1")
     entries = entries.select(
-        "node", "root", "n", (F.col("n") - F.col("m") + F.col("at")).alias("at"), "x.shingle"
+        "node", "root", indexed.alias("indexed"), F.col("x.shingle").alias("band")
     )
     entries = written(entries, "prefixes")
-    both = 2 * PERCENT, 100 + PERCENT
-    indexed = entries.where(
-        F.expr(f"at < n - (n * {both[0]} + {both[1] - 1}) div {both[1]} + 1")
+    groups = entries.groupBy("band").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("indexed").alias("indexed")
     )
-    small = indexed.select(*(F.col(x).alias(f"{x}_") for x in entries.columns))
-    needed = F.expr(f"((n + n_) * {PERCENT} + {both[1] - 1}) div {both[1]}")
-    left = F.least(F.col("n") - F.col("at"), F.col("n_") - F.col("at_"))
-    met = entries.join(
-        small,
-        (F.col("shingle") == F.col("shingle_"))
-        & (F.col("root") != F.col("root_"))
-        & (F.expr("n_ < n or (n_ = n and node_ < node)"))
-        & (F.expr(f"100 * n_ >= {PERCENT} * n"))
-        & (left >= needed),
+    groups = written(groups.where("lo < hi and indexed").select("band"), "meeting")
+    return written(entries.select("band", "node", "root").join(groups, "band"), "met")
+
+
+def _rest(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components of groups (band, node, root) that span several.
+
+    Groups that have classes in common are one cluster, so that each class comes once. The
+    largest component of a cluster is only compared with the other components' classes, not
+    within itself. Blocks of both sides meet with their texts: pairs are compared where they
+    meet and are no rows; what comes out are links that join components.
+    """
+    centres = members.groupBy("band").agg(F.min("node").alias("b"))
+    clusters = components(members.join(centres, "band").select(F.col("node").alias("a"), "b"))
+    clusters = clusters.withColumnRenamed("root", "cluster")
+    members = members.select("node", "root").distinct().join(clusters, "node")
+    sizes = members.groupBy("cluster", "root").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("cluster").agg(
+        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n")
+    )
+    sizes = sizes.select(
+        "cluster",
+        F.col("top.root").alias("main"),
+        F.ceil((F.col("n") - F.col("top.n")) / BLOCK).alias("lefts"),
+        F.ceil(F.col("n") / BLOCK).alias("rights"),
+    )
+    rows = members.join(sizes.where("lefts > 0"), "cluster")
+    left = rows.where("root != main").select(
+        "cluster",
+        F.expr("pmod(xxhash64(node, 2), lefts)").alias("i"),
+        F.explode(F.expr("sequence(0L, rights - 1)")).alias("j"),
+        F.lit(False).alias("right"),
+        "node",
+        "root",
+    )
+    right = rows.select(
+        "cluster",
+        F.explode(F.expr("sequence(0L, lefts - 1)")).alias("i"),
+        F.expr("pmod(xxhash64(node, 3), rights)").alias("j"),
+        F.lit(True).alias("right"),
+        "node",
+        "root",
+    )
+    wanted = classes.select("node", "signature").join(texts, "node")
+    return (
+        left.union(right)
+        .join(wanted, "node")
+        .select("cluster", "i", "j", "right", "node", "root", "signature", "class", "text")
+        .repartition("cluster", "i", "j")
+        .sortWithinPartitions("cluster", "i", "j", "right")
+        .mapInArrow(_linked_blocks, "a long, b long")
     )
-    pairs = met.select(F.col("node").alias("centre"), F.col("node_").alias("member")).distinct()
-    return _verified(written(pairs, "met"), texts)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -326,7 +423,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             if left.isEmpty():
                 break
         if turn == STAR_ROUNDS:
-            found = _rest(left, texts)
+            found = _rest(_meeting(left, texts), classes, texts)
         else:
             by = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
             centres = left.groupBy("band").agg(
