@@ -227,6 +227,28 @@ def turns_of(record: dict) -> tuple[str, list[tuple[int | None, str, str]] | Non
     return read_record(record)[:2]
 
 
+def _fits(turns: list[tuple]) -> bool:
+    """Whether numbers are of 64 bits and texts can be written as UTF-8, without lone surrogates."""
+    for turn, role, text in turns:
+        whole = isinstance(turn, int) and not isinstance(turn, bool) and -(1 << 63) <= turn < 1 << 63
+        if turn is not None and not whole:
+            return False
+        for x in (role, text):
+            if not isinstance(x, str) or _SURROGATE.search(x):
+                return False
+    return True
+
+
+def _read(raw: str | None) -> tuple[str | None, list[tuple] | None, int]:
+    """:func:`read_record` of a record as JSON; no turns for what is none, or can't be kept."""
+    try:
+        record = json.loads(raw or "null")
+        mark, turns, ignored = read_record(record) if isinstance(record, dict) else (None, None, 0)
+    except (ValueError, RecursionError):  # no JSON, names that are no UTF-8, or nested too deep
+        return None, None, 0
+    return (mark, turns, ignored) if turns is not None and _fits(turns) else (mark, None, 0)
+
+
 _TURNS = (
     "conv_id long, fingerprint string, turn long, role string, text string, ignored long, "
     "record string"
@@ -244,13 +266,7 @@ def canonical_turns(records: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for conv, raw in zip(*(batch.column(x).to_pylist() for x in ("conv_id", "record"))):
-                try:
-                    record = json.loads(raw or "null")
-                except ValueError:
-                    record = None
-                mark, found, n = (None, None, 0)
-                if isinstance(record, dict):
-                    mark, found, n = read_record(record)
+                mark, found, n = _read(raw)
                 if found is None:
                     rows.append((conv, mark, None, None, None, 0, raw))
                 else:
@@ -271,6 +287,9 @@ def turn_records(rows: DataFrame) -> DataFrame:
     return rows.select("conv_id", F.to_json(F.struct("turn", "role", "text")).alias("record"))
 
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
+
+
 def escape(text: str) -> str:
     return _MARK.sub(r"<\\\1|", text)
 

@@ -78,3 +78,38 @@ def test_no_records_of_no_layout(spark):
     for some in (records, records.limit(0)):
         _, rest, counts = chat.format_records(some)
         assert rest.collect() == [] and counts == {"unmatched": 0, "ignored": 0}
+
+
+@pytest.mark.parametrize(
+    "record",
+    [
+        {"turn": "2", "role": "user", "text": "q"},
+        {"turn": 2**70, "role": "user", "text": "q"},
+        {"turn": True, "role": "user", "text": "q"},
+        {"turn": 1.5, "role": "user", "text": "q"},
+        {"turn": 1, "role": "user", "text": "\ud800"},
+        {"messages": [{"role": "\udfff", "content": "q"}]},
+        {"messages": MESSAGES, "\ud800": 1},
+        {"turn": 1, "role": 3, "text": "q"},
+        {"turn": 1, "role": "user", "text": {"deep": 1}},
+    ],
+)
+def test_records_that_cannot_be_kept_are_counted(spark, record):
+    good = {"turn": 0, "role": "user", "text": "fine"}
+    rows = [(1, json.dumps(record)), (2, json.dumps(good)), (3, "[" * 100_000)]
+    frame = spark.createDataFrame(rows, "conv_id long, record string")
+    formatted, rest, counts = chat.format_records(frame)
+    kept = {row.conv_id for row in formatted.collect()}
+    left = {row.conv_id: row.record for row in rest.collect()}
+    assert 2 in kept and 3 in left
+    assert counts["unmatched"] == len(left)
+    # Either formatted whole or kept as it is.
+    assert (1 in kept) != (1 in left)
+    assert 1 not in left or left[1] == rows[0][1]
+
+
+def test_no_records(spark):
+    frame = spark.createDataFrame([], "conv_id long, record string")
+    formatted, rest, counts = chat.format_records(frame)
+    assert formatted.isEmpty() and rest.isEmpty()
+    assert counts == {"unmatched": 0, "ignored": 0}
