@@ -21,7 +21,7 @@ A NULL text or role is empty, a NULL turn number comes first; equal numbers are
 and text, and repeated rows count as often as they occur. Turns are formatted and parsed
 one by one, in parallel; only the digest reads a conversation in order, as a stream, so that
 the longest conversation needs no more memory than a short one. Other columns of the input
-play no part.
+play no part. An empty table gives an empty output and counts of 0.
 """
 
 import hashlib

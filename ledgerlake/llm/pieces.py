@@ -22,7 +22,9 @@ of them in each worker.
 
 Characters of no piece become the pieces of their UTF-8 bytes. A space is put before a
 text that is not empty, as the model asks. NULL and empty texts have no ids. Decoding
-joins the pieces, turns their marks into spaces and takes off the first.
+joins the pieces, turns their marks into spaces and takes off the first. An empty table gives
+no rows. Of ties in score the path is taken that the library takes; repeated rows are encoded
+alike.
 """
 
 import re

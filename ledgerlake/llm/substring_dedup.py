@@ -18,7 +18,7 @@ else, in the same document or another, is removed; windows are judged on the inp
 
 Results by row: NULL, empty and short texts keep all their words. Rows are told apart by
 doc_id and text; a row that repeats both counts as another document, so that its windows
-repeat. Other columns of the input play no part.
+repeat. Other columns of the input play no part. An empty table gives no rows.
 """
 
 from collections.abc import Callable, Iterable, Iterator

@@ -17,6 +17,7 @@ source and doc_id are no inputs of a score.
 NULL and empty texts score as texts without a match. Without labels of both kinds there
 are no learned insults and the model has fixed weights. Labels of a document that differ count
 as toxic, NULL ones not at all. Repeated rows score alike. Other columns play no part.
+An empty table gives no rows.
 """
 
 from collections.abc import Iterable, Iterator, Mapping

@@ -128,3 +128,12 @@ def test_run_is_the_stages_in_turn(spark, sf_dir, stages):
     columns = ("doc_id", "piece", "start", "length", "ids_crc32")
     found = corpus_pipeline.run(spark, sf_dir).select(*columns).collect()
     assert Counter(found) == Counter(stages[5].select(*columns).collect())
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_a_stage_of_no_documents(spark, sf_dir, name):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    found = dict(corpus_pipeline.STAGES)[name](spark, docs, sf_dir)
+    assert found.collect() == []
+    if name != "packing":
+        assert found.columns == docs.columns
