@@ -1,5 +1,6 @@
 """What the operators of this folder share: scratch tables and whole texts as arrays."""
 
+import re
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -28,12 +29,14 @@ def small_batches(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share, deleted when the session's JVM ends.
 
-    That folder is ``spark.checkpoint.dir``; where it is unset, the warehouse, which is
-    shared as well.
+    That folder is ``spark.checkpoint.dir``, which a cluster must name. A session whose tasks
+    are all on one machine may leave it unset: any folder is shared there, such as the warehouse.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir"
-    )
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     path = f"{shared.rstrip('/')}/ledgerlake-scratch/{name}-{uuid4().hex}"
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
