@@ -9,8 +9,10 @@ alike as the part of bins, filled in either, that agree.
 Phrases of the shared beginning of a text and its edited text are parsed once.
 
 ``neighbours`` brings each text together with the next one in the order of doc_id, without
-a global sort in one task: documents go to ranges, and the first of each range also to the
-range before it.
+a global sort in one task: documents go to ranges of some ``RANGE_BYTES`` of text, however
+many that makes, and the first of each range also to the range before it. Ranges are cut at
+(doc_id, first ``HEAD`` code points), so rows of one doc_id are split as well; only rows that agree
+in both are one range, which its task reads as a stream.
 
 NULL and empty texts have no phrase; their fingerprint is all empty bins, and two of them
 are alike by 1. A single document is its own next. NULL doc_ids come first; equal doc_ids
@@ -19,7 +21,8 @@ no rows.
 """
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +33,8 @@ from ledgerlake.llm.words import mixed
 
 BINS = 128
 _EMPTY = 0xFFFF
-#: Ranges of documents; as many as shuffle partitions, if those are more.
-_RANGES = 200
+#: Text of a range, code points that tell rows of one doc_id apart, sampled rows of a range.
+RANGE_BYTES, HEAD, SAMPLES = 16 << 20, 32, 16
 _POINT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -101,43 +104,73 @@ def text_and_edited(text: str, following: str) -> tuple[np.ndarray, str, np.ndar
     return own, changed, signature(changed, shared + parse(changed, both, start))
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """Rows (range, doc_id, text, extra) such that each range, sorted by doc_id, text and
-    ``extra`` last, holds consecutive documents and at its end the one that follows.
+#: Place of a row in the order: whether it has a doc_id, that, and how its text begins.
+Key = tuple[bool, int, str]
+
+
+def _key() -> Column:
+    return F.struct(
+        F.isnotnull("doc_id").alias("known"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+        F.left("text", F.lit(HEAD)).alias("head"),
+    )
+
+
+def _keys(keys: pa.StructArray) -> Iterator[Key]:
+    return zip(*(keys.field(x).to_pylist() for x in ("known", "id", "head")))
+
+
+def _numbered(place: Callable[[Key], int | None]):
+    """A function of keys, by Arrow arrays: the number that ``place`` gives, or NULL."""
 
-    Only the smallest doc_id of each range is known to the driver, one number a range.
+    @F.arrow_udf("int")
+    def number(keys: pa.Array) -> pa.Array:
+        return pa.array([place(key) for key in _keys(keys)], pa.int32())
+
+    return number(_key())
+
+
+def _cuts(docs: DataFrame) -> tuple[list[Key], int]:
+    """Where ranges begin, and how many tasks they deserve.
+
+    The rows that a hash picks are sorted by tasks, and every ``SAMPLES``th is a cut: one key for
+    some ``RANGE_BYTES``, which is what the driver and every task know of the rows.
+    """
+    size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    ranges = -(-(size["bytes"] or 0) // RANGE_BYTES)
+    if ranges < 2:
+        return [], 1
+    one_of = max(1, size["n"] // (SAMPLES * ranges))
+    picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_of)) == 0)
+
+    def every(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            at = np.arange(-seen % SAMPLES, batch.num_rows, SAMPLES)
+            seen += batch.num_rows
+            yield batch.take(pa.array(at))
+
+    order = ("known", "id", "head")
+    sample = picked.select(_key().alias("key")).select("key.*")
+    sample = sample.repartitionByRange(*order).sortWithinPartitions(*order)
+    found = sample.mapInArrow(every, "known boolean, id long, head string").distinct()
+    return sorted(map(tuple, found.collect())), ranges
+
+
+def neighbours(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (range, doc_id, text, extra) such that each range, sorted by doc_id, text and
+    ``extra`` last, holds consecutive documents and at its end the one that follows; and how many
+    tasks the ranges deserve.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    spark = docs.sparkSession
-    ranges = max(_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shares = [k / ranges for k in range(1, ranges)]
-    cuts = docs.select(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0]
-    bounds = sorted(set(cuts or []))
-    placed = docs.select(_range_of(bounds, 0).alias("range"), "doc_id", "text")
-    first = placed.groupBy("range").agg(
-        F.min("doc_id").alias("least"), F.count_if(F.isnull("doc_id")).alias("none")
-    )
-    found = {x["range"]: None if x["none"] else x["least"] for x in first.collect()}
-    order = sorted(found)
+    cuts, tasks = _cuts(docs)
+    placed = docs.withColumn("range", _numbered(lambda key: bisect_right(cuts, key)))
+    least = placed.groupBy("range").agg(F.min(_key()).alias("key")).orderBy("range").collect()
     # A range's first document also follows the range before it, and the very first the last.
-    earlier = {own: order[k - 1] for k, own in enumerate(order)}
-    every = range(len(bounds) + 1)
-    least = F.lit([found.get(x) for x in every]).cast("array<long>")
-    copies = placed.where(F.col("doc_id").eqNullSafe(F.get(least, F.col("range"))))
-    goal = F.lit([earlier.get(x) for x in every]).cast("array<int>")
-    copies = copies.select(F.get(goal, F.col("range")), "doc_id", "text", F.lit(True))
-    return placed.withColumn("extra", F.lit(False)).union(copies)
-
-
-def _range_of(bounds: list[int], before: int) -> Column:
-    """How many bounds, after ``before`` others, are not above doc_id; NULL is below all."""
-    if not bounds:
-        return F.lit(before)
-    half = len(bounds) // 2
-    above = _range_of(bounds[half + 1 :], before + half + 1)
-    return F.when(F.col("doc_id") >= bounds[half], above).otherwise(
-        _range_of(bounds[:half], before)
-    )
+    earlier = {tuple(own.key): least[k - 1]["range"] for k, own in enumerate(least)}
+    copies = docs.withColumn("range", _numbered(earlier.get)).where("range is not null")
+    rows = placed.withColumn("extra", F.lit(False)).union(copies.withColumn("extra", F.lit(True)))
+    return rows, tasks
 
 
 _RESULT = (
@@ -204,9 +237,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Every document's fingerprint, its edited text's, and how alike they and the next's are."""
+    rows, tasks = neighbours(docs)
     return (
-        neighbours(docs)
-        .repartition("range")
+        rows.repartition(max(tasks, docs.sparkSession.sparkContext.defaultParallelism), "range")
         .sortWithinPartitions("range", "extra", F.asc_nulls_first("doc_id"), "text")
         .mapInArrow(_described, _RESULT)
     )

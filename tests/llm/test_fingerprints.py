@@ -10,6 +10,7 @@ from ledgerlake.llm.fingerprints import (
     edited,
     fingerprints,
     likeness,
+    neighbours,
     parse,
     signature,
     text_and_edited,
@@ -55,6 +56,19 @@ def test_next_documents_across_ranges(spark, count):
     assert got(fingerprints(odd_documents(spark, rows))) == expected(rows)
 
 
+@pytest.mark.parametrize("ids", [[7], [None], [None, 1, 1, 2], range(200)])
+def test_many_ranges_and_rows_of_one_doc_id(spark, monkeypatch, ids):
+    monkeypatch.setattr("ledgerlake.llm.fingerprints.RANGE_BYTES", 500)
+    draw = random.Random(3)
+    rows = [(draw.choice(ids), "".join(draw.choices("abc ", k=40))) for _ in range(300)]
+    rows += rows[:20]
+    docs = odd_documents(spark, rows)
+    assert got(fingerprints(docs)) == expected(rows)
+    ranges = neighbours(docs)[0].where("not extra").groupBy("range").count().collect()
+    assert len(ranges) > 15
+    assert max(x["count"] for x in ranges) < 60
+
+
 def test_empty(none):
     assert fingerprints(none).collect() == []
 
