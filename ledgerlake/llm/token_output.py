@@ -153,7 +153,9 @@ def write_token_files(
         if held:
             yield flush()
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one doc_id are split by how their texts begin.
+    ordered = docs.repartitionByRange("doc_id", F.left("text", F.lit(32)))
+    ordered = ordered.sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(blocks, _BLOCKS).write.option("compression", "none").parquet(
         f"{path}/blocks"
     )
