@@ -130,8 +130,8 @@ def _numbered(place: Callable[[Key], int | None]):
     return number(_key())
 
 
-def _cuts(docs: DataFrame) -> tuple[list[Key], int]:
-    """Where ranges begin, and how many tasks they deserve.
+def _cuts(docs: DataFrame) -> list[Key]:
+    """Where ranges begin, but for the first.
 
     The rows that a hash picks are sorted by tasks, and every ``SAMPLES``th is a cut: one key for
     some ``RANGE_BYTES``, which is what the driver and every task know of the rows.
@@ -139,7 +139,7 @@ def _cuts(docs: DataFrame) -> tuple[list[Key], int]:
     size = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     ranges = -(-(size["bytes"] or 0) // RANGE_BYTES)
     if ranges < 2:
-        return [], 1
+        return []
     one_of = max(1, size["n"] // (SAMPLES * ranges))
     picked = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(one_of)) == 0)
 
@@ -154,23 +154,23 @@ def _cuts(docs: DataFrame) -> tuple[list[Key], int]:
     sample = picked.select(_key().alias("key")).select("key.*")
     sample = sample.repartitionByRange(*order).sortWithinPartitions(*order)
     found = sample.mapInArrow(every, "known boolean, id long, head string").distinct()
-    return sorted(map(tuple, found.collect())), ranges
+    return sorted(map(tuple, found.collect()))
 
 
 def neighbours(docs: DataFrame) -> tuple[DataFrame, int]:
     """Rows (range, doc_id, text, extra) such that each range, sorted by doc_id, text and
     ``extra`` last, holds consecutive documents and at its end the one that follows; and how many
-    tasks the ranges deserve.
+    ranges there may be.
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts, tasks = _cuts(docs)
+    cuts = _cuts(docs)
     placed = docs.withColumn("range", _numbered(lambda key: bisect_right(cuts, key)))
     least = placed.groupBy("range").agg(F.min(_key()).alias("key")).orderBy("range").collect()
     # A range's first document also follows the range before it, and the very first the last.
     earlier = {tuple(own.key): least[k - 1]["range"] for k, own in enumerate(least)}
     copies = docs.withColumn("range", _numbered(earlier.get)).where("range is not null")
     rows = placed.withColumn("extra", F.lit(False)).union(copies.withColumn("extra", F.lit(True)))
-    return rows, tasks
+    return rows, len(cuts) + 1
 
 
 _RESULT = (
@@ -237,9 +237,9 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Every document's fingerprint, its edited text's, and how alike they and the next's are."""
-    rows, tasks = neighbours(docs)
+    rows, ranges = neighbours(docs)
     return (
-        rows.repartition(max(tasks, docs.sparkSession.sparkContext.defaultParallelism), "range")
+        rows.repartitionById(ranges, "range")  # a task for each range
         .sortWithinPartitions("range", "extra", F.asc_nulls_first("doc_id"), "text")
         .mapInArrow(_described, _RESULT)
     )
