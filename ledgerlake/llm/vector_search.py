@@ -7,14 +7,16 @@ a query at distance d from it.
 
 Index: pivots are taken, far from each other, from a bounded sample (``SAMPLE``); every vector
 is keyed by its nearest pivot and its distance. Vectors of one pivot, sorted by distance,
-are cut into annuli of up to ``ANNULUS`` vectors, however many are equal. The k-th best score
-among its own annulus is a query's first bound.
+are cut into annuli of up to ``ANNULUS`` vectors, however many are equal. An annulus also knows
+the least and the largest distance of its vectors to every other pivot. The k-th best score among
+its own annulus is a query's first bound.
 
 Search: the annuli of a pivot are dealt into shards. Queries travel in packs to every shard of
 a pivot that can hold something as good as the bound of any of them. There the pack expands
 over the sorted annuli, nearest first, raising bounds as it goes, and passes over all
-annuli that the triangle inequality rules out. The shards' best make the result. Nothing is
-approximate: if no bound helps, every pair is computed, in blocks.
+annuli that the triangle inequality rules out from any pivot. The shards' best make the result.
+Nothing is approximate: if no bound helps, every pair is computed, in blocks; ``visited_share``
+measures how much of the table is.
 
 Vectors that are NULL, or hold a NULL or non-finite component, and rows with a NULL vec_id
 take no part. Shorter vectors count as filled up with zeros. Rows that repeat vec_id and
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Accumulator, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -115,8 +117,8 @@ def far_pivots(sample: np.ndarray, norm: float, count: int) -> np.ndarray:
 
 _KEYED = "pivot int, distance double, vec_id long, vector binary"
 _INDEX = (
-    "annulus long, pivot int, low double, high double, vec_ids array<long>, vectors binary, "
-    "query array<int>, bound array<long>"
+    "annulus long, pivot int, lows array<double>, highs array<double>, vec_ids array<long>, "
+    "vectors binary, query array<int>, bound array<long>"
 )
 
 
@@ -152,6 +154,7 @@ def build_index(
             nonlocal count
             ids = np.array([x[2] for x in held])
             vectors = geometry.matrix(x[3] for x in held)
+            distances = geometry.distances(vectors, data=True)
             places = np.flatnonzero(ids % every == 0)
             bounds = []
             for place, scores in zip(places, products(vectors[places], vectors)):
@@ -160,8 +163,8 @@ def build_index(
             row = {
                 "annulus": (part << 32) + count,
                 "pivot": held[0][0],
-                "low": held[0][1],
-                "high": held[-1][1],
+                "lows": distances.min(axis=0).tolist(),
+                "highs": distances.max(axis=0).tolist(),
                 "vec_ids": ids.tolist(),
                 "vectors": vectors.tobytes(),
                 "query": places.tolist(),
@@ -200,8 +203,8 @@ def _index_schema() -> pa.Schema:
         [
             ("annulus", long),
             ("pivot", pa.int32()),
-            ("low", real),
-            ("high", real),
+            ("lows", pa.list_(real)),
+            ("highs", pa.list_(real)),
             ("vec_ids", pa.list_(long)),
             ("vectors", pa.binary()),
             ("query", pa.list_(pa.int32())),
@@ -211,10 +214,13 @@ def _index_schema() -> pa.Schema:
 
 
 def best_possible(
-    d: np.ndarray, low: float, high: float, squares: np.ndarray, norm: float
+    d: np.ndarray, lows: np.ndarray, highs: np.ndarray, squares: np.ndarray, norm: float
 ) -> np.ndarray:
-    """The largest score that queries at distances d from a pivot can have in an annulus."""
-    gap = np.maximum(0, np.maximum(d - high, low - d))
+    """The largest score that queries can have among vectors within the distances to all pivots.
+
+    ``d`` has a row for each query and a column for each pivot.
+    """
+    gap = np.maximum(0, np.maximum(d - highs, lows - d)).max(axis=1)
     slack = 1e-9 * (squares + norm) + 1e-6
     return (squares + norm - gap**2) / 2 + slack
 
@@ -223,7 +229,9 @@ _PACKS = "pack long, query_ids array<long>, vectors binary, bounds array<long>,
 _LOWEST = -(1 << 63)
 
 
-def _query_packs(index: DataFrame, geometry: Geometry, reach: dict[int, tuple[float, float]]):
+def _query_packs(
+    index: DataFrame, geometry: Geometry, reach: dict[int, tuple[np.ndarray, np.ndarray]]
+) -> DataFrame:
     """Queries of consecutive annuli together, with the pivots that any of them must see."""
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,10 +247,8 @@ def _query_packs(index: DataFrame, geometry: Geometry, reach: dict[int, tuple[fl
             squares = (vectors.astype(np.float64) ** 2).sum(axis=1)
             pivots = [
                 pivot
-                for pivot, (low, high) in reach.items()
-                if (
-                    best_possible(d[:, pivot], low, high, squares, geometry.norm) >= bounds
-                ).any()
+                for pivot, (lows, highs) in reach.items()
+                if (best_possible(d, lows, highs, squares, geometry.norm) >= bounds).any()
             ]
             row = {
                 "pack": (part << 32) + count,
@@ -279,23 +285,24 @@ def _query_packs(index: DataFrame, geometry: Geometry, reach: dict[int, tuple[fl
 _FOUND = "pack long, place int, query_id long, vec_id long, score long"
 
 
-def _search(geometry: Geometry, k: int):
+def _search(geometry: Geometry, k: int, opened: Accumulator | None):
     def found(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = None
-        annuli: list[tuple[float, float, np.ndarray, np.ndarray]] = []
-        names = ("pivot", "shard", "pack", "low", "high", "ids", "vectors", "bounds")
+        annuli: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        names = ("pivot", "shard", "pack", "lows", "highs", "ids", "vectors", "bounds")
         for batch in batches:
             out: list[tuple] = []
-            for pivot, shard, pack, low, high, ids, raw, bounds in zip(
+            for pivot, shard, pack, lows, highs, ids, raw, bounds in zip(
                 *(batch.column(x).to_pylist() for x in names)
             ):
                 if key != (pivot, shard):
                     key, annuli = (pivot, shard), []
                 if pack is None:
-                    annuli.append((low, high, np.array(ids), geometry.matrix([raw])))
+                    near, far = np.array(lows), np.array(highs)
+                    annuli.append((near, far, np.array(ids), geometry.matrix([raw])))
                 else:
                     queries = geometry.matrix([raw])
-                    out += expand(pivot, pack, np.array(ids), queries, bounds, annuli)
+                    out += expand(pack, np.array(ids), queries, bounds, annuli)
             if out:
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -303,17 +310,21 @@ def _search(geometry: Geometry, k: int):
                     names=[x.split()[0] for x in _FOUND.split(", ")],
                 )
 
-    def expand(pivot, pack, ids, vectors, bounds, annuli) -> list[tuple]:
+    def expand(pack, ids, vectors, bounds, annuli) -> list[tuple]:
         """The best of a shard's annuli for each query of a pack, nearest annuli first."""
-        d = geometry.distances(vectors, data=False)[:, pivot]
+        d = geometry.distances(vectors, data=False)
         squares = (vectors.astype(np.float64) ** 2).sum(axis=1)
         floor = np.array(bounds, np.int64)
         best: list[list[tuple[int, int]]] = [[] for _ in ids]
-        limits = [best_possible(d, low, high, squares, geometry.norm) for low, high, _, _ in annuli]
+        limits = [
+            best_possible(d, lows, highs, squares, geometry.norm) for lows, highs, _, _ in annuli
+        ]
         for at in sorted(range(len(annuli)), key=lambda x: -float(limits[x].max())):
             open_ = np.flatnonzero(limits[at] >= floor)
             if not len(open_):
                 continue
+            if opened is not None:
+                opened.add(len(open_))
             _, _, own, matrix = annuli[at]
             scores = products(vectors[open_], matrix)
             for row, q in enumerate(open_.tolist()):
@@ -336,11 +347,8 @@ def _search(geometry: Geometry, k: int):
     return found
 
 
-def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -> DataFrame:
-    """(query_id, rank, vec_id, score) for each row whose vec_id is divisible by ``every``.
-
-    ``vectors`` holds (vec_id, embedding). Equal scores rank by vec_id.
-    """
+def _indexed(vectors: DataFrame, k: int, every: int) -> tuple[Geometry, DataFrame] | None:
+    """Pivots and the index of all vectors; None if there are none."""
     whole = whole_vectors(vectors)
     square = F.aggregate(
         "v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")
@@ -349,20 +357,29 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -
     shape = whole.agg(
         F.max(F.size("v")).alias("size"), F.max(square).alias("norm"), F.max(most).alias("most")
     ).first()
-    spark = vectors.sparkSession
     if shape["size"] is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return None
     size, norm = max(1, shape["size"]), shape["norm"] * (1 + 1e-9) + 1.0
     width = 2 if shape["most"] < 1 << 15 else 4 if shape["most"] < 1 << 31 else 8
     picked = whole.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
     sample = _padded(picked["v"].combine_chunks(), size)
     geometry = Geometry(far_pivots(sample, norm, PIVOTS), norm, size, width)
-    index = build_index(whole, geometry, k, every)
-    pivots = index.groupBy("pivot").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("n")
+    return geometry, build_index(whole, geometry, k, every)
+
+
+def _found(
+    index: DataFrame, geometry: Geometry, k: int, shard: int, opened: Accumulator | None = None
+) -> DataFrame:
+    """(query_id, rank, vec_id, score); ``opened`` counts the annuli that queries look into."""
+    ranges = index.select("pivot", F.posexplode(F.arrays_zip("lows", "highs")).alias("to", "d"))
+    others = range(len(geometry.pivots))
+    ranges = ranges.groupBy("pivot").agg(
+        F.count_if(F.col("to") == 0).alias("n"),
+        F.array(*(F.min(F.when(F.col("to") == x, F.col("d.lows"))) for x in others)),
+        F.array(*(F.max(F.when(F.col("to") == x, F.col("d.highs"))) for x in others)),
     )
-    pivots = pivots.collect()  # at most PIVOTS rows
-    reach = {x["pivot"]: (x["low"], x["high"]) for x in pivots}
+    pivots = ranges.collect()  # at most PIVOTS rows of PIVOTS intervals
+    reach = {pivot: (np.array(lows), np.array(highs)) for pivot, _, lows, highs in pivots}
     shards = {x["pivot"]: -(-x["n"] // shard) for x in pivots}
     count = F.get(F.lit([shards.get(x, 0) for x in range(PIVOTS)]), F.col("pivot"))
     nothing = F.lit(None)
@@ -370,8 +387,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -
         "pivot",
         F.pmod(F.xxhash64("annulus"), count).cast("int").alias("shard"),
         nothing.cast("long").alias("pack"),
-        "low",
-        "high",
+        "lows",
+        "highs",
         F.col("vec_ids").alias("ids"),
         "vectors",
         nothing.cast("array<long>").alias("bounds"),
@@ -382,8 +399,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -
         "pivot",
         F.col("shard").cast("int"),
         "pack",
-        nothing.cast("double").alias("low"),
-        nothing.cast("double").alias("high"),
+        nothing.cast("array<double>").alias("lows"),
+        nothing.cast("array<double>").alias("highs"),
         F.col("query_ids").alias("ids"),
         "vectors",
         "bounds",
@@ -392,7 +409,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -
         data.union(packs)
         .repartition("pivot", "shard")
         .sortWithinPartitions("pivot", "shard", F.asc_nulls_first("pack"))
-        .mapInArrow(_search(geometry, k), _FOUND)
+        .mapInArrow(_search(geometry, k, opened), _FOUND)
     )
     rank = F.row_number().over(
         Window.partitionBy("pack", "place").orderBy(F.desc("score"), "vec_id")
@@ -404,6 +421,36 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -
     )
 
 
+def top_k(vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD) -> DataFrame:
+    """(query_id, rank, vec_id, score) for each row whose vec_id is divisible by ``every``.
+
+    ``vectors`` holds (vec_id, embedding). Equal scores rank by vec_id.
+    """
+    built = _indexed(vectors, k, every)
+    if built is None:
+        schema = "query_id long, rank int, vec_id long, score long"
+        return vectors.sparkSession.createDataFrame([], schema)
+    geometry, index = built
+    return _found(index, geometry, k, shard)
+
+
+def visited_share(
+    vectors: DataFrame, k: int = 5, every: int = 50, shard: int = SHARD
+) -> float | None:
+    """The part of all pairs of a query and an annulus that the search of ``top_k`` computes.
+
+    None without queries. A task that runs again counts again.
+    """
+    built = _indexed(vectors, k, every)
+    if built is None:
+        return None
+    geometry, index = built
+    opened = vectors.sparkSession.sparkContext.accumulator(0)
+    _found(index, geometry, k, shard, opened).write.format("noop").mode("overwrite").save()
+    total = index.agg(F.count("*").alias("annuli"), F.sum(F.size("query")).alias("queries")).first()
+    return opened.value / (total.annuli * total.queries) if total.queries else None
+
+
 #: The same in SQL over ``embeddings``, for vectors of equal length.
 SQL = """
 WITH whole AS (

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ledgerlake.llm import vector_search
@@ -60,6 +61,33 @@ def test_brute_force(spark, monkeypatch, annulus):
     assert got(top_k(frame(spark, rows), k=4, every=10, shard=3)) == expected(rows, 4, 10)
 
 
+def clustered(draw, count, clusters=24, size=12, spread=0.02):
+    """Points near centres of equal norm."""
+    centres = [[draw.gauss(0, 1) for _ in range(size)] for _ in range(clusters)]
+    centres = [[x / math.hypot(*c) for x in c] for c in centres]
+    return [(k, [x + draw.gauss(0, spread) for x in draw.choice(centres)]) for k in range(count)]
+
+
+def test_most_annuli_of_clustered_vectors_are_passed_over(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "PACK", 8)
+    build = vector_search.build_index
+    monkeypatch.setattr(vector_search, "build_index", lambda *x: build(*x, annulus=16))
+    rows = clustered(random.Random(5), 2000)
+    assert got(top_k(frame(spark, rows), k=4, every=40)) == expected(rows, 4, 40)
+    assert vector_search.visited_share(frame(spark, rows), k=4, every=40) < 0.25
+    # Without a bound, as for fewer candidates than are wanted, everything is looked into.
+    assert vector_search.visited_share(frame(spark, rows[:50]), k=60, every=10) == 1.0
+
+
+def test_other_pivots_rule_out_what_the_nearest_does_not():
+    """A query as far from an annulus' own pivot as its vectors are, but on the other side."""
+    lows, highs = np.array([1.0, 3.0]), np.array([1.2, 3.4])
+    d = np.array([[1.1, 1.0]])
+    one = vector_search.best_possible(d[:, :1], lows[:1], highs[:1], np.ones(1), 1.0)
+    both = vector_search.best_possible(d, lows, highs, np.ones(1), 1.0)
+    assert one[0] > 0.99 and both[0] < -0.99
+
+
 def test_odd_vectors(spark):
     rows = [
         (0, [1.0, 2.0]),
@@ -90,3 +118,5 @@ def test_fewer_candidates_than_wanted(spark):
 def test_empty(spark):
     assert top_k(frame(spark, [])).collect() == []
     assert top_k(frame(spark, [(1, None)])).collect() == []
+    assert vector_search.visited_share(frame(spark, [])) is None
+    assert vector_search.visited_share(frame(spark, [(1, [1.0])])) is None
