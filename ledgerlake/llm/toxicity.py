@@ -3,15 +3,17 @@
 A text's words, lower-cased, become symbols: insult, threat, target, negation, report, or
 nothing. Five small transducers, one for each kind, read a clause's symbols and put out
 factors; their composition is one transducer, whose output for an insult or a threat is
-the word's weight times what the clause says around it: more at a target, little under a
-negation or in reported speech. A clause scores the sum, and a document's clause scores
-become a probability by a logistic model.
+the word's weight times what the clause says around it, such as a target, a negation or reported
+speech. A clause scores the sum, and a document's clause scores become a probability by a
+logistic model.
 
 Threats, targets, negations and verbs of saying are short lists. Insults, as words and as
 beginnings of words, are learned from a bounded sample of labelled rows, by the lower
-confidence bound of their log odds, each different text counted once. The logistic model is
-fitted to one half of the sample with the insults of the other, as they will meet texts that
-they were not learned from. Labels are only read where crc32(doc_id) mod 3 is not 1; language,
+confidence bound of their log odds, each different text counted once. The factors of the
+transducers' arcs and the logistic model are fitted to one half of the sample with the insults
+of the other, as they will meet texts that they were not learned from: starting from
+``FACTORS``, the one change of a factor to one of ``CHOICES`` that makes the labels likeliest
+is taken, as long as it gains ``LEAST_GAIN``, ``MOST_CHANGES`` times at most. Labels are only read where crc32(doc_id) mod 3 is not 1; language,
 source and doc_id are no inputs of a score.
 
 NULL and empty texts score as texts without a match. Without labels of both kinds there
@@ -22,7 +24,7 @@ An empty table gives no rows.
 
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 from itertools import product
 
 import numpy as np
@@ -52,6 +54,21 @@ WORDS = {
 }
 THREAT_WEIGHT = 2.0
 
+#: Factors of the arcs, to begin with.
+FACTORS = {
+    "insult_again": 1.2,
+    "insult_after_threat": 1.2,
+    "threat_without_target": 0.2,
+    "insult_at_target": 1.3,
+    "insult_negated": 0.3,
+    "threat_negated": 0.2,
+    "insult_reported": 0.5,
+    "threat_reported": 0.5,
+}
+#: What a factor can become, the log likelihood that a change must gain, and how many are made.
+CHOICES = (0.0, 0.1, 0.3, 1.0, 3.0)
+LEAST_GAIN, MOST_CHANGES = 3.0, 4
+
 
 class Transducer:
     """``moves[state, symbol]`` is the next state and the factor put out; state 0 is the first.
@@ -75,17 +92,21 @@ class Transducer:
         return Transducer(self.states * other.states, moves)
 
 
-def grammar() -> Transducer:
-    """The composition of the five kinds."""
-    insult = Transducer(2, {(0, INSULT): (1, 1.0), (1, INSULT): (1, 1.2)})
-    threat = Transducer(2, {(0, THREAT): (1, 1.0), (1, INSULT): (1, 1.2)})
+@lru_cache(256)
+def grammar(factors: tuple[float, ...] = tuple(FACTORS.values())) -> Transducer:
+    """The composition of the five kinds, with the factors of their arcs."""
+    again, after, untargeted, targeted, negated, no_threat, reported, told_threat = factors
+    insult = Transducer(2, {(0, INSULT): (1, 1.0), (1, INSULT): (1, again)})
+    threat = Transducer(2, {(0, THREAT): (1, 1.0), (1, INSULT): (1, after)})
     target = Transducer(
-        2, {(0, TARGET): (1, 1.0), (0, THREAT): (0, 0.2), (1, INSULT): (1, 1.3)}
+        2, {(0, TARGET): (1, 1.0), (0, THREAT): (0, untargeted), (1, INSULT): (1, targeted)}
     )
     negation = Transducer(
-        2, {(0, NEGATION): (1, 1.0), (1, INSULT): (0, 0.3), (1, THREAT): (0, 0.2)}
+        2, {(0, NEGATION): (1, 1.0), (1, INSULT): (0, negated), (1, THREAT): (0, no_threat)}
+    )
+    report = Transducer(
+        2, {(0, REPORT): (1, 1.0), (1, INSULT): (1, reported), (1, THREAT): (1, told_threat)}
     )
-    report = Transducer(2, {(0, REPORT): (1, 1.0), (1, INSULT): (1, 0.5), (1, THREAT): (1, 0.5)})
     return reduce(Transducer.compose, (insult, threat, target, negation, report))
 
 
@@ -129,17 +150,25 @@ def _listed(kind: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Keys of insults, ascending, their weights, and the logistic model."""
+    """Keys of insults, ascending, their weights, the logistic model, and the arcs' factors."""
 
     keys: np.ndarray
     weights: np.ndarray
     coefficients: tuple[float, ...] = (-3.0, 0.5, 0.5, 0.5, 2.0)
+    factors: tuple[float, ...] = tuple(FACTORS.values())
 
 
-def clause_features(texts: pa.Array, model: Model) -> np.ndarray:
-    """Of each text: largest clause score, log of their sum, log of the matched, their share."""
+@dataclass(frozen=True)
+class _Symbols:
+    """What the grammar reads of many texts: text, clause, symbol, weight; and each text's words."""
+
+    rows: list[tuple[int, int, int, float]]
+    words: np.ndarray
+
+
+def _symbols(texts: pa.Array, model: Model) -> _Symbols:
+    """The symbols of all clauses with an insult or a threat."""
     words = _words(texts)
-    out = np.zeros((len(texts), 4))
     weight = np.zeros(len(words.text))
     if len(model.keys):
         for k in range(words.keys.shape[1]):
@@ -153,27 +182,38 @@ def clause_features(texts: pa.Array, model: Model) -> np.ndarray:
     weight[symbol == THREAT] = THREAT_WEIGHT
     matched = np.unique(words.clause[(symbol == INSULT) | (symbol == THREAT)])
     read = np.flatnonzero(np.isin(words.clause, matched) & (symbol != NOTHING))
-    machine, state, last = grammar(), 0, -1
+    rows = zip(*(x[read].tolist() for x in (words.text, words.clause, symbol, weight)))
+    return _Symbols(list(rows), np.bincount(words.text, minlength=len(texts)))
+
+
+def _features(symbols: _Symbols, factors: tuple[float, ...]) -> np.ndarray:
+    out = np.zeros((len(symbols.words), 4))
+    machine, state, last = grammar(factors), 0, -1
     scores: dict[tuple[int, int], float] = {}
-    for text, clause, kind, own in zip(
-        *(x[read].tolist() for x in (words.text, words.clause, symbol, weight))
-    ):
+    for text, clause, kind, own in symbols.rows:
         if clause != last:
             state, last = 0, clause
         state, factor = machine.step(state, kind)
         if kind in (INSULT, THREAT):
             scores[text, clause] = scores.get((text, clause), 0.0) + own * factor
-    sums = np.zeros(len(texts))
+    sums = np.zeros(len(out))
     for (text, _), score in scores.items():
         out[text, 0] = max(out[text, 0], score)
-        out[text, 2] += 1
+        out[text, 2] += score > 0
         sums[text] += score
-    counts = np.bincount(words.text, minlength=len(texts))
-    out[:, 3] = np.minimum(1, 20 * out[:, 2] / np.maximum(counts, 1))
+    out[:, 3] = np.minimum(1, 20 * out[:, 2] / np.maximum(symbols.words, 1))
     out[:, 1], out[:, 2] = np.log1p(sums), np.log1p(out[:, 2])
     return out
 
 
+def clause_features(texts: pa.Array, model: Model) -> np.ndarray:
+    """Of each text: largest clause score, log of their sum, log of the matched, their share.
+
+    A clause that scores nothing is not matched.
+    """
+    return _features(_symbols(texts, model), model.factors)
+
+
 def probabilities(features: np.ndarray, coefficients: tuple[float, ...]) -> np.ndarray:
     line = coefficients[0] + features @ np.array(coefficients[1:])
     return 1 / (1 + np.exp(-np.clip(line, -30, 30)))
@@ -244,8 +284,16 @@ def _lexicon(known: DataFrame, toxic: int, clean: int) -> tuple[np.ndarray, np.n
     return keys[order], learned["weight"].to_numpy(np.float64)[order]
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Learn from at most ``rows`` labelled documents; see the module's text."""
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int = TRAIN_ROWS,
+    factors: tuple[float, ...] = tuple(FACTORS.values()),
+) -> Model:
+    """Learn from at most ``rows`` labelled documents, starting with the arcs' ``factors``.
+
+    See the module's text.
+    """
     picked = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id")
@@ -268,26 +316,66 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     both = [x + n.get((1, kind), 0) for x, kind in zip(first, (True, False))]
     if not all(both):
         return Model(np.zeros(0, np.uint64), np.zeros(0))
-    final = Model(*_lexicon(known.drop("half"), *both))
+    final = Model(*_lexicon(known.drop("half"), *both), factors=factors)
     if not all(first):
         return final
-    model = Model(*_lexicon(known.where("half = 0").drop("half"), *first))
+    model = Model(*_lexicon(known.where("half = 0").drop("half"), *first), factors=factors)
     second = known.where("half = 1").drop("half")
 
-    def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for step in steps(batches, "text"):
-            found = clause_features(step.column("text"), model)
-            yield pa.RecordBatch.from_arrays(
-                [step.column("toxic").cast(pa.int32()), *(pa.array(x) for x in found.T)],
-                names=["toxic", "a", "b", "c", "d"],
-            )
+    coefficients, factors = _fitted(second, model)
+    return Model(final.keys, final.weights, coefficients, factors)
 
-    table = second.mapInArrow(features, "toxic int, a double, b double, c double, d double")
-    table = table.toPandas()  # at most `rows` times five numbers
-    if table["toxic"].nunique() < 2:
-        return final
-    fitted = fit_logistic(table[["a", "b", "c", "d"]].to_numpy(), table["toxic"].to_numpy())
-    return Model(final.keys, final.weights, fitted)
+
+def _changes(factors: tuple[float, ...]) -> list[tuple[float, ...]]:
+    """The factors as they are, and with each single one changed."""
+    changed = [
+        (*factors[:arc], value, *factors[arc + 1 :])
+        for arc in range(len(factors))
+        for value in CHOICES
+        if value != factors[arc]
+    ]
+    return [factors, *changed]
+
+
+def _fitted(known: DataFrame, model: Model) -> tuple[tuple[float, ...], tuple[float, ...]]:
+    """The logistic model and the arcs' factors that make the labels of ``known`` likeliest.
+
+    Features are found by tasks; the driver gets four numbers a row and candidate.
+    """
+    factors = model.factors
+    for left in range(MOST_CHANGES, -1, -1):
+        candidates = _changes(factors) if left else [factors]
+
+        def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for step in steps(batches, "text"):
+                symbols = _symbols(step.column("text"), model)
+                found = np.hstack([_features(symbols, x) for x in candidates])
+                yield pa.RecordBatch.from_arrays(
+                    [step.column("toxic").cast(pa.int32()), pa.array(list(found))],
+                    names=["toxic", "features"],
+                )
+
+        table = known.mapInArrow(features, "toxic int, features array<double>").toArrow()
+        labels = table["toxic"].to_numpy()
+        if len(np.unique(labels)) < 2:
+            return model.coefficients, factors
+        values = table["features"].combine_chunks().flatten().to_numpy()
+        values = values.reshape(len(labels), len(candidates), 4)
+        fits = [fit_logistic(values[:, k], labels) for k in range(len(candidates))]
+        gains = [_log_likelihood(values[:, k], labels, fit) for k, fit in enumerate(fits)]
+        best = int(np.argmax(gains))
+        if gains[best] < gains[0] + LEAST_GAIN:
+            break
+        factors = candidates[best]
+    return fits[0], factors
+
+
+def _log_likelihood(
+    features: np.ndarray, labels: np.ndarray, coefficients: tuple[float, ...], ridge: float = 1.0
+) -> float:
+    """Of labels under a model, less the penalty under which it is fitted."""
+    p = np.where(labels == 1, 1, -1) * (coefficients[0] + features @ np.array(coefficients[1:]))
+    return float(-np.logaddexp(0, -p).sum() - ridge / 2 * np.square(coefficients[1:]).sum())
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

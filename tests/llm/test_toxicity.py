@@ -64,6 +64,50 @@ def tables(spark):
     return docs, spark.createDataFrame([*labels, (1, None), (None, 1)], "doc_id long, toxic int")
 
 
+def contexts(draw, count):
+    """Insults that clean documents negate or report; only the clause tells them apart."""
+    words = [f"plain{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(300)]
+    insults = ["grobbit", "snarvel", "wuzzock"]
+    for doc in range(count):
+        clauses = [" ".join(draw.choices(words, k=6)) for _ in range(5)]
+        toxic, kind = draw.random() < 0.2, draw.random()
+        insult = draw.choice(insults)
+        if toxic:
+            clauses.insert(draw.randrange(5), f"{draw.choice(words)} {insult}")
+        elif kind < 0.03:
+            clauses.insert(draw.randrange(5), f"never a {insult}")
+        elif kind < 0.06:
+            clauses.insert(draw.randrange(5), f"the man said {insult}")
+        yield doc, ". ".join(clauses) + ".", int(toxic)
+
+
+def test_composition_decides(spark, monkeypatch):
+    found = list(contexts(random.Random(8), 5000))
+    docs = spark.createDataFrame([x[:2] for x in found], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2]) for x in found], "doc_id long, toxic int")
+
+    def wrong(**options):
+        model = toxicity.train(docs, labels, **options)
+        rows = toxicity.score(docs, model).where("held_out").collect()
+        return model, sum(row.predicted != found[row.doc_id][2] for row in rows), len(rows)
+
+    model, errors, count = wrong()
+    assert errors <= 0.005 * count
+    learned = dict(zip(toxicity.FACTORS, model.factors))
+    assert learned["insult_negated"] <= 0.3 and learned["insult_reported"] <= 0.1
+    # No evidence, no change.
+    for arc in ("insult_after_threat", "threat_without_target", "threat_negated"):
+        assert learned[arc] == toxicity.FACTORS[arc]
+    texts = ["a grobbit", "never a grobbit", "he said grobbit", "never a word. a grobbit"]
+    scores = toxicity.probabilities(
+        toxicity.clause_features(pa.array(texts), model), model.coefficients
+    )
+    assert (scores >= 0.7).tolist() == [True, False, False, True]
+    # The same without a grammar: each word counts as it is.
+    monkeypatch.setattr(toxicity, "CHOICES", ())
+    assert wrong(factors=(1.0,) * len(toxicity.FACTORS))[1] > 0.03 * count
+
+
 def test_held_out_documents(tables):
     docs, labels = tables
     model = toxicity.train(docs, labels)
@@ -124,3 +168,4 @@ def test_the_given_documents(spark):
     assert (held.predicted == held.toxic).mean() > 0.97
     clean = held[held.toxic == 0]
     assert clean.predicted.mean() < 0.01
+    assert held[held.toxic == 1].predicted.mean() > 0.85
