@@ -15,6 +15,7 @@ from ledgerlake.llm import (
     conversation_repair,
     line_dedup,
     secret_scan,
+    sql,
     toxicity,
     vector_search,
     whitening,
@@ -181,7 +182,10 @@ _RUNS = line_dedup.SQL.format(
 )
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": sql.SUBSTRINGS,
     "op4_top_k": vector_search.SQL,
     "op6_line_dedup": _RUNS,
     "line_runs": _RUNS,
+    "op7_chat": sql.CHAT,
+    "op10_near_duplicates": sql.NEAR_DUPLICATES,
 }
