@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Type of a row's key.
+ROW_KEY = "long"
 #: Bytes of text that one numpy step works on; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
 
@@ -54,6 +56,11 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def row_key() -> Column:
+    """What tells rows apart by their doc_id and text; equal rows have one key."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
+
+
 def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     """Equality of the named columns in which NULL equals NULL."""
     condition = F.lit(True)

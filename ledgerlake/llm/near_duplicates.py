@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import steps, text_bytes, written
+from ledgerlake.llm.common import ROW_KEY, row_key, steps, text_bytes, written
 from ledgerlake.llm.components import Forest, components
 from ledgerlake.llm.words import gram_hashes, mixed, span_hashes, word_spans
 
@@ -137,7 +137,7 @@ def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
+    return docs.select("doc_id", "text", row_key())
 
 
 def _banded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,14 +379,13 @@ def _rest(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(row_key, doc_id, n_shingles, component_id, component, kept) for each row of ``docs``.
 
-    ``component`` names the group, also among NULL doc_ids; ``row_key`` is
-    ``xxhash64(doc_id, text)``.
+    ``component`` names the group, also among NULL doc_ids.
     """
     keyed = _keyed(docs)
     described = written(
         keyed.mapInArrow(
             _described,
-            "row_key long, doc_id long, n_shingles long, class binary, signature binary",
+            f"row_key {ROW_KEY}, doc_id long, n_shingles long, class binary, signature binary",
         ),
         "signatures",
     )
@@ -406,8 +405,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Written: a join can split a hot bucket where both its sides are tables.
     members = written(bands.join(written(buckets, "buckets"), "band"), "members")
     compared = members.select("node").distinct()
-    # One text for each class, however many rows repeat it; two, if unequal rows share a key.
-    once = keyed.groupBy("row_key", F.xxhash64(F.lit(1), "text", "doc_id").alias("other"))
+    # One text for each class, however many rows repeat it.
+    once = keyed.groupBy("row_key")
     texts = written(
         classes.select("node", "class", "row_key")
         .join(compared, "node")

@@ -31,16 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import steps, text_bytes, written
+from ledgerlake.llm.common import ROW_KEY, row_key, steps, text_bytes, written
 from ledgerlake.llm.words import gram_hashes, span_hashes, word_spans
 
 WINDOW = 35
 GRAM = 6
 BUCKET = 4096
-#: Up to so many split buckets their list is broadcast: some hundred kilobytes.
-SPLIT_LIST = 10_000
 
-_RESULT = "row_key long, doc_id long, n_words long, n_removed long, kept string"
+_RESULT = f"row_key {ROW_KEY}, doc_id long, n_words long, n_removed long, kept string"
 
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -282,12 +280,12 @@ def remove_repeats(
 ) -> DataFrame:
     """Each row's words and what is left of them: row_key, doc_id, n_words, n_removed, kept.
 
-    ``row_key`` is ``xxhash64(doc_id, text)``; ``kept`` are the kept words, joined by a space.
+    ``kept`` are the kept words, joined by a space.
     """
-    keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
+    keyed = docs.select("doc_id", "text", row_key())
     found = written(
         keyed.select("row_key", "text").mapInArrow(
-            _minimisers(window, gram), "row_key long, minimiser long"
+            _minimisers(window, gram), f"row_key {ROW_KEY}, minimiser long"
         ),
         "minimisers",
     )
@@ -301,7 +299,7 @@ def remove_repeats(
         .join(wanted, "row_key")
         .mapInArrow(
             _packs(window, gram),
-            "row_key long, first long, minimiser long, pack_id binary, pack string",
+            f"row_key {ROW_KEY}, first long, minimiser long, pack_id binary, pack string",
         ),
         "packs",
     )
@@ -310,8 +308,6 @@ def remove_repeats(
     )
     split = distinct.groupBy("minimiser").agg(F.ceil(F.count("*") / bucket).alias("parts"))
     split = written(split.where("parts > 1"), "split")
-    if split.limit(SPLIT_LIST + 1).count() <= SPLIT_LIST:
-        split = F.broadcast(split)
     marks = written(
         distinct.join(split, "minimiser", "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
