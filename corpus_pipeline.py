@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import line_dedup, near_duplicates, packing, toxicity
 from ledgerlake.llm import substring_dedup as substrings
-from ledgerlake.llm.common import read_table, small_batches, written
+from ledgerlake.llm.common import read_table, row_key, small_batches, written
 from ledgerlake.llm.tokens import WORD_BPE, vocabulary
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
+    return docs.select(F.struct("*").alias("row"), row_key())
 
 
 def _with_text(rows: DataFrame, names: list[str], text: Column) -> DataFrame:
