@@ -21,7 +21,7 @@ along, whatever their names. An empty table gives no rows. Very long texts are s
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import written
+from ledgerlake.llm.common import row_key, written
 
 #: One line in so many ends a chunk.
 EVERY = 3
@@ -59,13 +59,6 @@ def _with_chunks(rows: DataFrame, every: int) -> DataFrame:
     return _column(rows, "spans", spans).drop("_values", "_ends")
 
 
-def _row_key() -> Column:
-    """128 bits of doc_id and text: at 10**10 rows, 64 would be too few to trust."""
-    return F.struct(
-        F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b")
-    )
-
-
 def _pieces(rows: DataFrame) -> DataFrame:
     """(row_key, piece) of all chunks of two or more lines and of all pairs of lines.
 
@@ -102,7 +95,7 @@ def remove_repeated_chunks(docs: DataFrame, every: int = EVERY) -> DataFrame:
     joins by hash and text, so that adaptive execution can split a hot one.
     """
     keyed = docs.select(F.struct("*").alias("row")).select("*", "row.doc_id", "row.text")
-    keyed = keyed.select("row", "doc_id", "text", _row_key().alias("row_key"))
+    keyed = keyed.select("row", "doc_id", "text", row_key())
     source = keyed.where("text is not null").select("row_key", "doc_id", "text")
     lines = F.split("text", "\n", -1)
     placed = _pieces(_with_chunks(_column(source.select("row_key", "text"), "lines", lines), every))
@@ -178,7 +171,7 @@ def remove_repeated_runs(docs: DataFrame) -> DataFrame:
     def column(rows: DataFrame, name: str, value: Column) -> DataFrame:
         return rows.select("*", F.inline(F.array(F.struct(value.alias(name)))))
 
-    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("row_key"))
+    keyed = docs.select(F.struct("*").alias("row"), row_key())
     source = keyed.where("row.text is not null").select(
         "row_key", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")
     )

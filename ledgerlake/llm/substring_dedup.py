@@ -283,20 +283,21 @@ def remove_repeats(
     ``kept`` are the kept words, joined by a space.
     """
     keyed = docs.select("doc_id", "text", row_key())
+    # Half of the key will do here: rows that share it pack some spans more, which repeat nowhere.
+    slim = keyed.select(F.col("row_key.a").alias("row_key"), "text")
     found = written(
-        keyed.select("row_key", "text").mapInArrow(
-            _minimisers(window, gram), f"row_key {ROW_KEY}, minimiser long"
-        ),
+        slim.mapInArrow(_minimisers(window, gram), "row_key long, minimiser long"),
         "minimisers",
     )
     # Written, as are the spans below: a join can split a hot key where both its sides are tables.
     shared = found.groupBy("minimiser").agg(F.count("*").alias("n")).where("n > 1")
     shared = written(shared.select("minimiser"), "shared")
-    wanted = found.join(shared, "minimiser").groupBy("row_key")
+    wanted = found.join(shared, "minimiser").groupBy(F.col("row_key").alias("half"))
     wanted = wanted.agg(F.collect_set("minimiser").alias("shared"))
     packs = written(
         keyed.select("row_key", "text")
-        .join(wanted, "row_key")
+        .join(wanted, F.col("row_key.a") == F.col("half"))
+        .drop("half")
         .mapInArrow(
             _packs(window, gram),
             f"row_key {ROW_KEY}, first long, minimiser long, pack_id binary, pack string",
