@@ -46,6 +46,7 @@ from ledgerlake.schemas import (
     POSITIONS,
     SILVER_ACCOUNT,
     SILVER_ORDERS,
+    TRADE_BLOOMS,
     TRADE_DAYS,
     TRADE_ORDER,
 )
@@ -99,7 +100,7 @@ def orders_into(load: Load, orders: DataFrame, paths: LakePaths, lateness: str =
     counts = silver_into(load, orders, ORDER_REQUIRED, paths.silver_orders)
     verdict = T.StructType([*SILVER_ORDERS, T.StructField("verdict", T.StringType())])
     clean = load.read(paths.silver_orders, verdict).where("verdict = 'clean'")
-    load.write(clustered(closed_trades(clean)), paths.gold_trades)
+    load.write(clustered(closed_trades(clean)), paths.gold_trades, blooms=TRADE_BLOOMS)
     known = facts_of(spark, paths.trade_days, load.load_id)
     if "newest_before" not in known:
         earlier = read_trade_days(spark, paths.trade_days, without=load.load_id)
@@ -225,7 +226,9 @@ def compact_lake(spark: SparkSession, paths: LakePaths, **options) -> int:
         (paths.late_trades, GOLD_TRADES, ()),
         (paths.line_digests, LINE_DIGESTS, ("event_date",)),
     )
-    trades = compact(spark, paths.gold_trades, GOLD_TRADES, order=TRADE_ORDER, **options)
+    trades = compact(
+        spark, paths.gold_trades, GOLD_TRADES, order=TRADE_ORDER, blooms=TRADE_BLOOMS, **options
+    )
     return trades + sum(compact(spark, *table, **options) for table in tables)
 
 

@@ -113,6 +113,14 @@ def names(fields: tuple) -> list[str]:
     return [name for _, name, _ in fields if name not in UNPROJECTED]
 
 
+def narrowed(payload: tuple, only: tuple[str, ...]) -> tuple:
+    """The payload with the named columns of its body alone."""
+    *envelope, (key, name, body) = payload
+    if unknown := set(only) - set(names(body)):
+        raise ValueError(f"no columns of the payload: {sorted(unknown)}")
+    return (*envelope, (key, name, tuple(field for field in body if field[1] in only)))
+
+
 def _columns(fields: tuple, **replaced: T.DataType) -> list[T.StructField]:
     return [
         T.StructField(name, replaced.get(name, kind))
@@ -230,6 +238,7 @@ GOLD_TRADES = T.StructType(
 )
 #: Columns in whose order files of trades are kept.
 TRADE_ORDER = ("trade_time", "symbol")
+TRADE_BLOOMS = ("order_id",)
 GOLD_DAILY_METRICS = T.StructType(
     [
         T.StructField("day", T.DateType()),

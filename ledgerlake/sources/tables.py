@@ -20,7 +20,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Self
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,11 +80,20 @@ class Load:
         self.facts: dict = {}
         self._folders: dict[str, str] = {}
 
-    def write(self, rows: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:
-        """Write the load's rows of a table; they count when the load is committed."""
+    def write(
+        self,
+        rows: DataFrame,
+        path: str,
+        partitions: tuple[str, ...] = (),
+        blooms: tuple[str, ...] = (),
+    ) -> None:
+        """Write the load's rows of a table; they count when the load is committed.
+
+        Row groups get bloom filters on the columns ``blooms``.
+        """
         folder = new_folder(self.load_id)
         self._folders[path] = folder
-        writer = rows.write
+        writer = _with_blooms(rows.write, blooms)
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.parquet(f"{path}/{folder}")
@@ -230,6 +239,7 @@ def compact(
     grace: float = GRACE,
     full: int = FULL_PART,
     order: tuple[str, ...] = (),
+    blooms: tuple[str, ...] = (),
 ) -> int:
     """Merge parts until no tier of them is due; returns the bytes written.
 
@@ -250,7 +260,7 @@ def compact(
 
     written = 0
     while chosen := due(parts(spark, path), fanout, full):
-        size = _merge(spark, path, schema, chosen, merged, partitions, summed=False)
+        size = _merge(spark, path, schema, chosen, merged, partitions, False, blooms)
         if size is None:
             break
         written += size
@@ -287,6 +297,15 @@ def sum_up(
     sweep(spark, path, grace)
 
 
+def _with_blooms(writer: DataFrameWriter, columns: tuple[str, ...]) -> DataFrameWriter:
+    """Bloom filters as large as a row group's distinct values need, up to a megabyte."""
+    if columns:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for column in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    return writer
+
+
 def _merge(
     spark: SparkSession,
     path: str,
@@ -295,11 +314,12 @@ def _merge(
     make: Callable[[DataFrame], DataFrame],
     partitions: tuple[str, ...],
     summed: bool,
+    blooms: tuple[str, ...] = (),
 ) -> int | None:
     """Write the parts' rows as one part in their place; None if they changed meanwhile."""
     log, table = place(path)
     folder = new_folder("_merged")
-    writer = make(_read_parts(spark, path, schema, chosen)).write
+    writer = _with_blooms(make(_read_parts(spark, path, schema, chosen)).write, blooms)
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(f"{path}/{folder}")

@@ -32,6 +32,7 @@ from ledgerlake.schemas import (
     POSITIONS,
     SILVER_ACCOUNT,
     SILVER_ORDERS,
+    TRADE_BLOOMS,
     TRADE_DAYS,
     TRADE_ORDER,
 )
@@ -88,7 +89,9 @@ def silver_orders_stream(
 
     def tidy(spark: SparkSession) -> None:
         compact(spark, paths.silver_orders, SILVER_ORDERS, BY_DAY)
-        compact(spark, paths.gold_trades, GOLD_TRADES, order=TRADE_ORDER)
+        compact(
+            spark, paths.gold_trades, GOLD_TRADES, order=TRADE_ORDER, blooms=TRADE_BLOOMS
+        )
         compact(spark, paths.late_trades, GOLD_TRADES)
         sum_up(spark, paths.trade_days, TRADE_DAYS, name, added_sums)
 

@@ -25,7 +25,7 @@ from ledgerlake.operators.quality import (
     with_verdict,
 )
 from ledgerlake.operators.risk import daily_max_drawdown, daily_sharpe, equity_points
-from ledgerlake.operators.trades import closed_trades
+from ledgerlake.operators.trades import trades_of_bronze, trades_of_orders
 from ledgerlake.plans.paths import LakePaths, scratch_lake
 from ledgerlake.plans.stages import compact_lake, run, run_bronze, run_gold, run_silver
 from ledgerlake.schemas import ACCOUNT_REQUIRED, ORDER_REQUIRED
@@ -76,7 +76,7 @@ def _account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return closed_trades(clean_rows(_orders(spark, sf_dir), ORDER_REQUIRED))
+    return trades_of_bronze(_bronze(spark, sf_dir))
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> LakePaths:
@@ -241,6 +241,13 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gold_trades(spark, _built(spark, sf_dir).gold_trades)
 
 
+def gold_trades_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trades of those orders that have the ten largest profits, looked up by id."""
+    trades = read_gold_trades(spark, _built(spark, sf_dir).gold_trades)
+    best = trades.orderBy(F.desc_nulls_last("realized_pnl"), "order_id").limit(10)
+    return trades_of_orders(trades, [x.order_id for x in best.select("order_id").collect()])
+
+
 def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_gold_daily_metrics(spark, _built(spark, sf_dir).gold_daily_metrics)
 
@@ -545,6 +552,7 @@ QUERIES: dict[str, Query] = {
     "gold_trades": _trades,
     "daily_metrics": flagship,
     "gold_roundtrip": gold_roundtrip,
+    "gold_trades_of_orders": gold_trades_of_orders,
     "end_to_end": end_to_end,
     "gold_sql_daily": gold_sql_daily,
     "gold_sql_symbols": gold_sql_symbols,

@@ -437,6 +437,10 @@ ORACLES: dict[str, str] = {
     "gold_trades": _ALL_TRADES,
     "daily_metrics": _ALL_DAYS,
     "gold_roundtrip": _ALL_TRADES,
+    "gold_trades_of_orders": _trades(
+        "SELECT * FROM trades WHERE order_id IN (SELECT order_id FROM trades "
+        "ORDER BY realized_pnl DESC NULLS LAST, order_id LIMIT 10)"
+    ),
     "end_to_end": _ALL_DAYS,
     "gold_sql_daily": _daily(
         "SELECT day, total_pnl, trades_count, win_rate FROM daily WHERE total_pnl > 0"

@@ -12,11 +12,11 @@ from ledgerlake.operators.days import metrics_of_sums
 from ledgerlake.operators.envelope import bronze_rows, of_type
 from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
-from ledgerlake.operators.quality import split
+from ledgerlake.operators.quality import clean_rows, split
 from ledgerlake.operators.risk import daily_max_drawdown, equity_points
-from ledgerlake.operators.trades import closed_trades
+from ledgerlake.operators.trades import closed_trades, trades_of_bronze, trades_of_orders
 from ledgerlake.plans.stages import add_orders, clustered
-from ledgerlake.schemas import ACCOUNT_REQUIRED, GOLD_TRADES, ORDER_REQUIRED
+from ledgerlake.schemas import ACCOUNT_REQUIRED, GOLD_TRADES, ORDER_REQUIRED, TRADE_BLOOMS
 from ledgerlake.sources.tables import (
     Load,
     read_bronze,
@@ -51,6 +51,25 @@ def test_a_line_is_parsed_once_however_it_is_filtered(bronze):
     assert count("from_json", daily_metrics(closed_trades(silver_orders(bronze)))) == 1
 
 
+def test_trades_of_bronze_convert_nine_fields(spark, bronze):
+    found = trades_of_bronze(bronze)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+    plan = physical(found)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert len(re.findall("from_json", plan)) == 1
+    body = re.search(r"from_json\(.*?StructField\(o,StructType\((.*?)\),true\)\)", plan)
+    fields = re.findall(r"StructField\((\w+),", body.group(1))
+    assert fields == ["s", "S", "o", "q", "ap", "X", "i", "T", "rp"]
+    slow = closed_trades(clean_rows(silver_orders(bronze), ORDER_REQUIRED))
+    assert found.count() > 0
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, slow.collect()))
+
+
+def test_unknown_fields_are_refused(bronze):
+    with pytest.raises(ValueError, match="colour"):
+        silver_orders(bronze, only=("colour",))
+
+
 def test_the_envelope_is_one_pass_over_a_line(spark):
     rows = bronze_rows(raw(spark, [order()]))
     assert count("json_tuple", rows) == 1
@@ -148,3 +167,44 @@ def test_a_day_of_trades_is_found_by_row_group_statistics(spark, paths):
     assert len(holding) <= 2
     inside = [n for n, s, d in rows if s == "S2" and 4 <= d + (43200 + n) / 86400 < 5]
     assert day.count() == len(inside)
+
+
+def scanned(df) -> int:
+    """Rows that the scan of an executed plan gave out."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.collectToPython()
+    leaves = plan.collectLeaves() if "Adaptive" not in plan.nodeName() else (
+        plan.executedPlan().collectLeaves()
+    )
+    return leaves.head().metrics().apply("numOutputRows").value()
+
+
+def test_an_order_is_found_by_bloom_filters(spark, paths):
+    """Ids that are spread over all row groups, whose least and greatest say nothing."""
+    trades = spark.range(40_000).repartition(1).selectExpr(
+        "pmod(xxhash64(id), 1000000007) AS order_id",
+        "'S' AS symbol",
+        "'SELL' AS side",
+        "CAST(1 AS DECIMAL(18,8)) AS original_quantity",
+        "CAST(1 AS DECIMAL(18,8)) AS price",
+        "CAST(id AS DECIMAL(18,8)) AS realized_pnl",
+        "TIMESTAMP'2025-01-01 12:00:00' + make_dt_interval(0, 0, 0, id) AS trade_time",
+        "'FILLED' AS order_status",
+    )
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        for name, blooms in (("with", TRADE_BLOOMS), ("none", ())):
+            with Load(spark, name) as load:
+                load.write(clustered(trades), paths.gold_trades, blooms=blooms)
+    finally:
+        conf.unset("parquet.block.size")
+    wanted = [x.order_id for x in trades.orderBy("trade_time").take(1)]
+    rows = {}
+    for name in ("with", "none"):
+        (folder,) = Path(paths.gold_trades).glob(f"load_id={name}*")
+        found = trades_of_orders(spark.read.parquet(str(folder)), wanted)
+        rows[name] = scanned(found)
+        assert found.count() == 1
+    assert rows["none"] == 40_000
+    assert 0 < rows["with"] <= 10_000
