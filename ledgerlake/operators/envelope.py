@@ -40,14 +40,12 @@ def line_digests(bronze: DataFrame) -> DataFrame:
 def first_deliveries(bronze: DataFrame, known: DataFrame) -> DataFrame:
     """Bronze rows without repetitions, of each other or of lines whose digests are known.
 
-    Equal lines have equal dates, so ``known`` is read for the dates of ``bronze`` alone. A line that
-    repeats very often is combined map-side, and then meets one digest.
+    Equal lines have equal dates, so the digest alone decides, and lines are shuffled once: they
+    meet those that are known where they met each other. A line that repeats very often is combined
+    map-side, and then meets one digest.
     """
-    once = bronze.withColumn("digest", line_digest("raw_json")).dropDuplicates(
-        ["event_date", "digest"]
-    )
-    same = once["event_date"].eqNullSafe(known["event_date"]) & (once["digest"] == known["digest"])
-    return once.join(known, same, "left_anti").drop("digest")
+    once = bronze.withColumn("digest", line_digest("raw_json")).dropDuplicates(["digest"])
+    return once.join(known.select("digest"), "digest", "left_anti").select(*bronze.columns)
 
 
 def of_type(bronze: DataFrame, event_type: str) -> DataFrame:

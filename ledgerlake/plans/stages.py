@@ -100,7 +100,8 @@ def orders_into(load: Load, orders: DataFrame, paths: LakePaths, lateness: str =
     counts = silver_into(load, orders, ORDER_REQUIRED, paths.silver_orders)
     verdict = T.StructType([*SILVER_ORDERS, T.StructField("verdict", T.StringType())])
     clean = load.read(paths.silver_orders, verdict).where("verdict = 'clean'")
-    load.write(clustered(closed_trades(clean)), paths.gold_trades, blooms=TRADE_BLOOMS)
+    load.blooms[paths.gold_trades] = TRADE_BLOOMS
+    load.write(clustered(closed_trades(clean)), paths.gold_trades)
     known = facts_of(spark, paths.trade_days, load.load_id)
     if "newest_before" not in known:
         earlier = read_trade_days(spark, paths.trade_days, without=load.load_id)

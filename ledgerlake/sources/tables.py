@@ -78,6 +78,7 @@ class Load:
         load_folder("", load_id)
         self.spark, self.load_id = spark, load_id
         self.facts: dict = {}
+        self.blooms: dict[str, tuple[str, ...]] = {}
         self._folders: dict[str, str] = {}
 
     def write(
@@ -89,11 +90,11 @@ class Load:
     ) -> None:
         """Write the load's rows of a table; they count when the load is committed.
 
-        Row groups get bloom filters on the columns ``blooms``.
+        Row groups get bloom filters on the columns ``blooms``, or on the table's in ``blooms``.
         """
         folder = new_folder(self.load_id)
         self._folders[path] = folder
-        writer = _with_blooms(rows.write, blooms)
+        writer = _writer(rows, blooms or self.blooms.get(path, ()))
         if partitions:
             writer = writer.partitionBy(*partitions)
         writer.parquet(f"{path}/{folder}")
@@ -297,11 +298,15 @@ def sum_up(
     sweep(spark, path, grace)
 
 
-def _with_blooms(writer: DataFrameWriter, columns: tuple[str, ...]) -> DataFrameWriter:
-    """Bloom filters as large as a row group's distinct values need, up to a megabyte."""
-    if columns:
+def _writer(rows: DataFrame, blooms: tuple[str, ...]) -> DataFrameWriter:
+    """Files in zstd, since lines are kept in several tables and are rewritten by merges.
+
+    Bloom filters are as large as a row group's distinct values need, up to a megabyte.
+    """
+    writer = rows.write.option("compression", "zstd")
+    if blooms:
         writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
-    for column in columns:
+    for column in blooms:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     return writer
 
@@ -319,7 +324,7 @@ def _merge(
     """Write the parts' rows as one part in their place; None if they changed meanwhile."""
     log, table = place(path)
     folder = new_folder("_merged")
-    writer = _with_blooms(make(_read_parts(spark, path, schema, chosen)).write, blooms)
+    writer = _writer(make(_read_parts(spark, path, schema, chosen)), blooms)
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(f"{path}/{folder}")

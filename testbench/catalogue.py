@@ -57,6 +57,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Run-dependent columns, left out of query results.
 _VOLATILE = ("ingest_time", "processing_time")
 _LOAD = "first"
+# Lines of a landed file, some 25 MB: a gzip file is read as a whole.
+_FILE_LINES = 50_000
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,10 +81,16 @@ def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trades_of_bronze(_bronze(spark, sf_dir))
 
 
+def _deliver(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Land lines as the gzip files of a connector, each small enough to be read by one task."""
+    options = {"compression": "gzip", "maxRecordsPerFile": _FILE_LINES}
+    lines.write.options(**options).mode(mode).text(path)
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> LakePaths:
     """A lake whose landing directory holds all lines as one load."""
     paths = scratch_lake(spark)
-    _lines(spark, sf_dir).write.text(paths.landed(_LOAD))
+    _deliver(_lines(spark, sf_dir), paths.landed(_LOAD))
     return paths
 
 
@@ -298,7 +306,7 @@ def batch_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of half the lines each, the job after each, and the first once more."""
     paths = scratch_lake(spark)
     for load_id, lines in zip(("first", "second"), _in_steps(spark, sf_dir, 2)):
-        lines.write.text(paths.landed(load_id))
+        _deliver(lines, paths.landed(load_id))
         run(spark, paths, load_id)
     run(spark, paths, "first")
     return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
@@ -309,11 +317,11 @@ def _three_loads(spark: SparkSession, sf_dir: str) -> LakePaths:
     paths = scratch_lake(spark)
     steps = _in_steps(spark, sf_dir, 3)
     for load_id, lines in zip("abc", steps):
-        lines.write.text(paths.landed(load_id))
+        _deliver(lines, paths.landed(load_id))
         run(spark, paths, load_id)
-    steps[0].write.mode("overwrite").text(paths.landed("b"))
+    _deliver(steps[0], paths.landed("b"), "overwrite")
     run(spark, paths, "b")
-    steps[1].write.mode("overwrite").text(paths.landed("b"))
+    _deliver(steps[1], paths.landed("b"), "overwrite")
     run(spark, paths, "b")
     return paths
 
@@ -335,7 +343,7 @@ def batch_merged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by feed and verdict after nine loads that are merged by tiers, two of them replaced."""
     paths = scratch_lake(spark)
     for k, lines in enumerate(_in_steps(spark, sf_dir, 9)):
-        lines.write.text(paths.landed(f"load-{k}"))
+        _deliver(lines, paths.landed(f"load-{k}"))
         run_bronze(spark, paths, f"load-{k}")
         run_silver(spark, paths, f"load-{k}")
         compact_lake(spark, paths, fanout=3)
@@ -358,7 +366,7 @@ def batch_late_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Settled days with their late trades, after four loads and the first two once more."""
     paths = scratch_lake(spark)
     for k, lines in enumerate(_in_steps(spark, sf_dir, 4)):
-        lines.write.text(paths.landed(f"load-{k}"))
+        _deliver(lines, paths.landed(f"load-{k}"))
     for k in (0, 1, 2, 3, 0, 1):
         run_bronze(spark, paths, f"load-{k}")
         run_silver(spark, paths, f"load-{k}")
@@ -370,7 +378,7 @@ def batch_windows_and_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each day's window as it closed, and what came late to it, by four loads in another order."""
     paths = scratch_lake(spark)
     for k, lines in enumerate(_in_steps(spark, sf_dir, 4)):
-        lines.write.text(paths.landed(f"load-{k}"))
+        _deliver(lines, paths.landed(f"load-{k}"))
     for k in (2, 0, 3, 1, 0):
         run_bronze(spark, paths, f"load-{k}")
         run_silver(spark, paths, f"load-{k}")
@@ -389,9 +397,9 @@ def batch_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = scratch_lake(spark)
     first, second = _in_steps(spark, sf_dir, 2)
     for load_id, lines in (("a", first.union(first)), ("b", first.union(second))):
-        lines.write.text(paths.landed(load_id))
+        _deliver(lines, paths.landed(load_id))
         run(spark, paths, load_id, once=True)
-    second.write.text(paths.landed("c"))
+    _deliver(second, paths.landed("c"))
     run(spark, paths, "c", once=True)
     return read_gold_daily_metrics(spark, paths.gold_daily_metrics)
 

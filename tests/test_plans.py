@@ -9,7 +9,7 @@ from events import account, order, raw, trading_days
 
 from ledgerlake.operators.account import account_events, silver_account
 from ledgerlake.operators.days import metrics_of_sums
-from ledgerlake.operators.envelope import bronze_rows, of_type
+from ledgerlake.operators.envelope import bronze_rows, first_deliveries, line_digests, of_type
 from ledgerlake.operators.metrics import daily_metrics
 from ledgerlake.operators.orders import silver_orders
 from ledgerlake.operators.quality import clean_rows, split
@@ -82,6 +82,21 @@ def test_routing_prunes_partitions(bronze):
     assert "event_type" in pruned and "ORDER_TRADE_UPDATE" in pruned
 
 
+def test_lines_are_shuffled_once_to_leave_out_repetitions(spark, bronze):
+    known = line_digests(bronze)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # One shuffle of the lines, and one of the digests of those that are known.
+        assert count("Exchange", first_deliveries(bronze, known)) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_are_written_in_zstd(paths, bronze):
+    folders = list(Path(paths.bronze).glob("load_id=*"))
+    assert list(folders[0].rglob("*.parquet")) == list(folders[0].rglob("*.zstd.parquet")) != []
+
+
 def test_silver_tables_need_no_shuffle(bronze):
     assert count("Exchange", silver_orders(bronze)) == 0
     assert count("Exchange", silver_account(bronze)) == 0
