@@ -62,6 +62,8 @@ BY_DAY = ("verdict", "event_time")
 FANOUT = 8
 #: Bytes of a part that is large enough to stay as it is.
 FULL_PART = 64 << 30
+#: Bytes of a merged file of a table without partitions.
+MERGED_FILE = 64 << 20
 #: Newest loads of a stream that are not summed up with others yet, for replays.
 KEPT_LOADS = 5
 #: Seconds that folders stay which count no longer, for readers that know them.
@@ -245,7 +247,8 @@ def compact(
     """Merge parts until no tier of them is due; returns the bytes written.
 
     With ``order``, rows are dealt by ranges of those columns and sorted in them, so that a
-    merged part's files and row groups can be skipped by their statistics.
+    merged part's files and row groups can be skipped by their statistics. With partitions, rows
+    are dealt by those. Otherwise files are put together as they are, without a shuffle.
 
     A failure before the commit changes nothing that is read, and running it again is
     safe, also beside loads.
@@ -257,7 +260,9 @@ def compact(
         rows = rows.withColumnRenamed("load_id", "of_load")
         if order:
             return rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        return rows.hint("rebalance", *partitions)
+        if partitions:
+            return rows.hint("rebalance", *partitions)
+        return rows.coalesce(sum(part.size for part in chosen) // MERGED_FILE + 1)
 
     written = 0
     while chosen := due(parts(spark, path), fanout, full):

@@ -141,6 +141,32 @@ def test_large_parts_are_left_alone():
     assert len(due(large, 4, 101)) == 9
 
 
+def test_tiers_that_fill_each_other_are_merged_at_once():
+    merged = [Part(f"m{k}", tuple(f"l{3 * k + i}" for i in range(3)), 3) for k in range(2)]
+    single = [Part(f"f{k}", (f"l{k}",), 1) for k in range(6, 9)]
+    assert due([*merged, *single], 3, 1 << 40) == [*merged, *single]
+    assert due([merged[0], *single], 3, 1 << 40) == single
+    # Three of one load make a part that is large enough.
+    assert due([*merged, *single], 3, 3) == single
+
+
+def test_parts_without_partitions_are_merged_without_a_shuffle(spark, tmp_path):
+    path = f"{tmp_path}/silver/numbers"
+    for k in range(3):
+        write_load(spark.range(k * 100, k * 100 + 100, 1, 4).toDF("n"), path, f"l-{k}")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("merge", "merge")
+    try:
+        compact(spark, path, NUMBERS, fanout=3)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [tracker.getJobInfo(x) for x in tracker.getJobIdsForGroup("merge")]
+    assert [len(job.stageIds) for job in jobs] == [1]
+    assert numbers(spark, path) == list(range(300))
+    (folder,) = [part.folder for part in parts(spark, path)]
+    assert len(list(Path(f"{path}/{folder}").glob("*.parquet"))) == 1
+
+
 NUMBERS = T.StructType([T.StructField("n", T.LongType())])
 
 
